@@ -122,8 +122,9 @@ def rebuild_match(a: DataFrame, b: DataFrame) -> DataFrame:
 def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
                    rtol: float = 1e-6, atol: float = 0.0) -> DataFrame:
     """Q8: same columns and keys; numeric columns equal within
-    ``|a-b| <= atol + rtol*|b|`` (NULL equals NULL). One join, one aggregate,
-    then unpivot to (column, compared, mismatches, max_abs_diff, passed)."""
+    ``|a-b| <= atol + rtol*|b|`` (NULL equals NULL). One full join on the
+    keys, then a long-form aggregate: (column, mismatches, max_abs_diff,
+    key_only, passed)."""
     if sorted(stored.columns) != sorted(fresh.columns):
         raise ValueError("column sets differ: "
                          f"{sorted(set(stored.columns) ^ set(fresh.columns))}")
@@ -134,21 +135,23 @@ def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
     f = fresh.select(*_k(keys), *[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(num)],
                      F.lit(True).alias("__f"))
     j = s.join(f, keys, "full")
-    aggs = [F.count(F.when(F.col("__s").isNull() | F.col("__f").isNull(), F.lit(1))).cast("long").alias("key_only")]
-    for i in range(len(num)):
-        a, b = F.col(f"s{i}"), F.col(f"f{i}")
-        d = F.abs(a - b)
-        bad = (F.when(a.isNull() & b.isNull(), F.lit(False))
-               .when(a.isNull() | b.isNull(), F.lit(True))
-               .otherwise(d > F.lit(atol) + F.lit(rtol) * F.abs(b)))
-        both = F.col("__s").isNotNull() & F.col("__f").isNotNull()
-        aggs += [F.count(F.when(both & bad, F.lit(1))).cast("long").alias(f"m{i}"),
-                 F.max(F.when(both, d)).alias(f"d{i}")]
-    r = j.agg(*aggs)
-    stack = ", ".join(f"'{c}', m{i}, d{i}" for i, c in enumerate(num))
-    out = r.select("key_only", F.expr(f"stack({len(num)}, {stack}) AS (column, mismatches, max_abs_diff)"))
-    return out.select("column", "mismatches", X.rnd("max_abs_diff", 9).alias("max_abs_diff"), "key_only",
-                      ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
+    # long form: one (column, stored, fresh) record per numeric column, then a
+    # groupBy(column) with map-side partial aggregation
+    recs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("a"),
+                                        F.col(f"f{i}").alias("b")) for i, c in enumerate(num)])).alias("r")
+    both = F.col("__s").isNotNull() & F.col("__f").isNotNull()
+    long = j.select(both.alias("both"), recs).select("both", "r.*")
+    a, b = F.col("a"), F.col("b")
+    d = F.abs(a - b)
+    bad = (F.when(a.isNull() & b.isNull(), F.lit(False))
+           .when(a.isNull() | b.isNull(), F.lit(True))
+           .otherwise(d > F.lit(atol) + F.lit(rtol) * F.abs(b)))
+    per_col = long.groupBy("column").agg(
+        F.count(F.when(F.col("both") & bad, F.lit(1))).cast("long").alias("mismatches"),
+        F.max(F.when(F.col("both"), d)).alias("max_abs_diff"),
+        F.count(F.when(~F.col("both"), F.lit(1))).cast("long").alias("key_only"))
+    return per_col.select("column", "mismatches", X.rnd("max_abs_diff", 9).alias("max_abs_diff"), "key_only",
+                          ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
 
 
 def rollup_reconcile(df: DataFrame, key: str, columns: list[str], label: str = "total") -> DataFrame:

@@ -62,22 +62,23 @@ def _pairs(cols: list[str], full: bool = False):
 
 
 def _corr_long(df: DataFrame, pairs, count_col: bool = True, digits: int | None = 6) -> DataFrame:
-    aggs = []
-    for k, (i, j, a, b) in enumerate(pairs):
-        aggs.append(X.safe_corr(_c(a), _c(b)).alias(f"r{k}"))
-        if count_col:
-            aggs.append(F.count(F.when(_c(a).isNotNull() & _c(b).isNotNull(), F.lit(1))).alias(f"n{k}"))
-    row = df.agg(*aggs)
-    if count_col:
-        body = ", ".join(f"'{a}', '{b}', {i}, {j}, r{k}, n{k}" for k, (i, j, a, b) in enumerate(pairs))
-        cols = "(indicator_a, indicator_b, pos_a, pos_b, correlation, n_rows)"
-    else:
-        body = ", ".join(f"'{a}', '{b}', {i}, {j}, r{k}" for k, (i, j, a, b) in enumerate(pairs))
-        cols = "(indicator_a, indicator_b, pos_a, pos_b, correlation)"
-    out = row.select(F.expr(f"stack({len(pairs)}, {body}) AS {cols}"))
+    """Pearson r for many pairs in long form: every row is exploded into one
+    (pair, a, b) record per pair and a ``groupBy(pair)`` does the work. The
+    partial aggregate runs map-side, so the shuffle carries one small row
+    per pair per partition, and the generated code stays small however many
+    columns there are."""
+    recs = F.explode(F.array(*[
+        F.struct(F.lit(i).cast("long").alias("pos_a"), F.lit(j).cast("long").alias("pos_b"),
+                 F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
+                 _c(a).cast("double").alias("a"), _c(b).cast("double").alias("b"))
+        for i, j, a, b in pairs])).alias("p")
+    long = df.select(recs).select("p.*")
+    out = long.groupBy("indicator_a", "indicator_b", "pos_a", "pos_b").agg(
+        X.safe_corr("a", "b").alias("correlation"),
+        F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).alias("n_rows"))
     if digits is not None:
         out = out.withColumn("correlation", X.rnd("correlation", digits))
-    return out.withColumns({"pos_a": F.col("pos_a").cast("long"), "pos_b": F.col("pos_b").cast("long")})
+    return out if count_col else out.drop("n_rows")
 
 
 def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:

@@ -9,8 +9,8 @@ Plan shape (the part that matters at scale): fact tables are first reduced
 to supplier / customer grain with conditional counts (partial aggregation
 happens map-side, so a hot key collapses before the shuffle), and only then
 joined to the small dimension tables and rolled up to nation. Sources that
-share a fact table share one aggregate DataFrame, so the planner reuses its
-exchange instead of scanning the fact table once per source.
+share a fact table read one shared aggregate (``Facts``), materialised once
+per job, so a fact table is scanned once however many sources use it.
 """
 
 from __future__ import annotations
@@ -150,6 +150,76 @@ def customers_by_nation(spark, sf_dir) -> DataFrame:
             .withColumn("n_suppliers", F.coalesce("n_suppliers", F.lit(0)).cast("long")))
 
 
+FACT_BUILDERS = {"lines": None, "orders": None, "customers": None}   # filled below
+SOURCE_FACTS = {"gm_5_6": "lines", "gm_0_5": "lines", "me": "lines", "hv": "lines",
+                "anaemia": "orders", "gwg": "orders", "lbw": "customers", "snp": "customers",
+                "awc": "customers", "ag": None}
+NATION_COLS = ["nationkey", "n_name", "n_regionkey"]
+
+
+class Facts:
+    """Per-job holder of the fact aggregates at nation grain.
+
+    Every source that needs lineitem, orders or customer reads the same
+    aggregate, so each fact table is scanned and shuffled once per job.
+    With ``materialize=True`` the needed aggregates are written together,
+    in one job, as one entity-grain table under ``spark.checkpoint.dir``
+    (each left-joined onto the nation dimension with a presence marker);
+    lineage is cut there and every source reads the small table.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False,
+                 needs: set[str] | None = None):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self.needs = set(needs) if needs is not None else {"lines", "orders", "customers"}
+        self._memo: dict[str, DataFrame] = {}
+        self._wide: DataFrame | None = None
+
+    @classmethod
+    def for_sources(cls, spark, sf_dir, sources, materialize: bool = True) -> "Facts":
+        needs = {SOURCE_FACTS[s] for s in sources if SOURCE_FACTS.get(s)}
+        return cls(spark, sf_dir, materialize, needs)
+
+    def _wide_table(self) -> DataFrame:
+        if self._wide is None:
+            from gridcube.session import materialize
+            wide = nations(self.spark, self.sf_dir)
+            for name in sorted(self.needs):
+                f = FACT_BUILDERS[name](self.spark, self.sf_dir).drop("n_name", "n_regionkey")
+                wide = wide.join(f.withColumn(f"__has_{name}", F.lit(True)), "nationkey", "left")
+            self._wide = materialize(wide, "facts")
+        return self._wide
+
+    def _get(self, name):
+        if name not in self._memo:
+            if self.materialize:
+                if self._wide is None:
+                    self.needs.add(name)
+                elif name not in self.needs:
+                    raise KeyError(f"fact {name!r} was not materialized for this job")
+                w = self._wide_table()
+                keep = NATION_COLS + [c for c in FACT_BUILDERS[name](self.spark, self.sf_dir).columns
+                                      if c not in NATION_COLS]
+                df = w.where(F.col(f"__has_{name}")).select(*keep)
+            else:
+                df = FACT_BUILDERS[name](self.spark, self.sf_dir)
+            self._memo[name] = df
+        return self._memo[name]
+
+    def lines(self) -> DataFrame:
+        return self._get("lines")
+
+    def orders(self) -> DataFrame:
+        return self._get("orders")
+
+    def customers(self) -> DataFrame:
+        return self._get("customers")
+
+
+def _facts(spark, sf_dir, facts):
+    return facts if facts is not None else Facts(spark, sf_dir)
+
+
 def _growth_cols(g, p: str = "", sfx: str = ""):
     """Growth-monitoring export columns from flag counts (prefix p)."""
     m = g[f"{p}meas"]
@@ -165,16 +235,16 @@ def _growth_cols(g, p: str = "", sfx: str = ""):
     return cols, tail
 
 
-def src_gm_5_6(spark, sf_dir) -> DataFrame:
-    g = lines_by_nation(spark, sf_dir)
+def src_gm_5_6(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).lines()
     head, tail = _growth_cols(g)
     return g.select(F.col("n_name").alias("district"), *head, *tail)
 
 
-def src_gm_0_5(spark, sf_dir) -> DataFrame:
+def src_gm_0_5(spark, sf_dir, facts=None) -> DataFrame:
     """Early-shipment band, with a ``Total`` rollup row appended as the
     exports do (``rollup`` on the nation key, label filled in)."""
-    li = lines_by_nation(spark, sf_dir)
+    li = _facts(spark, sf_dir, facts).lines()
     keys = [f"e_{k}" for k in LINE_FLAGS]
     g = li.rollup("n_name").agg(*[F.sum(k).alias(k) for k in keys])
     head, tail = _growth_cols(g, "e_", "_0_5")
@@ -184,8 +254,8 @@ def src_gm_0_5(spark, sf_dir) -> DataFrame:
                     *tail)
 
 
-def src_anaemia(spark, sf_dir) -> DataFrame:
-    g = orders_by_nation(spark, sf_dir)
+def src_anaemia(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).orders()
     return g.select(
         F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("district"),
         g.pw_tot.alias("total_pregnant_women"), g.pw_hb.alias("hb_measured_pw"), g.pw_an.alias("anaemic_pw"),
@@ -193,14 +263,14 @@ def src_anaemia(spark, sf_dir) -> DataFrame:
         g.ch_tot.alias("total_children_6m_5y"), g.ch_hb.alias("hb_measured_child"), g.ch_an.alias("anaemic_child"))
 
 
-def src_lbw(spark, sf_dir) -> DataFrame:
-    g = customers_by_nation(spark, sf_dir)
+def src_lbw(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).customers()
     return g.select(F.upper("n_name").alias("district"),
                     g.c_all.alias("total_children_0_6m"), g.neg.alias("lbw_children_0_6m"))
 
 
-def src_gwg(spark, sf_dir) -> DataFrame:
-    g = orders_by_nation(spark, sf_dir)
+def src_gwg(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).orders()
     cols = [F.col("n_name").alias("district"), g.o_all.alias("total_pw")]
     for k in (1, 2, 3, 4):
         cols += [g[f"due{k}"].alias(f"pw_due_anc{k}"), g[f"done{k}"].alias(f"pw_completed_anc{k}")]
@@ -211,7 +281,7 @@ def src_gwg(spark, sf_dir) -> DataFrame:
     return g.select(*cols)
 
 
-def src_ag(spark, sf_dir) -> DataFrame:
+def src_ag(spark, sf_dir, facts=None) -> DataFrame:
     s = table(spark, sf_dir, "supplier").filter(F.expr(AG_FILTER))
     g = s.groupBy(F.col("s_nationkey").cast("long").alias("nationkey")).agg(
         *[cnt(c).alias(k) for k, c in AG_FLAGS.items()])
@@ -219,18 +289,18 @@ def src_ag(spark, sf_dir) -> DataFrame:
         F.col("n_name").alias("district"), *AG_FLAGS)
 
 
-def src_me(spark, sf_dir) -> DataFrame:
-    g = lines_by_nation(spark, sf_dir)
+def src_me(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).lines()
     return g.select(F.col("n_name").alias("district"), g["all"].alias("children_total"),
                     g.meas.alias("children_measured"), X.pct(g.meas, g["all"]).alias("children_measured_pct"),
                     g.q40.alias("aww_completed_80pct_me"))
 
 
-def src_hv(spark, sf_dir) -> DataFrame:
+def src_hv(spark, sf_dir, facts=None) -> DataFrame:
     """Home visits: suppliers as workers, quantities as visits. The coverage
     column arrives as text (unparsable for one region) to exercise the
     lenient cast."""
-    g = lines_by_nation(spark, sf_dir)
+    g = _facts(spark, sf_dir, facts).lines()
     cov = F.when(F.col("n_regionkey") == 0, F.lit("n/a")).otherwise(
         X.rnd(F.try_divide(g.qty_f.cast("double"), g.qty.cast("double")) * F.lit(100.0), 4).cast("string"))
     return g.select(F.col("n_name").alias("district"), g.n_sup.alias("total_aww"),
@@ -238,8 +308,8 @@ def src_hv(spark, sf_dir) -> DataFrame:
                     cov.alias("visit_coverage_pct"), g.n_sup_half.alias("aww_60pct_hv"))
 
 
-def src_snp(spark, sf_dir) -> DataFrame:
-    g = customers_by_nation(spark, sf_dir)
+def src_snp(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).customers()
     return g.select(
         F.col("n_name").alias("district"), g.c_all.alias("total_beneficiary"),
         g.seg_auto.alias("total_pw"), g.seg_build.alias("total_lm"),
@@ -249,13 +319,15 @@ def src_snp(spark, sf_dir) -> DataFrame:
         g.ss_a.alias("sam_suw_6m_3y"), g.ss_b.alias("sam_suw_3y_5y"), g.n_suppliers.alias("total_ag"))
 
 
-def src_awc(spark, sf_dir) -> DataFrame:
-    g = customers_by_nation(spark, sf_dir)
+def src_awc(spark, sf_dir, facts=None) -> DataFrame:
+    g = _facts(spark, sf_dir, facts).customers()
     return g.select(F.col("n_name").alias("district"), g.c_all.alias("total_awc"),
                     g.pos.alias("active_awc"), g.nonpos.alias("inactive_awc"),
                     g.rich.alias("new_awc_month"), g.deep.alias("inactive_awc_month"))
 
 
+FACT_BUILDERS.update(lines=lines_by_nation, orders=orders_by_nation, customers=customers_by_nation)
+
 SOURCE_BUILDERS = {
     "gm_5_6": src_gm_5_6, "gm_0_5": src_gm_0_5, "anaemia": src_anaemia, "lbw": src_lbw,
     "gwg": src_gwg, "ag": src_ag, "me": src_me, "hv": src_hv, "snp": src_snp, "awc": src_awc,

@@ -26,15 +26,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _load_all():
-    # importing the modules registers their queries
-    import importlib
-    for m in ("q_cube", "q_clean", "q_quality", "q_stats", "q_serve", "q_ingest", "q_ml"):
-        try:
-            importlib.import_module(f"gridcube.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"gridcube.plans.{m}":
-                raise
+MODULES = ("q_cube", "q_clean", "q_quality", "q_stats", "q_serve", "q_ingest", "q_ml")
 
 
-_load_all()
+def load() -> tuple[dict, dict]:
+    """Import every query module (importing registers its queries) and
+    return (QUERIES, ORACLE)."""
+    import importlib
+    for m in MODULES:
+        importlib.import_module(f"gridcube.plans.{m}")
+    return QUERIES, ORACLE

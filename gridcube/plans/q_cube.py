@@ -8,21 +8,34 @@ from gridcube.operators.clean import drop_rollup
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
+from gridcube.session import materialize as write_and_read
 from gridcube.sources.registry import CUBE_ORDER
 
 KEYS = ["district"]
 
 
-def indicator_frame(spark, sf_dir, source: str):
-    return I.INDICATORS[source](A.SOURCE_BUILDERS[source](spark, sf_dir))
+def materialize(df):
+    """Write an entity-grain intermediate once to the shared checkpoint
+    folder (``spark.checkpoint.dir``) and read it from there: lineage is cut,
+    and several consumers do not recompute it."""
+    return write_and_read(df, "cube")
 
 
-def indicator_frames(spark, sf_dir, order=CUBE_ORDER):
-    return {s: indicator_frame(spark, sf_dir, s) for s in order}
+def indicator_frame(spark, sf_dir, source: str, facts=None):
+    return I.INDICATORS[source](A.SOURCE_BUILDERS[source](spark, sf_dir, facts))
 
 
-def district_cube(spark, sf_dir, order=CUBE_ORDER):
-    return C.build_cube(indicator_frames(spark, sf_dir, order), list(order), KEYS)
+def indicator_frames(spark, sf_dir, order=CUBE_ORDER, facts=None):
+    facts = facts if facts is not None else A.Facts.for_sources(spark, sf_dir, order)
+    return {s: indicator_frame(spark, sf_dir, s, facts) for s in order}
+
+
+def district_cube(spark, sf_dir, order=CUBE_ORDER, facts=None, materialized=False):
+    """The cube. Each fact table is aggregated once (``Facts``), the
+    ten entity-grain sources are derived from those aggregates, and the
+    left-join fold runs over entity-grain tables only."""
+    cube = C.build_cube(indicator_frames(spark, sf_dir, order, facts), list(order), KEYS)
+    return materialize(cube) if materialized else cube
 
 
 def _ind_sql(source: str) -> str:

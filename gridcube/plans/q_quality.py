@@ -34,9 +34,10 @@ def _uniq_sql(name, rel):
 @register("dq_unique_key", WITH_ALL + "\nSELECT *, duplicate_keys = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(
     [_uniq_sql(s, f"ind_{s}") for s in CUBE_ORDER] + [_uniq_sql("cube", "cube"), _uniq_sql("planted_dup", PLANTED_DUP_SQL)]) + ")")
 def q_dq_unique_key(spark, sf_dir):
-    fr = indicator_frames(spark, sf_dir)
+    facts = A.Facts.for_sources(spark, sf_dir, CUBE_ORDER)
+    fr = indicator_frames(spark, sf_dir, facts=facts)
     frames = dict(fr)
-    frames["cube"] = district_cube(spark, sf_dir)
+    frames["cube"] = district_cube(spark, sf_dir, facts=facts)
     frames["planted_dup"] = _planted_dup(fr)
     return Q.unique_key(frames, ["district"])
 
@@ -51,10 +52,11 @@ SELECT 'planted_fanout', (SELECT CAST(count(*) AS BIGINT) FROM ind_gm_5_6),
        (SELECT count(*) FROM ind_gm_5_6) =
        (SELECT count(*) FROM ind_gm_5_6 b LEFT JOIN {PLANTED_DUP_SQL} p ON b.district = p.district)""")
 def q_dq_row_preservation(spark, sf_dir):
-    fr = indicator_frames(spark, sf_dir)
+    facts = A.Facts.for_sources(spark, sf_dir, CUBE_ORDER)
+    fr = indicator_frames(spark, sf_dir, facts=facts)
     base = fr["gm_5_6"]
     fan = base.join(_planted_dup(fr).withColumn("dup", F.lit(1)), "district", "left")
-    return (Q.row_preservation(base, district_cube(spark, sf_dir), "cube")
+    return (Q.row_preservation(base, district_cube(spark, sf_dir, facts=facts), "cube")
             .unionByName(Q.row_preservation(base, fan, "planted_fanout")))
 
 
@@ -138,7 +140,8 @@ def q_dq_coverage_gap(spark, sf_dir):
 SELECT CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) AS BIGINT) AS rows_b, CAST(0 AS BIGINT) AS a_minus_b,
        CAST(0 AS BIGINT) AS b_minus_a, true AS hash_equal, true AS passed FROM cube""")
 def q_dq_rebuild_match(spark, sf_dir):
-    """Two independent builds of the cube (separate plans, separate scans)."""
+    """Two independent builds of the cube (separate plans, separate scans,
+    separately materialised fact aggregates)."""
     return Q.rebuild_match(district_cube(spark, sf_dir), district_cube(spark, sf_dir))
 
 
@@ -167,9 +170,9 @@ def _tol_sql():
 def q_dq_tolerance_diff(spark, sf_dir):
     """Stored cube (numerics kept at 1 dp, as a coarse export would) vs a
     fresh build, rtol 1e-6: reports which columns drift and by how much."""
-    fresh = district_cube(spark, sf_dir)
+    fresh = district_cube(spark, sf_dir, materialized=True)
     num = [f.name for f in fresh.schema.fields if isinstance(f.dataType, T.NumericType)]
-    stored = district_cube(spark, sf_dir)
+    stored = fresh
     stored = stored.withColumns({c: X.rnd(F.col(f"`{c}`").cast("double"), 1) for c in num})
     return Q.tolerance_diff(stored, fresh, ["district"], rtol=1e-6)
 

@@ -61,8 +61,12 @@ LEGACY_CTES = CUBE_CTES + [("legacy", "SELECT " + ", ".join(f"{e} AS {qi(n)}" fo
 WITH_LEGACY = G.with_clause(LEGACY_CTES)
 
 
-def legacy(spark, sf_dir):
-    return SV.legacy_view(district_cube(spark, sf_dir))
+def legacy(spark, sf_dir, materialized: bool = False):
+    """The legacy view over a fresh cube; ``materialized`` writes the
+    (entity-grain) result once when several branches consume it."""
+    from gridcube.plans.q_cube import materialize
+    v = SV.legacy_view(district_cube(spark, sf_dir))
+    return materialize(v) if materialized else v
 
 
 @register("legacy_view", WITH_LEGACY + "\nSELECT * FROM legacy")
@@ -99,7 +103,7 @@ def _tb_sql(metrics, n=5):
 
 @register("top_bottom_report", WITH_LEGACY + "\n" + _tb_sql(SV.TOP_BOTTOM_METRICS))
 def q_top_bottom_report(spark, sf_dir):
-    return ST.top_bottom_report(legacy(spark, sf_dir), "District", SV.TOP_BOTTOM_METRICS + ["Not_A_Column"], 5)
+    return ST.top_bottom_report(legacy(spark, sf_dir, True), "District", SV.TOP_BOTTOM_METRICS + ["Not_A_Column"], 5)
 
 
 # ------------------------------------------------------------ correlation
@@ -124,7 +128,7 @@ def _listwise_where(cols):
 @register("corr_pairs_listwise", WITH_LEGACY + "\n" +
           _corr_sql("legacy", SV.CORRELATE_COLUMNS, where=_listwise_where(SV.CORRELATE_COLUMNS)))
 def q_corr_pairs_listwise(spark, sf_dir):
-    return ST.corr_pairs_listwise(legacy(spark, sf_dir), SV.CORRELATE_COLUMNS)
+    return ST.corr_pairs_listwise(legacy(spark, sf_dir, True), SV.CORRELATE_COLUMNS)
 
 
 @register("corr_strongest", WITH_LEGACY + ",\npairs AS (\n" +
@@ -133,7 +137,7 @@ def q_corr_pairs_listwise(spark, sf_dir):
           "indicator_a, indicator_b, correlation, CASE WHEN correlation > 0 THEN 'positive' ELSE 'negative' END AS direction "
           "FROM pairs) WHERE rank <= 10")
 def q_corr_strongest(spark, sf_dir):
-    return ST.corr_strongest(ST.corr_pairs_listwise(legacy(spark, sf_dir), SV.CORRELATE_COLUMNS), 10)
+    return ST.corr_strongest(ST.corr_pairs_listwise(legacy(spark, sf_dir, True), SV.CORRELATE_COLUMNS), 10)
 
 
 DOC_COLS = ["n_chars", "n_lines", "quality", "toxic_en"]
@@ -160,7 +164,7 @@ def q_corr_matrix_pairwise(spark, sf_dir):
 
 @register("corr_matrix_rounded", WITH_LEGACY + "\n" + _corr_sql("legacy", SV.HEATMAP_COLUMNS, full=True, digits=3))
 def q_corr_matrix_rounded(spark, sf_dir):
-    return ST.corr_matrix_rounded(legacy(spark, sf_dir), SV.HEATMAP_COLUMNS)
+    return ST.corr_matrix_rounded(legacy(spark, sf_dir, True), SV.HEATMAP_COLUMNS)
 
 
 RANK_COLS = ["l_quantity", "l_discount", "l_tax"]
@@ -217,4 +221,4 @@ def q_bi_subset(spark, sf_dir):
     f"WHERE District IS NOT NULL AND {qi(x)} IS NOT NULL AND NOT isnan({qi(x)}) AND {qi(y)} IS NOT NULL AND NOT isnan({qi(y)})"
     for x, y in SV.SCATTER_PAIRS))
 def q_scatter_points(spark, sf_dir):
-    return SV.scatter_points(legacy(spark, sf_dir))
+    return SV.scatter_points(legacy(spark, sf_dir, True))

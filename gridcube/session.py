@@ -57,3 +57,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str = "table"):
+    """Write an intermediate once as Parquet under the shared checkpoint
+    folder and read it back: one job, lineage cut, survives executor loss,
+    and every later consumer reads the files instead of recomputing.
+    (``Dataset.checkpoint`` would compute an unpersisted input twice.)"""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -17,7 +17,9 @@ import duckdb
 sys.path.insert(0, __file__.rsplit("/scripts/", 1)[0])
 
 from gridcube.plans import analogues as A  # noqa: E402
-from gridcube.plans.catalog import ORACLE, QUERIES  # noqa: E402
+from gridcube.plans.catalog import load  # noqa: E402
+
+QUERIES, ORACLE = load()
 from gridcube.session import get_session  # noqa: E402
 
 
