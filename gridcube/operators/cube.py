@@ -47,17 +47,19 @@ def left_join_key(left: DataFrame, right: DataFrame, keys: list[str],
 
 def collisions(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> list[tuple[str, str, str]]:
     """(column, left source, right source) for every name clash the fold
-    will suffix."""
-    seen: dict[str, str] = {}
+    suffixes, tracking names exactly as ``left_join_key`` renames them."""
+    owner = {c: order[0] for c in frames[order[0]].columns if c not in keys}
     out = []
-    for name in order:
+    for name in order[1:]:
         for c in frames[name].columns:
             if c in keys:
                 continue
-            if c in seen:
-                out.append((c, seen[c], name))
+            if c in owner:
+                out.append((c, owner[c], name))
+                owner[c + "_x"] = owner.pop(c)
+                owner[c + "_y"] = name
             else:
-                seen[c] = name
+                owner[c] = name
     return out
 
 

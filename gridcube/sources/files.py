@@ -143,9 +143,11 @@ def latest_month_slice(df: DataFrame, month_col: str = "month") -> DataFrame:
 
 
 def projection_month(month_col) -> F.Column:
-    """The month after ``month_col`` (``YYYY-MM``)."""
+    """The month after ``month_col`` (``YYYY-MM``); NULL for anything that
+    is not a well-formed month (no exception under ANSI mode)."""
     m = F.col(month_col) if isinstance(month_col, str) else month_col
-    return F.date_format(F.add_months(F.to_date(F.concat(m, F.lit("-01"))), 1), "yyyy-MM")
+    nxt = F.date_format(F.add_months(F.to_date(F.concat(m, F.lit("-01")), "yyyy-MM-dd"), 1), "yyyy-MM")
+    return F.when(m.rlike(MONTH_RE), nxt)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = ("month",),
