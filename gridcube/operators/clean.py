@@ -58,15 +58,46 @@ def fill_zero(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def fill_forward(df: DataFrame, columns: list[str], partition_by: list[str],
-                 order_by: list[str]) -> DataFrame:
+                 order_by: list[str], chunk_by=None) -> DataFrame:
     """Carry the last non-null value forward inside each entity, in an
     explicit order (``order_by`` must be total, i.e. end with a unique key).
 
-    Partitioned by entity, so the window runs in parallel per entity.
+    Without ``chunk_by`` one window per entity does it. With ``chunk_by``
+    (a column expression that never decreases along ``order_by``, e.g. the
+    day of a timestamp) a hot entity is split into chunks: values are filled
+    within each (entity, chunk) window, the last value of every chunk is
+    summarised (one row per chunk), carried across chunks by a window over
+    those summaries, and joined back. No task ever holds a whole entity.
     """
     w = (Window.partitionBy(*partition_by).orderBy(*order_by)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in columns})
+    if chunk_by is None:
+        return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in columns})
+    chunk = chunk_by if not isinstance(chunk_by, str) else F.col(chunk_by)
+    keyed = df.withColumn("__chunk", chunk)
+    wc = (Window.partitionBy(*partition_by, "__chunk").orderBy(*order_by)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = keyed.withColumns({f"__in_{c}": F.last(F.col(c), ignorenulls=True).over(wc) for c in columns})
+    # last non-null value of each chunk, in order (one row per chunk)
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order_by]
+    summ = keyed.groupBy(*partition_by, "__chunk").agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order_cols))).alias(f"__last_{c}")
+        for c in columns])
+    ws = (Window.partitionBy(*partition_by).orderBy("__chunk")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    carry = summ.select(*partition_by, "__chunk", *[
+        F.last(F.col(f"__last_{c}"), ignorenulls=True).over(ws).alias(f"__carry_{c}") for c in columns])
+    # null-safe on the entity keys: NULL entities form one group, as in a window
+    keys = [*partition_by, "__chunk"]
+    carry = carry.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[f"__carry_{c}" for c in columns])
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        cond = e if cond is None else cond & e
+    out = inside.join(carry, cond, "left")
+    out = out.withColumns({c: F.coalesce(F.col(f"__in_{c}"), F.col(f"__carry_{c}")) for c in columns})
+    return out.drop("__chunk", *[f"__r_{k}" for k in keys], *[f"__in_{c}" for c in columns],
+                    *[f"__carry_{c}" for c in columns])
 
 
 def fill_missing(df: DataFrame, strategy: str = "zero", **kw) -> DataFrame:

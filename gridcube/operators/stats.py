@@ -123,9 +123,11 @@ def to_square(long_df: DataFrame, columns: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------ rank corr.
 
-def average_rank(values: DataFrame, column: str, buckets: int = 256, rel_err: float = 0.001) -> DataFrame:
+def average_rank(values: DataFrame, column: str, buckets: int = 256, rel_err: float = 0.001,
+                 weight: str | None = None) -> DataFrame:
     """Average (1-based) rank of every distinct non-null value of ``column``:
-    ``#values below + (ties + 1) / 2``. Returns (value, n, avg_rank).
+    ``#values below + (ties + 1) / 2``, counting each row once (or ``weight``
+    times). Returns (value, n, avg_rank).
 
     Distributed and skew-safe: values are first counted (a hot value is one
     row after the partial aggregate), split into ``buckets`` ordered ranges
@@ -133,8 +135,9 @@ def average_rank(values: DataFrame, column: str, buckets: int = 256, rel_err: fl
     each range computes running counts in its own window partition, and the
     bucket offsets come from a prefix sum over the ``buckets`` totals.
     """
+    wcol = F.col(weight) if weight else F.lit(1)
     vc = (values.where(_c(column).isNotNull())
-          .groupBy(_c(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+          .groupBy(_c(column).cast("double").alias("value")).agg(F.sum(wcol).cast("long").alias("n")))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(b for b in vc.approxQuantile("value", probs, rel_err) if b is not None))
     arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
@@ -153,13 +156,24 @@ def average_rank(values: DataFrame, column: str, buckets: int = 256, rel_err: fl
 def spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     """Spearman rho of one pair: Pearson r of average ranks, ranks taken on
     the rows where both are present (pairwise deletion). One row:
-    (correlation, n_rows)."""
+    (correlation, n_rows).
+
+    Rows are first reduced to distinct (a, b) cells with counts, so a hot
+    value pair is one row; ranks are joined to cells, not to rows. The mean
+    average rank is exactly (n + 1) / 2, so the weighted sums are centred on
+    it (numerically stable at any n)."""
     sub = df.select(_c(a).cast("double").alias("a"), _c(b).cast("double").alias("b")).where(
         F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b"))
-    ra = average_rank(sub, "a").select(F.col("value").alias("a"), F.col("avg_rank").alias("ra"))
-    rb = average_rank(sub, "b").select(F.col("value").alias("b"), F.col("avg_rank").alias("rb"))
-    j = sub.join(ra, "a").join(rb, "b")
-    return j.agg(X.safe_corr("ra", "rb").alias("correlation"), F.count(F.lit(1)).alias("n_rows"))
+    cells = sub.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    ra = average_rank(cells, "a", weight="c").select(F.col("value").alias("a"), F.col("avg_rank").alias("ra"))
+    rb = average_rank(cells, "b", weight="c").select(F.col("value").alias("b"), F.col("avg_rank").alias("rb"))
+    n = cells.agg(F.sum("c")).scalar().cast("double")
+    mid = (n + F.lit(1.0)) / F.lit(2.0)
+    j = cells.join(ra, "a").join(rb, "b").select("c", (F.col("ra") - mid).alias("x"), (F.col("rb") - mid).alias("y"))
+    sxy, sxx, syy = (F.sum(F.col("c") * F.col("x") * F.col("y")), F.sum(F.col("c") * F.col("x") * F.col("x")),
+                     F.sum(F.col("c") * F.col("y") * F.col("y")))
+    return j.agg(F.try_divide(sxy, F.sqrt(sxx * syy)).alias("correlation"),
+                 F.sum("c").cast("long").alias("n_rows"))
 
 
 def corr_spearman(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
@@ -216,6 +230,9 @@ def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
                  f"filter(sequence(0, {ly - 1}), l -> shiftright(ry, l) & 1 = 1)")).alias("ay"))
              .select("ax", "ay", F.expr("shiftright(rx, ax) - 1").alias("bx"),
                      F.expr("shiftright(ry, ay) - 1").alias("by"), "c"))
+    # both sides are reduced to one row per block before the join, so the
+    # few top-level blocks that most cells look up cannot skew it
+    looks = looks.groupBy("ax", "ay", "bx", "by").agg(F.sum("c").alias("c"))
     conc = (looks.join(blocks, ["ax", "ay", "bx", "by"])
             .agg(F.sum(F.col("c").cast("decimal(38,0)") * F.col("m")).alias("p")))
 

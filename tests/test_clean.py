@@ -57,3 +57,14 @@ def test_lenient_numeric(spark):
 def test_zfill_code(spark):
     df = spark.createDataFrame([("123",), ("123456789012",)], "awc_code string")
     assert rows(CL.zfill_code(df)) == [("00000000123",), ("123456789012",)]
+
+
+def test_fill_forward_chunked_equals_plain(spark):
+    import random
+    r = random.Random(3)
+    data = [(r.choice([0, 1, 2, 3, None]), t, None if r.random() < 0.6 else float(t)) for t in range(400)]
+    df = spark.createDataFrame(data, "k long, t long, v double")
+    plain = CL.fill_forward(df, ["v"], ["k"], ["t"])
+    chunked = CL.fill_forward(df, ["v"], ["k"], ["t"], chunk_by=(F.col("t") / 37).cast("long"))
+    assert chunked.columns == plain.columns
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
