@@ -63,9 +63,37 @@ def collisions(frames: dict[str, DataFrame], order: list[str], keys: list[str])
     return out
 
 
+def final_names(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> dict[str, dict[str, str]]:
+    """Per source, the renames the fold ends up applying (``_x``/``_y``),
+    worked out on names alone."""
+    where: dict[str, str] = {c: order[0] for c in frames[order[0]].columns if c not in keys}
+    cur: dict[str, dict[str, str]] = {s: {} for s in order}   # source -> {original: current}
+    for c in where:
+        cur[order[0]][c] = c
+    for name in order[1:]:
+        for c in frames[name].columns:
+            if c in keys:
+                continue
+            if c in where:
+                src = where.pop(c)
+                orig = next(o for o, v in cur[src].items() if v == c)
+                cur[src][orig] = c + "_x"
+                where[c + "_x"] = src
+                cur[name][c] = c + "_y"
+                where[c + "_y"] = name
+            else:
+                cur[name][c] = c
+                where[c] = name
+    return {s: {o: v for o, v in m.items() if o != v} for s, m in cur.items()}
+
+
 def build_cube(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> DataFrame:
-    """Fold of left joins, base source first, in registry order."""
-    cube = frames[order[0]]
+    """Fold of left joins, base source first, in registry order. The
+    collision renames are computed on names first and applied once per
+    source, so the fold itself is a chain of plain equi-joins."""
+    ren = final_names(frames, order, keys)
+    renamed = {s: _rename(frames[s], ren[s]) for s in order}
+    cube = renamed[order[0]]
     for name in order[1:]:
-        cube = left_join_key(cube, frames[name], keys)
+        cube = cube.join(renamed[name], on=keys, how="left")
     return cube

@@ -174,6 +174,7 @@ class Facts:
         self.needs = set(needs) if needs is not None else {"lines", "orders", "customers"}
         self._memo: dict[str, DataFrame] = {}
         self._wide: DataFrame | None = None
+        self._cols: dict[str, list[str]] = {}
 
     @classmethod
     def for_sources(cls, spark, sf_dir, sources, materialize: bool = True) -> "Facts":
@@ -186,6 +187,7 @@ class Facts:
             wide = nations(self.spark, self.sf_dir)
             for name in sorted(self.needs):
                 f = FACT_BUILDERS[name](self.spark, self.sf_dir).drop("n_name", "n_regionkey")
+                self._cols[name] = [c for c in f.columns if c not in NATION_COLS]
                 wide = wide.join(f.withColumn(f"__has_{name}", F.lit(True)), "nationkey", "left")
             self._wide = materialize(wide, "facts")
         return self._wide
@@ -198,9 +200,7 @@ class Facts:
                 elif name not in self.needs:
                     raise KeyError(f"fact {name!r} was not materialized for this job")
                 w = self._wide_table()
-                keep = NATION_COLS + [c for c in FACT_BUILDERS[name](self.spark, self.sf_dir).columns
-                                      if c not in NATION_COLS]
-                df = w.where(F.col(f"__has_{name}")).select(*keep)
+                df = w.where(F.col(f"__has_{name}")).select(*NATION_COLS, *self._cols[name])
             else:
                 df = FACT_BUILDERS[name](self.spark, self.sf_dir)
             self._memo[name] = df
