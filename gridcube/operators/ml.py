@@ -101,6 +101,26 @@ def score(model: PipelineModel, df: DataFrame, features: list[str], out: str, di
         scored.withColumn(out, F.when(ok, p))
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Persist a fitted pipeline (parent folders are created)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def write_predictions(scored: DataFrame, path: str, run_ts=None, partition_by: str | None = "month") -> None:
+    """Append a scoring run to a predictions table. The run timestamp is
+    a column (one table for all runs), not part of a file name."""
+    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    out = scored.withColumn("run_ts", ts)
+    w = out.write.mode("append")
+    if partition_by and partition_by in out.columns:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+
+
 def regression_metrics(df: DataFrame, label: str, prediction: str, group: str | None = None) -> DataFrame:
     """K4: R^2 and MAE in one aggregate (per group if given)."""
     y, p = _c(label).cast("double"), _c(prediction).cast("double")
@@ -130,8 +150,8 @@ def prepare_requests(req: DataFrame, features: list[str], id_col: str = "request
     vals = {f: F.coalesce(_c(inv[f]).cast("double"), F.lit(0.0)) if inv.get(f) in req.columns
             else F.lit(0.0) for f in features}
     supplied = [(_c(inv[f]).isNotNull()) for f in features if inv.get(f) in req.columns]
-    any_supplied = supplied[0]
-    for s in supplied[1:]:
+    any_supplied = F.lit(False)
+    for s in supplied:
         any_supplied = any_supplied | s
     used = F.filter(F.array(*[F.when(vals[f] != 0, F.lit(f)) for f in features]), lambda x: x.isNotNull())
     return req.select(_c(id_col), *[v.alias(f) for f, v in vals.items()],

@@ -66,3 +66,23 @@ def test_prepare_requests(spark):
     assert out[1].status == "ok" and out[1].features_used == ["PW_Anaemia_Rate"]
     assert out[1]["SAM_Rate_%"] == 0.0 and out[1]["HV_Percentage"] == 0.0
     assert out[2].status == "no_valid_features" and out[2].features_used == []
+    none = ML.prepare_requests(req.select("request_id"), ML.STUNTING_FEATURES).first()
+    assert none.status == "no_valid_features"
+
+
+def test_model_roundtrip_and_prediction_sink(spark, tmpdir_path):
+    import os
+    df = _cube(spark)
+    feats = ML.present_features(df, ML.STUNTING_FEATURES)
+    model = ML.fit(df, feats, ML.STUNTING_TARGET, num_trees=5)
+    path = os.path.join(tmpdir_path, "models", "stunting")
+    ML.save_model(model, path)
+    again = ML.load_model(path)
+    a = ML.score(model, df, feats, "p").select("District", "p")
+    b = ML.score(again, df, feats, "p").select("District", "p")
+    assert a.exceptAll(b).count() == 0
+    sink = os.path.join(tmpdir_path, "predictions")
+    ML.write_predictions(a.withColumn("month", F.lit("2025-11")), sink, "2025-12-05 12:17:00")
+    ML.write_predictions(a.withColumn("month", F.lit("2025-11")), sink, "2025-12-06 09:00:00")
+    runs = spark.read.parquet(sink).groupBy("run_ts").count().collect()
+    assert sorted(r["count"] for r in runs) == [60, 60]
