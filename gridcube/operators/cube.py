@@ -90,10 +90,14 @@ def final_names(frames: dict[str, DataFrame], order: list[str], keys: list[str])
 def build_cube(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> DataFrame:
     """Fold of left joins, base source first, in registry order. The
     collision renames are computed on names first and applied once per
-    source, so the fold itself is a chain of plain equi-joins."""
+    source, so the fold itself is a chain of plain equi-joins. A source that
+    lacks some keys (e.g. a static source without ``month``) joins on the
+    keys it has."""
     ren = final_names(frames, order, keys)
     renamed = {s: _rename(frames[s], ren[s]) for s in order}
     cube = renamed[order[0]]
     for name in order[1:]:
-        cube = cube.join(renamed[name], on=keys, how="left")
-    return cube
+        on = [k for k in keys if k in renamed[name].columns]
+        cube = cube.join(renamed[name], on=on, how="left")
+    lead = [k for k in keys if k in cube.columns]
+    return cube.select(*[q(k) for k in lead], *[q(c) for c in cube.columns if c not in lead])

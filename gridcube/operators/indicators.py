@@ -121,9 +121,24 @@ def share_of_total(df: DataFrame, column: str, out: str, n: int = 2) -> DataFram
     return df.withColumn(out, share_of_total_col(df, column, n))
 
 
+def share_within(df: DataFrame, column: str, out: str, by: list[str], n: int = 2) -> DataFrame:
+    """P8 per group (e.g. per month): the group totals are one small
+    aggregate joined back on the group key (one row per group, so the
+    planner broadcasts it after checking its size)."""
+    tot = df.groupBy(*by).agg(F.sum(F.col(column).cast("double")).alias("__tot"))
+    j = df.join(tot, by, "left")
+    r = F.coalesce(X.rnd(F.try_divide(F.col(column).cast("double"), F.col("__tot")), n), F.lit(0.0))
+    return j.withColumn(out, r).drop("__tot")
+
+
 def share(df: DataFrame, key: str = "district") -> DataFrame:
     """M7: measured / total (0-1) and each entity's share of the grand total
-    of workers who completed 80% of measurements."""
+    of workers who completed 80% of measurements. A table with a ``month``
+    column gets shares of each month's total."""
+    if "month" in df.columns:
+        df = share_within(df, "aww_completed_80pct_me", "aww_80pct_me_share", ["month"])
+        return derive(df, {"measurement_coverage_pct": X.safe_ratio("children_measured", "children_total"),
+                           "aww_80pct_me_share": F.col("aww_80pct_me_share")}, key)
     return derive(df, {
         "measurement_coverage_pct": X.safe_ratio("children_measured", "children_total"),
         "aww_80pct_me_share": share_of_total_col(df, "aww_completed_80pct_me"),

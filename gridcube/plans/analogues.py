@@ -106,35 +106,48 @@ def nations(spark, sf_dir) -> DataFrame:
         F.col("n_nationkey").cast("long").alias("nationkey"), "n_name", "n_regionkey")
 
 
-def lines_by_supplier(spark, sf_dir) -> DataFrame:
-    """lineitem reduced to one row per supplier (all flags at once)."""
+def ship_month():
+    return F.date_format("l_shipdate", "yyyy-MM")
+
+
+def order_month():
+    return F.date_format("o_orderdate", "yyyy-MM")
+
+
+def lines_by_supplier(spark, sf_dir, monthly: bool = False) -> DataFrame:
+    """lineitem reduced to one row per supplier (per ship month if
+    ``monthly``), all flags at once."""
     li = table(spark, sf_dir, "lineitem")
     aggs = [cnt(c).alias(k) for k, c in LINE_FLAGS.items()]
     aggs += [cnt(f"({c}) AND {EARLY}").alias(f"e_{k}") for k, c in LINE_FLAGS.items()]
     aggs += [F.sum(F.col("l_quantity")).cast("long").alias("qty"),
              F.sum(F.when(F.expr(F_), F.col("l_quantity")).otherwise(F.lit(0.0))).cast("long").alias("qty_f")]
-    return li.groupBy(F.col("l_suppkey").alias("suppkey")).agg(*aggs)
+    keys = [F.col("l_suppkey").alias("suppkey")] + ([ship_month().alias("month")] if monthly else [])
+    return li.groupBy(*keys).agg(*aggs)
 
 
-def lines_by_nation(spark, sf_dir) -> DataFrame:
+def lines_by_nation(spark, sf_dir, monthly: bool = False) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("suppkey"), F.col("s_nationkey").cast("long").alias("nationkey"))
-    s = lines_by_supplier(spark, sf_dir).join(sup, "suppkey")
-    sums = [F.sum(c).alias(c) for c in s.columns if c not in ("suppkey", "nationkey", "qty", "qty_f")]
+    s = lines_by_supplier(spark, sf_dir, monthly).join(sup, "suppkey")
+    skip = ("suppkey", "nationkey", "month", "qty", "qty_f")
+    sums = [F.sum(c).alias(c) for c in s.columns if c not in skip]
     sums += [F.sum("qty").alias("qty"), F.sum("qty_f").alias("qty_f"),
              F.count(F.lit(1)).alias("n_sup"),
              F.count(F.when(F.col("qty_f") * 2 >= F.col("qty"), F.lit(1))).alias("n_sup_half")]
-    return s.groupBy("nationkey").agg(*sums).join(nations(spark, sf_dir), "nationkey")
+    keys = ["nationkey"] + (["month"] if monthly else [])
+    return s.groupBy(*keys).agg(*sums).join(nations(spark, sf_dir), "nationkey")
 
 
-def orders_by_nation(spark, sf_dir) -> DataFrame:
+def orders_by_nation(spark, sf_dir, monthly: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    per_cust = o.groupBy(F.col("o_custkey").alias("custkey")).agg(
-        *[cnt(c).alias(k) for k, c in ORDER_FLAGS.items()])
+    keys = [F.col("o_custkey").alias("custkey")] + ([order_month().alias("month")] if monthly else [])
+    per_cust = o.groupBy(*keys).agg(*[cnt(c).alias(k) for k, c in ORDER_FLAGS.items()])
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").cast("long").alias("nationkey"))
     j = per_cust.join(cust, "custkey")
-    return (j.groupBy("nationkey").agg(*[F.sum(k).alias(k) for k in ORDER_FLAGS])
+    nkeys = ["nationkey"] + (["month"] if monthly else [])
+    return (j.groupBy(*nkeys).agg(*[F.sum(k).alias(k) for k in ORDER_FLAGS])
             .join(nations(spark, sf_dir), "nationkey"))
 
 
@@ -154,41 +167,49 @@ FACT_BUILDERS = {"lines": None, "orders": None, "customers": None}   # filled be
 SOURCE_FACTS = {"gm_5_6": "lines", "gm_0_5": "lines", "me": "lines", "hv": "lines",
                 "anaemia": "orders", "gwg": "orders", "lbw": "customers", "snp": "customers",
                 "awc": "customers", "ag": None}
-NATION_COLS = ["nationkey", "n_name", "n_regionkey"]
+MONTHLY_FACTS = {"lines", "orders"}   # facts with a date; the others are static per entity
 
 
 class Facts:
-    """Per-job holder of the fact aggregates at nation grain.
+    """Per-job holder of the fact aggregates at entity grain.
 
     Every source that needs lineitem, orders or customer reads the same
     aggregate, so each fact table is scanned and shuffled once per job.
     With ``materialize=True`` the needed aggregates are written together,
     in one job, as one entity-grain table under ``spark.checkpoint.dir``
-    (each left-joined onto the nation dimension with a presence marker);
-    lineage is cut there and every source reads the small table.
+    (a tagged ``unionByName``); lineage is cut there and every source reads
+    the small table. ``monthly`` adds a month key to the dated facts.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False,
-                 needs: set[str] | None = None):
-        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+                 needs: set[str] | None = None, monthly: bool = False):
+        self.spark, self.sf_dir, self.materialize, self.monthly = spark, sf_dir, materialize, monthly
         self.needs = set(needs) if needs is not None else {"lines", "orders", "customers"}
         self._memo: dict[str, DataFrame] = {}
         self._wide: DataFrame | None = None
         self._cols: dict[str, list[str]] = {}
 
     @classmethod
-    def for_sources(cls, spark, sf_dir, sources, materialize: bool = True) -> "Facts":
+    def for_sources(cls, spark, sf_dir, sources, materialize: bool = True, monthly: bool = False) -> "Facts":
         needs = {SOURCE_FACTS[s] for s in sources if SOURCE_FACTS.get(s)}
-        return cls(spark, sf_dir, materialize, needs)
+        return cls(spark, sf_dir, materialize, needs, monthly)
+
+    def _build(self, name) -> DataFrame:
+        if self.monthly and name in MONTHLY_FACTS:
+            return FACT_BUILDERS[name](self.spark, self.sf_dir, monthly=True)
+        return FACT_BUILDERS[name](self.spark, self.sf_dir)
 
     def _wide_table(self) -> DataFrame:
         if self._wide is None:
             from gridcube.session import materialize
-            wide = nations(self.spark, self.sf_dir)
+            parts = []
             for name in sorted(self.needs):
-                f = FACT_BUILDERS[name](self.spark, self.sf_dir).drop("n_name", "n_regionkey")
-                self._cols[name] = [c for c in f.columns if c not in NATION_COLS]
-                wide = wide.join(f.withColumn(f"__has_{name}", F.lit(True)), "nationkey", "left")
+                f = self._build(name)
+                self._cols[name] = f.columns
+                parts.append(f.withColumn("__fact", F.lit(name)))
+            wide = parts[0]
+            for p in parts[1:]:
+                wide = wide.unionByName(p, allowMissingColumns=True)
             self._wide = materialize(wide, "facts")
         return self._wide
 
@@ -200,9 +221,9 @@ class Facts:
                 elif name not in self.needs:
                     raise KeyError(f"fact {name!r} was not materialized for this job")
                 w = self._wide_table()
-                df = w.where(F.col(f"__has_{name}")).select(*NATION_COLS, *self._cols[name])
+                df = w.where(F.col("__fact") == name).select(*self._cols[name])
             else:
-                df = FACT_BUILDERS[name](self.spark, self.sf_dir)
+                df = self._build(name)
             self._memo[name] = df
         return self._memo[name]
 
@@ -220,6 +241,11 @@ def _facts(spark, sf_dir, facts):
     return facts if facts is not None else Facts(spark, sf_dir)
 
 
+def _mk(g) -> list:
+    """The month key, when the fact carries one."""
+    return [F.col("month")] if "month" in g.columns else []
+
+
 def _growth_cols(g, p: str = "", sfx: str = ""):
     """Growth-monitoring export columns from flag counts (prefix p)."""
     m = g[f"{p}meas"]
@@ -238,7 +264,7 @@ def _growth_cols(g, p: str = "", sfx: str = ""):
 def src_gm_5_6(spark, sf_dir, facts=None) -> DataFrame:
     g = _facts(spark, sf_dir, facts).lines()
     head, tail = _growth_cols(g)
-    return g.select(F.col("n_name").alias("district"), *head, *tail)
+    return g.select(*_mk(g), F.col("n_name").alias("district"), *head, *tail)
 
 
 def src_gm_0_5(spark, sf_dir, facts=None) -> DataFrame:
@@ -246,9 +272,13 @@ def src_gm_0_5(spark, sf_dir, facts=None) -> DataFrame:
     exports do (``rollup`` on the nation key, label filled in)."""
     li = _facts(spark, sf_dir, facts).lines()
     keys = [f"e_{k}" for k in LINE_FLAGS]
-    g = li.rollup("n_name").agg(*[F.sum(k).alias(k) for k in keys])
+    if "month" in li.columns:
+        # one Total row per month: rollup(month, nation) without the grand total
+        g = li.rollup("month", "n_name").agg(*[F.sum(k).alias(k) for k in keys]).where(F.col("month").isNotNull())
+    else:
+        g = li.rollup("n_name").agg(*[F.sum(k).alias(k) for k in keys])
     head, tail = _growth_cols(g, "e_", "_0_5")
-    return g.select(F.coalesce(F.col("n_name"), F.lit("Total")).alias("district"), *head,
+    return g.select(*_mk(g), F.coalesce(F.col("n_name"), F.lit("Total")).alias("district"), *head,
                     g["e_sam"].alias("sam_n"), X.pct(g["e_sam"], g["e_meas"]).alias("sam_pct"),
                     g["e_mam"].alias("mam_n"), X.pct(g["e_mam"], g["e_meas"]).alias("mam_pct"),
                     *tail)
@@ -257,7 +287,7 @@ def src_gm_0_5(spark, sf_dir, facts=None) -> DataFrame:
 def src_anaemia(spark, sf_dir, facts=None) -> DataFrame:
     g = _facts(spark, sf_dir, facts).orders()
     return g.select(
-        F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("district"),
+        *_mk(g), F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("district"),
         g.pw_tot.alias("total_pregnant_women"), g.pw_hb.alias("hb_measured_pw"), g.pw_an.alias("anaemic_pw"),
         g.lm_tot.alias("total_lactating_mothers"), g.lm_hb.alias("hb_measured_lm"), g.lm_an.alias("anaemic_lm"),
         g.ch_tot.alias("total_children_6m_5y"), g.ch_hb.alias("hb_measured_child"), g.ch_an.alias("anaemic_child"))
@@ -271,7 +301,7 @@ def src_lbw(spark, sf_dir, facts=None) -> DataFrame:
 
 def src_gwg(spark, sf_dir, facts=None) -> DataFrame:
     g = _facts(spark, sf_dir, facts).orders()
-    cols = [F.col("n_name").alias("district"), g.o_all.alias("total_pw")]
+    cols = [*_mk(g), F.col("n_name").alias("district"), g.o_all.alias("total_pw")]
     for k in (1, 2, 3, 4):
         cols += [g[f"due{k}"].alias(f"pw_due_anc{k}"), g[f"done{k}"].alias(f"pw_completed_anc{k}")]
         if k > 1:
@@ -291,7 +321,7 @@ def src_ag(spark, sf_dir, facts=None) -> DataFrame:
 
 def src_me(spark, sf_dir, facts=None) -> DataFrame:
     g = _facts(spark, sf_dir, facts).lines()
-    return g.select(F.col("n_name").alias("district"), g["all"].alias("children_total"),
+    return g.select(*_mk(g), F.col("n_name").alias("district"), g["all"].alias("children_total"),
                     g.meas.alias("children_measured"), X.pct(g.meas, g["all"]).alias("children_measured_pct"),
                     g.q40.alias("aww_completed_80pct_me"))
 
@@ -303,7 +333,7 @@ def src_hv(spark, sf_dir, facts=None) -> DataFrame:
     g = _facts(spark, sf_dir, facts).lines()
     cov = F.when(F.col("n_regionkey") == 0, F.lit("n/a")).otherwise(
         X.rnd(F.try_divide(g.qty_f.cast("double"), g.qty.cast("double")) * F.lit(100.0), 4).cast("string"))
-    return g.select(F.col("n_name").alias("district"), g.n_sup.alias("total_aww"),
+    return g.select(*_mk(g), F.col("n_name").alias("district"), g.n_sup.alias("total_aww"),
                     g.qty.alias("target_visits"), g.qty_f.alias("visits_made"),
                     cov.alias("visit_coverage_pct"), g.n_sup_half.alias("aww_60pct_hv"))
 

@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ("q_cube", "q_clean", "q_quality", "q_stats", "q_serve", "q_ingest", "q_ml")
+MODULES = ("q_cube", "q_clean", "q_quality", "q_stats", "q_serve", "q_ingest", "q_ml", "q_monthly")
 
 
 def load() -> tuple[dict, dict]:

@@ -80,8 +80,14 @@ def with_clause(ctes: list[tuple[str, str]]) -> str:
 NAT = "n.n_name, n.n_regionkey"
 
 
-def _lines_ctes() -> list[tuple[str, str]]:
+SHIP_M = "strftime(l_shipdate, '%Y-%m')"
+ORDER_M = "strftime(o_orderdate, '%Y-%m')"
+
+
+def _lines_ctes(monthly: bool = False) -> list[tuple[str, str]]:
     flags = A.LINE_FLAGS
+    m_sel, m_grp = (f"{SHIP_M} AS month, ", ", month") if monthly else ("", "")
+    n_sel, n_grp = ("month, ", ", month") if monthly else ("", "")
     per_sup = ",\n  ".join(
         [f"{cnt(c)} AS {qi(k)}" for k, c in flags.items()] +
         [f"{cnt(f'({c}) AND {A.EARLY}')} AS {qi('e_' + k)}" for k, c in flags.items()] +
@@ -93,16 +99,17 @@ def _lines_ctes() -> list[tuple[str, str]]:
                          "CAST(count(*) AS BIGINT) AS n_sup",
                          "CAST(count(*) FILTER (WHERE qty_f * 2 >= qty) AS BIGINT) AS n_sup_half"])
     return [
-        ("li_sup", f"SELECT l_suppkey,\n  {per_sup}\nFROM lineitem GROUP BY l_suppkey"),
-        ("li_nat", f"SELECT {NAT},\n  {sums}\nFROM li_sup JOIN supplier s ON li_sup.l_suppkey = s.s_suppkey "
-                   f"JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY {NAT}"),
+        ("li_sup", f"SELECT l_suppkey, {m_sel}\n  {per_sup}\nFROM lineitem GROUP BY l_suppkey{m_grp}"),
+        ("li_nat", f"SELECT {NAT}, {n_sel}\n  {sums}\nFROM li_sup JOIN supplier s ON li_sup.l_suppkey = s.s_suppkey "
+                   f"JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY {NAT}{n_grp}"),
     ]
 
 
-def _orders_ctes() -> list[tuple[str, str]]:
+def _orders_ctes(monthly: bool = False) -> list[tuple[str, str]]:
     cols = ",\n  ".join(f"{cnt(c)} AS {qi(k)}" for k, c in A.ORDER_FLAGS.items())
-    return [("ord_nat", f"SELECT {NAT},\n  {cols}\nFROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
-                        f"JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY {NAT}")]
+    m_sel, m_grp = (f"{ORDER_M} AS month, ", ", month") if monthly else ("", "")
+    return [("ord_nat", f"SELECT {NAT}, {m_sel}\n  {cols}\nFROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+                        f"JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY {NAT}{m_grp}")]
 
 
 def _cust_ctes() -> list[tuple[str, str]]:
@@ -130,8 +137,20 @@ def _sel(cols: list[tuple[str, str]]) -> str:
     return ",\n  ".join(f"{e} AS {qi(n)}" for n, e in cols)
 
 
-def source_columns() -> dict[str, tuple[str, list[tuple[str, str]], str]]:
-    """source -> (from-CTE, [(column, expr)], extra FROM/GROUP text)."""
+DATED = {"li_nat", "ord_nat"}
+
+
+def source_columns(monthly: bool = False) -> dict[str, tuple[str, list[tuple[str, str]], str]]:
+    """source -> (from-CTE, [(column, expr)], mode); dated sources get a
+    leading ``month`` column when ``monthly``."""
+    spec = _source_columns()
+    if not monthly:
+        return spec
+    return {k: (frm, ([("month", "month")] + cols) if frm in DATED else cols, mode)
+            for k, (frm, cols, mode) in spec.items()}
+
+
+def _source_columns() -> dict[str, tuple[str, list[tuple[str, str]], str]]:
     h, t = _growth("", "")
     eh, et = _growth("e_", "_0_5")
     early = eh + [("sam_n", qi("e_sam")), ("sam_pct", pct(qi("e_sam"), qi("e_meas"))),
@@ -176,15 +195,15 @@ def source_columns() -> dict[str, tuple[str, list[tuple[str, str]], str]]:
     }
 
 
-def base_ctes(sources: list[str]) -> list[tuple[str, str]]:
+def base_ctes(sources: list[str], monthly: bool = False) -> list[tuple[str, str]]:
     """CTEs needed to produce raw analogue tables ``src_<name>``."""
-    spec = source_columns()
+    spec = source_columns(monthly)
     need = {spec[s][0] for s in sources}
     ctes: list[tuple[str, str]] = []
     if "li_nat" in need:
-        ctes += _lines_ctes()
+        ctes += _lines_ctes(monthly)
     if "ord_nat" in need:
-        ctes += _orders_ctes()
+        ctes += _orders_ctes(monthly)
     if "cust_nat" in need:
         ctes += _cust_ctes()
     if "ag_nat" in need:
@@ -197,15 +216,19 @@ def base_ctes(sources: list[str]) -> list[tuple[str, str]]:
             # roll the early-band counts up with a grand-total row
             e_keys = [f"e_{k}" for k in A.LINE_FLAGS]
             sums = ", ".join(f"CAST(sum({qi(k)}) AS BIGINT) AS {qi(k)}" for k in e_keys)
-            ctes.append(("li_roll", f"SELECT n_name, {sums} FROM li_nat GROUP BY ROLLUP (n_name)"))
+            if monthly:
+                ctes.append(("li_roll", f"SELECT month, n_name, {sums} FROM li_nat "
+                                        f"GROUP BY GROUPING SETS ((month, n_name), (month))"))
+            else:
+                ctes.append(("li_roll", f"SELECT n_name, {sums} FROM li_nat GROUP BY ROLLUP (n_name)"))
             ctes.append((f"src_{s}", f"SELECT\n  {_sel(cols)}\nFROM li_roll"))
         else:
             ctes.append((f"src_{s}", f"SELECT\n  {_sel(cols)}\nFROM {frm}"))
     return ctes
 
 
-def source_names(source: str) -> list[str]:
-    return [n for n, _ in source_columns()[source][1]]
+def source_names(source: str, monthly: bool = False) -> list[str]:
+    return [n for n, _ in source_columns(monthly)[source][1]]
 
 
 # ------------------------------------------------------------- indicators
@@ -220,7 +243,7 @@ def _growth_ind(sfx: str) -> list[list[tuple[str, str]]]:
     ]
 
 
-def indicator_layers(source: str) -> list[list[tuple[str, str]]]:
+def indicator_layers(source: str, monthly: bool = False) -> list[list[tuple[str, str]]]:
     """Derived columns per source, as dependent layers (later layers may
     use earlier ones)."""
     if source == "gm_5_6":
@@ -245,8 +268,9 @@ def indicator_layers(source: str) -> list[list[tuple[str, str]]]:
                 [("ag_underweight_pct", safe_ratio("ag_underweight", "total_ag")),
                  ("ag_anaemia_rate", safe_ratio("ag_anaemic", "ag_hb_measured"))]]
     if source == "me":
+        within = " t WHERE t.month = src_me.month" if monthly else ""
         share = (f"coalesce({rnd(f'{d('aww_completed_80pct_me')} / NULLIF((SELECT sum({d('aww_completed_80pct_me')}) '
-                            f'FROM src_me), 0)')}, 0.0::DOUBLE)")
+                            f'FROM src_me{within}), 0)')}, 0.0::DOUBLE)")
         return [[("measurement_coverage_pct", safe_ratio("children_measured", "children_total")),
                  ("aww_80pct_me_share", share)]]
     if source == "hv":
@@ -271,16 +295,16 @@ def indicator_layers(source: str) -> list[list[tuple[str, str]]]:
     raise KeyError(source)
 
 
-def indicator_ctes(source: str) -> tuple[list[tuple[str, str]], list[str]]:
+def indicator_ctes(source: str, monthly: bool = False) -> tuple[list[tuple[str, str]], list[str]]:
     """CTEs turning ``src_<source>`` into ``ind_<source>``; returns the CTEs
     and the output column order."""
-    names = source_names(source)
+    names = source_names(source, monthly)
     ctes = []
     prev = f"src_{source}"
     if source == "gm_0_5":
         ctes.append((f"{source}_nr", f"SELECT * FROM {prev} WHERE lower(trim(district)) IS DISTINCT FROM 'total'"))
         prev = f"{source}_nr"
-    for i, layer in enumerate(indicator_layers(source)):
+    for i, layer in enumerate(indicator_layers(source, monthly)):
         replace = [(n, e) for n, e in layer if n in names]
         add = [(n, e) for n, e in layer if n not in names]
         sel = "*"
@@ -296,13 +320,16 @@ def indicator_ctes(source: str) -> tuple[list[tuple[str, str]], list[str]]:
     return ctes, names
 
 
-def cube_sql(order: list[str], keys=("district",)) -> tuple[str, list[str]]:
+def cube_sql(order: list[str], keys=("district",), monthly: bool = False) -> tuple[str, list[str]]:
     """SELECT list + FROM of the left-join fold with pandas-style suffixes.
-    Expects ``ind_<source>`` CTEs to exist. Returns (sql body, columns)."""
+    Expects ``ind_<source>`` CTEs to exist. Returns (sql body, columns).
+    A source joins on the keys it carries (static sources lack ``month``)."""
     cols: list[tuple[str, str]] = []   # (output name, qualified expr)
     owner: dict[str, int] = {}
+    have: dict[str, list[str]] = {}
     for s in order:
-        _, names = indicator_ctes(s)
+        _, names = indicator_ctes(s, monthly)
+        have[s] = names
         for c in names:
             if c in keys:
                 if s == order[0]:
@@ -317,16 +344,17 @@ def cube_sql(order: list[str], keys=("district",)) -> tuple[str, list[str]]:
                 cols.append((c, f"ind_{s}.{qi(c)}"))
     frm = f"ind_{order[0]}"
     for s in order[1:]:
-        on = " AND ".join(f"ind_{order[0]}.{qi(k)} = ind_{s}.{qi(k)}" for k in keys)
+        on = " AND ".join(f"ind_{order[0]}.{qi(k)} = ind_{s}.{qi(k)}" for k in keys if k in have[s])
         frm += f"\nLEFT JOIN ind_{s} ON {on}"
     sel = ",\n  ".join(f"{e} AS {qi(n)}" for n, e in cols)
     return f"SELECT\n  {sel}\nFROM {frm}", [n for n, _ in cols]
 
 
-def cube_ctes(order: list[str]) -> list[tuple[str, str]]:
-    ctes = base_ctes(order)
+def cube_ctes(order: list[str], monthly: bool = False) -> list[tuple[str, str]]:
+    ctes = base_ctes(order, monthly)
     for s in order:
-        ctes += indicator_ctes(s)[0]
-    body, _ = cube_sql(order)
+        ctes += indicator_ctes(s, monthly)[0]
+    keys = ("month", "district") if monthly else ("district",)
+    body, _ = cube_sql(order, keys, monthly)
     ctes.append(("cube", body))
     return ctes

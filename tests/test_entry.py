@@ -37,3 +37,15 @@ def test_gap_source_leaves_nulls(spark):
     base = cube.count()
     covered = cube.where(F.col("ag_anaemia_rate").isNotNull()).count()
     assert covered <= base
+
+
+def test_monthly_cube_keys_and_static_sources(spark):
+    from gridcube.operators import quality as Q
+    from gridcube.plans.q_monthly import monthly_cube
+    cube = monthly_cube(spark, SF_SMALL)
+    assert cube.columns[:2] == ["month", "district"]
+    u = Q.unique_key({"cube": cube}, ["month", "district"]).first()
+    assert u.passed and u.rows > 25
+    # a static source (customer-based) carries the same value in every month
+    per = cube.groupBy("district").agg(F.countDistinct("lbw_rate_pct").alias("k")).collect()
+    assert all(r.k <= 1 for r in per)
