@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridcube.functions import exprs as X
 from gridcube.functions import headers as H
@@ -12,7 +11,6 @@ from gridcube.operators import indicators as I
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
-from gridcube.sources import registry as R
 
 # ------------------------------------------------------------ row cleaning
 

@@ -1,5 +1,4 @@
 from gridcube.operators import indicators as I
-from tests.conftest import rows
 
 
 def test_growth_base_edges(spark):
