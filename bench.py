@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "district_cube", "legacy_view", "ind_growth_base", "ind_share", "left_join_key",
+    "district_cube", "district_cube_monthly", "cube_latest_month", "legacy_view", "ind_growth_base", "ind_share", "left_join_key",
     "dq_unique_key", "dq_coverage_gap", "dq_rebuild_match", "dq_tolerance_diff",
     "corr_pairs_listwise", "corr_matrix_pairwise", "corr_spearman", "corr_kendall",
     "top_n", "top_bottom_report", "lookup_fallback", "basic_clean", "fill_forward",

@@ -23,3 +23,15 @@ def test_stream_equals_batch(spark, tmpdir_path):
     assert ING.read_ingested(spark, out).count() == ev.count()
     assert set(r.month for r in streamed.select("month").distinct().collect()) == \
         set(r.m for r in ev.select(F.date_format("ts", "yyyy-MM").alias("m")).distinct().collect())
+
+
+def test_replayed_batch_is_not_duplicated(spark, tmpdir_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    out = os.path.join(tmpdir_path, "table")
+    rows = ING.clean_batch(ev, "ts", "events")
+    ING.write_batch(rows.where("event_id < 5"), 0, out)
+    ING.write_batch(rows.where("event_id >= 5"), 1, out)
+    ING.write_batch(rows.where("event_id >= 5"), 1, out)      # replay of batch 1
+    stored = spark.read.parquet(out)
+    assert stored.count() == ev.count()
+    assert stored.where("batch_id = 0").count() == 5
