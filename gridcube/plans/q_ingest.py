@@ -133,3 +133,21 @@ def q_ingest_month_stream(spark, sf_dir):
                       "ts", "events", glob="events.parquet")
     ev = ING.read_ingested(spark, os.path.join(base, "table"))
     return ev.groupBy("month", "source", "event_type").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+
+
+EXPORT_FULL = ["gm_5_6", "anaemia", "lbw", "gwg", "me", "hv", "awc"]
+
+
+@register("cube_from_exports", G.with_clause(G.cube_ctes(EXPORT_FULL)) +
+          f"\nSELECT '{EXPORT_MONTH}' AS month, * FROM cube")
+def q_cube_from_exports(spark, sf_dir):
+    """The user's path end to end: the seven sources whose exports carry
+    their full header contract are written as monthly CSV files, the monthly
+    ETL job cleans them into month-partitioned tables, and the cube is built
+    from those tables. Must equal the in-memory cube of the same sources."""
+    from gridcube import jobs
+    raw = export_month(spark, sf_dir, EXPORT_FULL)
+    etl = _scratch(spark, "etl")
+    jobs.run_month(spark, raw, etl)
+    tables = jobs.load_cleaned(spark, etl, EXPORT_MONTH, EXPORT_FULL)
+    return jobs.build_month_cube(tables, EXPORT_FULL)

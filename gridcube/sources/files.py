@@ -73,6 +73,12 @@ def _listdir(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def month_folders(spark: SparkSession, base: str) -> list[str]:
     """S3: sub-folders named ``YYYY-MM``."""
     return sorted(n for n in _listdir(spark, base) if re.match(MONTH_RE, n))
