@@ -5,15 +5,17 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gridcube.functions import headers as H
 from gridcube.operators import indicators as I
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
 from gridcube.session import checkpoint_dir
 from gridcube.sources import files as FS
-from gridcube.sources.registry import SOURCES
+from gridcube.sources.registry import SOURCES, header_matches
 from gridcube.streaming import ingest as ING
 
 EXPORT_MONTH = "2025-11"
@@ -151,3 +153,95 @@ def q_cube_from_exports(spark, sf_dir):
     jobs.run_month(spark, raw, etl)
     tables = jobs.load_cleaned(spark, etl, EXPORT_MONTH, EXPORT_FULL)
     return jobs.build_month_cube(tables, EXPORT_FULL)
+
+
+# ------------------------------------------------------------ contracts
+
+CONTRACT_SOURCES = ["gm_5_6", "anaemia", "lbw", "gwg", "hv", "awc"]
+PLANTED = "lbw"   # exported with a shuffled header to show a failing contract
+
+
+def _export_for_contracts(spark, sf_dir):
+    base = export_month(spark, sf_dir, CONTRACT_SOURCES)
+    folder = os.path.join(base, EXPORT_MONTH)
+    spec = SOURCES[PLANTED]
+    bad = list(reversed(spec.raw[1:]))          # swapped data columns
+    FS.export_csv(A.SOURCE_BUILDERS[PLANTED](spark, sf_dir).select(*spec.canonical),
+                  os.path.join(folder, spec.file_name(EXPORT_MONTH)), [spec.raw[0]] + bad)
+    return folder
+
+
+def _contract_rows():
+    rows = []
+    for name in CONTRACT_SOURCES:
+        spec = SOURCES[name]
+        found = spec.raw if name != PLANTED else [spec.raw[0]] + list(reversed(spec.raw[1:]))
+        for i, ((raw, canon, _), f) in enumerate(zip(spec.columns, found)):
+            rows.append((name, i, raw, f, canon, spec.variant))
+    return rows
+
+
+def _values(rows):
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    return "VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+_CONTRACT_VALUES = _values(_contract_rows())
+
+
+@register("schema_contract", f"""
+SELECT source, CAST(position AS BIGINT) AS position, expected, found,
+       (CASE WHEN source = 'hv' THEN starts_with(lower(found), lower(expected)) ELSE lower(found) = lower(expected) END)
+       AS present
+FROM ({_CONTRACT_VALUES}) t(source, position, expected, found, canonical, variant)""")
+def q_schema_contract(spark, sf_dir):
+    """Every exported file's header checked against its contract,
+    position by position; the planted file fails on its swapped columns.
+    Only header lines (bounded metadata) are read on the driver."""
+    folder = _export_for_contracts(spark, sf_dir)
+    files = FS.resolve_files(spark, folder, EXPORT_MONTH, CONTRACT_SOURCES)
+    rows = [(n, i, exp, found, ok)
+            for n in CONTRACT_SOURCES
+            for i, (exp, found, ok) in enumerate(header_matches(SOURCES[n], FS.read_header(spark, files[n])))]
+    return spark.createDataFrame(rows, "source string, position long, expected string, found string, present boolean")
+
+
+def _normalize_sql(e: str, variant: str) -> str:
+    s = f"replace(lower(trim({e})), ' ', '_')"
+    for old, new in H.VARIANTS[variant]:
+        s = f"replace({s}, '{old}', '{new}')"
+    return s
+
+
+_NUMBERED_SQL = ("CASE WHEN row_number() OVER (PARTITION BY source, found ORDER BY position) > 1 "
+                 "THEN found || '.' || CAST(row_number() OVER (PARTITION BY source, found ORDER BY position) - 1 AS VARCHAR) "
+                 "ELSE found END")
+
+
+@register("rename_contract", f"""
+SELECT source, CAST(position AS BIGINT) AS position, found AS raw, {_NUMBERED_SQL} AS raw_numbered,
+       CASE variant {" ".join(f"WHEN '{v}' THEN {_normalize_sql('found', v)}" for v in H.VARIANTS)} END AS normalized,
+       canonical
+FROM ({_CONTRACT_VALUES}) t(source, position, expected, found, canonical, variant)""")
+def q_rename_contract(spark, sf_dir):
+    """N1-N9 on real header rows: the header line of every exported file is
+    numbered for repeats (x, x.1, ...), normalised with its source's variant
+    and mapped to the canonical name by position. The rules run as Spark
+    column expressions over the header table."""
+    folder = _export_for_contracts(spark, sf_dir)
+    files = FS.resolve_files(spark, folder, EXPORT_MONTH, CONTRACT_SOURCES)
+    rows = [(n, i, h) for n in CONTRACT_SOURCES for i, h in enumerate(FS.read_header(spark, files[n]))]
+    hdr = spark.createDataFrame(rows, "source string, position long, raw string")
+    contract = spark.createDataFrame(
+        [(n, i, c, SOURCES[n].variant) for n in CONTRACT_SOURCES for i, c in enumerate(SOURCES[n].canonical)],
+        "source string, position long, canonical string, variant string")
+    j = hdr.join(contract, ["source", "position"], "left")
+    rep = F.row_number().over(Window.partitionBy("source", "raw").orderBy("position")) - 1
+    normalized = None
+    for v in H.VARIANTS:
+        e = H.normalize_col("raw", v)
+        normalized = F.when(F.col("variant") == v, e) if normalized is None else normalized.when(F.col("variant") == v, e)
+    return j.select("source", "position", "raw",
+                    F.when(rep > 0, F.concat("raw", F.lit("."), rep.cast("string"))).otherwise(F.col("raw")).alias("raw_numbered"),
+                    normalized.alias("normalized"), "canonical")
