@@ -139,23 +139,25 @@ def lookup(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,
     no exact match: the request is a literal substring of a key; the first
     key in key order wins. Otherwise ``not_found``.
 
-    The fallback is an equi-join too: every key is expanded into all of its
-    substrings (keys are short names, so this is O(len^2) per key and
-    independent of the request volume), and requests join on equality.
+    The cube side is reduced to two lookup maps, each unique on the
+    normalised text: normalised key -> first key, and key substring -> first
+    key (every key expanded into all its substrings; keys are short names,
+    so this is O(len^2) per key and independent of the request volume).
+    Each request then needs two many-to-one left joins: no aggregation over
+    requests and no fan-out; when the maps pass the planner's broadcast size
+    check the request table is not shuffled at all.
     """
     keys = cube.select(_c(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     keys = keys.withColumn("__nk", _norm(F.col("__key")))
-    req = requests.select(_c(req_id).alias("request_id"), _c(req_name).alias("request"),
-                          _norm(_c(req_name)).alias("__q"))
-    exact = (req.join(keys.select(F.col("__nk").alias("__q"), "__key"), "__q")
-             .groupBy("request_id").agg(F.min("__key").alias("__exact")))
+    exact = keys.groupBy(F.col("__nk").alias("__q")).agg(F.min("__key").alias("__exact"))
     n = F.length("__nk")
     subs = (keys.select("__key", "__nk", F.explode(F.sequence(F.lit(0), n)).alias("__len"))
             .select("__key", "__nk", "__len", F.explode(F.sequence(F.lit(1), n - F.col("__len") + 1)).alias("__pos"))
-            .select("__key", F.substring("__nk", F.col("__pos"), F.col("__len")).alias("__q"))
-            .distinct())
-    part = (req.join(subs, "__q").groupBy("request_id").agg(F.min("__key").alias("__part")))
-    out = req.join(exact, "request_id", "left").join(part, "request_id", "left")
+            .select("__key", F.substring("__nk", F.col("__pos"), F.col("__len")).alias("__q")))
+    part = subs.groupBy("__q").agg(F.min("__key").alias("__part"))
+    req = requests.select(_c(req_id).alias("request_id"), _c(req_name).alias("request"),
+                          _norm(_c(req_name)).alias("__q"))
+    out = req.join(exact, "__q", "left").join(part, "__q", "left")
     return out.select(
         "request_id", "request",
         F.coalesce("__exact", "__part").alias("match"),
