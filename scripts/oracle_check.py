@@ -39,6 +39,22 @@ def norm(v):
     return v
 
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+            "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(sdf, cur):
+    duck = {c[0]: str(c[1]) for c in cur.description}
+    out = []
+    for f in sdf.schema.fields:
+        st = TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString())
+        dt = duck.get(f.name)
+        if dt is not None and st.upper() != dt.upper():
+            out.append(f"{f.name}: spark {st} vs duckdb {dt}")
+    return out
+
+
 def rows_key(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
@@ -79,6 +95,9 @@ def main():
             bad += 1
             continue
         msgs = []
+        tm = type_mismatches(df, cur)
+        if tm:
+            print(f"TYPE {name}: " + "; ".join(tm[:6]))
         if sorted(scols) != sorted(dcols):
             msgs.append(f"cols spark-only={sorted(set(scols)-set(dcols))} duck-only={sorted(set(dcols)-set(scols))}")
         if len(srows) != len(drows):
