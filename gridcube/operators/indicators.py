@@ -38,6 +38,21 @@ def derive(df: DataFrame, cols: dict, key: str | None = "district") -> DataFrame
     return df.select(*out)
 
 
+def to_entity_grain(df: DataFrame, keys: list[str], counts: list[str] | None = None) -> DataFrame:
+    """Sources that arrive below the entity grain (per centre, per
+    beneficiary) are summed to it before any indicator is formed: ratios are
+    ratios of sums, never means of ratios. Only count columns are kept
+    (integral columns by default); given percentages are dropped so they are
+    recomputed from the summed counts. A partial aggregate runs map-side, so
+    a hot entity collapses before the shuffle."""
+    from pyspark.sql import types as T
+    if counts is None:
+        counts = [f.name for f in df.schema.fields
+                  if isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)) and f.name not in keys]
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        *[F.sum(F.col(f"`{c}`")).cast("long").alias(c) for c in counts])
+
+
 def _growth_cols(sfx: str = "") -> dict:
     c = lambda name: F.col(name + sfx)
     stunting = X.sum_of_parts(c("stunted_severe_pct"), c("stunted_moderate_pct"), n=2)

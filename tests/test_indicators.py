@@ -58,3 +58,12 @@ def test_low_rate_requires_columns(spark):
     import pytest
     with pytest.raises(KeyError):
         I.low_rate(spark.createDataFrame([("a", 1)], "district string, total_children_0_6m long"))
+
+
+def test_to_entity_grain_ratio_of_sums(spark):
+    centres = spark.createDataFrame([("a", 1, 1, 100.0), ("a", 9, 0, 0.0), ("b", 2, 1, 50.0)],
+                                    "district string, total_children_0_6m long, lbw_children_0_6m long, pct double")
+    g = I.to_entity_grain(centres, ["district"])
+    assert sorted(g.columns) == ["district", "lbw_children_0_6m", "total_children_0_6m"]
+    rates = {r.district: r.lbw_rate_pct for r in I.low_rate(g).collect()}
+    assert rates == {"A": 0.1, "B": 0.5}     # 1/10, not the mean of 1.0 and 0.0
