@@ -64,8 +64,15 @@ def legacy_view(cube: DataFrame, key: str = "district") -> DataFrame:
     Rates are ``100 * a / b`` at 2 dp; anaemia rates are zero-filled when
     nobody was measured; the rest stay NULL on a zero or missing base."""
     ag_total, pw_total = pick(cube, "total_ag", "x"), pick(cube, "total_pw", "x")
-    aww80 = cube.agg(F.sum(F.col("aww_completed_80pct_me").cast("double"))).scalar()
+    if "month" in cube.columns:
+        # shares of each month's total: one small per-month aggregate joined back
+        tot = cube.groupBy("month").agg(F.sum(F.col("aww_completed_80pct_me").cast("double")).alias("__aww80"))
+        cube = cube.join(tot, "month", "left")
+        aww80 = F.col("__aww80")
+    else:
+        aww80 = cube.agg(F.sum(F.col("aww_completed_80pct_me").cast("double"))).scalar()
     cols = {
+        **({"month": _c("month")} if "month" in cube.columns else {}),
         "District": _c(key),
         "Stunting_Total_%": _c("stunting_total_pct"),
         "Underweight_Total_%": _c("underweight_total_pct"),

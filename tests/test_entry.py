@@ -49,3 +49,13 @@ def test_monthly_cube_keys_and_static_sources(spark):
     # a static source (customer-based) carries the same value in every month
     per = cube.groupBy("district").agg(F.countDistinct("lbw_rate_pct").alias("k")).collect()
     assert all(r.k <= 1 for r in per)
+
+
+def test_legacy_view_monthly_shares_sum_per_month(spark):
+    from gridcube.operators.serve import legacy_view
+    from gridcube.plans.q_monthly import monthly_cube
+    v = legacy_view(monthly_cube(spark, SF_SMALL))
+    assert v.columns[:2] == ["month", "District"]
+    sums = v.groupBy("month").agg(F.sum("AWW_80pct_ME_%").alias("s")).collect()
+    # each share is rounded to 2 dp, so a month sums to 100 within 25 * 0.005
+    assert sums and all(r.s is None or abs(r.s - 100.0) <= 0.125 + 1e-9 for r in sums)
