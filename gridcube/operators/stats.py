@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridcube.functions import exprs as X
 from gridcube.operators.clean import listwise_drop
+from gridcube.session import materialize
 
 
 def _c(name: str):
@@ -123,140 +124,167 @@ def to_square(long_df: DataFrame, columns: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------ rank corr.
 
-def average_rank(values: DataFrame, column: str, buckets: int = 256, rel_err: float = 0.001,
-                 weight: str | None = None) -> DataFrame:
-    """Average (1-based) rank of every distinct non-null value of ``column``:
-    ``#values below + (ties + 1) / 2``, counting each row once (or ``weight``
-    times). Returns (value, n, avg_rank).
-
-    Distributed and skew-safe: values are first counted (a hot value is one
-    row after the partial aggregate), split into ``buckets`` ordered ranges
-    with approximate quantiles (only the bucket boundaries reach the driver),
-    each range computes running counts in its own window partition, and the
-    bucket offsets come from a prefix sum over the ``buckets`` totals.
+QUANTILE_ACCURACY = 10000
+
+
+def average_rank(values: DataFrame, column: str, buckets: int = 256, weight: str | None = None,
+                 by: list[str] | None = None) -> DataFrame:
+    """Average (1-based) rank of every distinct non-null value of ``column``
+    within each ``by`` group: ``#values below + (ties + 1) / 2``, counting
+    each row once (or ``weight`` times). Returns (*by, value, n, avg_rank).
+
+    Distributed, skew-safe and without driver round-trips: values are first
+    counted (a hot value is one row after the partial aggregate); each group
+    gets ``buckets - 1`` approximate-quantile boundaries from one
+    ``percentile_approx`` aggregate (one row per group, so it is broadcast);
+    running counts are windows per (group, bucket), and bucket offsets a
+    prefix sum over at most ``buckets`` totals per group.
     """
+    by = list(by or [])
+    grp = by or ["__all"]
+    src = values if by else values.withColumn("__all", F.lit(0))
     wcol = F.col(weight) if weight else F.lit(1)
-    vc = (values.where(_c(column).isNotNull())
-          .groupBy(_c(column).cast("double").alias("value")).agg(F.sum(wcol).cast("long").alias("n")))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(b for b in vc.approxQuantile("value", probs, rel_err) if b is not None))
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    vb = vc.withColumn("bucket", F.size(F.filter(arr, lambda b: b <= F.col("value"))))
-    totals = vb.groupBy("bucket").agg(F.sum("n").alias("bn"))
-    offsets = totals.select("bucket", (F.sum("bn").over(
-        Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("bn"))
-        .alias("offset"))
-    w = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vc = (src.where(_c(column).isNotNull())
+          .groupBy(*grp, _c(column).cast("double").alias("value")).agg(F.sum(wcol).cast("long").alias("n")))
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    # size bound: one row per group holding buckets - 1 numbers
+    bounds = F.broadcast(vc.groupBy(*grp).agg(F.percentile_approx("value", probs, QUANTILE_ACCURACY).alias("__b")))
+    vb = (vc.join(bounds, grp)
+          .withColumn("bucket", F.size(F.filter("__b", lambda b: b <= F.col("value")))).drop("__b"))
+    totals = vb.groupBy(*grp, "bucket").agg(F.sum("n").alias("bn"))
+    offsets = totals.select(*grp, "bucket", (F.sum("bn").over(
+        Window.partitionBy(*grp).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        - F.col("bn")).alias("offset"))
+    w = (Window.partitionBy(*grp, "bucket").orderBy("value")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = vb.withColumn("cum", F.sum("n").over(w))
-    return (within.join(offsets, "bucket")
-            .select("value", "n", (F.col("offset") + F.col("cum") - F.col("n") +
-                                   (F.col("n") + F.lit(1)) / F.lit(2.0)).alias("avg_rank")))
+    out = within.join(offsets, [*grp, "bucket"]).select(
+        *grp, "value", "n",
+        (F.col("offset") + F.col("cum") - F.col("n") + (F.col("n") + F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
+    return out if by else out.drop("__all")
+
+
+def dense_rank0(values: DataFrame, column: str, buckets: int = 256, by: list[str] | None = None) -> DataFrame:
+    """0-based dense rank of each distinct non-null value (per ``by`` group):
+    (*by, value, rank0). The same bucketed scheme, applied to distinct values."""
+    by = list(by or [])
+    distinct = (values.select(*by, _c(column).cast("double").alias("__v"))
+                .where(F.col("__v").isNotNull()).distinct())
+    r = average_rank(distinct, "__v", buckets, by=by)
+    return r.select(*by, "value", (F.col("avg_rank") - F.lit(1.0)).cast("long").alias("rank0"))
+
+
+def _pair_cells(df: DataFrame, pairs) -> DataFrame:
+    """One pass over the input for all pairs: every row yields one
+    (pair, x, y) record per pair where both are present, grouped to distinct
+    cells with counts (partial aggregation map-side: hot cells collapse)."""
+    recs = F.explode(F.array(*[
+        F.struct(F.lit(k).cast("long").alias("pair"), _c(a).cast("double").alias("x"),
+                 _c(b).cast("double").alias("y"))
+        for k, (_, _, a, b) in enumerate(pairs)])).alias("r")
+    long = df.select(recs).select("r.*")
+    ok = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
+    return long.where(ok).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("c"))
 
 
-def spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Spearman rho of one pair: Pearson r of average ranks, ranks taken on
-    the rows where both are present (pairwise deletion). One row:
-    (correlation, n_rows).
-
-    Rows are first reduced to distinct (a, b) cells with counts, so a hot
-    value pair is one row; ranks are joined to cells, not to rows. The mean
-    average rank is exactly (n + 1) / 2, so the weighted sums are centred on
-    it (numerically stable at any n)."""
-    sub = df.select(_c(a).cast("double").alias("a"), _c(b).cast("double").alias("b")).where(
-        F.col("a").isNotNull() & F.col("b").isNotNull() & ~F.isnan("a") & ~F.isnan("b"))
-    cells = sub.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-    ra = average_rank(cells, "a", weight="c").select(F.col("value").alias("a"), F.col("avg_rank").alias("ra"))
-    rb = average_rank(cells, "b", weight="c").select(F.col("value").alias("b"), F.col("avg_rank").alias("rb"))
-    n = cells.agg(F.sum("c")).scalar().cast("double")
-    mid = (n + F.lit(1.0)) / F.lit(2.0)
-    j = cells.join(ra, "a").join(rb, "b").select("c", (F.col("ra") - mid).alias("x"), (F.col("rb") - mid).alias("y"))
-    sxy, sxx, syy = (F.sum(F.col("c") * F.col("x") * F.col("y")), F.sum(F.col("c") * F.col("x") * F.col("x")),
-                     F.sum(F.col("c") * F.col("y") * F.col("y")))
-    return j.agg(F.try_divide(sxy, F.sqrt(sxx * syy)).alias("correlation"),
-                 F.sum("c").cast("long").alias("n_rows"))
+def _pair_names(df: DataFrame, pairs) -> DataFrame:
+    return df.sparkSession.createDataFrame([(k, a, b) for k, (_, _, a, b) in enumerate(pairs)],
+                                           "pair long, indicator_a string, indicator_b string")
+
+
+def _finish(df: DataFrame, pairs, res: DataFrame, digits: int | None) -> DataFrame:
+    out = _pair_names(df, pairs).join(res, "pair", "left")
+    r = X.rnd("correlation", digits) if digits is not None else F.col("correlation")
+    return out.select("indicator_a", "indicator_b", r.alias("correlation"),
+                      F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
 
 
 def corr_spearman(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
-    parts = []
-    for i, j, a, b in _pairs(columns):
-        r = spearman_pair(df, a, b)
-        parts.append(r.select(F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
-                              X.rnd("correlation", digits).alias("correlation") if digits is not None
-                              else F.col("correlation"), "n_rows"))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    """Spearman rho for every pair (upper triangle): Pearson r of
+    average ranks, ranks taken per pair on the rows where both are present
+    (pairwise deletion).
+
+    All pairs are handled together: one scan builds the (pair, x, y) cells,
+    which are written once (they feed four consumers); ranks are computed
+    per pair with the grouped ``average_rank``; the mean average rank is
+    exactly (n + 1) / 2, so the weighted sums are centred on it."""
+    pairs = _pairs(columns)
+    cells = materialize(_pair_cells(df, pairs), "spearman-cells")
+    rx = average_rank(cells, "x", weight="c", by=["pair"]).select(
+        "pair", F.col("value").alias("x"), F.col("avg_rank").alias("rx"))
+    ry = average_rank(cells, "y", weight="c", by=["pair"]).select(
+        "pair", F.col("value").alias("y"), F.col("avg_rank").alias("ry"))
+    n = cells.groupBy("pair").agg(F.sum("c").cast("double").alias("__n"))
+    mid = (F.col("__n") + F.lit(1.0)) / F.lit(2.0)
+    j = (cells.join(rx, ["pair", "x"]).join(ry, ["pair", "y"]).join(n, "pair")
+         .select("pair", "c", (F.col("rx") - mid).alias("u"), (F.col("ry") - mid).alias("v")))
+    c, u, v = F.col("c"), F.col("u"), F.col("v")
+    res = j.groupBy("pair").agg(F.try_divide(F.sum(c * u * v), F.sqrt(F.sum(c * u * u) * F.sum(c * v * v)))
+                                .alias("correlation"), F.sum(c).alias("n_rows"))
+    return _finish(df, pairs, res, digits)
 
 
-def dense_rank0(values: DataFrame, column: str, buckets: int = 256) -> DataFrame:
-    """0-based dense rank of each distinct non-null value: (value, rank0).
-    Same bucketed scheme as ``average_rank``, applied to distinct values."""
-    distinct = values.select(_c(column).cast("double").alias("v")).where(F.col("v").isNotNull()).distinct()
-    r = average_rank(distinct, "v", buckets)
-    return r.select("value", (F.col("avg_rank") - F.lit(1.0)).cast("long").alias("rank0"))
+def spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
+    return corr_spearman(df, [a, b], None).select("correlation", "n_rows")
 
 
-def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Kendall tau-b of one pair on jointly present rows, exactly, without
-    enumerating pairs.
-
-    Rows are reduced to distinct cells (x, y, c). The concordant count
-    P = sum_i c_i * #{points with x < x_i and y < y_i} is a 2-D dominance sum:
-    with dense ranks rx, ry, the prefix [0, rx) x [0, ry) splits into
-    dyadic blocks (one per set bit of rx times one per set bit of ry), so P
-    is an equi-join of each cell's block lookups against block counts
-    (a group-by). Work is cells * log(dx) * log(dy) rows, all in joins and
-    aggregates with map-side combine; no window, no pair list, no cap.
-    Ties enter through n1 (x ties), n2 (y ties) and n3 (joint ties):
-    S = P - Q = 2P - n0 + n1 + n2 - n3, tau_b = S / sqrt((n0-n1)(n0-n2)).
+def corr_kendall(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
+    """Kendall tau-b for every pair, exactly, without enumerating pairs.
+
+    Rows are reduced to distinct cells (pair, x, y, c) in one scan. The
+    concordant count P = sum_i c_i * #{points with x < x_i and y < y_i} is a
+    2-D dominance sum: with dense ranks rx, ry the prefix [0, rx) x [0, ry)
+    splits into dyadic blocks (one per set bit of rx times one per set bit of
+    ry), so P is an equi-join of each cell's block lookups against block
+    counts, both aggregated per block first (no skew from the few top-level
+    blocks). Work is cells * log(dx) * log(dy) rows in joins and aggregates:
+    no window over large partitions, no pair list, no cap. Ties enter through
+    n1 (x), n2 (y) and n3 (joint): S = 2P - n0 + n1 + n2 - n3,
+    tau_b = S / sqrt((n0 - n1)(n0 - n2)). The number of levels per pair is
+    the exact bit length of the largest rank (``length(bin(r))``).
     """
-    sub = df.select(_c(a).cast("double").alias("x"), _c(b).cast("double").alias("y")).where(
-        F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
-    cells = sub.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
-    rx = dense_rank0(cells, "x").select(F.col("value").alias("x"), F.col("rank0").alias("rx"))
-    ry = dense_rank0(cells, "y").select(F.col("value").alias("y"), F.col("rank0").alias("ry"))
-    rc = cells.join(rx, "x").join(ry, "y")
-    # number of dyadic levels per axis (a bounded scalar)
-    mx, my = rc.agg(F.max("rx"), F.max("ry")).first()
-    lx, ly = max(1, int(mx or 0).bit_length()), max(1, int(my or 0).bit_length())
-
-    levels_x, levels_y = F.sequence(F.lit(0), F.lit(lx - 1)), F.sequence(F.lit(0), F.lit(ly - 1))
-    blocks = (rc.select("rx", "ry", "c", F.explode(levels_x).alias("ax"))
-              .select("rx", "ry", "c", "ax", F.explode(levels_y).alias("ay"))
-              .select("ax", "ay", F.expr("shiftright(rx, ax)").alias("bx"),
+    pairs = _pairs(columns)
+    cells = materialize(_pair_cells(df, pairs), "kendall-cells")
+    rx = dense_rank0(cells, "x", by=["pair"]).select("pair", F.col("value").alias("x"), F.col("rank0").alias("rx"))
+    ry = dense_rank0(cells, "y", by=["pair"]).select("pair", F.col("value").alias("y"), F.col("rank0").alias("ry"))
+    ranked = cells.join(rx, ["pair", "x"]).join(ry, ["pair", "y"])
+    levels = ranked.groupBy("pair").agg(F.length(F.bin(F.max("rx"))).alias("lx"),
+                                        F.length(F.bin(F.max("ry"))).alias("ly"))
+    rc = materialize(ranked.join(levels, "pair").select("pair", "rx", "ry", "c", "lx", "ly"), "kendall-ranked")
+
+    blocks = (rc.select("pair", "rx", "ry", "c", "ly", F.explode(F.expr("sequence(0, lx - 1)")).alias("ax"))
+              .select("pair", "rx", "ry", "c", "ax", F.explode(F.expr("sequence(0, ly - 1)")).alias("ay"))
+              .select("pair", "ax", "ay", F.expr("shiftright(rx, ax)").alias("bx"),
                       F.expr("shiftright(ry, ay)").alias("by"), "c")
-              .groupBy("ax", "ay", "bx", "by").agg(F.sum("c").alias("m")))
-    looks = (rc.select("rx", "ry", "c", F.explode(F.expr(
-                 f"filter(sequence(0, {lx - 1}), l -> shiftright(rx, l) & 1 = 1)")).alias("ax"))
-             .select("rx", "ry", "c", "ax", F.explode(F.expr(
-                 f"filter(sequence(0, {ly - 1}), l -> shiftright(ry, l) & 1 = 1)")).alias("ay"))
-             .select("ax", "ay", F.expr("shiftright(rx, ax) - 1").alias("bx"),
-                     F.expr("shiftright(ry, ay) - 1").alias("by"), "c"))
-    # both sides are reduced to one row per block before the join, so the
-    # few top-level blocks that most cells look up cannot skew it
-    looks = looks.groupBy("ax", "ay", "bx", "by").agg(F.sum("c").alias("c"))
-    conc = (looks.join(blocks, ["ax", "ay", "bx", "by"])
-            .agg(F.sum(F.col("c").cast("decimal(38,0)") * F.col("m")).alias("p")))
+              .groupBy("pair", "ax", "ay", "bx", "by").agg(F.sum("c").alias("m")))
+    looks = (rc.select("pair", "rx", "ry", "c", "ly", F.explode(F.expr(
+                 "filter(sequence(0, lx - 1), l -> shiftright(rx, l) & 1 = 1)")).alias("ax"))
+             .select("pair", "rx", "ry", "c", "ax", F.explode(F.expr(
+                 "filter(sequence(0, ly - 1), l -> shiftright(ry, l) & 1 = 1)")).alias("ay"))
+             .select("pair", "ax", "ay", F.expr("shiftright(rx, ax) - 1").alias("bx"),
+                     F.expr("shiftright(ry, ay) - 1").alias("by"), "c")
+             .groupBy("pair", "ax", "ay", "bx", "by").agg(F.sum("c").alias("c")))
+    conc = (looks.join(blocks, ["pair", "ax", "ay", "bx", "by"])
+            .groupBy("pair").agg(F.sum(F.col("c").cast("decimal(38,0)") * F.col("m")).alias("p")))
 
     def pairs_of(col):
         return (col.cast("decimal(38,0)") * (col - 1)) / 2
 
-    tx = cells.groupBy("x").agg(F.sum("c").alias("t")).agg(F.sum(pairs_of(F.col("t"))).alias("n1"))
-    ty = cells.groupBy("y").agg(F.sum("c").alias("t")).agg(F.sum(pairs_of(F.col("t"))).alias("n2"))
-    tot = cells.agg(F.sum("c").alias("n"), F.sum(pairs_of(F.col("c"))).alias("n3"))
-    p = F.coalesce(conc.scalar(), F.lit(0)).cast("double")
-    n1, n2 = tx.scalar().cast("double"), ty.scalar().cast("double")
-    n = F.col("n").cast("double")
-    n0 = n * (n - 1) / 2
-    s = F.lit(2.0) * p - n0 + n1 + n2 - F.col("n3").cast("double")
-    tau = F.try_divide(s, F.sqrt((n0 - n1) * (n0 - n2)))
-    return tot.select(F.when((n0 - n1) * (n0 - n2) > 0, tau).alias("correlation"),
-                      F.col("n").cast("long").alias("n_rows"))
+    tx = (cells.groupBy("pair", "x").agg(F.sum("c").alias("t"))
+          .groupBy("pair").agg(F.sum(pairs_of(F.col("t"))).alias("n1")))
+    ty = (cells.groupBy("pair", "y").agg(F.sum("c").alias("t"))
+          .groupBy("pair").agg(F.sum(pairs_of(F.col("t"))).alias("n2")))
+    tot = cells.groupBy("pair").agg(F.sum("c").alias("n"), F.sum(pairs_of(F.col("c"))).alias("n3"))
+    j = tot.join(tx, "pair").join(ty, "pair").join(conc, "pair", "left")
+    d = lambda name: F.col(name).cast("double")
+    n = d("n")
+    n0 = n * (n - F.lit(1.0)) / F.lit(2.0)
+    s = F.lit(2.0) * F.coalesce(d("p"), F.lit(0.0)) - n0 + d("n1") + d("n2") - d("n3")
+    den = (n0 - d("n1")) * (n0 - d("n2"))
+    res = j.select("pair", F.when(den > 0, F.try_divide(s, F.sqrt(den))).alias("correlation"),
+                   F.col("n").alias("n_rows"))
+    return _finish(df, pairs, res, digits)
 
 
-def corr_kendall(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
-    parts = []
-    for i, j, a, b in _pairs(columns):
-        r = kendall_pair(df, a, b)
-        parts.append(r.select(F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
-                              X.rnd("correlation", digits).alias("correlation") if digits is not None
-                              else F.col("correlation"), "n_rows"))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+def kendall_pair(df: DataFrame, a: str, b: str) -> DataFrame:
+    return corr_kendall(df, [a, b], None).select("correlation", "n_rows")
