@@ -41,11 +41,15 @@ def get_session(master: str | None = None, app: str = "gridcube",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set to a shared filesystem. Only when it is
-    unset (local tests) do we create a scratch folder and register it.
+    On a cluster this must be set to a shared filesystem; an unset value is
+    an error there. Only in local mode (tests) is a scratch folder created
+    and registered when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") and fallback is None:
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                               "(intermediate tables are written there)")
         d = fallback or tempfile.mkdtemp(prefix="gridcube-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

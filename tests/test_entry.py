@@ -59,3 +59,11 @@ def test_legacy_view_monthly_shares_sum_per_month(spark):
     sums = v.groupBy("month").agg(F.sum("AWW_80pct_ME_%").alias("s")).collect()
     # each share is rounded to 2 dp, so a month sums to 100 within 25 * 0.005
     assert sums and all(r.s is None or abs(r.s - 100.0) <= 0.125 + 1e-9 for r in sums)
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from gridcube.session import checkpoint_dir, materialize
+    d = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_dir(spark) == d
+    t = materialize(spark.range(5), "probe")
+    assert t.count() == 5 and t.inputFiles()[0].startswith("file:" + d) or d in t.inputFiles()[0]
