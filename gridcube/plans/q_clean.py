@@ -215,15 +215,9 @@ _RAW_HEADER_SQL = ("' ' || upper(p_type) || ' (%) ' || " + G.title("p_name") +
                    " || '  -  No. ' || p_brand")
 
 
-def _normalize_sql(e: str, variant: str) -> str:
-    s = f"replace(lower(trim({e})), ' ', '_')"
-    for old, new in H.VARIANTS[variant]:
-        s = f"replace({s}, '{old}', '{new}')"
-    return s
-
 
 @register("normalize_headers", "SELECT p_partkey, " + ", ".join(
-    f"{_normalize_sql(_RAW_HEADER_SQL, v)} AS h_{v}" for v in H.VARIANTS) + " FROM part")
+    f"{G.normalize_header(_RAW_HEADER_SQL, v)} AS h_{v}" for v in H.VARIANTS) + " FROM part")
 def q_normalize_headers(spark, sf_dir):
     """Header normalisation as a string-column rule, run over header-like
     text built from part rows (the same rule the scan applies to headers)."""

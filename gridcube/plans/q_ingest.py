@@ -207,12 +207,6 @@ def q_schema_contract(spark, sf_dir):
     return spark.createDataFrame(rows, "source string, position long, expected string, found string, present boolean")
 
 
-def _normalize_sql(e: str, variant: str) -> str:
-    s = f"replace(lower(trim({e})), ' ', '_')"
-    for old, new in H.VARIANTS[variant]:
-        s = f"replace({s}, '{old}', '{new}')"
-    return s
-
 
 _NUMBERED_SQL = ("CASE WHEN row_number() OVER (PARTITION BY source, found ORDER BY position) > 1 "
                  "THEN found || '.' || CAST(row_number() OVER (PARTITION BY source, found ORDER BY position) - 1 AS VARCHAR) "
@@ -221,7 +215,7 @@ _NUMBERED_SQL = ("CASE WHEN row_number() OVER (PARTITION BY source, found ORDER
 
 @register("rename_contract", f"""
 SELECT source, CAST(position AS BIGINT) AS position, found AS raw, {_NUMBERED_SQL} AS raw_numbered,
-       CASE variant {" ".join(f"WHEN '{v}' THEN {_normalize_sql('found', v)}" for v in H.VARIANTS)} END AS normalized,
+       CASE variant {" ".join(f"WHEN '{v}' THEN {G.normalize_header('found', v)}" for v in H.VARIANTS)} END AS normalized,
        canonical
 FROM ({_CONTRACT_VALUES}) t(source, position, expected, found, canonical, variant)""")
 def q_rename_contract(spark, sf_dir):

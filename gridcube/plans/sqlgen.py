@@ -55,6 +55,16 @@ def clean_key(e: str) -> str:
     return f"replace(replace({title(f'trim({e})')}, '–', '-'), '  ', ' ')"
 
 
+def normalize_header(e: str, variant: str) -> str:
+    """Header normalisation (strip, lower, ' ' -> '_', then the variant's
+    literal replacements in order) as a SQL expression."""
+    from gridcube.functions.headers import VARIANTS
+    s = f"replace(lower(trim({e})), ' ', '_')"
+    for old, new in VARIANTS[variant]:
+        s = f"replace({s}, '{old}', '{new}')"
+    return s
+
+
 def zfill(e: str, w: int = 11) -> str:
     s = f"CAST({e} AS VARCHAR)"
     return (f"(CASE WHEN length({s}) >= {w} THEN {s} "
