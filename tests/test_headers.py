@@ -44,3 +44,8 @@ def test_normalize_col_matches_names(spark):
 def test_normalize_headers_dataframe(spark):
     df = spark.createDataFrame([(1, 2)], "`A  B` long, `C (%)` long")
     assert H.normalize_headers(df, "me").columns == ["a_b", "c_(pct)"]
+
+
+def test_rename_map_ignores_missing_keys():
+    assert H.rename_map(["district", "anaemic", "anaemic.1"], {"anaemic": "anaemic_pw", "anaemic.1": "anaemic_lm",
+                                                               "absent": "x"}) == ["district", "anaemic_pw", "anaemic_lm"]

@@ -91,3 +91,14 @@ def test_average_rank_with_ties_across_buckets(spark):
     exp = pd.Series(vals).rank(method="average")
     for v, r in zip(vals, exp):
         assert got[float(v)] == r
+
+
+def test_square_matrix_and_single_pair_spearman(spark):
+    df, pdf = _frame(spark)
+    long = ST.corr_matrix_pairwise(df, ["a", "b", "c"], None)
+    sq = ST.to_square(long, ["a", "b", "c"]).collect()
+    assert [r.indicator_a for r in sq] == ["a", "b", "c"]
+    exp = pdf.corr()
+    assert math.isclose(sq[0]["b"], exp.loc["a", "b"], rel_tol=1e-9) and math.isclose(sq[2]["c"], 1.0)
+    one = ST.spearman_pair(df, "a", "b").first()
+    assert math.isclose(one.correlation, pdf.corr(method="spearman").loc["a", "b"], rel_tol=1e-9)
