@@ -45,46 +45,40 @@ def left_join_key(left: DataFrame, right: DataFrame, keys: list[str],
     return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
 
 
-def collisions(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> list[tuple[str, str, str]]:
-    """(column, left source, right source) for every name clash the fold
-    suffixes, tracking names exactly as ``left_join_key`` renames them."""
-    owner = {c: order[0] for c in frames[order[0]].columns if c not in keys}
-    out = []
+def _plan_names(frames: dict[str, DataFrame], order: list[str], keys: list[str]):
+    """Walk the fold on names alone, renaming exactly as ``left_join_key``
+    does. Returns ({source: {original: final}}, [(column, left, right)])."""
+    where: dict[str, tuple[str, str]] = {}          # current name -> (source, original)
+    final: dict[str, dict[str, str]] = {s: {} for s in order}
+    clashes = []
+    for c in frames[order[0]].columns:
+        if c not in keys:
+            where[c] = (order[0], c)
     for name in order[1:]:
         for c in frames[name].columns:
             if c in keys:
                 continue
-            if c in owner:
-                out.append((c, owner[c], name))
-                owner[c + "_x"] = owner.pop(c)
-                owner[c + "_y"] = name
+            if c in where:
+                src, orig = where.pop(c)
+                clashes.append((c, src, name))
+                final[src][orig] = c + "_x"
+                where[c + "_x"] = (src, orig)
+                final[name][c] = c + "_y"
+                where[c + "_y"] = (name, c)
             else:
-                owner[c] = name
-    return out
+                where[c] = (name, c)
+    return final, clashes
+
+
+def collisions(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> list[tuple[str, str, str]]:
+    """(column, left source, right source) for every name clash the fold
+    suffixes."""
+    return _plan_names(frames, order, keys)[1]
 
 
 def final_names(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> dict[str, dict[str, str]]:
-    """Per source, the renames the fold ends up applying (``_x``/``_y``),
-    worked out on names alone."""
-    where: dict[str, str] = {c: order[0] for c in frames[order[0]].columns if c not in keys}
-    cur: dict[str, dict[str, str]] = {s: {} for s in order}   # source -> {original: current}
-    for c in where:
-        cur[order[0]][c] = c
-    for name in order[1:]:
-        for c in frames[name].columns:
-            if c in keys:
-                continue
-            if c in where:
-                src = where.pop(c)
-                orig = next(o for o, v in cur[src].items() if v == c)
-                cur[src][orig] = c + "_x"
-                where[c + "_x"] = src
-                cur[name][c] = c + "_y"
-                where[c + "_y"] = name
-            else:
-                cur[name][c] = c
-                where[c] = name
-    return {s: {o: v for o, v in m.items() if o != v} for s, m in cur.items()}
+    """Per source, the renames the fold ends up applying (``_x``/``_y``)."""
+    return _plan_names(frames, order, keys)[0]
 
 
 def build_cube(frames: dict[str, DataFrame], order: list[str], keys: list[str]) -> DataFrame:
