@@ -27,7 +27,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return repr(float(f"{v:.9g}"))   # repr keeps the sign of zero: -0.0 != 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
