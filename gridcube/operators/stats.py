@@ -74,9 +74,15 @@ def _corr_long(df: DataFrame, pairs, count_col: bool = True, digits: int | None
                  _c(a).cast("double").alias("a"), _c(b).cast("double").alias("b"))
         for i, j, a, b in pairs])).alias("p")
     long = df.select(recs).select("p.*")
-    out = long.groupBy("indicator_a", "indicator_b", "pos_a", "pos_b").agg(
+    agg = long.groupBy("pos_a", "pos_b").agg(
         X.safe_corr("a", "b").alias("correlation"),
         F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).alias("n_rows"))
+    # every pair is reported, also when no row survives (NULL r, 0 rows)
+    names = df.sparkSession.createDataFrame([(i, j, a, b) for i, j, a, b in pairs],
+                                            "pos_a long, pos_b long, indicator_a string, indicator_b string")
+    out = names.join(agg, ["pos_a", "pos_b"], "left").select(
+        "indicator_a", "indicator_b", "pos_a", "pos_b", "correlation",
+        F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
     if digits is not None:
         out = out.withColumn("correlation", X.rnd("correlation", digits))
     return out if count_col else out.drop("n_rows")

@@ -102,3 +102,11 @@ def test_square_matrix_and_single_pair_spearman(spark):
     assert math.isclose(sq[0]["b"], exp.loc["a", "b"], rel_tol=1e-9) and math.isclose(sq[2]["c"], 1.0)
     one = ST.spearman_pair(df, "a", "b").first()
     assert math.isclose(one.correlation, pdf.corr(method="spearman").loc["a", "b"], rel_tol=1e-9)
+
+
+def test_listwise_with_no_surviving_rows_reports_every_pair(spark):
+    df = spark.createDataFrame([(1.0, None, 2.0), (None, 3.0, 4.0)], "a double, b double, c double")
+    out = ST.corr_pairs_listwise(df, ["a", "b", "c"]).collect()
+    assert len(out) == 3 and all(r.correlation is None and r.n_rows == 0 for r in out)
+    top = ST.corr_strongest(ST.corr_pairs_listwise(df, ["a", "b", "c"]), 10).collect()
+    assert len(top) == 3 and {r.direction for r in top} == {"negative"}
