@@ -194,7 +194,7 @@ def _kendall_sql(cols):
         for b in cols[i + 1:]:
             cells = f"(SELECT {a} AS x, {b} AS y, count(*) AS c FROM lineitem WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2)"
             parts.append(f"""SELECT '{a}' AS indicator_a, '{b}' AS indicator_b,
-  {rnd("s / sqrt((n0 - n1) * (n0 - n2))", 6)} AS correlation, CAST(n AS BIGINT) AS n_rows
+  {rnd("s / sqrt((n0 - n1) * (n0 - n2))", 6)} AS correlation, CAST(coalesce(n, 0) AS BIGINT) AS n_rows
 FROM (SELECT
   (SELECT sum(sign(p.x - q.x) * sign(p.y - q.y) * p.c * q.c) / 2 FROM {cells} p, {cells} q)::DOUBLE AS s,
   (SELECT sum(c) FROM {cells})::DOUBLE AS n,
