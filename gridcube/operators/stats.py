@@ -100,9 +100,11 @@ def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None =
 
 
 def corr_strongest(pairs_df: DataFrame, top: int = 10) -> DataFrame:
-    """Pairs ranked by |r| (stable on input order), with direction."""
+    """Pairs ranked by |r| (stable on input order), with direction and
+    the 3-decimal display value."""
     ranked = top_n(pairs_df.withColumn("abs_r", F.abs("correlation")), "abs_r", top, ["pos_a", "pos_b"])
     return ranked.select("rank", "indicator_a", "indicator_b", "correlation",
+                         X.rnd("correlation", 3).alias("correlation_3dp"),
                          F.when(F.col("correlation") > 0, F.lit("positive")).otherwise(F.lit("negative")).alias("direction"))
 
 

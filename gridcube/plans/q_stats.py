@@ -134,7 +134,8 @@ def q_corr_pairs_listwise(spark, sf_dir):
 @register("corr_strongest", WITH_LEGACY + ",\npairs AS (\n" +
           _corr_sql("legacy", SV.CORRELATE_COLUMNS, where=_listwise_where(SV.CORRELATE_COLUMNS)) + ")\n" +
           "SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY abs(correlation) DESC NULLS LAST, pos_a, pos_b) AS BIGINT) AS rank, "
-          "indicator_a, indicator_b, correlation, CASE WHEN correlation > 0 THEN 'positive' ELSE 'negative' END AS direction "
+          "indicator_a, indicator_b, correlation, " + rnd("correlation", 3) + " AS correlation_3dp, "
+          "CASE WHEN correlation > 0 THEN 'positive' ELSE 'negative' END AS direction "
           "FROM pairs) WHERE rank <= 10")
 def q_corr_strongest(spark, sf_dir):
     return ST.corr_strongest(ST.corr_pairs_listwise(legacy(spark, sf_dir, True), SV.CORRELATE_COLUMNS), 10)

@@ -135,6 +135,12 @@ def profile_table(df: DataFrame, name: str | None = None) -> DataFrame:
     return out
 
 
+def table_preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
+    """S6 preview: the first ``n`` rows in an explicit order (a top-n, so
+    each partition keeps n rows and one small merge follows)."""
+    return df.orderBy(*order_by).limit(n)
+
+
 def months_of(df: DataFrame, month_col: str = "month") -> DataFrame:
     """S3 on data: distinct well-formed months with row counts."""
     m = F.col(month_col)

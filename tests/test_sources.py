@@ -82,3 +82,8 @@ def test_partitioned_sink_dynamic_overwrite(spark, tmpdir_path):
     FS.write_table(spark.createDataFrame([("2025-11", "a", 3)], "month string, k string, v long"), out)
     got = sorted((r.month, r.v) for r in spark.read.parquet(out).collect())
     assert got == [("2025-10", 1), ("2025-11", 3)]
+
+
+def test_table_preview(spark):
+    df = spark.range(100).withColumnRenamed("id", "k")
+    assert [r.k for r in FS.table_preview(df, ["k"]).collect()] == [0, 1, 2, 3, 4]
