@@ -41,10 +41,14 @@ def ingest_batch(df: DataFrame, ts_col: str, source: str) -> DataFrame:
 
 def ingest_stream(spark: SparkSession, src_dir: str, schema, out_path: str, checkpoint: str,
                   ts_col: str, source: str, fmt: str = "parquet", glob: str | None = None,
-                  clean: Callable[[DataFrame, str, str], DataFrame] = clean_batch) -> None:
+                  clean: Callable[[DataFrame, str, str], DataFrame] = clean_batch,
+                  max_files_per_trigger: int = 1000) -> None:
     """Process every file that has arrived under ``src_dir`` (availableNow)
-    and append the cleaned rows to ``out_path`` partitioned by month."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    and write the cleaned rows to ``out_path`` partitioned by month. A large
+    backlog is split into micro-batches of at most ``max_files_per_trigger``
+    files, so no single batch has to hold all of it."""
+    reader = (spark.readStream.schema(schema).format(fmt)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.load(src_dir)

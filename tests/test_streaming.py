@@ -13,8 +13,10 @@ def test_stream_equals_batch(spark, tmpdir_path):
     ev.where("event_id % 2 = 0").write.mode("append").parquet(src)
     ev.where("event_id % 2 = 1 OR event_id = 0").write.mode("append").parquet(src)
     out, ckpt = os.path.join(tmpdir_path, "table"), os.path.join(tmpdir_path, "_ckpt")
-    ING.ingest_stream(spark, src, ev.schema, out, ckpt, "ts", "events", glob="*.parquet")
+    ING.ingest_stream(spark, src, ev.schema, out, ckpt, "ts", "events", glob="*.parquet",
+                      max_files_per_trigger=1)
     streamed = ING.read_ingested(spark, out)
+    assert spark.read.parquet(out).select("batch_id").distinct().count() > 1   # several micro-batches
     batch = ING.ingest_batch(ev, "ts", "events")
     assert streamed.count() == batch.count() == ev.count()
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
