@@ -43,7 +43,7 @@ def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | No
     out = {}
     for name, df in tables.items():
         path = os.path.join(out_base, name)
-        FS.write_table(clean_source(df, month), path, ["month"])
+        FS.write_table(clean_source(df, month), path, ["month"], one_file_per_partition=True)
         out[name] = path
     return out
 
@@ -69,7 +69,7 @@ def run_cube(spark: SparkSession, raw_base: str, out_path: str | None = None, mo
     tagged = {n: df.withColumn("month", F.lit(month)) for n, df in tables.items()}
     cube = build_month_cube(tagged, order)
     if out_path:
-        FS.write_table(cube, out_path, ["month"])
+        FS.write_table(cube, out_path, ["month"], one_file_per_partition=True)
         return spark.read.parquet(out_path).where(F.col("month") == month).select(*cube.columns)
     return cube
 

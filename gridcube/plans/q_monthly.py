@@ -39,7 +39,7 @@ def q_cube_latest_month(spark, sf_dir):
     overwrite), then read the latest month: the max is a scalar subquery and
     the scan prunes to that one partition at run time."""
     path = scratch_path(spark, f"cube-{uuid.uuid4().hex[:12]}")
-    FS.write_table(monthly_cube(spark, sf_dir), path, ["month"])
+    FS.write_table(monthly_cube(spark, sf_dir), path, ["month"], one_file_per_partition=True)
     stored = spark.read.parquet(path)
     latest = FS.latest_month_slice(stored, "month")
     return latest.select(*[c for c in latest.columns if c != "month"], "month")

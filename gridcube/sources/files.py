@@ -163,10 +163,18 @@ def projection_month(month_col) -> F.Column:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = ("month",),
-                fmt: str = "parquet", mode: str = "overwrite") -> None:
+                fmt: str = "parquet", mode: str = "overwrite", one_file_per_partition: bool = False) -> None:
     """Write a table; with ``partitionOverwriteMode=dynamic`` an
-    overwrite replaces only the partitions present in ``df``."""
-    w = df.write.mode(mode).format(fmt)
+    overwrite replaces only the partitions present in ``df``.
+
+    ``one_file_per_partition`` first hash-partitions by the partition columns
+    so each partition value is written by one task as one file (no small-file
+    spray). Use it for entity-grain tables only (a cube month is a few
+    thousand rows); for fact-sized tables it would put a whole month into
+    one task."""
+    if partition_by and one_file_per_partition:
+        df = df.repartition(*partition_by)
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":

@@ -87,3 +87,17 @@ def test_partitioned_sink_dynamic_overwrite(spark, tmpdir_path):
 def test_table_preview(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     assert [r.k for r in FS.table_preview(df, ["k"]).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_month_overwrite_is_dynamic_even_if_the_session_is_static(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "t")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        a = spark.createDataFrame([("2025-10", 1), ("2025-11", 2)], "month string, v long")
+        FS.write_table(a, out, ["month"], one_file_per_partition=True)
+        FS.write_table(spark.createDataFrame([("2025-11", 3)], "month string, v long"), out, ["month"])
+        assert sorted((r.month, r.v) for r in spark.read.parquet(out).collect()) == [("2025-10", 1), ("2025-11", 3)]
+        assert len([f for f in os.listdir(os.path.join(out, "month=2025-10")) if f.endswith(".parquet")]) == 1
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
