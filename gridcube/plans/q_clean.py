@@ -44,8 +44,11 @@ def q_clean_key(spark, sf_dir):
     return p.select("p_partkey", X.clean_key("p_name").alias("key"))
 
 
-_CODE_IN = ("CASE WHEN c_acctbal < 0 THEN -c_custkey "
-            "WHEN c_acctbal > 9000 THEN c_custkey * 1000000000000 + 7 ELSE c_custkey END")
+# Codes built by string concatenation (no arithmetic, so no overflow at any key size):
+# negative balances get a sign, rich customers a code longer than the pad width.
+_CODE_IN = ("CASE WHEN c_acctbal < 0 THEN '-' || CAST(c_custkey AS STRING) "
+            "WHEN c_acctbal > 9000 THEN CAST(c_custkey AS STRING) || '000000000007' "
+            "ELSE CAST(c_custkey AS STRING) END")
 
 
 @register("zfill_code", f"SELECT c_custkey, {G.zfill(f'({_CODE_IN})')} AS code FROM customer")
