@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from gridcube.operators.clean import trim_strings
 from gridcube.operators.cube import build_cube
 from gridcube.operators.indicators import INDICATORS
+from gridcube.operators.quality import unique_key
 from gridcube.sources import files as FS
 from gridcube.sources.registry import CUBE_ORDER, SOURCES
 
@@ -48,26 +49,35 @@ def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | No
     return out
 
 
-def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = None) -> DataFrame:
+def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = None,
+                     strict: bool = False) -> DataFrame:
     """Indicators per source, then the left-join fold keyed by
     (month, district). Sources missing from ``tables`` are skipped (the
-    coverage check reports them); a missing base source is an error."""
+    coverage check reports them); a missing base source is an error.
+
+    ``strict`` first checks that every source is unique on the key (one job
+    over all sources; only the per-source report reaches the driver) and
+    raises instead of letting a duplicated key fan out the cube."""
     order = list(order or CUBE_ORDER)
     if order[0] not in tables:
         raise FileNotFoundError(f"base source {order[0]!r} is missing for this month")
     order = [s for s in order if s in tables]
     frames = {s: INDICATORS[s](tables[s]) for s in order}
     keys = ["month", "district"] if all("month" in f.columns for f in frames.values()) else ["district"]
+    if strict:
+        bad = [(r.source, r.duplicate_keys) for r in unique_key(frames, keys).collect() if not r.passed]
+        if bad:
+            raise ValueError(f"sources not unique on {keys}: {bad}")
     return build_cube(frames, order, keys)
 
 
 def run_cube(spark: SparkSession, raw_base: str, out_path: str | None = None, month: str | None = None,
-             order: list[str] | None = None) -> DataFrame:
+             order: list[str] | None = None, strict: bool = True) -> DataFrame:
     """Build the month's cube from its exports; write it partitioned by
     month when ``out_path`` is given. Returns the cube DataFrame."""
     month, tables = scan_month(spark, raw_base, month, order)
     tagged = {n: df.withColumn("month", F.lit(month)) for n, df in tables.items()}
-    cube = build_month_cube(tagged, order)
+    cube = build_month_cube(tagged, order, strict)
     if out_path:
         FS.write_table(cube, out_path, ["month"], one_file_per_partition=True)
         return spark.read.parquet(out_path).where(F.col("month") == month).select(*cube.columns)

@@ -152,7 +152,7 @@ def q_cube_from_exports(spark, sf_dir):
     etl = _scratch(spark, "etl")
     jobs.run_month(spark, raw, etl)
     tables = jobs.load_cleaned(spark, etl, EXPORT_MONTH, EXPORT_FULL)
-    return jobs.build_month_cube(tables, EXPORT_FULL)
+    return jobs.build_month_cube(tables, EXPORT_FULL, strict=True)
 
 
 # ------------------------------------------------------------ contracts

@@ -32,3 +32,14 @@ def test_missing_base_source_fails(spark, tmpdir_path):
         jobs.run_cube(spark, raw)
     month, tables = jobs.scan_month(spark, raw)
     assert month == EXPORT_MONTH and set(tables) == {"lbw", "awc"}
+
+
+def test_strict_cube_rejects_duplicated_keys(spark):
+    base = spark.createDataFrame([("a", 10, 1)], "district string, total_children_0_6m long, lbw_children_0_6m long")
+    awc = spark.createDataFrame([("a", 4, 3, 1, 0, 0), ("A ", 4, 3, 1, 0, 0)],
+                                "district string, total_awc long, active_awc long, inactive_awc long, "
+                                "new_awc_month long, inactive_awc_month long")
+    tables = {"lbw": base, "awc": awc}
+    assert jobs.build_month_cube(tables, ["lbw", "awc"]).count() == 2          # fan-out when not strict
+    with pytest.raises(ValueError, match="awc"):
+        jobs.build_month_cube(tables, ["lbw", "awc"], strict=True)
