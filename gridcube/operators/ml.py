@@ -144,8 +144,9 @@ def feature_importance(spark, model: PipelineModel, features: list[str], name: s
 def prepare_requests(req: DataFrame, features: list[str], id_col: str = "request_id",
                      mapping: dict[str, str] = REQUEST_FIELDS) -> DataFrame:
     """K9 (no model): map request fields to model features, missing -> 0,
-    ``features_used`` = features with a non-zero value, ``status`` says
-    whether any mapped field was supplied at all."""
+    ``features_used`` = features with a non-zero value, ``features_missing``
+    = features whose field was absent (scored as 0), ``status`` says whether
+    any mapped field was supplied at all."""
     inv = {feat: fld for fld, feat in mapping.items()}
     vals = {f: F.coalesce(_c(inv[f]).cast("double"), F.lit(0.0)) if inv.get(f) in req.columns
             else F.lit(0.0) for f in features}
@@ -154,6 +155,8 @@ def prepare_requests(req: DataFrame, features: list[str], id_col: str = "request
     for s in supplied:
         any_supplied = any_supplied | s
     used = F.filter(F.array(*[F.when(vals[f] != 0, F.lit(f)) for f in features]), lambda x: x.isNotNull())
+    absent = F.filter(F.array(*[F.when(_c(inv[f]).isNull(), F.lit(f)) if inv.get(f) in req.columns else F.lit(f)
+                                for f in features]), lambda x: x.isNotNull())
     return req.select(_c(id_col), *[v.alias(f) for f, v in vals.items()],
                       F.when(any_supplied, F.lit("ok")).otherwise(F.lit("no_valid_features")).alias("status"),
-                      used.alias("features_used"))
+                      used.alias("features_used"), absent.alias("features_missing"))

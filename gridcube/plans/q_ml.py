@@ -130,9 +130,11 @@ def _prep_sql():
         used = "array_to_string(list_filter([" + ", ".join(
             f"CASE WHEN {v} <> 0 THEN '{f}' END" for f, v in zip(feats, vals)) + "], lambda x: x IS NOT NULL), ',')"
         nused = " + ".join(f"CASE WHEN {v} <> 0 THEN 1 ELSE 0 END" for v in vals)
+        missing = "array_to_string(list_filter([" + ", ".join(
+            f"CASE WHEN ({_REQ_COLS[inv[f]]}) IS NULL THEN '{f}' END" for f in feats) + "], lambda x: x IS NOT NULL), ',')"
         parts.append(f"SELECT event_id AS request_id, '{name}' AS model, "
                      f"CASE WHEN {supplied} THEN 'ok' ELSE 'no_valid_features' END AS status, "
-                     f"{used} AS features_used, CAST({nused} AS BIGINT) AS n_used, "
+                     f"{used} AS features_used, CAST({nused} AS BIGINT) AS n_used, {missing} AS features_missing, "
                      f"{G.rnd(' + '.join(vals), 6)} AS feature_sum FROM events")
     return "\nUNION ALL\n".join(parts)
 
@@ -147,6 +149,7 @@ def q_score_requests(spark, sf_dir):
         parts.append(p.select("request_id", F.lit(name).alias("model"), "status",
                               F.array_join("features_used", ",").alias("features_used"),
                               F.size("features_used").cast("long").alias("n_used"),
+                              F.array_join("features_missing", ",").alias("features_missing"),
                               X.rnd(total, 6).alias("feature_sum")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 

@@ -65,6 +65,8 @@ def test_prepare_requests(spark):
     out = {r.request_id: r for r in ML.prepare_requests(req, ML.LBW_FEATURES).collect()}
     assert out[1].status == "ok" and out[1].features_used == ["PW_Anaemia_Rate"]
     assert out[1]["SAM_Rate_%"] == 0.0 and out[1]["HV_Percentage"] == 0.0
+    # HV_Percentage was supplied as 0 (not used, not missing); SAM_Rate_ was absent
+    assert "SAM_Rate_%" in out[1].features_missing and "HV_Percentage" not in out[1].features_missing
     assert out[2].status == "no_valid_features" and out[2].features_used == []
     none = ML.prepare_requests(req.select("request_id"), ML.STUNTING_FEATURES).first()
     assert none.status == "no_valid_features"
