@@ -57,12 +57,24 @@ def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = Non
 
     ``strict`` first checks that every source is unique on the key (one job
     over all sources; only the per-source report reaches the driver) and
-    raises instead of letting a duplicated key fan out the cube."""
+    raises instead of letting a duplicated key fan out the cube.
+
+    A missing side source joins as an empty table with its contract schema,
+    so its columns (derived ones included) are present and NULL: the cube's
+    schema does not change from month to month (D16)."""
     order = list(order or CUBE_ORDER)
     if order[0] not in tables:
         raise FileNotFoundError(f"base source {order[0]!r} is missing for this month")
-    order = [s for s in order if s in tables]
-    frames = {s: INDICATORS[s](tables[s]) for s in order}
+    spark = tables[order[0]].sparkSession
+    with_month = "month" in tables[order[0]].columns
+    full = {}
+    for s in order:
+        if s in tables:
+            full[s] = tables[s]
+        else:
+            empty = spark.createDataFrame([], SOURCES[s].schema())
+            full[s] = empty.withColumn("month", F.lit(None).cast("string")) if with_month else empty
+    frames = {s: INDICATORS[s](full[s]) for s in order}
     keys = ["month", "district"] if all("month" in f.columns for f in frames.values()) else ["district"]
     if strict:
         bad = [(r.source, r.duplicate_keys) for r in unique_key(frames, keys).collect() if not r.passed]

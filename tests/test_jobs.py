@@ -21,7 +21,7 @@ def test_run_cube_from_exports_and_rerun(spark, tmpdir_path):
     # the ETL path gives the same cube
     etl = os.path.join(tmpdir_path, "etl")
     jobs.run_month(spark, raw, etl)
-    via_etl = jobs.build_month_cube(jobs.load_cleaned(spark, etl, EXPORT_MONTH), EXPORT_FULL)
+    via_etl = jobs.build_month_cube(jobs.load_cleaned(spark, etl, EXPORT_MONTH))   # same default order as run_cube
     stored = spark.read.parquet(out).select(*via_etl.columns)
     assert stored.exceptAll(via_etl).count() == 0 and via_etl.exceptAll(stored).count() == 0
 
@@ -34,6 +34,15 @@ def test_missing_base_source_fails(spark, tmpdir_path):
     assert month == EXPORT_MONTH and set(tables) == {"lbw", "awc"}
 
 
+def test_missing_side_source_joins_as_nulls(spark):
+    base = spark.createDataFrame([("a", 10, 1, "2025-11")],
+                                 "district string, total_children_0_6m long, lbw_children_0_6m long, month string")
+    cube = jobs.build_month_cube({"lbw": base}, ["lbw", "awc", "ag"])
+    assert {"active_awc_pct", "awc_readiness_score", "ag_anaemia_rate"} <= set(cube.columns)
+    r = cube.first()
+    assert r.lbw_rate_pct == 0.1 and r.active_awc_pct is None and r.ag_anaemia_rate is None
+
+
 def test_strict_cube_rejects_duplicated_keys(spark):
     base = spark.createDataFrame([("a", 10, 1)], "district string, total_children_0_6m long, lbw_children_0_6m long")
     awc = spark.createDataFrame([("a", 4, 3, 1, 0, 0), ("A ", 4, 3, 1, 0, 0)],
