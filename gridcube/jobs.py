@@ -52,8 +52,7 @@ def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | No
 def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = None,
                      strict: bool = False) -> DataFrame:
     """Indicators per source, then the left-join fold keyed by
-    (month, district). Sources missing from ``tables`` are skipped (the
-    coverage check reports them); a missing base source is an error.
+    (month, district). A missing base source is an error.
 
     ``strict`` first checks that every source is unique on the key (one job
     over all sources; only the per-source report reaches the driver) and
