@@ -62,41 +62,49 @@ def _pairs(cols: list[str], full: bool = False):
     return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if full or j > i]
 
 
-def _corr_long(df: DataFrame, pairs, count_col: bool = True, digits: int | None = 6) -> DataFrame:
+def _corr_long(df: DataFrame, pairs, count_col: bool = True, digits: int | None = 6,
+               by: list[str] | None = None) -> DataFrame:
     """Pearson r for many pairs in long form: every row is exploded into one
     (pair, a, b) record per pair and a ``groupBy(pair)`` does the work. The
     partial aggregate runs map-side, so the shuffle carries one small row
     per pair per partition, and the generated code stays small however many
-    columns there are."""
+    columns there are. With ``by`` (e.g. month) there is one report per group."""
+    by = list(by or [])
     recs = F.explode(F.array(*[
         F.struct(F.lit(i).cast("long").alias("pos_a"), F.lit(j).cast("long").alias("pos_b"),
-                 F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
                  _c(a).cast("double").alias("a"), _c(b).cast("double").alias("b"))
         for i, j, a, b in pairs])).alias("p")
-    long = df.select(recs).select("p.*")
-    agg = long.groupBy("pos_a", "pos_b").agg(
+    long = df.select(*[_c(k) for k in by], recs).select(*by, "p.*")
+    agg = long.groupBy(*by, "pos_a", "pos_b").agg(
         X.safe_corr("a", "b").alias("correlation"),
         F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).alias("n_rows"))
-    # every pair is reported, also when no row survives (NULL r, 0 rows)
     names = df.sparkSession.createDataFrame([(i, j, a, b) for i, j, a, b in pairs],
                                             "pos_a long, pos_b long, indicator_a string, indicator_b string")
-    out = names.join(agg, ["pos_a", "pos_b"], "left").select(
-        "indicator_a", "indicator_b", "pos_a", "pos_b", "correlation",
-        F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
+    if by:
+        # per group: the pairs of the groups that have rows (names is a small fixed list)
+        out = agg.join(names, ["pos_a", "pos_b"])
+    else:
+        # every pair is reported, also when no row survives (NULL r, 0 rows)
+        out = names.join(agg, ["pos_a", "pos_b"], "left")
+    out = out.select(*by, "indicator_a", "indicator_b", "pos_a", "pos_b", "correlation",
+                     F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
     if digits is not None:
         out = out.withColumn("correlation", X.rnd("correlation", digits))
     return out if count_col else out.drop("n_rows")
 
 
-def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
+def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None = 6,
+                        by: list[str] | None = None) -> DataFrame:
     """Drop rows with a NULL in any listed column (a missing column is an
     error), then Pearson r for each pair of the upper triangle in input
-    order; ``n_rows`` shows how many rows survived."""
+    order; ``n_rows`` shows how many rows survived. ``by`` gives one report
+    per group (e.g. per month of a month-keyed cube) in the same single pass."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise KeyError(f"columns not found: {missing}")
-    sub = listwise_drop(df.select(*[_c(c).cast("double").alias(c) for c in columns]), columns)
-    return _corr_long(sub, _pairs(columns), True, digits)
+    by = list(by or [])
+    sub = listwise_drop(df.select(*[_c(k) for k in by], *[_c(c).cast("double").alias(c) for c in columns]), columns)
+    return _corr_long(sub, _pairs(columns), True, digits, by)
 
 
 def corr_strongest(pairs_df: DataFrame, top: int = 10) -> DataFrame:

@@ -43,3 +43,33 @@ def q_cube_latest_month(spark, sf_dir):
     stored = spark.read.parquet(path)
     latest = FS.latest_month_slice(stored, "month")
     return latest.select(*[c for c in latest.columns if c != "month"], "month")
+
+
+def _corr_monthly_sql():
+    from gridcube.operators.serve import CORRELATE_COLUMNS
+    from gridcube.plans.q_stats import _legacy_sql_cols
+    cols = dict(_legacy_sql_cols())
+    sel = ", ".join(f"{cols[c]} AS {G.qi(c)}" for c in CORRELATE_COLUMNS)
+    ctes = MONTHLY_CTES + [("legacy_m", f"SELECT month, district AS District, {sel} FROM cube")]
+    where = " AND ".join(f"{G.qi(c)} IS NOT NULL AND NOT isnan({G.qi(c)})" for c in CORRELATE_COLUMNS)
+    parts = []
+    for i, a in enumerate(CORRELATE_COLUMNS):
+        for j, b in enumerate(CORRELATE_COLUMNS):
+            if j <= i:
+                continue
+            parts.append(
+                f"SELECT month, '{a}' AS indicator_a, '{b}' AS indicator_b, CAST({i} AS BIGINT) AS pos_a, "
+                f"CAST({j} AS BIGINT) AS pos_b, {G.rnd(G.corr(G.qi(a), G.qi(b)), 6)} AS correlation, "
+                f"CAST(count(*) AS BIGINT) AS n_rows FROM legacy_m WHERE {where} GROUP BY month")
+    return G.with_clause(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("corr_pairs_monthly", _corr_monthly_sql())
+def q_corr_pairs_monthly(spark, sf_dir):
+    """The correlation report for every month of the month-keyed cube in one
+    long-form aggregate grouped by (month, pair)."""
+    from gridcube.operators import serve as SV
+    from gridcube.operators import stats as ST
+    from gridcube.plans.q_cube import materialize
+    view = materialize(SV.legacy_view(monthly_cube(spark, sf_dir)))
+    return ST.corr_pairs_listwise(view, SV.CORRELATE_COLUMNS, by=["month"])
