@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "district_cube", "district_cube_monthly", "cube_latest_month", "legacy_view", "ind_growth_base", "ind_share", "left_join_key",
     "dq_unique_key", "dq_coverage_gap", "dq_rebuild_match", "dq_tolerance_diff",
-    "corr_pairs_listwise", "corr_matrix_pairwise", "corr_spearman", "corr_kendall",
+    "corr_pairs_listwise", "corr_pairs_monthly", "corr_matrix_pairwise", "corr_spearman", "corr_kendall",
     "top_n", "top_bottom_report", "lookup_fallback", "basic_clean", "fill_forward",
     "lenient_numeric", "list_months", "latest_month_slice", "ingest_month",
     "train_frame", "regression_metrics", "score_requests",

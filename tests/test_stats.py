@@ -110,3 +110,19 @@ def test_listwise_with_no_surviving_rows_reports_every_pair(spark):
     assert len(out) == 3 and all(r.correlation is None and r.n_rows == 0 for r in out)
     top = ST.corr_strongest(ST.corr_pairs_listwise(df, ["a", "b", "c"]), 10).collect()
     assert len(top) == 3 and {r.direction for r in top} == {"negative"}
+
+
+def test_listwise_per_group_matches_pandas(spark):
+    rnd = random.Random(11)
+    data = [(g, float(rnd.randint(0, 9)), float(rnd.randint(0, 9)), None if rnd.random() < 0.2 else rnd.random())
+            for g in ("m1", "m2", "m3") for _ in range(20)]
+    df = spark.createDataFrame(data, "month string, a double, b double, c double")
+    pdf = pd.DataFrame(data, columns=["month", "a", "b", "c"])
+    got = {(r.month, r.indicator_a, r.indicator_b): r for r in
+           ST.corr_pairs_listwise(df, ["a", "b", "c"], None, by=["month"]).collect()}
+    assert len(got) == 9
+    for m, part in pdf.groupby("month"):
+        sub = part[["a", "b", "c"]].dropna()
+        exp = sub.corr()
+        assert got[(m, "a", "c")].n_rows == len(sub)
+        assert math.isclose(got[(m, "b", "c")].correlation, exp.loc["b", "c"], rel_tol=1e-9)
