@@ -88,3 +88,15 @@ def test_model_roundtrip_and_prediction_sink(spark, tmpdir_path):
     ML.write_predictions(a.withColumn("month", F.lit("2025-11")), sink, "2025-12-06 09:00:00")
     runs = spark.read.parquet(sink).groupBy("run_ts").count().collect()
     assert sorted(r["count"] for r in runs) == [60, 60]
+
+
+def test_forest_is_deterministic_and_bounded(spark):
+    df = _cube(spark, 40, seed=5)
+    feats = ML.present_features(df, ML.LBW_FEATURES)
+    train = ML.train_frame(df, feats, ML.LBW_TARGET)
+    a = ML.score(ML.fit(train, feats, ML.LBW_TARGET, num_trees=15), df, feats, "p", digits=None)
+    b = ML.score(ML.fit(train, feats, ML.LBW_TARGET, num_trees=15), df, feats, "p", digits=None)
+    pa = {r.District: r.p for r in a.collect()}
+    assert pa == {r.District: r.p for r in b.collect()}           # same seed, same forest
+    lo, hi = train.agg(F.min(f"`{ML.LBW_TARGET}`"), F.max(f"`{ML.LBW_TARGET}`")).first()
+    assert all(lo - 1e-9 <= v <= hi + 1e-9 for v in pa.values())  # averages of leaf means stay in range
