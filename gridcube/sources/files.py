@@ -14,6 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcube.functions.headers import number_duplicates
 from gridcube.sources.registry import SOURCES, SourceSpec, header_matches
@@ -31,22 +32,31 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader([first.value]))
 
 
-def scan_csv(spark: SparkSession, path: str, spec: SourceSpec, strict: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, spec: SourceSpec, strict: bool = True,
+             keep_extra: bool = False) -> DataFrame:
     """Read one monthly export with the canonical schema applied by
     position, after checking the file's header against the contract.
 
     Unsupported extensions raise ``ValueError``; a header that does not
-    match raises ``KeyError`` in strict mode.
+    match the contract raises ``KeyError`` in strict mode. Columns after the
+    contract's (an export that gained a column) are read as strings and
+    dropped unless ``keep_extra``, so they never break the scan.
     """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     if ext not in SUPPORTED:
         raise ValueError(f"Unsupported file type: {ext}")
-    check = header_matches(spec, read_header(spark, path))
+    header = read_header(spark, path)
+    check = header_matches(spec, header)
     bad = [(exp, found) for exp, found, ok in check if not ok]
     if bad and strict:
         raise KeyError(f"{spec.name}: header does not match contract: {bad}")
-    return (spark.read.schema(spec.schema()).option("header", True).option("enforceSchema", True)
-            .option("mode", "FAILFAST").csv(path))
+    schema = spec.schema()
+    extra = [f"extra_{i}" for i in range(len(spec.columns), len(header))]
+    for name in extra:
+        schema = schema.add(name, T.StringType(), True)
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+          .option("mode", "FAILFAST").csv(path))
+    return df if keep_extra else df.select(*spec.canonical)
 
 
 def schema_contract(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:

@@ -101,3 +101,11 @@ def test_month_overwrite_is_dynamic_even_if_the_session_is_static(spark, tmpdir_
         assert len([f for f in os.listdir(os.path.join(out, "month=2025-10")) if f.endswith(".parquet")]) == 1
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_scan_tolerates_extra_trailing_columns(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "Low_Birth_Weight_11_2025.csv")
+    _write_text(p, ["District,Total Children 0-6M,Low Birth Weight Children 0-6M,New Column", "angul,10,1,x"])
+    df = FS.scan_csv(spark, p, SOURCES["lbw"])
+    assert df.columns == SOURCES["lbw"].canonical and df.first().lbw_children_0_6m == 1
+    assert FS.scan_csv(spark, p, SOURCES["lbw"], keep_extra=True).first().extra_3 == "x"
