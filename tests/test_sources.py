@@ -109,3 +109,11 @@ def test_scan_tolerates_extra_trailing_columns(spark, tmpdir_path):
     df = FS.scan_csv(spark, p, SOURCES["lbw"])
     assert df.columns == SOURCES["lbw"].canonical and df.first().lbw_children_0_6m == 1
     assert FS.scan_csv(spark, p, SOURCES["lbw"], keep_extra=True).first().extra_3 == "x"
+
+
+def test_scan_handles_bom_and_crlf(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "Low_Birth_Weight_11_2025.csv")
+    with open(p, "wb") as fh:
+        fh.write(b"\xef\xbb\xbfDistrict,Total Children 0-6M,Low Birth Weight Children 0-6M\r\nangul,10,1\r\ncuttack,20,3\r\n")
+    rows = FS.scan_csv(spark, p, SOURCES["lbw"]).orderBy("district").collect()
+    assert [(r.district, r.lbw_children_0_6m) for r in rows] == [("angul", 1), ("cuttack", 3)]
