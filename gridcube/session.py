@@ -73,3 +73,25 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def release(df) -> int:
+    """Delete the intermediate tables (written by ``materialize``) that a
+    finished result read from; call it once the result's action has run.
+    Only folders directly under ``<spark.checkpoint.dir>/tables/`` are
+    touched. Returns the number of folders removed."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    tables = Path(os.path.join(checkpoint_dir(spark), "tables")).toUri().getPath().rstrip("/")
+    removed = set()
+    for f in df.inputFiles():
+        p = Path(f)
+        while p.getParent() is not None and p.getParent().toUri().getPath().rstrip("/") != tables:
+            p = p.getParent()
+        if p.getParent() is None or p.toString() in removed:
+            continue
+        p.getFileSystem(conf).delete(p, True)
+        removed.add(p.toString())
+    return len(removed)

@@ -68,3 +68,13 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     t = materialize(spark.range(5), "probe")
     assert t.count() == 5
     assert d.rstrip("/") in t.inputFiles()[0]        # written under the session's shared folder
+
+
+def test_release_removes_intermediate_tables(spark):
+    import os
+
+    from gridcube.session import materialize, release
+    t = materialize(spark.range(3), "probe-release")
+    assert t.count() == 3
+    folder = os.path.dirname(t.inputFiles()[0].split(":", 1)[1])
+    assert release(t) == 1 and not os.path.exists(folder)
