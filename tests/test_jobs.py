@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridcube import jobs
 from gridcube.plans.q_ingest import EXPORT_FULL, EXPORT_MONTH, export_month
