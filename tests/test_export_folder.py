@@ -89,3 +89,12 @@ def test_month_folder_reconciliations(spark, tmpdir_path):
     diff = Q.tolerance_diff(stored, fresh, ["month", "district"], rtol=1e-6).collect()
     assert diff and all(r.passed for r in diff)                           # stored == fresh within rtol
     assert Q.rebuild_match(stored, stored.select(*stored.columns)).first().passed
+
+
+def test_folder_scan_tags_rows_with_metadata(spark, tmpdir_path):
+    from gridcube.sources import files as FS
+    raw = write_month(os.path.join(tmpdir_path, "raw"))
+    tables = FS.scan_folder(spark, os.path.join(raw, MONTH), MONTH, ["snp", "hv"])
+    assert set(tables) == {"snp", "hv"}
+    r = tables["snp"].select("month", "source", "file_path").first()
+    assert (r.month, r.source) == (MONTH, "snp") and r.file_path.endswith("SNP_Projections_12_2025.csv")
