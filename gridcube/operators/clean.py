@@ -104,7 +104,7 @@ def fill_missing(df: DataFrame, strategy: str = "zero", **kw) -> DataFrame:
     if strategy == "zero":
         return fill_zero(df, kw.get("columns"))
     if strategy == "ffill":
-        return fill_forward(df, kw["columns"], kw["partition_by"], kw["order_by"])
+        return fill_forward(df, kw["columns"], kw["partition_by"], kw["order_by"], kw.get("chunk_by"))
     return df
 
 

@@ -68,3 +68,10 @@ def test_fill_forward_chunked_equals_plain(spark):
     chunked = CL.fill_forward(df, ["v"], ["k"], ["t"], chunk_by=(F.col("t") / 37).cast("long"))
     assert chunked.columns == plain.columns
     assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+
+
+def test_fill_missing_ffill_passes_chunking(spark):
+    df = spark.createDataFrame([(1, 1, 5.0), (1, 2, None), (1, 30, None)], "k long, t long, v double")
+    out = CL.fill_missing(df, "ffill", columns=["v"], partition_by=["k"], order_by=["t"],
+                          chunk_by=(F.col("t") / 10).cast("long"))
+    assert [r.v for r in out.orderBy("t").collect()] == [5.0, 5.0, 5.0]
