@@ -40,18 +40,29 @@ def bottom_n(df: DataFrame, column: str, n: int = 10, tiebreak: list[str] | None
     return top_n(df, column, n, tiebreak, largest=False)
 
 
-def top_bottom_report(df: DataFrame, key: str, metrics: list[str], n: int = 5) -> DataFrame:
+def top_bottom_report(df: DataFrame, key: str, metrics: list[str], n: int = 5,
+                      by: list[str] | None = None) -> DataFrame:
     """For each metric present in ``df``: (key, value) rows without
     NULLs, top n and bottom n, tagged with metric and side. Missing metrics
-    are skipped."""
+    are skipped. With ``by`` (e.g. month) the ranking is per group: a
+    ``row_number`` window per (group, metric, side), whose partitions hold
+    one group's entities (bounded by the entity domain)."""
+    by = list(by or [])
     parts = []
     for m in metrics:
         if m not in df.columns:
             continue
-        sub = listwise_drop(df.select(_c(key), _c(m).cast("double").alias("value")), [key, "value"])
+        sub = listwise_drop(df.select(*[_c(b) for b in by], _c(key), _c(m).cast("double").alias("value")),
+                            [key, "value"])
         for side, largest in (("top", True), ("bottom", False)):
-            t = top_n(sub, "value", n, [key], largest)
-            parts.append(t.select(F.lit(m).alias("metric"), F.lit(side).alias("side"), "rank", _c(key), "value"))
+            if by:
+                o = F.col("value").desc_nulls_last() if largest else F.col("value").asc_nulls_last()
+                w = Window.partitionBy(*by).orderBy(o, _c(key).asc())
+                t = (sub.withColumn("rank", F.row_number().over(w).cast("long"))
+                     .where(F.col("rank") <= n))
+            else:
+                t = top_n(sub, "value", n, [key], largest)
+            parts.append(t.select(*by, F.lit(m).alias("metric"), F.lit(side).alias("side"), "rank", _c(key), "value"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

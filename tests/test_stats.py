@@ -126,3 +126,15 @@ def test_listwise_per_group_matches_pandas(spark):
         exp = sub.corr()
         assert got[(m, "a", "c")].n_rows == len(sub)
         assert math.isclose(got[(m, "b", "c")].correlation, exp.loc["b", "c"], rel_tol=1e-9)
+
+
+def test_top_bottom_per_group(spark):
+    data = [(g, f"d{i}", float((i * 7 + ord(g[-1])) % 11)) for g in ("m1", "m2") for i in range(8)]
+    df = spark.createDataFrame(data, "month string, District string, v double")
+    rep = ST.top_bottom_report(df, "District", ["v", "absent"], 3, by=["month"]).collect()
+    assert len(rep) == 2 * 2 * 3
+    pdf = pd.DataFrame(data, columns=["month", "District", "v"])
+    for g, part in pdf.groupby("month"):
+        exp = part.sort_values(["v", "District"], ascending=[False, True]).head(3)["District"].tolist()
+        got = [r.District for r in sorted(rep, key=lambda r: r.rank) if r.month == g and r.side == "top"]
+        assert got == exp
