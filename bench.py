@@ -35,9 +35,8 @@ def main():
     from gridcube.session import get_session
     spark = get_session(f"local[{cpus}]", app="gridcube-bench", shuffle_partitions=cpus * 2,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
-                               "spark.sql.files.maxPartitionBytes": str(64 << 20)})
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridcube-bench-"))
+                               "spark.sql.files.maxPartitionBytes": str(64 << 20),
+                               "spark.checkpoint.dir": tempfile.mkdtemp(prefix="gridcube-bench-")})
 
     from gridcube.plans.catalog import load
     QUERIES = load()[0]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,24 +37,13 @@ def get_session(master: str | None = None, app: str = "gridcube",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set to a shared filesystem; an unset value is
-    an error there. Only in local mode (tests) is a scratch folder created
-    and registered when it is unset.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``. Where that is
+    unset (tests, a plain session) intermediate tables go to a folder beside
+    the session's warehouse tables, which executors share as well; the rule is
+    the same for every master."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not spark.sparkContext.master.startswith("local") and fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
-                               "(intermediate tables are written there)")
-        d = fallback or tempfile.mkdtemp(prefix="gridcube-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+    return d or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,9 +13,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from gridcube.session import get_session
-    s = get_session("local[4]", app="gridcube-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridcube-test-ckpt-"))
+    s = get_session("local[4]", app="gridcube-tests", shuffle_partitions=4,
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="gridcube-test-ckpt-")})
     yield s
     s.stop()
 
