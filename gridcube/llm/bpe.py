@@ -51,7 +51,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     """``docs`` and ``out``, the ids as an array<int>, in one scan. NULL and
     empty texts have no ids; very long texts are encoded whole, in pieces;
     repeated rows encode alike; an empty table gives no rows. A column named
-    ``out`` has to be renamed first."""
+    ``out`` is replaced."""
+    docs = docs.drop(out)
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -65,7 +66,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """``rows`` and ``out``, the ids' raw bytes; NULL ids decode to no bytes."""
+    """``rows`` and ``out``, the ids' raw bytes; NULL ids decode to no bytes.
+    A column named ``out`` is replaced."""
+    rows = rows.drop(out)
     at = rows.columns.index(ids_col)
 
     def run(batches):

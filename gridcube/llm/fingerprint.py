@@ -76,7 +76,9 @@ def as_text(s: np.ndarray) -> str:
 
 def with_sketch(docs: DataFrame, text_col: str = "text", out: str = "sketch") -> DataFrame:
     """``docs`` and its sketch as hexadecimal text, 16 digits a hash. NULL and
-    empty texts have the empty sketch; whole texts are hashed."""
+    empty texts have the empty sketch; whole texts are hashed. A column named
+    ``out`` is replaced."""
+    docs = docs.drop(out)
     at = docs.columns.index(text_col)
 
     def run(batches):

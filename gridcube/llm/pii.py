@@ -87,7 +87,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> Dat
     """``docs`` and ``out``: an array of (ord, kind, start, end, score, match),
     by kind in the order of ``KINDS``, then start; start and end count code
     points, end exclusive. NULL and empty texts have no spans; whole texts are
-    searched; kinds may overlap. A column named ``out`` has to be renamed first."""
+    searched; kinds may overlap. A column named ``out`` is replaced."""
     found = [_spans_of(i, k, f"`{text_col}`") for i, k in enumerate(KINDS)]
     return docs.withColumn(out, F.coalesce(F.concat(*found), F.expr(f"cast(array() as array<{_SPAN}>)")))
 

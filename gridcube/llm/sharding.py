@@ -67,10 +67,11 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     every assignment of rows to slots is equally likely. Rows are dealt singly,
     equal rows too; NULLs, repeated rows and long texts need no care as no
     column decides; fewer rows than shards leave shards empty, and no rows give
-    no rows. A column of ``docs`` named shard or slot has to be renamed first.
+    no rows. Columns of ``docs`` named shard or slot are replaced.
 
     The rows are written once to the shared checkpoint folder, so that row
     numbers, and with them the draw, survive a lost executor."""
+    docs = docs.drop("shard", "slot")
     spark, own = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns]
     rows = materialize(docs.select(*own, F.monotonically_increasing_id().alias("__row")), "shard")
     # the row number is (partition, row in it): its upper bits name a block of BLOCK rows

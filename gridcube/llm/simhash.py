@@ -58,7 +58,9 @@ def fingerprint_bytes(raw: bytes | None, shingle: int = 3, seed: int = 42) -> in
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3, out: str = "fingerprint",
                      keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (all by default) and the fingerprint as a long."""
+    """The ``keep`` columns (all by default) and the fingerprint as a long. A
+    column named ``out`` is replaced."""
+    docs = docs.drop(out)
     keep = list(docs.columns if keep is None else keep)
     text = keep.index(text_col) if text_col in keep else len(keep)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text < len(keep) else [F.col(f"`{text_col}`")]))
@@ -81,7 +83,8 @@ def bit_planes(fps: np.ndarray) -> np.ndarray:
     lanes = np.zeros(words * 64, np.uint64)
     lanes[:len(fps)] = fps
     bits = np.unpackbits(lanes.view(np.uint8), bitorder="little").reshape(words, 64, 64)
-    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view(np.uint64)[:, :, 0]
+    packed = np.packbits(np.ascontiguousarray(bits.transpose(2, 0, 1)), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view(np.uint64)[:, :, 0]
 
 
 def _below(x: np.ndarray) -> np.ndarray:

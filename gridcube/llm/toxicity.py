@@ -166,7 +166,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     the toxic label, 0 to 1, in one scan without a shuffle. NULL, empty and
     white-space texts get the softmax's answer without words; repeated rows
     score alike; an empty table gives no rows; a column of ``docs`` with the
-    name of ``out`` has to be renamed first."""
+    name of ``out`` is replaced."""
+    docs = docs.drop(out)
     keep = list(docs.columns if keep is None else keep)
     inside = text_col in keep
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if inside else [F.col(f"`{text_col}`")]))

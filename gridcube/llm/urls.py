@@ -81,7 +81,7 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str | N
     if given, such as a crawl's redirect log. A NULL url, or one without ://,
     has an empty host and path, fits no rule and is allowed. Repeated pages are
     judged alike; NULL html has no links; no rows give no rows. Columns of
-    ``pages`` with the names added have to be renamed first."""
+    ``pages`` with the names added are replaced."""
     url = F.col(f"`{url_col}`")
     edges = page_links(pages, url_col, html_col) if html_col else None
     if redirects is not None:
