@@ -17,6 +17,16 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# White space as Python's str.strip sees it: ASCII controls, NEL and every Unicode separator.
+SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+
+
+def strip(c) -> Column:
+    """Both ends without white space of any kind (tabs, line ends and
+    no-break spaces too, which ``trim`` leaves in place)."""
+    return F.regexp_replace(col(c), f"^{SPACE}+|{SPACE}+$", "")
+
+
 def rnd(c, n: int = 2) -> Column:
     """numpy-style rounding: scale by 10**n, round half to even, unscale.
 
@@ -27,8 +37,9 @@ def rnd(c, n: int = 2) -> Column:
 
 
 def safe_ratio(num, den, n: int | None = 2) -> Column:
-    """``num / den``; zero or missing denominator gives 0.0; rounded."""
-    r = F.try_divide(col(num).cast("double"), col(den).cast("double"))
+    """``num / den``; a zero, missing or NaN operand below, or a missing or NaN
+    one above, gives 0.0; rounded."""
+    r = F.try_divide(nan_to_null(col(num).cast("double")), nan_to_null(col(den).cast("double")))
     if n is not None:
         r = rnd(r, n)
     return F.coalesce(r, F.lit(0.0))
@@ -53,8 +64,14 @@ def sum_of_parts(*cols, n: int | None = None, null_as_zero: bool = False) -> Col
 
 
 def lenient_num(c, n: int = 2) -> Column:
-    """Parse text as a number; unparsable or missing becomes 0; rounded."""
-    return rnd(F.coalesce(F.expr(f"try_cast({_sql_ref(c)} AS DOUBLE)"), F.lit(0.0)), n)
+    """Parse text as a number; unparsable or missing becomes 0; rounded. Only
+    decimal notation counts: ``NaN``, ``Infinity`` and Java suffixes such as
+    ``1d`` are not numbers here, and neither is an overflow."""
+    number = F.when(col(c).rlike(NUMBER), F.expr(f"try_cast(trim({_sql_ref(c)}) AS DOUBLE)"))
+    return rnd(F.when(F.abs(number) < F.lit(float("inf")), number).otherwise(F.lit(0.0)), n)
+
+
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def _sql_ref(c) -> str:
@@ -76,7 +93,7 @@ def py_title(c) -> Column:
 def clean_key(c) -> Column:
     """District key: strip, title-case, en dash -> '-', two spaces -> one.
     NULL stays NULL (routed to the null-key check instead of becoming text)."""
-    s = py_title(F.trim(col(c)))
+    s = py_title(strip(c))
     s = F.replace(s, F.lit("–"), F.lit("-"))
     return F.replace(s, F.lit("  "), F.lit(" "))
 

@@ -37,7 +37,8 @@ def normalize_col(c, variant: str = "base"):
     """The same rule as ``normalize_name`` as a Spark Column expression, for
     header text held as data (e.g. a catalogue of many files' header rows)."""
     from pyspark.sql import functions as F
-    s = F.replace(F.lower(F.trim(F.col(c) if isinstance(c, str) else c)), F.lit(" "), F.lit("_"))
+    from gridcube.functions.exprs import strip
+    s = F.replace(F.lower(strip(c)), F.lit(" "), F.lit("_"))
     for old, new in VARIANTS[variant]:
         s = F.replace(s, F.lit(old), F.lit(new))
     return s

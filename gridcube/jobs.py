@@ -14,7 +14,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gridcube.functions import exprs as X
 from gridcube.operators.clean import trim_strings
 from gridcube.operators.cube import build_cube
 from gridcube.operators.indicators import INDICATORS
@@ -23,6 +25,18 @@ from gridcube.sources import files as FS
 from gridcube.sources.registry import CUBE_ORDER, SOURCES
 
 
+# Percentages that exports give, as (column, part, whole): formed anew when rows are summed.
+_BANDS = [f"{band}_{level}" for band in ("stunted", "underweight") for level in ("severe", "moderate", "normal")]
+GIVEN = {
+    **{s: [(f"{c}_pct{x}", f"{c}_n{x}", f"measured_children{x}") for c in _BANDS] +
+          [(f"measurement_efficiency{x}", f"measured_children{x}", f"total_children{x}")]
+       for s, x in (("gm_5_6", ""), ("gm_0_5", "_0_5"))},
+    "me": [("children_measured_pct", "children_measured", "children_total")],
+    "ag": [("ag_measured_pct", "ag_measured", "total_ag")],
+    "hv": [("visit_coverage_pct", "visits_made", "target_visits")],
+}
+
+
 def scan_month(spark: SparkSession, raw_base: str, month: str | None = None,
                names: list[str] | None = None) -> tuple[str, dict[str, DataFrame]]:
     """Resolve the month (latest folder when not given) and scan its sources."""
@@ -38,21 +52,28 @@ def clean_source(df: DataFrame, month: str) -> DataFrame:
 
 def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | None = None,
               names: list[str] | None = None) -> dict[str, str]:
-    """Clean every source of a month and write it under
-    ``out_base/<source>/month=<month>``. Returns source -> table path."""
+    """Clean every CSV of a month, registered or not, and write it under
+    ``out_base/<source>/month=<month>``, plus ``folder_report``'s rows under
+    ``out_base/_report``. The tables keep the partitioning of their cleaning
+    step, so a month is written by many tasks. Returns source -> table path."""
     month, tables = scan_month(spark, raw_base, month, names)
     out = {}
     for name, df in tables.items():
         path = os.path.join(out_base, name)
-        FS.write_table(clean_source(df, month), path, ["month"], one_file_per_partition=True)
+        FS.write_table(clean_source(df, month), path, ["month"])
         out[name] = path
+    report = FS.folder_report(spark, os.path.join(raw_base, month), month).withColumn("month", F.lit(month))
+    FS.write_table(report, os.path.join(out_base, "_report"), ["month"])
     return out
 
 
 def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = None,
-                     strict: bool = False) -> DataFrame:
+                     strict: bool = False, grain: bool = False) -> DataFrame:
     """Indicators per source, then the left-join fold keyed by
-    (month, district). A missing base source is an error.
+    (month, district). A missing base source is an error. A source without a
+    month (static) joins on the district alone; the others keep both keys.
+    ``grain`` first brings sources that arrive below the entity grain to it
+    (``entity_rows``: keys cleaned, counts summed, ratios of sums).
 
     ``strict`` first checks that every source is unique on the key (one job
     over all sources; only the per-source report reaches the driver) and
@@ -73,22 +94,49 @@ def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = Non
         else:
             empty = spark.createDataFrame([], SOURCES[s].schema())
             full[s] = empty.withColumn("month", F.lit(None).cast("string")) if with_month else empty
+    keys = ["month", "district"]
+    if grain:
+        full = {s: entity_rows(df, s, keys) for s, df in full.items()}
     frames = {s: INDICATORS[s](full[s]) for s in order}
-    keys = ["month", "district"] if all("month" in f.columns for f in frames.values()) else ["district"]
     if strict:
-        bad = [(r.source, r.duplicate_keys) for r in unique_key(frames, keys).collect() if not r.passed]
+        # a source without month (static) has to be unique on the district alone
+        bad = []
+        for on in (keys, keys[1:]):
+            some = {s: f for s, f in frames.items() if ("month" in f.columns) == ("month" in on)}
+            if some:
+                bad += [(r.source, r.duplicate_keys) for r in unique_key(some, on).collect() if not r.passed]
         if bad:
-            raise ValueError(f"sources not unique on {keys}: {bad}")
+            raise ValueError(f"sources not unique on their keys: {bad}")
     return build_cube(frames, order, keys)
 
 
+def entity_rows(df: DataFrame, source: str, keys: list[str]) -> DataFrame:
+    """A source at the entity grain: keys cleaned, rows of one key summed.
+
+    A source that arrives per centre or per beneficiary has several rows of a
+    key: their counts are summed and given percentages are formed anew from
+    the sums where a rule is known (``GIVEN``), else NULL. A key with a single
+    row keeps all of its values."""
+    on = [k for k in keys if k in df.columns]
+    rows = df.withColumn("district", X.clean_key("district"))
+    rest = [f for f in df.schema.fields if f.name not in on]
+    whole = (T.LongType, T.IntegerType, T.ShortType)
+    n = F.count(F.lit(1))
+    aggs = [F.sum(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) if isinstance(f.dataType, whole)
+            else F.when(n == 1, F.first(F.col(f"`{f.name}`"))).alias(f.name) for f in rest]
+    out = rows.groupBy(*on).agg(*aggs, n.alias("__n"))
+    given = {c: F.when(F.col("__n") == 1, F.col(c)).otherwise(X.pct(a, b).cast(df.schema[c].dataType))
+             for c, a, b in GIVEN.get(source, ())}
+    return out.withColumns(given).select(*df.columns) if given else out.select(*df.columns)
+
+
 def run_cube(spark: SparkSession, raw_base: str, out_path: str | None = None, month: str | None = None,
-             order: list[str] | None = None, strict: bool = True) -> DataFrame:
+             order: list[str] | None = None, strict: bool = True, grain: bool = False) -> DataFrame:
     """Build the month's cube from its exports; write it partitioned by
     month when ``out_path`` is given. Returns the cube DataFrame."""
     month, tables = scan_month(spark, raw_base, month, order)
     tagged = {n: df.withColumn("month", F.lit(month)) for n, df in tables.items()}
-    cube = build_month_cube(tagged, order, strict)
+    cube = build_month_cube(tagged, order, strict, grain)
     if out_path:
         FS.write_table(cube, out_path, ["month"], one_file_per_partition=True)
         return spark.read.parquet(out_path).where(F.col("month") == month).select(*cube.columns)

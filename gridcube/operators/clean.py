@@ -15,9 +15,10 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
-    """Trim every string column. NULL stays NULL (it is not turned into text)."""
+    """Strip white space of any kind from every string column. NULL stays NULL
+    (it is not turned into text)."""
     strs = set(string_columns(df))
-    return df.select([F.trim(F.col(f"`{c}`")).alias(c) if c in strs else F.col(f"`{c}`")
+    return df.select([X.strip(F.col(f"`{c}`")).alias(c) if c in strs else F.col(f"`{c}`")
                       for c in df.columns])
 
 
@@ -44,7 +45,7 @@ def clean_key_column(df: DataFrame, key: str = "district") -> DataFrame:
 def drop_rollup(df: DataFrame, key: str = "district", label: str = "total") -> DataFrame:
     """Remove rollup rows whose trimmed, lower-cased key equals ``label``.
     NULL keys are kept (they are reported by the null-key check)."""
-    k = F.lower(F.trim(F.col(key)))
+    k = F.lower(X.strip(F.col(key)))
     return df.filter(k.isNull() | (k != F.lit(label.lower())))
 
 

@@ -51,37 +51,46 @@ def present_features(df: DataFrame, features: list[str]) -> list[str]:
 
 def train_frame(df: DataFrame, features: list[str], target: str, min_rows: int = MIN_TRAINING_ROWS,
                 check: bool = True) -> DataFrame:
-    """K1: rows complete on features and target; fewer than ``min_rows`` is
-    an error (one bounded count)."""
+    """K1: rows complete on features and target; fewer than ``min_rows`` is an
+    error. The guard stops reading once it has seen that many."""
     data = listwise_drop(df, features + [target])
     if check:
-        n = data.count()
+        n = data.limit(min_rows).count()
         if n < min_rows:
-            raise ValueError(f"Insufficient data to train model for {target}: "
-                             f"need at least {min_rows} rows, got {n}.")
+            raise ValueError(f"{target}: {n} complete rows are too few to fit a model, {min_rows} are required")
     return data
 
 
 def holdout_flag(key, test_fraction: float = 0.3) -> F.Column:
     """K2: deterministic split, independent of partitioning and order: the
-    first 8 hex digits of md5(key) as a fraction of 2^32."""
+    first 8 hex digits of md5(key) as a fraction of 2^32. A NULL key trains."""
     k = key if not isinstance(key, str) else _c(key)
     h = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    return h < F.lit(test_fraction)
+    return F.coalesce(h < F.lit(test_fraction), F.lit(False))
 
 
 def rf_pipeline(features: list[str], target: str, num_trees: int = 200, seed: int = 42,
-                max_depth: int = 30, prediction: str = "prediction") -> Pipeline:
+                max_depth: int = 30, max_bins: int = 256, prediction: str = "prediction") -> Pipeline:
     """K3: forest regression with every feature considered at every split
-    (``featureSubsetStrategy='all'``), bootstrap rows, deep trees."""
+    (``featureSubsetStrategy='all'``), bootstrap rows, deep trees.
+
+    Two limits of the learner are parameters: ``max_depth`` (30 is the largest
+    MLlib allows; ``depth_reached`` tells whether a tree ended there) and
+    ``max_bins`` (split candidates per continuous feature: features with more
+    distinct values are split at quantiles)."""
     asm = VectorAssembler(inputCols=features, outputCol="__features", handleInvalid="keep")
     rf = RandomForestRegressor(featuresCol="__features", labelCol=target, predictionCol=prediction,
-                               numTrees=num_trees, seed=seed, maxDepth=max_depth,
+                               numTrees=num_trees, seed=seed, maxDepth=max_depth, maxBins=max_bins,
                                featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
                                minInstancesPerNode=1)
     return Pipeline(stages=[asm, rf])
 
 
+def depth_reached(model: PipelineModel) -> int:
+    """Depth of the deepest fitted tree."""
+    return max(t.depth for t in model.stages[-1].trees)
+
+
 def fit(df: DataFrame, features: list[str], target: str, **kw) -> PipelineModel:
     return rf_pipeline(features, target, **kw).fit(df)
 
@@ -122,10 +131,11 @@ def write_predictions(scored: DataFrame, path: str, run_ts=None, partition_by: s
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, group: str | None = None) -> DataFrame:
-    """K4: R^2 and MAE in one aggregate (per group if given)."""
-    y, p = _c(label).cast("double"), _c(prediction).cast("double")
-    aggs = [F.count(F.lit(1)).cast("long").alias("n"),
-            (F.lit(1.0) - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
+    """K4: R^2 and MAE in one aggregate (per group if given), over the rows
+    where label and prediction are both present; ``n`` counts those."""
+    y, p = X.pair_masked(label, prediction)
+    aggs = [F.count(y).cast("long").alias("n"),
+            (F.lit(1.0) - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))).alias("r2"),
             F.avg(F.abs(y - p)).alias("mae")]
     g = df.groupBy(_c(group)) if group else df
     out = g.agg(*aggs)

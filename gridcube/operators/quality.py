@@ -65,7 +65,7 @@ def null_blank(frames: dict[str, DataFrame], key: str) -> DataFrame:
     for name, df in frames.items():
         k = F.col(key)
         out.append(df.agg(F.count(F.when(k.isNull(), F.lit(1))).cast("long").alias("null_keys"),
-                          F.count(F.when(k.isNotNull() & (F.trim(k) == ""), F.lit(1))).cast("long").alias("blank_keys"))
+                          F.count(F.when(k.isNotNull() & (X.strip(k) == ""), F.lit(1))).cast("long").alias("blank_keys"))
                    .select(F.lit(name).alias("source"), "*"))
     return _union(out).withColumn("passed", (F.col("null_keys") == 0) & (F.col("blank_keys") == 0))
 
@@ -156,12 +156,13 @@ def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
 
 def rollup_reconcile(df: DataFrame, key: str, columns: list[str], label: str = "total") -> DataFrame:
     """Q9: the rollup row equals the sum of the detail rows, per column."""
-    is_total = F.lower(F.trim(F.col(key))) == F.lit(label)
+    is_total = F.lower(X.strip(F.col(key))) == F.lit(label)
     aggs = []
     for i, c in enumerate(columns):
         aggs += [F.sum(F.when(~is_total | F.col(key).isNull(), F.col(c))).cast("long").alias(f"d{i}"),
                  F.sum(F.when(is_total, F.col(c))).cast("long").alias(f"r{i}")]
     r = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', d{i}, r{i}" for i, c in enumerate(columns))
-    out = r.select(F.expr(f"stack({len(columns)}, {stack}) AS (column, detail_sum, rollup_value)"))
+    each = [F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("detail_sum"), F.col(f"r{i}").alias("rollup_value"))
+            for i, c in enumerate(columns)]
+    out = r.select(F.inline(F.array(*each)))
     return out.withColumn("passed", F.coalesce(F.col("detail_sum") == F.col("rollup_value"), F.lit(False)))

@@ -126,6 +126,8 @@ def scatter_points(df: DataFrame, pairs=SCATTER_PAIRS, key: str = "District") ->
         sub = listwise_drop(df.select(_c(key), _c(x).cast("double").alias("x"), _c(y).cast("double").alias("y")),
                             [key, "x", "y"])
         parts.append(sub.select(F.lit(f"{y} vs {x}").alias("pair"), _c(key), "x", "y"))
+    if not parts:
+        return df.select(F.lit("").alias("pair"), _c(key), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -135,7 +137,7 @@ def available_keys(cube: DataFrame, key: str = "District") -> DataFrame:
 
 
 def _norm(c):
-    return F.lower(F.trim(c))
+    return F.lower(X.strip(c))
 
 
 def lookup(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,

@@ -26,10 +26,12 @@ def _c(name: str):
 
 def top_n(df: DataFrame, column: str, n: int = 10, tiebreak: list[str] | None = None,
           largest: bool = True) -> DataFrame:
-    """The n largest (or smallest) rows by ``column``; NULLs sort last;
-    ties broken by ``tiebreak`` ascending. ``orderBy().limit()`` plans as
+    """The n largest (or smallest) rows by ``column``; NULL and NaN sort
+    last, whichever end is asked for; ties broken by ``tiebreak`` ascending. ``orderBy().limit()`` plans as
     TakeOrderedAndProject: per-partition top-n, then one small merge."""
-    o = _c(column).desc_nulls_last() if largest else _c(column).asc_nulls_last()
+    numeric = dict(df.dtypes).get(column) in ("double", "float")
+    v = X.nan_to_null(_c(column)) if numeric else _c(column)
+    o = v.desc_nulls_last() if largest else v.asc_nulls_last()
     order = [o] + [_c(t).asc() for t in (tiebreak or [])]
     top = df.orderBy(*order).limit(n)
     # rank within the n kept rows (n is bounded, so a global window is fine)
@@ -63,6 +65,9 @@ def top_bottom_report(df: DataFrame, key: str, metrics: list[str], n: int = 5,
             else:
                 t = top_n(sub, "value", n, [key], largest)
             parts.append(t.select(*by, F.lit(m).alias("metric"), F.lit(side).alias("side"), "rank", _c(key), "value"))
+    if not parts:
+        return df.select(*[_c(b) for b in by], F.lit("").alias("metric"), F.lit("").alias("side"), F.lit(0).cast("long").alias("rank"),
+                         _c(key), F.lit(0.0).alias("value")).limit(0)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

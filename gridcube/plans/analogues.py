@@ -114,10 +114,15 @@ def order_month():
     return F.date_format("o_orderdate", "yyyy-MM")
 
 
-def lines_by_supplier(spark, sf_dir, monthly: bool = False) -> DataFrame:
+def within(df, date_col: str, days=None) -> DataFrame:
+    """Rows with first <= date < last; plain bounds, so they reach the scan."""
+    return df if days is None else df.where((F.col(date_col) >= F.lit(days[0])) & (F.col(date_col) < F.lit(days[1])))
+
+
+def lines_by_supplier(spark, sf_dir, monthly: bool = False, days=None) -> DataFrame:
     """lineitem reduced to one row per supplier (per ship month if
     ``monthly``), all flags at once."""
-    li = table(spark, sf_dir, "lineitem")
+    li = within(table(spark, sf_dir, "lineitem"), "l_shipdate", days)
     aggs = [cnt(c).alias(k) for k, c in LINE_FLAGS.items()]
     aggs += [cnt(f"({c}) AND {EARLY}").alias(f"e_{k}") for k, c in LINE_FLAGS.items()]
     aggs += [F.sum(F.col("l_quantity")).cast("long").alias("qty"),
@@ -126,10 +131,10 @@ def lines_by_supplier(spark, sf_dir, monthly: bool = False) -> DataFrame:
     return li.groupBy(*keys).agg(*aggs)
 
 
-def lines_by_nation(spark, sf_dir, monthly: bool = False) -> DataFrame:
+def lines_by_nation(spark, sf_dir, monthly: bool = False, days=None) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("suppkey"), F.col("s_nationkey").cast("long").alias("nationkey"))
-    s = lines_by_supplier(spark, sf_dir, monthly).join(sup, "suppkey")
+    s = lines_by_supplier(spark, sf_dir, monthly, days).join(sup, "suppkey")
     skip = ("suppkey", "nationkey", "month", "qty", "qty_f")
     sums = [F.sum(c).alias(c) for c in s.columns if c not in skip]
     sums += [F.sum("qty").alias("qty"), F.sum("qty_f").alias("qty_f"),
@@ -139,16 +144,14 @@ def lines_by_nation(spark, sf_dir, monthly: bool = False) -> DataFrame:
     return s.groupBy(*keys).agg(*sums).join(nations(spark, sf_dir), "nationkey")
 
 
-def orders_by_nation(spark, sf_dir, monthly: bool = False) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    keys = [F.col("o_custkey").alias("custkey")] + ([order_month().alias("month")] if monthly else [])
-    per_cust = o.groupBy(*keys).agg(*[cnt(c).alias(k) for k, c in ORDER_FLAGS.items()])
+def orders_by_nation(spark, sf_dir, monthly: bool = False, days=None) -> DataFrame:
+    o = within(table(spark, sf_dir, "orders"), "o_orderdate", days)
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").cast("long").alias("nationkey"))
-    j = per_cust.join(cust, "custkey")
-    nkeys = ["nationkey"] + (["month"] if monthly else [])
-    return (j.groupBy(*nkeys).agg(*[F.sum(k).alias(k) for k in ORDER_FLAGS])
-            .join(nations(spark, sf_dir), "nationkey"))
+    # orders hardly collapse per customer, so they meet the two-column customer map while still narrow
+    nkeys = [F.col("nationkey")] + ([order_month().alias("month")] if monthly else [])
+    return (o.join(cust, F.col("o_custkey") == F.col("custkey")).groupBy(*nkeys)
+            .agg(*[cnt(c).alias(k) for k, c in ORDER_FLAGS.items()]).join(nations(spark, sf_dir), "nationkey"))
 
 
 def customers_by_nation(spark, sf_dir) -> DataFrame:
@@ -178,11 +181,13 @@ class Facts:
     With ``materialize=True`` the needed aggregates are written together,
     in one job, as one entity-grain table under ``spark.checkpoint.dir``
     (a tagged ``unionByName``); lineage is cut there and every source reads
-    the small table. ``monthly`` adds a month key to the dated facts.
+    the small table. ``monthly`` adds a month key to the dated facts;
+    ``days`` (first, last) then limits them to a date range at the scan.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False,
-                 needs: set[str] | None = None, monthly: bool = False):
+                 needs: set[str] | None = None, monthly: bool = False, days=None):
+        self.days = days
         self.spark, self.sf_dir, self.materialize, self.monthly = spark, sf_dir, materialize, monthly
         self.needs = set(needs) if needs is not None else {"lines", "orders", "customers"}
         self._memo: dict[str, DataFrame] = {}
@@ -190,13 +195,13 @@ class Facts:
         self._cols: dict[str, list[str]] = {}
 
     @classmethod
-    def for_sources(cls, spark, sf_dir, sources, materialize: bool = True, monthly: bool = False) -> "Facts":
+    def for_sources(cls, spark, sf_dir, sources, materialize: bool = True, monthly: bool = False, days=None) -> "Facts":
         needs = {SOURCE_FACTS[s] for s in sources if SOURCE_FACTS.get(s)}
-        return cls(spark, sf_dir, materialize, needs, monthly)
+        return cls(spark, sf_dir, materialize, needs, monthly, days)
 
     def _build(self, name) -> DataFrame:
         if self.monthly and name in MONTHLY_FACTS:
-            return FACT_BUILDERS[name](self.spark, self.sf_dir, monthly=True)
+            return FACT_BUILDERS[name](self.spark, self.sf_dir, monthly=True, days=self.days)
         return FACT_BUILDERS[name](self.spark, self.sf_dir)
 
     def _wide_table(self) -> DataFrame:
@@ -278,10 +283,15 @@ def src_gm_0_5(spark, sf_dir, facts=None) -> DataFrame:
     else:
         g = li.rollup("n_name").agg(*[F.sum(k).alias(k) for k in keys])
     head, tail = _growth_cols(g, "e_", "_0_5")
+    rest, unseen = g["e_meas"] - g["e_sam"] - g["e_mam"], g["e_all"] - g["e_meas"]
     return g.select(*_mk(g), F.coalesce(F.col("n_name"), F.lit("Total")).alias("district"), *head,
                     g["e_sam"].alias("sam_n"), X.pct(g["e_sam"], g["e_meas"]).alias("sam_pct"),
                     g["e_mam"].alias("mam_n"), X.pct(g["e_mam"], g["e_meas"]).alias("mam_pct"),
-                    *tail)
+                    rest.alias("not_wasted_n"), X.pct(rest, g["e_meas"]).alias("not_wasted_pct"),
+                    unseen.alias("reference_data_not_found"), *tail,
+                    *[c for k, n in (("e_uw_sev", "obese"), ("e_uw_mod", "overweight"), ("e_uw_nor", "not_overweight"))
+                      for c in (g[k].alias(f"{n}_n"), X.pct(g[k], g["e_meas"]).alias(f"{n}_pct"))],
+                    unseen.alias("reference_data_not_found_2"))
 
 
 def src_anaemia(spark, sf_dir, facts=None) -> DataFrame:
@@ -315,8 +325,11 @@ def src_ag(spark, sf_dir, facts=None) -> DataFrame:
     s = table(spark, sf_dir, "supplier").filter(F.expr(AG_FILTER))
     g = s.groupBy(F.col("s_nationkey").cast("long").alias("nationkey")).agg(
         *[cnt(c).alias(k) for k, c in AG_FLAGS.items()])
+    # the given percentage is text, as in the exports, and no number in one region
+    given = F.when(F.col("n_regionkey") == 1, F.lit("NaN")).otherwise(X.pct("ag_measured", "total_ag", 4).cast("string"))
     return g.join(nations(spark, sf_dir), "nationkey").select(
-        F.col("n_name").alias("district"), *AG_FLAGS)
+        F.col("n_name").alias("district"), "total_ag", "ag_measured", given.alias("ag_measured_pct"),
+        *[k for k in AG_FLAGS if k not in ("total_ag", "ag_measured")])
 
 
 def src_me(spark, sf_dir, facts=None) -> DataFrame:
@@ -341,7 +354,8 @@ def src_hv(spark, sf_dir, facts=None) -> DataFrame:
 def src_snp(spark, sf_dir, facts=None) -> DataFrame:
     g = _facts(spark, sf_dir, facts).customers()
     return g.select(
-        F.col("n_name").alias("district"), g.c_all.alias("total_beneficiary"),
+        F.col("n_name").alias("district"), g.pos.alias("project"), g.neg.alias("sector"), g.n_suppliers.alias("awc"),
+        g.c_all.alias("total_beneficiary"),
         g.seg_auto.alias("total_pw"), g.seg_build.alias("total_lm"),
         g.seg_furn.alias("children_6m_3y"), g.seg_house.alias("children_3y_5y"),
         g.seg_mach.alias("children_5y_6y"), g.sam_a.alias("sam_6m_3y"), g.sam_b.alias("sam_3y_5y"),

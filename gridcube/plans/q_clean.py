@@ -19,29 +19,40 @@ RAW_CUSTOMER_HEADERS = [" C Custkey", "C  Name", "C Nationkey ", "C Acctbal", "C
 
 def _padded_customers(spark, sf_dir):
     c = A.table(spark, sf_dir, "customer")
-    padded = c.select("c_custkey", F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("c_name"),
-                      "c_nationkey", "c_acctbal", F.concat(F.col("c_mktsegment"), F.lit("\t")).alias("c_mktsegment"))
+    padded = c.select("c_custkey", F.concat(F.lit("  "), F.col("c_name"), F.lit("\u00a0 ")).alias("c_name"),
+                      "c_nationkey", "c_acctbal", F.concat(F.lit("\r\n"), F.col("c_mktsegment"), F.lit("\t")).alias("c_mktsegment"))
     both = c.unionByName(padded)
     return both.toDF(*RAW_CUSTOMER_HEADERS)
 
 
 @register("basic_clean", """
-SELECT DISTINCT c_custkey, trim(c_name) AS c_name, c_nationkey, c_acctbal, trim(c_mktsegment, ' ') AS c__mktsegment
+SELECT DISTINCT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment AS c__mktsegment
 FROM (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
       UNION ALL
-      SELECT c_custkey, '  ' || c_name || ' ', c_nationkey, c_acctbal, c_mktsegment || chr(9) FROM customer)
+      SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)
 """)
 def q_basic_clean(spark, sf_dir):
-    """Raw headers (padding, doubled spaces) are normalised; strings are
-    trimmed of spaces (a trailing tab survives, as in the exports) and exact
-    duplicate rows collapse. Three spaces normalise to ``c__mktsegment``."""
+    """Raw headers (padding, doubled spaces) are normalised; strings lose
+    spaces, tabs, line ends and no-break spaces at both ends, so the padded
+    copies equal their originals and collapse. Three spaces in a header
+    normalise to ``c__mktsegment``."""
     return CL.basic_clean(_padded_customers(spark, sf_dir))
 
 
-@register("clean_key", f"SELECT p_partkey, {G.clean_key('p_name')} AS key FROM part")
+# Keys as they come from exports: padding of every kind, en dashes, doubled spaces, quotes.
+_DIRTY = {0: ("", ""), 1: ("\t", " \n"), 2: ("\u00a0", "\u2003"), 3: ("  ", " – east"), 4: ("o'", "  (x)"), 5: ("TOTAL  ", "\t")}
+
+
+def dirty(column: str, key: str) -> str:
+    """SQL (either engine) for a text column with the quirks above by key % 6."""
+    cases = " ".join("WHEN {} THEN concat('{}', {}, '{}')".format(k, a.replace("'", "''"), column, b.replace("'", "''")) for k, (a, b) in _DIRTY.items())
+    return f"CASE {key} % 6 {cases} END"
+
+
+@register("clean_key", f"SELECT p_partkey, {G.clean_key(dirty('p_name', 'p_partkey'))} AS key FROM part")
 def q_clean_key(spark, sf_dir):
-    p = A.table(spark, sf_dir, "part")
-    return p.select("p_partkey", X.clean_key("p_name").alias("key"))
+    p = A.table(spark, sf_dir, "part").select("p_partkey", F.expr(dirty("p_name", "p_partkey")).alias("raw"))
+    return p.select("p_partkey", X.clean_key("raw").alias("key"))
 
 
 # Codes built by string concatenation (no arithmetic, so no overflow at any key size):

@@ -55,6 +55,15 @@ for _src, _key in IND_KEYS.items():
     register(_key, _ind_sql(_src))(lambda spark, sf_dir, _s=_src: indicator_frame(spark, sf_dir, _s))
 
 
+@register("ind_partial_coverage_derived", G.with_clause(G.base_ctes(["ag"]) + G.indicator_ctes("ag")[0]) + f"""
+SELECT i.* REPLACE ({G.safe_ratio("i.ag_measured", "i.total_ag")} AS ag_measured_pct) FROM ind_ag i""")
+def q_partial_coverage_derived(spark, sf_dir):
+    """M6 where the export gives no percentage: it is formed from the counts."""
+    ind = I.partial_coverage(A.src_ag(spark, sf_dir).drop("ag_measured_pct"))
+    return ind.select("district", "total_ag", "ag_measured", "ag_measured_pct",
+                      *[c for c in ind.columns if c not in ("district", "total_ag", "ag_measured", "ag_measured_pct")])
+
+
 @register("drop_rollup", G.with_clause(G.base_ctes(["gm_0_5"])) +
           "\nSELECT * FROM src_gm_0_5 WHERE lower(trim(district)) IS DISTINCT FROM 'total'")
 def q_drop_rollup(spark, sf_dir):

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridcube.functions import headers as H
+from gridcube import jobs
 from gridcube.operators import indicators as I
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
 from gridcube.session import checkpoint_dir
 from gridcube.sources import files as FS
-from gridcube.sources.registry import SOURCES, header_matches
+from gridcube.sources.registry import CUBE_ORDER, SOURCES
 from gridcube.streaming import ingest as ING
 
 EXPORT_MONTH = "2025-11"
-EXPORTED = ["gm_5_6", "anaemia", "lbw", "hv", "awc"]
+EXPORTED = list(CUBE_ORDER)
 
 
 def _scratch(spark, tag):
@@ -48,18 +48,22 @@ def q_scan_source(spark, sf_dir):
     return I.readiness(FS.scan_csv(spark, path, SOURCES["awc"]))
 
 
+# the engine's type names from DuckDB's; max keeps it an aggregate
+_DTYPE = "max(CASE typeof({0}) WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE typeof({0}) END)"
+
+
 def _profile_sql():
     parts = []
     for name in EXPORTED:
         for col in G.source_names(name):
-            parts.append(f"SELECT '{name}' AS source, '{col}' AS \"column\", CAST(count(*) AS BIGINT) AS rows, "
+            parts.append(f"SELECT '{name}' AS source, '{col}' AS \"column\", {_DTYPE.format(G.qi(col))} AS dtype, CAST(count(*) AS BIGINT) AS rows, "
                          f"CAST(count(*) FILTER (WHERE {G.qi(col)} IS NULL) AS BIGINT) AS missing FROM src_{name}")
     return G.with_clause(G.base_ctes(EXPORTED)) + "\n" + "\nUNION ALL\n".join(parts)
 
 
 @register("scan_all_profile", _profile_sql())
 def q_scan_all_profile(spark, sf_dir):
-    """Export several sources into a month folder, discover the latest month
+    """Export all ten sources into a month folder, discover the latest month
     folder, resolve every registered source's file in it, scan and profile
     each one (one aggregate per table, unioned)."""
     base = export_month(spark, sf_dir)
@@ -69,14 +73,14 @@ def q_scan_all_profile(spark, sf_dir):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.drop("dtype")
+    return out
 
 
-@register("profile_table", "SELECT 'orders' AS source, c AS \"column\", rows, missing FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS c, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing FROM orders"
+@register("profile_table", "SELECT 'orders' AS source, c AS \"column\", dtype, rows, missing FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS c, {_DTYPE.format(c)} AS dtype, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing FROM orders"
     for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]) + ")")
 def q_profile_table(spark, sf_dir):
-    return FS.profile_table(A.table(spark, sf_dir, "orders"), "orders").drop("dtype")
+    return FS.profile_table(A.table(spark, sf_dir, "orders"), "orders")
 
 
 def _ship_month(spark, sf_dir):
@@ -97,7 +101,7 @@ SELECT n.n_name, {_MONTH_SQL} AS month, CAST(count(*) AS BIGINT) AS rows
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
 WHERE {_MONTH_SQL} = (SELECT max({_MONTH_SQL}) FROM lineitem) GROUP BY 1, 2""")
 def q_latest_month_slice(spark, sf_dir):
-    li = FS.latest_month_slice(_ship_month(spark, sf_dir))
+    li = FS.latest_month_of(A.table(spark, sf_dir, "lineitem"), "l_shipdate").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
     sup = A.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = A.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -137,17 +141,15 @@ def q_ingest_month_stream(spark, sf_dir):
     return ev.groupBy("month", "source", "event_type").agg(F.count(F.lit(1)).cast("long").alias("rows"))
 
 
-EXPORT_FULL = ["gm_5_6", "anaemia", "lbw", "gwg", "me", "hv", "awc"]
+EXPORT_FULL = list(CUBE_ORDER)
 
 
 @register("cube_from_exports", G.with_clause(G.cube_ctes(EXPORT_FULL)) +
           f"\nSELECT '{EXPORT_MONTH}' AS month, * FROM cube")
 def q_cube_from_exports(spark, sf_dir):
-    """The user's path end to end: the seven sources whose exports carry
-    their full header contract are written as monthly CSV files, the monthly
-    ETL job cleans them into month-partitioned tables, and the cube is built
-    from those tables. Must equal the in-memory cube of the same sources."""
-    from gridcube import jobs
+    """The user's path end to end: all ten sources are written as monthly CSV
+    files, the monthly ETL job cleans them into month-partitioned tables, and
+    the cube is built from those tables. Must equal the in-memory cube."""
     raw = export_month(spark, sf_dir, EXPORT_FULL)
     etl = _scratch(spark, "etl")
     jobs.run_month(spark, raw, etl)
@@ -155,87 +157,56 @@ def q_cube_from_exports(spark, sf_dir):
     return jobs.build_month_cube(tables, EXPORT_FULL, strict=True)
 
 
-# ------------------------------------------------------------ contracts
+@register("cube_mixed_months", G.with_clause(G.cube_ctes(CUBE_ORDER, monthly=True)) + "\nSELECT * FROM cube")
+def q_cube_mixed_months(spark, sf_dir):
+    """The cube job over many months at once, where some sources are dated
+    and others (customers, suppliers) are static and join on the district."""
+    facts = A.Facts.for_sources(spark, sf_dir, CUBE_ORDER, monthly=True)
+    tables = {s: A.SOURCE_BUILDERS[s](spark, sf_dir, facts) for s in CUBE_ORDER}
+    return jobs.build_month_cube(tables, CUBE_ORDER, strict=True)
 
-CONTRACT_SOURCES = ["gm_5_6", "anaemia", "lbw", "gwg", "hv", "awc"]
-PLANTED = "lbw"   # exported with a shuffled header to show a failing contract
 
+@register("cube_from_centres", G.with_clause(G.base_ctes(["lbw", "awc"]) + G.indicator_ctes("lbw")[0] + G.indicator_ctes("awc")[0]) + """
+SELECT l.*, a.* EXCLUDE (district) FROM ind_lbw l LEFT JOIN ind_awc a USING (district)""")
+def q_cube_from_centres(spark, sf_dir):
+    """Sources that arrive per centre (here per nation and market segment)
+    are summed to the entity before any ratio is formed."""
+    c = A.table(spark, sf_dir, "customer").join(A.nations(spark, sf_dir), F.col("c_nationkey") == F.col("nationkey"))
+    per = c.groupBy("n_name", "c_mktsegment").agg(*[A.cnt(v).alias(k) for k, v in A.CUST_FLAGS.items()])
+    lbw = per.select(F.lower("n_name").alias("district"), F.col("c_all").alias("total_children_0_6m"), F.col("neg").alias("lbw_children_0_6m"))
+    awc = per.select(F.concat("n_name", F.lit("\t")).alias("district"), F.col("c_all").alias("total_awc"), F.col("pos").alias("active_awc"),
+                     F.col("nonpos").alias("inactive_awc"), F.col("rich").alias("new_awc_month"), F.col("deep").alias("inactive_awc_month"))
+    return jobs.build_month_cube({"lbw": lbw, "awc": awc}, ["lbw", "awc"], strict=True, grain=True)
 
-def _export_for_contracts(spark, sf_dir):
-    base = export_month(spark, sf_dir, CONTRACT_SOURCES)
-    folder = os.path.join(base, EXPORT_MONTH)
-    spec = SOURCES[PLANTED]
-    bad = list(reversed(spec.raw[1:]))          # swapped data columns
-    FS.export_csv(A.SOURCE_BUILDERS[PLANTED](spark, sf_dir).select(*spec.canonical),
-                  os.path.join(folder, spec.file_name(EXPORT_MONTH)), [spec.raw[0]] + bad)
-    return folder
 
+WIDE, OTHER = "lbw", "Nations_Extra.csv"
 
-def _contract_rows():
-    rows = []
-    for name in CONTRACT_SOURCES:
-        spec = SOURCES[name]
-        found = spec.raw if name != PLANTED else [spec.raw[0]] + list(reversed(spec.raw[1:]))
-        for i, ((raw, canon, _), f) in enumerate(zip(spec.columns, found)):
-            rows.append((name, i, raw, f, canon, spec.variant))
-    return rows
-
-
-def _values(rows):
-    def lit(v):
-        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
-    return "VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-
-
-_CONTRACT_VALUES = _values(_contract_rows())
-
-
-@register("schema_contract", f"""
-SELECT source, CAST(position AS BIGINT) AS position, expected, found,
-       (CASE WHEN source = 'hv' THEN starts_with(lower(found), lower(expected)) ELSE lower(found) = lower(expected) END)
-       AS present
-FROM ({_CONTRACT_VALUES}) t(source, position, expected, found, canonical, variant)""")
-def q_schema_contract(spark, sf_dir):
-    """Every exported file's header checked against its contract,
-    position by position; the planted file fails on its swapped columns.
-    Only header lines (bounded metadata) are read on the driver."""
-    folder = _export_for_contracts(spark, sf_dir)
-    files = FS.resolve_files(spark, folder, EXPORT_MONTH, CONTRACT_SOURCES)
-    rows = [(n, i, exp, found, ok)
-            for n in CONTRACT_SOURCES
-            for i, (exp, found, ok) in enumerate(header_matches(SOURCES[n], FS.read_header(spark, files[n])))]
-    return spark.createDataFrame(rows, "source string, position long, expected string, found string, present boolean")
-
-
-
-_NUMBERED_SQL = ("CASE WHEN row_number() OVER (PARTITION BY source, found ORDER BY position) > 1 "
-                 "THEN found || '.' || CAST(row_number() OVER (PARTITION BY source, found ORDER BY position) - 1 AS VARCHAR) "
-                 "ELSE found END")
-
-
-@register("rename_contract", f"""
-SELECT source, CAST(position AS BIGINT) AS position, found AS raw, {_NUMBERED_SQL} AS raw_numbered,
-       CASE variant {" ".join(f"WHEN '{v}' THEN {G.normalize_header('found', v)}" for v in H.VARIANTS)} END AS normalized,
-       canonical
-FROM ({_CONTRACT_VALUES}) t(source, position, expected, found, canonical, variant)""")
-def q_rename_contract(spark, sf_dir):
-    """N1-N9 on real header rows: the header line of every exported file is
-    numbered for repeats (x, x.1, ...), normalised with its source's variant
-    and mapped to the canonical name by position. The rules run as Spark
-    column expressions over the header table."""
-    folder = _export_for_contracts(spark, sf_dir)
-    files = FS.resolve_files(spark, folder, EXPORT_MONTH, CONTRACT_SOURCES)
-    rows = [(n, i, h) for n in CONTRACT_SOURCES for i, h in enumerate(FS.read_header(spark, files[n]))]
-    hdr = spark.createDataFrame(rows, "source string, position long, raw string")
-    contract = spark.createDataFrame(
-        [(n, i, c, SOURCES[n].variant) for n in CONTRACT_SOURCES for i, c in enumerate(SOURCES[n].canonical)],
-        "source string, position long, canonical string, variant string")
-    j = hdr.join(contract, ["source", "position"], "left")
-    rep = F.row_number().over(Window.partitionBy("source", "raw").orderBy("position")) - 1
-    normalized = None
-    for v in H.VARIANTS:
-        e = H.normalize_col("raw", v)
-        normalized = F.when(F.col("variant") == v, e) if normalized is None else normalized.when(F.col("variant") == v, e)
-    return j.select("source", "position", "raw",
-                    F.when(rep > 0, F.concat("raw", F.lit("."), rep.cast("string"))).otherwise(F.col("raw")).alias("raw_numbered"),
-                    normalized.alias("normalized"), "canonical")
+
+def _report_sql():
+    parts = []
+    for s in SOURCES.values():
+        there = s.name in EXPORTED
+        rows = f"(SELECT CAST(count(*) AS BIGINT) FROM src_{s.name})" if there else "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT '{s.file_name(EXPORT_MONTH)}' AS file, '{s.name}' AS source, '{'loaded' if there else 'missing'}' AS status, "
+                     f"CAST({int(s.name == WIDE)} AS BIGINT) AS extra_columns, {rows} AS rows")
+    parts.append(f"SELECT '{OTHER}', '{OTHER[:-4]}', 'unknown', CAST(0 AS BIGINT), (SELECT CAST(count(*) AS BIGINT) FROM nation)")
+    return G.with_clause(G.base_ctes(EXPORTED)) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("ingest_report", _report_sql())
+def q_ingest_report(spark, sf_dir):
+    """A month folder with a source whose export gained a column, a CSV no
+    contract names, and sources that are missing: the report lists each, and
+    every CSV there is scanned (rows counted after the scan)."""
+    base = export_month(spark, sf_dir)
+    folder = os.path.join(base, EXPORT_MONTH)
+    spec = SOURCES[WIDE]
+    wide = A.SOURCE_BUILDERS[WIDE](spark, sf_dir).select(*spec.canonical).withColumn("remark", F.lit("new"))
+    FS.export_csv(wide, os.path.join(folder, spec.file_name(EXPORT_MONTH)), [*spec.raw, "Remark"])
+    nation = A.table(spark, sf_dir, "nation")
+    FS.export_csv(nation, os.path.join(folder, OTHER), nation.columns)
+    tables = FS.scan_folder(spark, folder, EXPORT_MONTH)
+    counts = reduce(lambda a, b: a.unionByName(b),
+                    [df.select("source").groupBy("source").agg(F.count(F.lit(1)).cast("long").alias("rows")) for df in tables.values()])
+    return FS.folder_report(spark, folder, EXPORT_MONTH).join(counts, "source", "left") \
+        .select("file", "source", "status", "extra_columns", "rows")

@@ -72,9 +72,10 @@ _GM05_KEYS = f"(SELECT {G.clean_key('district')} AS district FROM src_gm_0_5)"
 @register("dq_referential", WITH_ALL + "\nSELECT *, orphan_keys = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(
     [_ref_sql(s, f"ind_{s}") for s in CUBE_ORDER] + [_ref_sql("gm_0_5_with_rollup", _GM05_KEYS)]) + ")")
 def q_dq_referential(spark, sf_dir):
-    fr = indicator_frames(spark, sf_dir)
+    facts = A.Facts.for_sources(spark, sf_dir, CUBE_ORDER)
+    fr = indicator_frames(spark, sf_dir, facts=facts)
     frames = dict(fr)
-    frames["gm_0_5_with_rollup"] = CL.clean_key_column(A.src_gm_0_5(spark, sf_dir).select("district"))
+    frames["gm_0_5_with_rollup"] = CL.clean_key_column(A.src_gm_0_5(spark, sf_dir, facts).select("district"))
     return Q.referential(frames, fr["gm_5_6"], "district")
 
 

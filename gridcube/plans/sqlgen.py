@@ -30,7 +30,8 @@ def ratio(a: str, b: str) -> str:
 
 
 def safe_ratio(a: str, b: str, n: int = 2) -> str:
-    return f"coalesce({rnd(ratio(a, b), n)}, 0.0::DOUBLE)"
+    x, y = (f"CASE WHEN isnan({d(e)}) THEN NULL ELSE {d(e)} END" for e in (a, b))
+    return f"coalesce({rnd(ratio(f'({x})', f'({y})'), n)}, 0.0::DOUBLE)"
 
 
 def pct(a: str, b: str, n: int = 2) -> str:
@@ -43,7 +44,9 @@ def inf0(a: str, b: str, n: int = 2) -> str:
 
 
 def lenient(e: str, n: int = 2) -> str:
-    return rnd(f"coalesce(TRY_CAST({e} AS DOUBLE), 0::DOUBLE)", n)
+    plain = "regexp_matches({0}, '^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$')".format(e)
+    v = f"CASE WHEN {plain} THEN TRY_CAST(trim({e}) AS DOUBLE) END"
+    return rnd(f"coalesce(CASE WHEN isfinite({v}) THEN {v} END, 0::DOUBLE)", n)
 
 
 def title(e: str) -> str:
@@ -51,15 +54,21 @@ def title(e: str) -> str:
             f"lambda w: upper(w[1]) || lower(w[2:])), '')")
 
 
+def strip(e: str) -> str:
+    """Python's str.strip: every Unicode separator, ASCII controls and NEL."""
+    ws = "[\\t-\\r\\x1c-\\x20\\x{85}\\p{Z}]"
+    return f"regexp_replace({e}, '^{ws}+|{ws}+$', '', 'g')"
+
+
 def clean_key(e: str) -> str:
-    return f"replace(replace({title(f'trim({e})')}, '–', '-'), '  ', ' ')"
+    return f"replace(replace({title(strip(e))}, '–', '-'), '  ', ' ')"
 
 
 def normalize_header(e: str, variant: str) -> str:
     """Header normalisation (strip, lower, ' ' -> '_', then the variant's
     literal replacements in order) as a SQL expression."""
     from gridcube.functions.headers import VARIANTS
-    s = f"replace(lower(trim({e})), ' ', '_')"
+    s = f"replace(lower({strip(e)}), ' ', '_')"
     for old, new in VARIANTS[variant]:
         s = f"replace({s}, '{old}', '{new}')"
     return s
@@ -164,7 +173,12 @@ def _source_columns() -> dict[str, tuple[str, list[tuple[str, str]], str]]:
     h, t = _growth("", "")
     eh, et = _growth("e_", "_0_5")
     early = eh + [("sam_n", qi("e_sam")), ("sam_pct", pct(qi("e_sam"), qi("e_meas"))),
-                  ("mam_n", qi("e_mam")), ("mam_pct", pct(qi("e_mam"), qi("e_meas")))] + et
+                  ("mam_n", qi("e_mam")), ("mam_pct", pct(qi("e_mam"), qi("e_meas"))),
+                  ("not_wasted_n", "e_meas - e_sam - e_mam"), ("not_wasted_pct", pct("(e_meas - e_sam - e_mam)", qi("e_meas"))),
+                  ("reference_data_not_found", "e_all - e_meas")] + et
+    for k, n in (("e_uw_sev", "obese"), ("e_uw_mod", "overweight"), ("e_uw_nor", "not_overweight")):
+        early += [(f"{n}_n", qi(k)), (f"{n}_pct", pct(qi(k), qi("e_meas")))]
+    early.append(("reference_data_not_found_2", "e_all - e_meas"))
     gwg = [("total_pw", "o_all")]
     for k in (1, 2, 3, 4):
         gwg += [(f"pw_due_anc{k}", f"due{k}"), (f"pw_completed_anc{k}", f"done{k}")]
@@ -186,14 +200,17 @@ def _source_columns() -> dict[str, tuple[str, list[tuple[str, str]], str]]:
         "lbw": ("cust_nat", [("district", "upper(n_name)"), ("total_children_0_6m", "c_all"),
                              ("lbw_children_0_6m", "neg")], ""),
         "gwg": ("ord_nat", [("district", "n_name")] + gwg, ""),
-        "ag": ("ag_nat", [("district", "n_name")] + [(k, qi(k)) for k in A.AG_FLAGS], ""),
+        "ag": ("ag_nat", [("district", "n_name"), ("total_ag", "total_ag"), ("ag_measured", "ag_measured"),
+                          ("ag_measured_pct", f"CASE WHEN n_regionkey = 1 THEN 'NaN' ELSE CAST({pct('ag_measured', 'total_ag', 4)} AS VARCHAR) END")]
+               + [(k, qi(k)) for k in A.AG_FLAGS if k not in ("total_ag", "ag_measured")], ""),
         "me": ("li_nat", [("district", "n_name"), ("children_total", qi("all")),
                           ("children_measured", "meas"), ("children_measured_pct", pct("meas", qi("all"))),
                           ("aww_completed_80pct_me", "q40")], ""),
         "hv": ("li_nat", [("district", "n_name"), ("total_aww", "n_sup"), ("target_visits", "qty"),
                           ("visits_made", "qty_f"), ("visit_coverage_pct", cov),
                           ("aww_60pct_hv", "n_sup_half")], ""),
-        "snp": ("cust_nat", [("district", "n_name"), ("total_beneficiary", "c_all"), ("total_pw", "seg_auto"),
+        "snp": ("cust_nat", [("district", "n_name"), ("project", "pos"), ("sector", "neg"), ("awc", "n_suppliers"),
+                             ("total_beneficiary", "c_all"), ("total_pw", "seg_auto"),
                              ("total_lm", "seg_build"), ("children_6m_3y", "seg_furn"),
                              ("children_3y_5y", "seg_house"), ("children_5y_6y", "seg_mach"),
                              ("sam_6m_3y", "sam_a"), ("sam_3y_5y", "sam_b"), ("suw_6m_3y", "suw_a"),
@@ -273,7 +290,7 @@ def indicator_layers(source: str, monthly: bool = False) -> list[list[tuple[str,
                  ("pw_hb_measured_pct", safe_ratio("pw_hb_measured", "total_pw")),
                  ("pw_anaemia_latest_pct", safe_ratio("pw_anaemic_latest", "pw_hb_measured"))]]
     if source == "ag":
-        return [[("ag_measured_pct", safe_ratio("ag_measured", "total_ag")),
+        return [[("ag_measured_pct", lenient("ag_measured_pct")),
                  ("ag_underweight", "coalesce(ag_severely_thin, 0) + coalesce(ag_thin, 0)")],
                 [("ag_underweight_pct", safe_ratio("ag_underweight", "total_ag")),
                  ("ag_anaemia_rate", safe_ratio("ag_anaemic", "ag_hb_measured"))]]

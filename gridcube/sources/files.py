@@ -16,11 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcube.functions.headers import number_duplicates
+from gridcube.functions import exprs as X
+from gridcube.functions.headers import normalize_names, number_duplicates
 from gridcube.sources.registry import SOURCES, SourceSpec, header_matches
 
 MONTH_RE = r"^\d{4}-\d{2}$"
 SUPPORTED = (".csv",)
+# Texts that stand for a missing number in exports.
+MISSING = ("", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None", "-nan", "-NaN", "#N/A", "<NA>")
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -32,31 +39,59 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return next(csv.reader([first.value]))
 
 
+def read_strings(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """Header (repeats numbered, blanks named) and all columns as strings.
+    Spark checks every part file's header line against it while scanning;
+    only where a header repeats a name are later parts taken by position."""
+    header = read_header(spark, path)
+    names = number_duplicates(header)
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", names != header)
+          .option("mode", "FAILFAST").csv(path))
+    return header, df
+
+
+def typed(c: F.Column, kind: T.DataType) -> F.Column:
+    """A text field as its contract's type; the usual tokens for a missing
+    value are NULL, any other text that is no number is an error."""
+    if isinstance(kind, T.StringType):
+        return c
+    return F.when(~X.strip(c).isin(*MISSING), X.strip(c)).cast(kind)
+
+
 def scan_csv(spark: SparkSession, path: str, spec: SourceSpec, strict: bool = True,
-             keep_extra: bool = False) -> DataFrame:
+             keep_extra: bool = True) -> DataFrame:
     """Read one monthly export with the canonical schema applied by
     position, after checking the file's header against the contract.
 
     Unsupported extensions raise ``ValueError``; a header that does not
-    match the contract raises ``KeyError`` in strict mode. Columns after the
-    contract's (an export that gained a column) are read as strings and
-    dropped unless ``keep_extra``, so they never break the scan.
+    match the contract raises ``KeyError`` in strict mode, and otherwise the
+    columns it lacks are NULL. Columns after the contract's (an export that
+    gained a column) follow as strings under their normalised header unless
+    ``keep_extra`` is off.
     """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     if ext not in SUPPORTED:
-        raise ValueError(f"Unsupported file type: {ext}")
-    header = read_header(spark, path)
-    check = header_matches(spec, header)
-    bad = [(exp, found) for exp, found, ok in check if not ok]
+        raise ValueError(f"{path}: only {', '.join(SUPPORTED)} files can be scanned, not {ext or 'a file without extension'}")
+    header, df = read_strings(spark, path)
+    bad = [(exp, found) for exp, found, ok in header_matches(spec, header) if not ok]
     if bad and strict:
         raise KeyError(f"{spec.name}: header does not match contract: {bad}")
-    schema = spec.schema()
-    extra = [f"extra_{i}" for i in range(len(spec.columns), len(header))]
-    for name in extra:
-        schema = schema.add(name, T.StringType(), True)
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-          .option("mode", "FAILFAST").csv(path))
-    return df if keep_extra else df.select(*spec.canonical)
+    schema, raw = spec.schema(), df.columns
+    cols = [typed(F.col(_q(raw[i])) if i < len(raw) else F.lit(None).cast("string"), f.dataType).alias(f.name)
+            for i, f in enumerate(schema)]
+    if keep_extra:
+        extra = [n for n in normalize_names(raw[len(schema):], spec.variant)]
+        taken = [f"{n}_extra" if n in schema.names else n for n in extra]
+        cols += [F.col(_q(r)).alias(n) for r, n in zip(raw[len(schema):], taken)]
+    return df.select(*cols)
+
+
+def scan_unknown(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV without a contract: every column as a string under its
+    normalised header."""
+    _, df = read_strings(spark, path)
+    return df.toDF(*number_duplicates(normalize_names(df.columns)))
 
 
 def schema_contract(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
@@ -79,7 +114,7 @@ def _listdir(spark: SparkSession, folder: str) -> list[str]:
     p = jvm.org.apache.hadoop.fs.Path(folder)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
-        raise FileNotFoundError(f"Base directory not found: {folder}")
+        raise FileNotFoundError(f"{folder} does not exist")
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
@@ -98,7 +133,7 @@ def latest_month_folder(spark: SparkSession, base: str) -> str:
     """S4 on folders: lexicographic max; none -> ``RuntimeError``."""
     months = month_folders(spark, base)
     if not months:
-        raise RuntimeError(f"No month folders found under {base}")
+        raise RuntimeError(f"{base} has no folder named like a month (YYYY-MM)")
     return months[-1]
 
 
@@ -115,19 +150,43 @@ def resolve_files(spark: SparkSession, folder: str, month: str,
     return out
 
 
-def scan_folder(spark: SparkSession, folder: str, month: str,
-                names: list[str] | None = None, with_metadata: bool = True) -> dict[str, DataFrame]:
-    """S2 + S14: one lazy DataFrame per registered source found in the
-    folder, tagged with month, source and input file path."""
-    out = {}
-    for name, path in resolve_files(spark, folder, month, names).items():
+def folder_report(spark: SparkSession, folder: str, month: str) -> DataFrame:
+    """What a month folder holds against the registry: one row per registered
+    source and per other CSV, (file, source, status, extra_columns). Status is
+    ``loaded``, ``missing`` (no such file), ``unknown`` (a CSV no contract
+    names) or ``mismatch`` (its header breaks the contract)."""
+    rows, known = [], set()
+    for name, path in resolve_files(spark, folder, month).items():
         if path is None:
+            rows.append((SOURCES[name].file_name(month), name, "missing", 0))
             continue
-        df = scan_csv(spark, path, SOURCES[name])
-        if with_metadata:
-            df = df.select("*", F.lit(month).alias("month"), F.lit(name).alias("source"),
-                           F.col("_metadata.file_path").alias("file_path"))
-        out[name] = df
+        known.add(os.path.basename(path))
+        header, spec = read_header(spark, path), SOURCES[name]
+        ok = all(fine for _, _, fine in header_matches(spec, header))
+        rows.append((os.path.basename(path), name, "loaded" if ok else "mismatch", max(0, len(header) - len(spec.columns))))
+    for f in sorted(_listdir(spark, folder)):
+        if f not in known and f.lower().endswith(SUPPORTED):
+            rows.append((f, os.path.splitext(f)[0], "unknown", 0))
+    return spark.createDataFrame(rows, "file string, source string, status string, extra_columns long")
+
+
+def scan_folder(spark: SparkSession, folder: str, month: str,
+                names: list[str] | None = None, with_metadata: bool = True) -> dict[str, DataFrame]:
+    """S2 + S14: one lazy DataFrame per CSV of the folder, tagged with month,
+    source and input file path. Registered sources are read under their
+    contract; unless ``names`` picks some, every other CSV is read too, all
+    columns as strings, under its file name without extension
+    (``folder_report`` lists what was found, missing and unknown)."""
+    found = {n: p for n, p in resolve_files(spark, folder, month, names).items() if p is not None}
+    out = {n: scan_csv(spark, p, SOURCES[n]) for n, p in found.items()}
+    if names is None:
+        known = {os.path.basename(p) for p in found.values()}
+        for f in sorted(_listdir(spark, folder)):
+            if f not in known and f.lower().endswith(SUPPORTED):
+                out[os.path.splitext(f)[0]] = scan_unknown(spark, os.path.join(folder, f))
+    if with_metadata:
+        out = {n: df.select("*", F.lit(month).alias("month"), F.lit(n).alias("source"),
+                            F.col("_metadata.file_path").alias("file_path")) for n, df in out.items()}
     return out
 
 
@@ -136,11 +195,11 @@ def profile_table(df: DataFrame, name: str | None = None) -> DataFrame:
     (source, column, dtype, rows, missing)."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count(F.when(F.col(f"`{f.name}`").isNull(), F.lit(1))).alias(f"m{i}") for i, f in enumerate(fields)]
+    aggs += [F.count(F.when(F.col(_q(f.name)).isNull(), F.lit(1))).alias(f"m{i}") for i, f in enumerate(fields)]
     r = df.agg(*aggs)
-    body = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', m{i}" for i, f in enumerate(fields))
-    out = r.select(F.col("__rows").cast("long").alias("rows"),
-                   F.expr(f"stack({len(fields)}, {body}) AS (column, dtype, missing)"))
+    each = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                     F.col(f"m{i}").alias("missing")) for i, f in enumerate(fields)]
+    out = r.select(F.col("__rows").cast("long").alias("rows"), F.inline(F.array(*each)))
     out = out.select(F.lit(name).alias("source"), "column", "dtype", "rows", F.col("missing").cast("long"))
     return out
 
@@ -164,6 +223,14 @@ def latest_month_slice(df: DataFrame, month_col: str = "month") -> DataFrame:
     return df.where(F.col(month_col) == latest)
 
 
+def latest_month_of(df: DataFrame, date_col: str) -> DataFrame:
+    """S4/S9 on a table that has dates but no month column: rows from the
+    first day of the latest date's month on. The bound is a scalar subquery on
+    the plain date column, so it reaches the scan as a data filter."""
+    first = df.agg(F.trunc(F.max(date_col), "month")).scalar()
+    return df.where(F.col(date_col) >= first)
+
+
 def projection_month(month_col) -> F.Column:
     """The month after ``month_col`` (``YYYY-MM``); NULL for anything that
     is not a well-formed month (no exception under ANSI mode)."""

@@ -136,7 +136,7 @@ SOURCES: dict[str, SourceSpec] = {
             ("District", "district", S),
             ("Total Active AG", "total_ag", L),
             ("Active AG Measured (Height & Weight)", "ag_measured", L),
-            ("% of AG measured", "ag_measured_pct", D),
+            ("% of AG measured", "ag_measured_pct", S),
             ("Severely Thin", "ag_severely_thin", L),
             ("Thin", "ag_thin", L),
             ("Normal", "ag_normal", L),
