@@ -11,11 +11,14 @@ from __future__ import annotations
 import base64
 import re
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcube.llm.batches import small
+
 LONG = 1 << 16                                   # characters encoded at a time
 _SAFE = re.compile(r"(?<=[A-Za-z0-9])(?= )")
 
@@ -47,22 +50,26 @@ def encode_text(enc: tiktoken.Encoding, text: str | None) -> list[int]:
     return [i for p in pieces(text) for i in enc.encode_ordinary(p)]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "token_ids") -> DataFrame:
-    """``docs`` and ``out``, the ids as an array<int>, in one scan. NULL and
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "token_ids",
+           keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns (all by default) and ``out``, the ids as an
+    array<int>, in one scan. NULL and
     empty texts have no ids; very long texts are encoded whole, in pieces;
     repeated rows encode alike; an empty table gives no rows. A column named
     ``out`` is replaced."""
     docs = docs.drop(out)
-    at = docs.columns.index(text_col)
+    keep = list(docs.columns if keep is None else keep)
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text_col in keep else [F.col(f"`{text_col}`")]))
+    at, n = rows.columns.index(text_col), len(keep)
 
     def run(batches):
         enc = None
-        for b in batches:
+        for b in small(batches, at):
             enc = enc or load(path, pattern)
-            ids = [encode_text(enc, t) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*b.schema.names, out])
+            ids = [np.array(encode_text(enc, t), np.int32) for t in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(ids, pa.list_(pa.int32()))], names=[*keep, out])
 
-    return docs.mapInArrow(run, docs.withColumn(out, F.array(F.lit(0))).schema)
+    return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.array(F.lit(0))).schema)
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -73,7 +80,7 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids",
 
     def run(batches):
         enc = None
-        for b in batches:
+        for b in small(batches, at):
             enc = enc or load(path, pattern)
             got = [enc.decode_bytes(i) if i else b"" for i in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*b.schema.names, out])

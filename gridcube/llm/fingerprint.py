@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcube.llm.batches import small
 from gridcube.session import materialize
 
 SHINGLE, FLOOR, SCALE = 5, 16, 16
@@ -86,7 +87,7 @@ def with_sketch(docs: DataFrame, text_col: str = "text", out: str = "sketch") ->
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for b in batches:
+        for b in small(batches, at):
             got = [as_text(sketch(t or b"")) for t in b.column(at).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())], names=[*b.schema.names, out])
 
@@ -124,7 +125,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         part = TaskContext.get().partitionId()
         before = opening = None
         kind = None
-        for b in batches:
+        for b in small(batches, 1):
             kind, out_ids, out = b.schema.field(0).type, [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = sketch(text.encode())

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcube.llm.batches import small
 from gridcube.session import materialize
 
 STATISTICS = ("log_bytes", "log_words", "word_bytes", "upper", "lower", "digit", "stop", "bang", "bar", "symbol",
@@ -48,7 +49,7 @@ def statistics(raw: bytes | None) -> list[float]:
 def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, stats array<double>) for every row, in one scan."""
     def run(batches):
-        for b in batches:
+        for b in small(batches, 1):
             rows = [statistics(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["id", "stats"])
 

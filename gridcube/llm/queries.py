@@ -67,7 +67,7 @@ def tokenizer() -> tuple[str, str]:
 
 
 def op8_bpe(spark, sf_dir):
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *tokenizer()).drop("text")
+    ids = bpe.encode(table(spark, sf_dir, "documents"), *tokenizer(), keep=["doc_id"])
     return bpe.decode(ids, *tokenizer()).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcube.llm.batches import small
 from gridcube.llm.components import connected_components
 from gridcube.session import materialize
 
@@ -66,7 +67,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3,
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text < len(keep) else [F.col(f"`{text_col}`")]))
 
     def fp(batches):
-        for b in batches:
+        for b in small(batches, text):
             texts = b.column(text).cast(pa.binary()).to_pylist()
             got = np.fromiter((fingerprint_bytes(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(got, pa.int64())], names=[*keep, out])

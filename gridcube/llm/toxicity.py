@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcube.llm.batches import small
+
 BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 8, (3, 4, 5)
 MAX_PER_CLASS = 1200        # bound of the training sample: rows of each label
 MAX_TRAIN_CHARS = 30_000    # longer texts are scored whole but not used for training
@@ -175,7 +177,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
 
     def run(batches):
         known: dict[str, float] = {}
-        for b in batches:
+        for b in small(batches, at):
             got = [model.probability(t, known) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(got, pa.float64())], names=[*keep, out])
 
