@@ -122,36 +122,34 @@ def rebuild_match(a: DataFrame, b: DataFrame) -> DataFrame:
 def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
                    rtol: float = 1e-6, atol: float = 0.0) -> DataFrame:
     """Q8: same columns and keys; numeric columns equal within
-    ``|a-b| <= atol + rtol*|b|`` (NULL equals NULL). One full join on the
-    keys, then a long-form aggregate: (column, mismatches, max_abs_diff,
-    key_only, passed)."""
+    ``|a-b| <= atol + rtol*|b|``, all others equal as text (NULL equals NULL).
+    One full join on the keys, then one aggregate with a few expressions per
+    column, unpivoted to (column, mismatches, max_abs_diff, key_only, passed);
+    max_abs_diff is NULL for columns that are not numeric."""
     if sorted(stored.columns) != sorted(fresh.columns):
         raise ValueError("column sets differ: "
                          f"{sorted(set(stored.columns) ^ set(fresh.columns))}")
-    num = [f.name for f in stored.schema.fields
-           if isinstance(f.dataType, T.NumericType) and f.name not in keys]
-    s = stored.select(*_k(keys), *[F.col(f"`{c}`").cast("double").alias(f"s{i}") for i, c in enumerate(num)],
-                      F.lit(True).alias("__s"))
-    f = fresh.select(*_k(keys), *[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(num)],
-                     F.lit(True).alias("__f"))
-    j = s.join(f, keys, "full")
-    # long form: one (column, stored, fresh) record per numeric column, then a
-    # groupBy(column) with map-side partial aggregation
-    recs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("a"),
-                                        F.col(f"f{i}").alias("b")) for i, c in enumerate(num)])).alias("r")
+    cols = [f for f in stored.schema.fields if f.name not in keys]
+    number = [isinstance(f.dataType, T.NumericType) for f in cols]
+
+    def side(df, tag):
+        return df.select(*_k(keys), *[F.col(f"`{f.name}`").cast("double" if n else "string").alias(f"{tag}{i}")
+                                      for i, (f, n) in enumerate(zip(cols, number))], F.lit(True).alias(f"__{tag}"))
+
+    j = side(stored, "s").join(side(fresh, "f"), keys, "full")
     both = F.col("__s").isNotNull() & F.col("__f").isNotNull()
-    long = j.select(both.alias("both"), recs).select("both", "r.*")
-    a, b = F.col("a"), F.col("b")
-    d = F.abs(a - b)
-    bad = (F.when(a.isNull() & b.isNull(), F.lit(False))
-           .when(a.isNull() | b.isNull(), F.lit(True))
-           .otherwise(d > F.lit(atol) + F.lit(rtol) * F.abs(b)))
-    per_col = long.groupBy("column").agg(
-        F.count(F.when(F.col("both") & bad, F.lit(1))).cast("long").alias("mismatches"),
-        F.max(F.when(F.col("both"), d)).alias("max_abs_diff"),
-        F.count(F.when(~F.col("both"), F.lit(1))).cast("long").alias("key_only"))
-    return per_col.select("column", "mismatches", X.rnd("max_abs_diff", 9).alias("max_abs_diff"), "key_only",
-                          ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
+    aggs = [F.count(F.when(~both, F.lit(1))).cast("long").alias("key_only")]
+    for i, n in enumerate(number):
+        a, b = F.col(f"s{i}"), F.col(f"f{i}")
+        d = F.abs(a - b) if n else F.lit(None).cast("double")
+        same = (d <= F.lit(atol) + F.lit(rtol) * F.abs(b)) if n else a == b
+        bad = F.when(a.isNull() & b.isNull(), F.lit(False)).when(a.isNull() | b.isNull(), F.lit(True)).otherwise(~same)
+        aggs += [F.count(F.when(both & bad, F.lit(1))).cast("long").alias(f"m{i}"), F.max(F.when(both, d)).alias(f"d{i}")]
+    each = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"m{i}").alias("mismatches"),
+                              X.rnd(f"d{i}", 9).alias("max_abs_diff")) for i, f in enumerate(cols)])
+    return j.agg(*aggs).select("key_only", F.inline(each)).select(
+        "column", "mismatches", "max_abs_diff", "key_only",
+        ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
 
 
 def rollup_reconcile(df: DataFrame, key: str, columns: list[str], label: str = "total") -> DataFrame:

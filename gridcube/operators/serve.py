@@ -144,29 +144,30 @@ def lookup(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,
            key: str = "District") -> DataFrame:
     """L1-L3 for a table of requests.
 
-    Exact: trimmed, case-folded equality. Fallback, only for requests with
+    Exact: stripped, case-folded equality. Fallback, only for requests with
     no exact match: the request is a literal substring of a key; the first
     key in key order wins. Otherwise ``not_found``.
 
-    The cube side is reduced to two lookup maps, each unique on the
-    normalised text: normalised key -> first key, and key substring -> first
-    key (every key expanded into all its substrings; keys are short names,
-    so this is O(len^2) per key and independent of the request volume).
-    Each request then needs two many-to-one left joins: no aggregation over
-    requests and no fan-out; when the maps pass the planner's broadcast size
-    check the request table is not shuffled at all.
+    Each distinct request text is resolved once. Texts without an exact match
+    meet the keys over a block: the text's first three characters (or all, if
+    it is shorter), which any key that contains it has as a substring too. A
+    key of length n has at most 3n blocks, and ``contains`` decides inside a
+    block. The resolved texts then join back to the requests, one to many.
     """
     keys = cube.select(_c(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     keys = keys.withColumn("__nk", _norm(F.col("__key")))
-    exact = keys.groupBy(F.col("__nk").alias("__q")).agg(F.min("__key").alias("__exact"))
-    n = F.length("__nk")
-    subs = (keys.select("__key", "__nk", F.explode(F.sequence(F.lit(0), n)).alias("__len"))
-            .select("__key", "__nk", "__len", F.explode(F.sequence(F.lit(1), n - F.col("__len") + 1)).alias("__pos"))
-            .select("__key", F.substring("__nk", F.col("__pos"), F.col("__len")).alias("__q")))
-    part = subs.groupBy("__q").agg(F.min("__key").alias("__part"))
     req = requests.select(_c(req_id).alias("request_id"), _c(req_name).alias("request"),
                           _norm(_c(req_name)).alias("__q"))
-    out = req.join(exact, "__q", "left").join(part, "__q", "left")
+    texts = req.select("__q").where(F.col("__q").isNotNull()).distinct()
+    exact = keys.groupBy(F.col("__nk").alias("__q")).agg(F.min("__key").alias("__exact"))
+    texts = texts.join(exact, "__q", "left")
+    size = F.explode(F.sequence(F.lit(0), F.least(F.lit(3), F.length("__nk")))).alias("__n")
+    blocks = keys.select("__key", "__nk", size) \
+        .select("__key", "__nk", F.explode(F.transform(F.sequence(F.lit(1), F.length("__nk") - F.col("__n") + 1),
+                                                       lambda i: F.substring(F.col("__nk"), i, F.col("__n")))).alias("__b")).distinct()
+    open_ = texts.where(F.col("__exact").isNull()).select("__q", F.substring("__q", 1, 3).alias("__b"))
+    part = open_.join(blocks, "__b").where(F.contains("__nk", "__q")).groupBy("__q").agg(F.min("__key").alias("__part"))
+    out = req.join(texts.join(part, "__q", "left"), "__q", "left")
     return out.select(
         "request_id", "request",
         F.coalesce("__exact", "__part").alias("match"),
@@ -175,12 +176,38 @@ def lookup(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,
          .otherwise(F.lit("not_found")).alias("status"))
 
 
+def lookup_records(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,
+                   key: str = "District", full: DataFrame | None = None, full_key: str = "district") -> DataFrame:
+    """Every request with its status, the matched key and that
+    key's structured profile; ``raw`` is the JSON of all columns of ``full``
+    (the cube itself, say) or else of ``cube``. If some request was not found,
+    one row per available key with status ``available`` follows, in place of
+    a copy of the list in every such request."""
+    found = lookup(requests, req_id, req_name, cube, key)
+    shown = structured_profile(cube, key, with_raw=full is None)
+    if full is not None:
+        shown = shown.join(full.select(_c(full_key).alias("district"), _json(full).alias("raw")), "district", "left")
+    groups = [c for c in shown.columns if c != "district"]
+    records = found.join(shown.withColumnRenamed("district", "match"), "match", "left") \
+        .select("request_id", "request", "match", "status", *groups)
+    some = found.where(F.col("status") == "not_found").limit(1).select(F.lit("available").alias("status"))
+    keys = cube.select(_c(key).alias("match")).where(_c(key).isNotNull()).distinct().withColumn("status", F.lit("available"))
+    return records.unionByName(keys.join(some, "status", "left_semi"), allowMissingColumns=True)
+
+
+def _json(df: DataFrame):
+    """All columns of a row as JSON, NaN as null."""
+    return F.to_json(F.struct(*[X.nan_to_null(_c(f.name)).alias(f.name) if f.dataType.typeName() in ("double", "float")
+                                else _c(f.name) for f in df.schema.fields]), {"ignoreNullFields": "false"})
+
+
 def structured_profile(cube: DataFrame, key: str = "District", with_raw: bool = True) -> DataFrame:
     """One nested record per key; NaN becomes NULL; ``raw`` carries
     every column as JSON."""
     def v(name):
         return X.nan_to_null(_c(name)) if name in cube.columns else F.lit(None).cast("double")
 
+    # fixed values: the group and field names of a profile
     cols = [
         _c(key).alias("district"),
         F.struct(v("Stunting_Total_%").alias("stunting_pct"), v("Underweight_Total_%").alias("underweight_pct"),
@@ -194,7 +221,5 @@ def structured_profile(cube: DataFrame, key: str = "District", with_raw: bool =
                  v("Active_AWC_%").alias("active_awc_pct")).alias("service_delivery"),
     ]
     if with_raw:
-        clean = [X.nan_to_null(_c(f.name)).alias(f.name) if f.dataType.typeName() in ("double", "float")
-                 else _c(f.name) for f in cube.schema.fields]
-        cols.append(F.to_json(F.struct(*clean)).alias("raw"))
+        cols.append(_json(cube).alias("raw"))
     return cube.select(*cols)

@@ -73,40 +73,43 @@ def top_bottom_report(df: DataFrame, key: str, metrics: list[str], n: int = 5,
 
 # ------------------------------------------------------------ correlation
 
-def _pairs(cols: list[str], full: bool = False):
-    """(pos_a, pos_b, a, b): upper triangle in input order, or all cells."""
-    return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if full or j > i]
-
-
-def _corr_long(df: DataFrame, pairs, count_col: bool = True, digits: int | None = 6,
-               by: list[str] | None = None) -> DataFrame:
-    """Pearson r for many pairs in long form: every row is exploded into one
-    (pair, a, b) record per pair and a ``groupBy(pair)`` does the work. The
-    partial aggregate runs map-side, so the shuffle carries one small row
-    per pair per partition, and the generated code stays small however many
-    columns there are. With ``by`` (e.g. month) there is one report per group."""
+def _pairs(cols: list[str], diagonal: bool = False):
+    """(pos_a, pos_b, a, b): upper triangle in input order, perhaps with the
+    diagonal."""
+    return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i or (diagonal and i == j)]
+
+
+PAIRS_PER_AGGREGATE = 40
+
+
+def _corr_pairs(df: DataFrame, pairs, digits: int | None = 6, by: list[str] | None = None) -> DataFrame:
+    """Pearson r for many pairs, each a plain aggregate expression: one row per
+    group holds ``PAIRS_PER_AGGREGATE`` pairs at a time (so the generated code
+    stays small for wide tables) and is unpivoted afterwards. No row is
+    multiplied, and the shuffle carries one buffer row per group and partition.
+    ``n_rows`` counts the rows where both values are present and not NaN."""
     by = list(by or [])
-    recs = F.explode(F.array(*[
-        F.struct(F.lit(i).cast("long").alias("pos_a"), F.lit(j).cast("long").alias("pos_b"),
-                 _c(a).cast("double").alias("a"), _c(b).cast("double").alias("b"))
-        for i, j, a, b in pairs])).alias("p")
-    long = df.select(*[_c(k) for k in by], recs).select(*by, "p.*")
-    agg = long.groupBy(*by, "pos_a", "pos_b").agg(
-        X.safe_corr("a", "b").alias("correlation"),
-        F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).alias("n_rows"))
-    names = df.sparkSession.createDataFrame([(i, j, a, b) for i, j, a, b in pairs],
-                                            "pos_a long, pos_b long, indicator_a string, indicator_b string")
-    if by:
-        # per group: the pairs of the groups that have rows (names is a small fixed list)
-        out = agg.join(names, ["pos_a", "pos_b"])
-    else:
-        # every pair is reported, also when no row survives (NULL r, 0 rows)
-        out = names.join(agg, ["pos_a", "pos_b"], "left")
-    out = out.select(*by, "indicator_a", "indicator_b", "pos_a", "pos_b", "correlation",
-                     F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"))
-    if digits is not None:
-        out = out.withColumn("correlation", X.rnd("correlation", digits))
-    return out if count_col else out.drop("n_rows")
+    parts = []
+    for at in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        some = pairs[at:at + PAIRS_PER_AGGREGATE]
+        aggs = [e for k, (_, _, a, b) in enumerate(some)
+                for e in (X.safe_corr(_c(a), _c(b)).alias(f"r{k}"), F.count(X.pair_masked(_c(a), _c(b))[0]).alias(f"n{k}"))]
+        one = df.groupBy(*[_c(k) for k in by]).agg(*aggs)
+        each = F.array(*[F.struct(F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
+                                  F.lit(i).cast("long").alias("pos_a"), F.lit(j).cast("long").alias("pos_b"),
+                                  F.col(f"r{k}").alias("correlation"), F.col(f"n{k}").cast("long").alias("n_rows"))
+                         for k, (i, j, a, b) in enumerate(some)])
+        parts.append(one.select(*[_c(k) for k in by], F.inline(each)))
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    return out.withColumn("correlation", X.rnd("correlation", digits)) if digits is not None else out
+
+
+def _mirrored(upper: DataFrame) -> DataFrame:
+    """The full matrix from its upper triangle and diagonal."""
+    low = upper.where(F.col("pos_a") < F.col("pos_b")).select(
+        F.col("indicator_b").alias("indicator_a"), F.col("indicator_a").alias("indicator_b"),
+        F.col("pos_b").alias("pos_a"), F.col("pos_a").alias("pos_b"), "correlation", "n_rows")
+    return upper.unionByName(low)
 
 
 def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None = 6,
@@ -120,7 +123,7 @@ def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None =
         raise KeyError(f"columns not found: {missing}")
     by = list(by or [])
     sub = listwise_drop(df.select(*[_c(k) for k in by], *[_c(c).cast("double").alias(c) for c in columns]), columns)
-    return _corr_long(sub, _pairs(columns), True, digits, by)
+    return _corr_pairs(sub, _pairs(columns), digits, by)
 
 
 def corr_strongest(pairs_df: DataFrame, top: int = 10) -> DataFrame:
@@ -139,7 +142,7 @@ def corr_matrix_pairwise(df: DataFrame, columns: list[str], digits: int | None =
     if len(cols) < 2:
         raise ValueError("need at least two existing columns for a correlation matrix")
     sub = df.select(*[_c(c).cast("double").alias(c) for c in cols])
-    return _corr_long(sub, _pairs(cols, full=True), True, digits)
+    return _mirrored(_corr_pairs(sub, _pairs(cols, diagonal=True), digits))
 
 
 def corr_matrix_rounded(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -224,6 +227,17 @@ def _pair_names(df: DataFrame, pairs) -> DataFrame:
                                            "pair long, indicator_a string, indicator_b string")
 
 
+def rank_matrix(df: DataFrame, columns: list[str], method: str = "spearman", digits: int = 2) -> DataFrame:
+    """The full rounded Spearman or Kendall matrix in long form, with the
+    diagonal: 1 where a column has two different values, else NULL."""
+    fn = {"spearman": corr_spearman, "kendall": corr_kendall}[method]
+    cols = [c for c in columns if c in df.columns]
+    at = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i).cast("long"))])
+    upper = fn(df, cols, None).withColumns({"pos_a": at[F.col("indicator_a")], "pos_b": at[F.col("indicator_b")]})
+    own = _corr_pairs(df.select(*[_c(c).cast("double").alias(c) for c in cols]), [(i, i, c, c) for i, c in enumerate(cols)], None)
+    return _mirrored(upper.unionByName(own)).withColumn("correlation", X.rnd("correlation", digits))
+
+
 def _finish(df: DataFrame, pairs, res: DataFrame, digits: int | None) -> DataFrame:
     out = _pair_names(df, pairs).join(res, "pair", "left")
     r = X.rnd("correlation", digits) if digits is not None else F.col("correlation")

@@ -11,7 +11,7 @@ from gridcube.operators import ml as ML
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
-from gridcube.plans.q_stats import legacy
+from gridcube.plans.q_stats import WITH_LEGACY, legacy
 
 LI_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 LI_TARGET = "l_extendedprice"
@@ -63,7 +63,9 @@ def q_regression_metrics(spark, sf_dir):
 
 
 def _cube_models(spark, sf_dir):
-    cube = legacy(spark, sf_dir)
+    """The legacy view (written once: two guards, two fits and the scoring read
+    it) and both forests, each trained on its 70 % side."""
+    cube = legacy(spark, sf_dir, materialized=True)
     out = {}
     for name, (feats, target, pred) in ML.MODELS.items():
         feats = ML.present_features(cube, feats)
@@ -73,31 +75,82 @@ def _cube_models(spark, sf_dir):
     return cube, out
 
 
-@register("rf_predict")
+# Forest outputs are no SQL, but what has to hold for them is: which rows are
+# scored, on which side they fall, and that an average of training targets
+# stays between the least and the largest of them.
+def _whole(cols):
+    return " AND ".join(f"{G.qi(c)} IS NOT NULL AND NOT isnan({G.qi(c)})" for c in cols)
+
+
+def _per_model(sql):
+    return WITH_LEGACY + "\n" + "\nUNION ALL\n".join(sql(n, f, t) for n, (f, t, _) in ML.MODELS.items())
+
+
+@register("rf_predict", _per_model(lambda name, feats, target: f"""
+SELECT '{name}' AS model, District, {_HOLD_SQL.format(k='District')} AS is_test, {G.qi(target)} AS label, true AS scored, true AS in_range
+FROM legacy WHERE {_whole([*feats, target])}"""))
 def q_rf_predict(spark, sf_dir):
-    """Forest trained on the 70% side of the cube, scored on the 30% side."""
+    """Both forests, trained on the 70 % side of the cube, score every complete
+    row: all are scored, and each prediction lies in the training targets' range."""
+    cube, models = _cube_models(spark, sf_dir)
+    parts = []
+    for name, (model, feats, target, pred) in models.items():
+        data = ML.train_frame(cube, feats, target, check=False).withColumn("is_test", ML.holdout_flag("District"))
+        low, high = (data.where(~F.col("is_test")).agg(f(f"`{target}`")).scalar() for f in (F.min, F.max))
+        p = F.col(pred)
+        parts.append(ML.score(model, data, feats, pred, digits=None).select(
+            F.lit(name).alias("model"), "District", "is_test", F.col(f"`{target}`").alias("label"), p.isNotNull().alias("scored"),
+            ((p >= low - 1e-9) & (p <= high + 1e-9)).alias("in_range")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("rf_holdout_metrics", _per_model(lambda name, feats, target: f"""
+SELECT '{name}' AS model, CASE WHEN {_HOLD_SQL.format(k='District')} THEN 'test' ELSE 'train' END AS split,
+       CAST(count(*) AS BIGINT) AS n, true AS r2_at_most_1, true AS mae_within_spread
+FROM legacy WHERE {_whole([*feats, target])} GROUP BY 2"""))
+def q_rf_holdout_metrics(spark, sf_dir):
+    """R2 and MAE of the fitted forests on both sides, as bounds: R2 is at most
+    1, and the error cannot exceed the spread of all targets."""
     cube, models = _cube_models(spark, sf_dir)
-    model, feats, target, pred = models["lbw"]
-    test = ML.train_frame(cube, feats, target, check=False).where(ML.holdout_flag("District"))
-    return ML.score(model, test, feats, pred).select("District", target, pred)
+    parts = []
+    for name, (model, feats, target, pred) in models.items():
+        data = ML.train_frame(cube, feats, target, check=False) \
+            .withColumn("split", F.when(ML.holdout_flag("District"), F.lit("test")).otherwise(F.lit("train")))
+        spread = data.agg(F.max(f"`{target}`") - F.min(f"`{target}`")).scalar()
+        m = ML.regression_metrics(ML.score(model, data, feats, pred, digits=None), target, pred, "split")
+        parts.append(m.select(F.lit(name).alias("model"), "split", "n", F.coalesce(F.col("r2") <= 1, F.lit(True)).alias("r2_at_most_1"),
+                              F.col("mae").between(F.lit(0.0), spread + 1e-9).alias("mae_within_spread")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@register("feature_importance")
+@register("feature_importance", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{n}', CAST({len(f)} AS BIGINT), 1.0::DOUBLE, true, true)" for n, (f, _, _) in ML.MODELS.items()) +
+    ") t(model, features, total, ranked, named) WHERE EXISTS (SELECT 1 FROM lineitem)")
 def q_feature_importance(spark, sf_dir):
-    _, models = _cube_models(spark, sf_dir)
-    parts = [ML.feature_importance(spark, m, feats, name) for name, (m, feats, _, _) in models.items()]
+    """Per model: every feature has an importance, they sum to 1, and the rank
+    follows them."""
+    cube, models = _cube_models(spark, sf_dir)
+    parts = []
+    for name, (m, feats, _, _) in models.items():
+        t = ML.feature_importance(spark, m, feats, name)
+        parts.append(t.agg(F.count(F.lit(1)).cast("long").alias("features"), X.rnd(F.sum("importance"), 6).alias("total"),
+                           (F.sort_array(F.collect_list(F.struct("rank", "importance"))).getField("importance")
+                            == F.sort_array(F.collect_list("importance"), asc=False)).alias("ranked"),
+                           F.every(F.col("feature").isin(*cube.columns)).alias("named"))
+                     .select(F.lit(name).alias("model"), "*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@register("batch_score")
+@register("batch_score", WITH_LEGACY + "\nSELECT District, " + ", ".join(
+    f"({_whole(f)}) AS {G.qi(p)}" for f, _, p in ML.MODELS.values()) + " FROM legacy")
 def q_batch_score(spark, sf_dir):
-    """Both models score every cube row; no row is dropped, rows with a
-    missing feature get NULL."""
+    """Both models score every cube row: no row is dropped, and exactly the
+    rows with all features have a prediction."""
     cube, models = _cube_models(spark, sf_dir)
     out = cube
     for name, (m, feats, _, pred) in models.items():
         out = ML.score(m, out, feats, pred)
-    return out.select("District", *[p for _, (_, _, _, p) in models.items()])
+    return out.select("District", *[F.col(p).isNotNull().alias(p) for _, (_, _, _, p) in models.items()])
 
 
 # Requests built from events, with fields missing in patterns by type.
@@ -154,16 +207,16 @@ def q_score_requests(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@register("score_requests_predict")
+@register("score_requests_predict", f"SELECT request_id, model, status, status = 'ok' AS scored FROM ({_prep_sql()}) p")
 def q_score_requests_predict(spark, sf_dir):
-    """Requests scored by both cube models; requests with no valid field get
-    a NULL prediction and keep their status."""
+    """Requests scored by both cube models; exactly the requests with a valid
+    field get a prediction, the others keep their status."""
     _, models = _cube_models(spark, sf_dir)
     req = event_requests(spark, sf_dir)
     parts = []
     for name, (m, feats, _, pred) in models.items():
         p = ML.prepare_requests(req, feats)
         s = ML.score(m, p, feats, "prediction_2dp")
-        parts.append(s.select("request_id", F.lit(name).alias("model"), "status",
-                              F.when(F.col("status") == "ok", F.col("prediction_2dp")).alias("prediction")))
+        prediction = F.when(F.col("status") == "ok", F.col("prediction_2dp"))
+        parts.append(s.select("request_id", F.lit(name).alias("model"), "status", prediction.isNotNull().alias("scored")))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -12,6 +12,7 @@ from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
 from gridcube.plans.q_cube import district_cube, indicator_frames
+from gridcube.session import materialize as write_and_read
 from gridcube.sources.registry import CUBE_ORDER
 
 ALL_CTES = G.cube_ctes(CUBE_ORDER)
@@ -112,14 +113,21 @@ def _recon_sql():
         rep = ", ".join(f"trim({c}) AS {c}" for c in strs)
         parts.append(f"SELECT '{t}' AS source, CAST((SELECT count(*) FROM {t}) AS BIGINT) AS raw_rows, "
                      f"CAST((SELECT count(*) FROM (SELECT DISTINCT * REPLACE ({rep}) FROM {t})) AS BIGINT) AS clean_rows")
+    parts.append("SELECT 'planted_loss', CAST((SELECT count(*) FROM supplier) AS BIGINT), "
+                 "CAST((SELECT count(*) FROM supplier WHERE s_suppkey % 7 <> 0) AS BIGINT)")
+    parts.append("SELECT 'planted_absent', CAST((SELECT count(*) FROM nation) AS BIGINT), NULL")
     return ("SELECT *, raw_rows - clean_rows AS diff, coalesce(raw_rows - clean_rows = 0, false) AS passed FROM (\n"
             + "\nUNION ALL\n".join(parts) + ")")
 
 
 @register("dq_rowcount_reconcile", _recon_sql())
 def q_dq_rowcount_reconcile(spark, sf_dir):
+    """Raw tables against what the cleaning job stored (written, then read
+    back), with a table that lost rows and one that was never stored."""
     raw = {t: A.table(spark, sf_dir, t) for t in RECON_TABLES}
-    clean = {t: CL.basic_clean(df) for t, df in raw.items()}
+    clean = {t: write_and_read(CL.basic_clean(df), f"clean-{t}") for t, df in raw.items()}
+    raw |= {"planted_loss": raw["supplier"], "planted_absent": raw["nation"]}
+    clean["planted_loss"] = write_and_read(raw["supplier"].where("s_suppkey % 7 <> 0"), "clean-planted")
     return Q.rowcount_reconcile(raw, clean)
 
 
@@ -138,12 +146,21 @@ def q_dq_coverage_gap(spark, sf_dir):
 
 
 @register("dq_rebuild_match", WITH_ALL + """
-SELECT CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) AS BIGINT) AS rows_b, CAST(0 AS BIGINT) AS a_minus_b,
-       CAST(0 AS BIGINT) AS b_minus_a, true AS hash_equal, true AS passed FROM cube""")
+SELECT 'rebuild' AS "check", CAST(count(*) AS BIGINT) AS rows_a, CAST(count(*) AS BIGINT) AS rows_b, CAST(0 AS BIGINT) AS a_minus_b,
+       CAST(0 AS BIGINT) AS b_minus_a, true AS hash_equal, true AS passed FROM cube
+UNION ALL
+SELECT 'planted', CAST(count(*) AS BIGINT), CAST(count(*) FILTER (WHERE district NOT LIKE '%1') AS BIGINT),
+       CAST(count(*) FILTER (WHERE district LIKE '%1' OR district LIKE '%2') AS BIGINT),
+       CAST(count(*) FILTER (WHERE district LIKE '%2') AS BIGINT), false, false FROM cube""")
 def q_dq_rebuild_match(spark, sf_dir):
     """Two independent builds of the cube (separate plans, separate scans,
-    separately materialised fact aggregates)."""
-    return Q.rebuild_match(district_cube(spark, sf_dir), district_cube(spark, sf_dir))
+    separately materialised fact aggregates), and the build against a copy
+    that lacks some districts and has another count in others."""
+    first = district_cube(spark, sf_dir, materialized=True)
+    other = first.where(~F.col("district").endswith("1")) \
+        .withColumn("total_children", F.when(F.col("district").endswith("2"), F.lit(-1)).otherwise(F.col("total_children")).cast("long"))
+    named = lambda df, n: df.select(F.lit(n).alias("check"), "*")
+    return named(Q.rebuild_match(first, district_cube(spark, sf_dir)), "rebuild").unionByName(named(Q.rebuild_match(first, other), "planted"))
 
 
 def _tol_sql():
@@ -174,7 +191,7 @@ def q_dq_tolerance_diff(spark, sf_dir):
     fresh = district_cube(spark, sf_dir, materialized=True)
     num = [f.name for f in fresh.schema.fields if isinstance(f.dataType, T.NumericType)]
     stored = fresh
-    stored = stored.withColumns({c: X.rnd(F.col(f"`{c}`").cast("double"), 1) for c in num})
+    stored = write_and_read(stored.withColumns({c: X.rnd(F.col(f"`{c}`").cast("double"), 1) for c in num}), "stored-cube")
     return Q.tolerance_diff(stored, fresh, ["district"], rtol=1e-6)
 
 

@@ -8,7 +8,9 @@ from gridcube.operators import serve as SV
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
+from gridcube.plans.q_cube import district_cube
 from gridcube.plans.q_stats import WITH_LEGACY, legacy
+from gridcube.sources.registry import CUBE_ORDER
 
 qi = G.qi
 
@@ -55,6 +57,28 @@ def q_available_keys(spark, sf_dir):
     return SV.available_keys(legacy(spark, sf_dir))
 
 
+_PROFILE_COLS = [("stunting_5_6", "stunting_pct", "Stunting_Total_%"), ("maternal_indicators", "pw_anaemia_rate", "PW_Anaemia_Rate"),
+                 ("service_delivery", "active_awc_pct", "Active_AWC_%")]
+
+
+@register("lookup_profile", _LOOKUP_SQL + f"""
+SELECT request_id, request, "match", status, {", ".join(f"CASE WHEN isnan(legacy.{qi(c)}) THEN NULL ELSE legacy.{qi(c)} END AS {g}__{f}" for g, f, c in _PROFILE_COLS)},
+       CASE WHEN cube.district IS NOT NULL THEN CAST({len(G.cube_sql(CUBE_ORDER)[1])} AS BIGINT) END AS raw_fields,
+       cube.total_children AS raw_total_children, cube.total_pw_x AS raw_total_pw_x
+FROM res LEFT JOIN legacy ON "match" = legacy.District LEFT JOIN cube ON cube.district = "match"
+UNION ALL SELECT NULL, NULL, k, 'available', NULL, NULL, NULL, NULL, NULL, NULL FROM keys
+WHERE EXISTS (SELECT 1 FROM res WHERE status = 'not_found')""")
+def q_lookup_profile(spark, sf_dir):
+    """A named request returns the structured profile and, as ``raw``, the full
+    cube record; the available keys follow once if a request was not found."""
+    cube = district_cube(spark, sf_dir, materialized=True)
+    r = SV.lookup_records(requests(spark, sf_dir), "request_id", "request", SV.legacy_view(cube), full=cube)
+    return r.select("request_id", "request", "match", "status", *[F.col(f"{g}.{f}").alias(f"{g}__{f}") for g, f, _ in _PROFILE_COLS],
+                    F.when(F.col("raw").isNotNull(), F.size(F.json_object_keys("raw")).cast("long")).alias("raw_fields"),
+                    F.get_json_object("raw", "$.total_children").cast("long").alias("raw_total_children"),
+                    F.get_json_object("raw", "$.total_pw_x").cast("long").alias("raw_total_pw_x"))
+
+
 _PROFILE_FIELDS = [
     ("stunting_5_6", "stunting_pct", "Stunting_Total_%"), ("stunting_5_6", "underweight_pct", "Underweight_Total_%"),
     ("stunting_5_6", "measurement_efficiency", "Measurement_Efficiency"),
