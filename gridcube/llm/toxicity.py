@@ -12,6 +12,7 @@ unseen misspelling shares n-grams, and so vectors, with words that were seen.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -23,10 +24,10 @@ from pyspark.sql import functions as F
 from gridcube.llm.batches import small
 
 BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 8, (3, 4, 5)
-MAX_PER_CLASS = 1200        # bound of the training sample: rows of each label
-MAX_TRAIN_CHARS = 30_000    # longer texts are scored whole but not used for training
+MAX_PER_CLASS = 1000        # bound of the training sample: rows of each label
+MAX_TRAIN_CHARS = 20_000    # longer texts are scored whole but not used for training
 MIN_TEXTS = 4               # an n-gram of fewer training texts keeps a zero vector
-CACHE_WORDS = 300_000       # words whose value a task remembers at a time
+CACHE_WORDS = 150_000       # words whose value a task remembers at a time
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|"
 
 
@@ -46,9 +47,13 @@ def words_of(text: str | None) -> list[str]:
 class Model:
     value: np.ndarray        # per n-gram row: its vector times (toxic minus clean) softmax weights
     bias: float
+    numbers: list | None = None    # value as Python floats, made where the model is used
 
     def word(self, w: str) -> float:
-        return float(self.value[word_grams(w)].mean())
+        if self.numbers is None:
+            self.numbers = self.value.tolist()
+        rows = word_grams(w)
+        return sum(map(self.numbers.__getitem__, rows)) / len(rows)
 
     def probability(self, text: str | None, known: dict) -> float:
         words = words_of(text)
@@ -77,24 +82,27 @@ def train(texts: list[str], toxic: list[int], epochs: int = 60, warm: int = 15,
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     index: dict[str, int] = {}
-    tokens, sizes, doc_windows = [], [], []
+    tokens, sizes, doc_windows = array("i"), array("i"), array("i")
     for t in texts:
         ids = [index.setdefault(w, len(index)) for w in words_of(t)] or [index.setdefault("", len(index))]
-        tokens += ids
+        tokens.extend(ids)
         k = -(-len(ids) // WINDOW)
-        sizes += [WINDOW] * (k - 1) + [len(ids) - WINDOW * (k - 1)]
+        sizes.extend([WINDOW] * (k - 1) + [len(ids) - WINDOW * (k - 1)])
         doc_windows.append(k)
     tok, size, per_doc = np.array(tokens), np.array(sizes), np.array(doc_windows)
     win_at, doc_at = np.cumsum(size) - size, np.cumsum(per_doc) - per_doc
     doc_of = np.repeat(np.arange(len(y)), per_doc)
-    lists = [word_grams(w) for w in index]
-    n_grams = np.array([len(x) for x in lists])
-    rows = np.concatenate(lists)
-    word_at, word_of = np.cumsum(n_grams) - n_grams, np.repeat(np.arange(len(lists)), n_grams)
-    tok_win = np.repeat(np.arange(len(size)), size)
+    flat, n_grams = array("i"), np.empty(len(index), np.int64)
+    for i, w in enumerate(index):
+        grams = word_grams(w)
+        flat.extend(grams)
+        n_grams[i] = len(grams)
+    rows = np.array(flat)
+    n_words, word_at, word_of = len(index), np.cumsum(n_grams) - n_grams, np.repeat(np.arange(len(index), dtype=np.int32), n_grams)
+    tok_win = np.repeat(np.arange(len(size), dtype=np.int32), size)
     seen = np.zeros((2, BUCKETS))                # texts of each label with an n-gram
     for i, t in enumerate(np.split(tok, np.cumsum(np.add.reduceat(size, doc_at))[:-1])):
-        seen[y[i], np.unique(np.concatenate([lists[w] for w in np.unique(t)]))] += 1
+        seen[y[i], np.unique(np.concatenate([rows[word_at[w]:word_at[w] + n_grams[w]] for w in np.unique(t)]))] += 1
     shared = seen.sum(0) >= MIN_TEXTS            # rarer n-grams keep a zero vector
     n = np.bincount(y, minlength=2)
     rate_of, unsure = seen / n[:, None], 5 / n.min()
@@ -124,7 +132,7 @@ def train(texts: list[str], toxic: list[int], epochs: int = 60, warm: int = 15,
         weight = np.where((y[doc_of] == 0) | (epoch < warm), 0.5 * (learn / per_doc)[doc_of], 0)
         weight[worst] += learn * np.where((y == 1) & (epoch < warm), 0.5, 1)
         g = weight * (p - y[doc_of])
-        gw = np.bincount(tok, (g / size)[tok_win], len(lists)) / n_grams
+        gw = np.bincount(tok, (g / size)[tok_win], n_words) / n_grams
         c = np.bincount(rows, gw[word_of], BUCKETS) * shared
         pull = emb.T @ c
         for x, s, d, r in ((emb, speed[0], c[:, None] * toward + 1e-5 * emb, rate),
