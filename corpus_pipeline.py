@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridcube.llm import bpe, mixing, pii, simhash, toxicity
 from gridcube.llm.queries import TOXIC_AT, crc_of, table, tokenizer
-from gridcube.session import materialize
+from gridcube.session import cleanup, mark, materialize
 
 
 def drop_toxic(spark, docs, sf_dir):
@@ -50,7 +50,8 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs, start = table(spark, sf_dir, "documents"), mark()
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        cleanup(spark, start, keep=[docs])       # the stage before it and what this one wrote on its way
     return docs

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcube.session import materialize
+from gridcube.session import cleanup, mark, materialize
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, root) for every node that has an edge to another node; root is
     the smallest node of its component. Edges with a NULL end and self loops
     are ignored, direction and repeats do not matter; no edges give no rows."""
-    x, y = F.col(a), F.col(b)
+    x, y, spark, start = F.col(a), F.col(b), edges.sparkSession, mark()
     e = materialize(edges.where(x.isNotNull() & y.isNotNull() & (x != y))
                     .select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "cc")
     seen = None
@@ -41,3 +41,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
                 .union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         seen = state
         e = materialize(_small_star(_large_star(e)), "cc")
+        cleanup(spark, start, keep=[e])          # the round before it
