@@ -23,6 +23,9 @@ HEADLINE = [
     "top_n", "top_bottom_report", "lookup_fallback", "basic_clean", "fill_forward",
     "lenient_numeric", "list_months", "latest_month_slice", "ingest_month",
     "train_frame", "regression_metrics", "score_requests",
+    "rf_predict", "feature_importance", "batch_score", "score_requests_predict", "rf_holdout_metrics",
+    "dq_rowcount_reconcile", "dq_referential", "cube_from_exports", "cube_mixed_months", "ingest_month_stream", "ingest_report",
+    "lookup_profile",
 ]
 
 
@@ -39,6 +42,7 @@ def main():
                                "spark.checkpoint.dir": tempfile.mkdtemp(prefix="gridcube-bench-")})
 
     from gridcube.plans.catalog import load
+    from gridcube.session import cleanup
     QUERIES = load()[0]
     names = only or HEADLINE
     times = {}
@@ -52,6 +56,7 @@ def main():
                 fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
                 samples.append(time.perf_counter() - t0)
             times[name] = round(statistics.median(samples), 3)
+            cleanup(spark)
         except Exception as e:  # noqa: BLE001
             print(f"# {name} failed: {type(e).__name__}: {str(e)[:300]}", file=sys.stderr)
             times[name] = None

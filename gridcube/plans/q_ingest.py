@@ -13,7 +13,7 @@ from gridcube.operators import indicators as I
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
-from gridcube.session import checkpoint_dir
+from gridcube.session import scratch_path
 from gridcube.sources import files as FS
 from gridcube.sources.registry import CUBE_ORDER, SOURCES
 from gridcube.streaming import ingest as ING
@@ -24,7 +24,7 @@ EXPORTED = list(CUBE_ORDER)
 
 def _scratch(spark, tag):
     """A fresh folder under the session's shared checkpoint directory."""
-    return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
+    return scratch_path(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
 def export_month(spark, sf_dir, names=EXPORTED, month=EXPORT_MONTH) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +47,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
 
 
+_created: list[str] = []        # scratch folders handed out by this process, oldest first
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A path under the shared checkpoint folder for intermediate tables;
+    ``cleanup`` deletes it once its job is over."""
+    path = os.path.join(checkpoint_dir(spark), name)
+    _created.append(path)
+    return path
 
 
 def materialize(df, name: str = "table"):
@@ -56,30 +63,46 @@ def materialize(df, name: str = "table"):
     folder and read it back: one job, lineage cut, survives executor loss,
     and every later consumer reads the files instead of recomputing.
     (``Dataset.checkpoint`` would compute an unpersisted input twice.)"""
-    import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def mark() -> int:
+    """A point in this process's list of scratch folders, for ``cleanup``."""
+    return len(_created)
+
+
+def _plain(spark: SparkSession, path: str) -> str:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath().rstrip("/")
+
+
+def cleanup(spark: SparkSession, since: int = 0, keep=()) -> int:
+    """Delete the scratch folders (materialised tables, exports, stream tables)
+    handed out since ``mark``, but for those that a DataFrame in ``keep`` reads.
+    For jobs: mark, build, consume or write the result, clean up. Returns the
+    number of folders deleted."""
+    needed = [_plain(spark, f) for df in keep for f in df.inputFiles()]
+    kept, gone = [], 0
+    for path in _created[since:]:
+        if any(f.startswith(_plain(spark, path) + "/") for f in needed):
+            kept.append(path)
+            continue
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+    _created[since:] = kept
+    return gone
+
+
 def release(df) -> int:
-    """Delete the intermediate tables (written by ``materialize``) that a
-    finished result read from; call it once the result's action has run.
-    Only folders directly under ``<spark.checkpoint.dir>/tables/`` are
-    touched. Returns the number of folders removed."""
+    """Delete the scratch folders that a finished result read from; call it
+    once the result's action has run. Returns the number of folders deleted."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    tables = Path(os.path.join(checkpoint_dir(spark), "tables")).toUri().getPath().rstrip("/")
-    removed = set()
-    for f in df.inputFiles():
-        p = Path(f)
-        while p.getParent() is not None and p.getParent().toUri().getPath().rstrip("/") != tables:
-            p = p.getParent()
-        if p.getParent() is None or p.toString() in removed:
-            continue
-        p.getFileSystem(conf).delete(p, True)
-        removed.add(p.toString())
-    return len(removed)
+    read = [_plain(spark, f) for f in df.inputFiles()]
+    mine = [p for p in _created if any(f.startswith(_plain(spark, p) + "/") for f in read)]
+    for path in mine:
+        _created.remove(path)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(mine)

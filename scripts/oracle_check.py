@@ -20,7 +20,7 @@ from gridcube.plans import analogues as A  # noqa: E402
 from gridcube.plans.catalog import load  # noqa: E402
 
 QUERIES, ORACLE = load()
-from gridcube.session import get_session  # noqa: E402
+from gridcube.session import cleanup, get_session  # noqa: E402
 
 
 def norm(v):
@@ -76,6 +76,7 @@ def main():
         try:
             df = fn(spark, sf)
             srows = df.collect()
+            cleanup(spark)
             scols = df.columns
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:600]}")

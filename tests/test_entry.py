@@ -78,3 +78,23 @@ def test_release_removes_intermediate_tables(spark):
     assert t.count() == 3
     folder = os.path.dirname(t.inputFiles()[0].split(":", 1)[1])
     assert release(t) == 1 and not os.path.exists(folder)
+
+
+def test_cleanup_leaves_no_folder(spark):
+    import os
+
+    import __spark_entry__ as E
+    from gridcube.session import checkpoint_dir, cleanup, mark, materialize
+    start = mark()
+    for name in ("cube_from_exports", "ingest_month_stream", "corr_kendall", "cube_latest_month", "dq_rowcount_reconcile"):
+        before = set(os.listdir(checkpoint_dir(spark))) - {"tables"}
+        tables = set(os.listdir(os.path.join(checkpoint_dir(spark), "tables")))
+        at = mark()
+        assert E.queries()[name](spark, SF_SMALL).count() >= 0
+        assert cleanup(spark, at) > 0
+        assert set(os.listdir(checkpoint_dir(spark))) - {"tables"} == before
+        assert set(os.listdir(os.path.join(checkpoint_dir(spark), "tables"))) == tables
+    kept = materialize(spark.range(4), "kept")
+    materialize(spark.range(4), "dropped")
+    assert cleanup(spark, start, keep=[kept]) == 1 and kept.count() == 4
+    cleanup(spark, start)
