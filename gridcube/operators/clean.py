@@ -58,22 +58,33 @@ def fill_zero(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.na.fill(0, subset=columns) if columns else df.na.fill(0)
 
 
+def _quantile_chunk(df: DataFrame, column, chunks: int):
+    """Chunk number along a plain ascending column; NULLs, which sort first,
+    are chunk 0."""
+    kind = df.schema[column].dataType if isinstance(column, str) else None
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise ValueError(f"fill_forward needs chunk_by: {column} is no number, date or time to cut into chunks")
+    x = F.col(column) if isinstance(kind, T.NumericType) else F.col(column).cast("timestamp")
+    x = x.cast("double")
+    cuts = df.agg(F.percentile_approx(x, F.array(*[F.lit(i / chunks) for i in range(1, chunks)]), 10000)).scalar()
+    return F.coalesce(F.size(F.filter(cuts, lambda b: b <= x)) + 1, F.lit(0))
+
+
 def fill_forward(df: DataFrame, columns: list[str], partition_by: list[str],
-                 order_by: list[str], chunk_by=None) -> DataFrame:
+                 order_by: list[str], chunk_by=None, chunks: int = 256) -> DataFrame:
     """Carry the last non-null value forward inside each entity, in an
     explicit order (``order_by`` must be total, i.e. end with a unique key).
 
-    Without ``chunk_by`` one window per entity does it. With ``chunk_by``
-    (a column expression that never decreases along ``order_by``, e.g. the
-    day of a timestamp) a hot entity is split into chunks: values are filled
-    within each (entity, chunk) window, the last value of every chunk is
-    summarised (one row per chunk), carried across chunks by a window over
-    those summaries, and joined back. No task ever holds a whole entity.
+    An entity is split into chunks, so that no task holds a hot one: values
+    are filled within each (entity, chunk) window, the last value of every
+    chunk is summarised (one row per chunk), carried across chunks by a window
+    over those summaries, and joined back. ``chunk_by`` is a column expression
+    that never decreases along ``order_by``, e.g. the day of a timestamp;
+    without it the first order column (a number, date or time) is cut at
+    ``chunks - 1`` approximate quantiles of all rows.
     """
-    w = (Window.partitionBy(*partition_by).orderBy(*order_by)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if chunk_by is None:
-        return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in columns})
+        chunk_by = _quantile_chunk(df, order_by[0], chunks)
     chunk = chunk_by if not isinstance(chunk_by, str) else F.col(chunk_by)
     keyed = df.withColumn("__chunk", chunk)
     wc = (Window.partitionBy(*partition_by, "__chunk").orderBy(*order_by)

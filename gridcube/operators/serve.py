@@ -59,10 +59,85 @@ SCATTER_PAIRS = [
 ]
 
 
-def legacy_view(cube: DataFrame, key: str = "district") -> DataFrame:
+# All columns of the legacy cube in order; the cube column of each name that is not
+# the name itself in lower case; the cube's names in the published table where they differ.
+LEGACY_NAMES = [
+    "District", "Total_Children_x", "Measured_Children", "Measurement_Efficiency", "Stunted_Severe_N",
+    "Stunted_Severe_Pct", "Stunted_Moderate_N", "Stunted_Moderate_Pct", "Stunted_Normal_N", "Stunted_Normal_Pct",
+    "Underweight_Severe_N", "Underweight_Severe_Pct", "Underweight_Moderate_N", "Underweight_Moderate_Pct",
+    "Underweight_Normal_N", "Underweight_Normal_Pct", "Stunting_Total_%", "Underweight_Total_%",
+    "Measurement_Coverage_%", "Normal_Stunting_Ratio", "Normal_Underweight_Ratio", "Total_Children_0_5",
+    "Measured_Children_0_5", "Measurement_Efficiency_0_5", "Stunted_Severe_N_0_5", "Stunted_Severe_Pct_0_5",
+    "Stunted_Moderate_N_0_5", "Stunted_Moderate_Pct_0_5", "Stunted_Normal_N_0_5", "Stunted_Normal_Pct_0_5", "SAM (N)",
+    "SAM (%)", "MAM (N)", "MAM (%)", "Not Wasted (N)", "Not Wasted (%)", "Reference data not found",
+    "Underweight_Severe_N_0_5", "Underweight_Severe_Pct_0_5", "Underweight_Moderate_N_0_5",
+    "Underweight_Moderate_Pct_0_5", "Underweight_Normal_N_0_5", "Underweight_Normal_Pct_0_5", "Obese (N)",
+    "Obese (%)", "Overweight (N)", "Overweight (%)", "Not Overweight (N)", "Not Overweight (%)",
+    "Reference data not found.1", "Stunting_Total_Pct_0_5", "Underweight_Total_Pct_0_5",
+    "Measurement_Coverage_Pct_0_5", "Normal_Stunting_Ratio_0_5", "Normal_Underweight_Ratio_0_5",
+    "Total Pregnant Women", "Haemoglobin Measured of PW", "Anaemic", "Total Lactating Mothers",
+    "Haemoglobin Measured of LM", "Anaemic.1", "Total Children (6months - 5 years)",
+    "Haemoglobin Measured of Children (6months - 5 years)", "Anaemic.2", "PW_Anaemia_Rate", "LM_Anaemia_Rate",
+    "Child_Anaemia_Rate", "Total Children 0-6M", "Low Birth Weight Children 0-6M", "LBW_Rate_%", "Total_PW_x",
+    "PW_Due_ANC1", "PW_Completed_ANC1", "PW_Due_ANC2", "PW_Completed_ANC2", "PW_Optimum_ANC2", "PW_Due_ANC3",
+    "PW_Completed_ANC3", "PW_Optimum_ANC3", "PW_Due_ANC4", "PW_Completed_ANC4", "PW_Optimum_ANC4",
+    "PW_Optimum_Latest", "PW_Hb_Measured", "PW_Anaemic_Latest", "ANC1_Completion_%", "ANC2_Completion_%",
+    "ANC3_Completion_%", "ANC4_Completion_%", "Optimum_WG_Latest_%", "PW_Hb_Measured_%", "PW_Anaemia_Rate_Latest_%",
+    "Total_AG", "AG_Measured", "AG_Measured_Percentage", "AG_Severely_Thin", "AG_Thin", "AG_Normal", "AG_Overweight",
+    "AG_Obese", "AG_Hb_Measured", "AG_Anaemic", "AG_Measured_%", "AG_Severely_Thin_%", "AG_Thin_%", "AG_Normal_%",
+    "AG_Overweight_%", "AG_Obese_%", "AG_Hb_Measured_%", "AG_Anaemia_%", "Total_Children_y", "Children_Measured",
+    "ME_Percentage", "AWW_80pct_ME", "AWW_80pct_ME_%", "Total_AWW", "Target_HV", "Visits_Made", "HV_Percentage",
+    "AWW_60pct_HV", "AWW_60pct_HV_%", "Project", "Sector", "AWC", "Total_Beneficiary", "Total_PW_y", "Total_LM",
+    "Children_6m_3y", "Children_3y_5y", "Children_5y_6y", "SAM_6m_3y", "SAM_3y_5y", "SUW_6m_3y", "SUW_3y_6y",
+    "SAM_SUW_6m_3y", "SAM_SUW_3y_5y", "AG", "Total_SAM", "Total_SUW", "SAM_Rate_%", "SUW_Rate_%", "AG_%", "Total_AWC",
+    "Active_AWC", "Inactive_AWC", "New_AWC", "Inactive_AWC_Month", "Active_AWC_%", "Inactive_AWC_%",
+]
+LEGACY_SOURCE = {
+    "Total_Children_x": "total_children", "SAM (N)": "sam_n", "SAM (%)": "sam_pct", "MAM (N)": "mam_n", "MAM (%)": "mam_pct",
+    "Not Wasted (N)": "not_wasted_n", "Not Wasted (%)": "not_wasted_pct", "Obese (N)": "obese_n", "Obese (%)": "obese_pct",
+    "Overweight (N)": "overweight_n", "Overweight (%)": "overweight_pct", "Not Overweight (N)": "not_overweight_n",
+    "Not Overweight (%)": "not_overweight_pct", "Reference data not found.1": "reference_data_not_found_2",
+    "Haemoglobin Measured of PW": "hb_measured_pw", "Anaemic": "anaemic_pw", "Haemoglobin Measured of LM": "hb_measured_lm",
+    "Anaemic.1": "anaemic_lm", "Total Children (6months - 5 years)": "total_children_6m_5y",
+    "Haemoglobin Measured of Children (6months - 5 years)": "hb_measured_child", "Anaemic.2": "anaemic_child",
+    "Low Birth Weight Children 0-6M": "lbw_children_0_6m", "Total_AG": "total_ag_x", "AG_Measured_Percentage": "ag_measured_pct",
+    "Total_Children_y": "children_total_x", "ME_Percentage": "children_measured_pct", "AWW_80pct_ME": "aww_completed_80pct_me",
+    "Target_HV": "target_visits", "AG": "total_ag_y", "New_AWC": "new_awc_month",
+}
+PUBLISHED_NAMES = {
+    **{f"{c}_{unit}": f"{c}_{shown}" for c in ("sam", "mam", "not_wasted", "obese", "overweight", "not_overweight")
+       for unit, shown in (("n", "(n)"), ("pct", "(%)"))},
+    "reference_data_not_found_2": "reference_data_not_found.1", "total_children_6m_5y": "total_children_(6months_-_5_years)",
+}
+
+
+def legacy_column(name: str) -> str:
+    """The cube column that a legacy name shows unchanged."""
+    return LEGACY_SOURCE.get(name) or name.lower().replace(" ", "_").replace("-", "_")
+
+
+def published_names(cube: DataFrame) -> DataFrame:
+    """The cube under the names of the published table."""
+    return cube.withColumnsRenamed(PUBLISHED_NAMES)
+
+
+def legacy_full(cube: DataFrame, key: str = "district") -> DataFrame:
+    """V1 complete: all columns of the legacy cube in order. Those of
+    ``legacy_view`` are derived, the others are cube columns under their legacy
+    names (NULL where a cube lacks one)."""
+    derived = legacy_view(cube.select("*", F.struct(*[_c(c) for c in cube.columns]).alias("__cube")), key, "__cube")
+    have = set(cube.columns)
+    rest = {n: F.col("__cube").getField(legacy_column(n)) if legacy_column(n) in have else F.lit(None).cast("double")
+            for n in LEGACY_NAMES if n not in derived.columns}
+    lead = [_c("month")] if "month" in derived.columns else []
+    return derived.select(*lead, *[rest[n].alias(n) if n in rest else _c(n) for n in LEGACY_NAMES])
+
+
+def legacy_view(cube: DataFrame, key: str = "district", *carry: str) -> DataFrame:
     """V1: the TitleCase / percent vocabulary derived from the cube's counts.
     Rates are ``100 * a / b`` at 2 dp; anaemia rates are zero-filled when
-    nobody was measured; the rest stay NULL on a zero or missing base."""
+    nobody was measured; the rest stay NULL on a zero or missing base. Cube
+    columns named in ``carry`` follow unchanged."""
     ag_total, pw_total = pick(cube, "total_ag", "x"), pick(cube, "total_pw", "x")
     if "month" in cube.columns:
         # shares of each month's total: one small per-month aggregate joined back
@@ -108,7 +183,7 @@ def legacy_view(cube: DataFrame, key: str = "district") -> DataFrame:
         "Active_AWC_%": pct100("active_awc", "total_awc"),
         "Inactive_AWC_%": pct100("inactive_awc", "total_awc"),
     }
-    return cube.select(*[c.alias(n) for n, c in cols.items()])
+    return cube.select(*[c.alias(n) for n, c in cols.items()], *carry)
 
 
 def bi_subset(df: DataFrame, wanted: list[str] = LEGACY_BI_COLUMNS) -> DataFrame:

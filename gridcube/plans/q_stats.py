@@ -69,6 +69,24 @@ def legacy(spark, sf_dir, materialized: bool = False):
     return materialize(v) if materialized else v
 
 
+def _legacy_full_sql():
+    derived = dict(_legacy_sql_cols())
+    # names that are a cube column in lower case need no entry; the rest is listed as fixed values
+    cols = [f"{derived.get(n) or qi(SV.LEGACY_SOURCE.get(n) or n.lower().replace(' ', '_').replace('-', '_'))} AS {qi(n)}" for n in SV.LEGACY_NAMES]
+    return G.with_clause(CUBE_CTES) + "\nSELECT " + ", ".join(cols) + " FROM cube"
+
+
+@register("legacy_full_view", _legacy_full_sql())
+def q_legacy_full_view(spark, sf_dir):
+    return SV.legacy_full(district_cube(spark, sf_dir))
+
+
+@register("cube_published_names", G.with_clause(CUBE_CTES) + "\nSELECT " + ", ".join(
+    f"{qi(c)} AS {qi(SV.PUBLISHED_NAMES.get(c, c))}" for c in G.cube_sql(CUBE_ORDER)[1]) + " FROM cube")
+def q_cube_published_names(spark, sf_dir):
+    return SV.published_names(district_cube(spark, sf_dir))
+
+
 @register("legacy_view", WITH_LEGACY + "\nSELECT * FROM legacy")
 def q_legacy_view(spark, sf_dir):
     return legacy(spark, sf_dir)
