@@ -66,8 +66,9 @@ def _quantile_chunk(df: DataFrame, column, chunks: int):
         raise ValueError(f"fill_forward needs chunk_by: {column} is no number, date or time to cut into chunks")
     x = F.col(column) if isinstance(kind, T.NumericType) else F.col(column).cast("timestamp")
     x = x.cast("double")
-    cuts = df.agg(F.percentile_approx(x, F.array(*[F.lit(i / chunks) for i in range(1, chunks)]), 10000)).scalar()
-    return F.coalesce(F.size(F.filter(cuts, lambda b: b <= x)) + 1, F.lit(0))
+    # chunks - 1 numbers reach the driver, whatever the input
+    cuts = df.agg(F.percentile_approx(x, F.array(*[F.lit(i / chunks) for i in range(1, chunks)]), 10000)).first()[0] or []
+    return F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda b: b <= x)) + 1, F.lit(0))
 
 
 def fill_forward(df: DataFrame, columns: list[str], partition_by: list[str],
