@@ -28,7 +28,7 @@ def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_of("id") % 3 != 1)
     return toxicity.score(docs, model, keep=["doc_id"], out="score") \
-        .select("doc_id", (crc_of("doc_id") % 3 == 1).alias("held_out"), "score",
+        .select("doc_id", F.coalesce(crc_of("doc_id") % 3 == 1, F.lit(False)).alias("held_out"), "score",
                 F.when(F.col("score") >= TOXIC_AT, 1).otherwise(0).alias("predicted"))
 
 
@@ -81,7 +81,7 @@ def op10_quality(spark, sf_dir):
     stats = materialize(quality.with_statistics(table(spark, sf_dir, "documents")), "statistics")
     model = quality.fit(stats, table(spark, sf_dir, "labels"), crc_of("id") % 5 != 0)
     return quality.score(stats, model, "score") \
-        .select(F.col("id").alias("doc_id"), (crc_of("id") % 5 == 0).alias("held_out"), "score",
+        .select(F.col("id").alias("doc_id"), F.coalesce(crc_of("id") % 5 == 0, F.lit(False)).alias("held_out"), "score",
                 F.when(F.col("score") >= GOOD_AT, 1).otherwise(0).alias("predicted"))
 
 

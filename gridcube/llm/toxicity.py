@@ -27,16 +27,18 @@ BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 8, (3, 4, 5)
 MAX_PER_CLASS = 1000        # bound of the training sample: rows of each label
 MAX_TRAIN_CHARS = 20_000    # longer texts are scored whole but not used for training
 MIN_TEXTS = 4               # an n-gram of fewer training texts keeps a zero vector
-CACHE_WORDS = 150_000       # words whose value a task remembers at a time
+CACHE_WORDS = 200_000       # words whose value a task remembers at a time
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|"
 
 
 def word_grams(word: str) -> list[int]:
+    """Rows of the embedding table for a word and its character n-grams."""
     marked = f"<{word}>"
-    out = [crc32(marked.encode()) % BUCKETS]
-    for n in GRAMS:
-        out += [crc32(marked[i:i + n].encode()) % BUCKETS for i in range(len(marked) - n + 1)]
-    return out
+    if marked.isascii():
+        raw = marked.encode()        # characters are bytes: the same hashes, with less work
+        return [crc32(raw) % BUCKETS, *[crc32(raw[i:i + n]) % BUCKETS for n in GRAMS for i in range(len(raw) - n + 1)]]
+    return [crc32(marked.encode()) % BUCKETS,
+            *[crc32(marked[i:i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]]
 
 
 def words_of(text: str | None) -> list[str]:
