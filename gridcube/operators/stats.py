@@ -159,53 +159,37 @@ def to_square(long_df: DataFrame, columns: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------ rank corr.
 
-QUANTILE_ACCURACY = 10000
-
-
-def average_rank(values: DataFrame, column: str, buckets: int = 256, weight: str | None = None,
-                 by: list[str] | None = None) -> DataFrame:
+def average_rank(values: DataFrame, column: str, weight: str | None = None, by: list[str] | None = None) -> DataFrame:
     """Average (1-based) rank of every distinct non-null value of ``column``
     within each ``by`` group: ``#values below + (ties + 1) / 2``, counting
     each row once (or ``weight`` times). Returns (*by, value, n, avg_rank).
 
-    Distributed, skew-safe and without driver round-trips: values are first
-    counted (a hot value is one row after the partial aggregate); each group
-    gets ``buckets - 1`` approximate-quantile boundaries from one
-    ``percentile_approx`` aggregate (one row per group, so it is broadcast);
-    running counts are windows per (group, bucket), and bucket offsets a
-    prefix sum over at most ``buckets`` totals per group.
+    Values are counted first (a hot value is one row after the partial
+    aggregate), then range-partitioned by (group, value) and written with their
+    partition number. Running counts are windows per (group, partition), and a
+    partition's offset is a prefix sum over the partitions' totals, so the work
+    spreads over as many tasks as the shuffle has, whatever the size of a group.
     """
     by = list(by or [])
-    grp = by or ["__all"]
-    src = values if by else values.withColumn("__all", F.lit(0))
     wcol = F.col(weight) if weight else F.lit(1)
-    vc = (src.where(_c(column).isNotNull())
-          .groupBy(*grp, _c(column).cast("double").alias("value")).agg(F.sum(wcol).cast("long").alias("n")))
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    # size bound: one row per group holding buckets - 1 numbers
-    bounds = F.broadcast(vc.groupBy(*grp).agg(F.percentile_approx("value", probs, QUANTILE_ACCURACY).alias("__b")))
-    vb = (vc.join(bounds, grp)
-          .withColumn("bucket", F.size(F.filter("__b", lambda b: b <= F.col("value")))).drop("__b"))
-    totals = vb.groupBy(*grp, "bucket").agg(F.sum("n").alias("bn"))
-    offsets = totals.select(*grp, "bucket", (F.sum("bn").over(
-        Window.partitionBy(*grp).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("bn")).alias("offset"))
-    w = (Window.partitionBy(*grp, "bucket").orderBy("value")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = vb.withColumn("cum", F.sum("n").over(w))
-    out = within.join(offsets, [*grp, "bucket"]).select(
-        *grp, "value", "n",
-        (F.col("offset") + F.col("cum") - F.col("n") + (F.col("n") + F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
-    return out if by else out.drop("__all")
-
-
-def dense_rank0(values: DataFrame, column: str, buckets: int = 256, by: list[str] | None = None) -> DataFrame:
+    vc = (values.where(_c(column).isNotNull())
+          .groupBy(*by, _c(column).cast("double").alias("value")).agg(F.sum(wcol).cast("long").alias("n")))
+    t = materialize(vc.repartitionByRange(*by, "value").withColumn("__p", F.spark_partition_id()), "ranks")
+    before = Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = t.groupBy(*by, "__p").agg(F.sum("n").alias("__n")) \
+        .select(*by, "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    w = Window.partitionBy(*by, "__p").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return t.withColumn("__c", F.sum("n").over(w)).join(parts, [*by, "__p"]).select(
+        *by, "value", "n", (F.col("__o") + F.col("__c") - F.col("n") + (F.col("n") + F.lit(1)) / F.lit(2.0)).alias("avg_rank"))
+
+
+def dense_rank0(values: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
     """0-based dense rank of each distinct non-null value (per ``by`` group):
-    (*by, value, rank0). The same bucketed scheme, applied to distinct values."""
+    (*by, value, rank0). The same scheme, applied to distinct values."""
     by = list(by or [])
     distinct = (values.select(*by, _c(column).cast("double").alias("__v"))
                 .where(F.col("__v").isNotNull()).distinct())
-    r = average_rank(distinct, "__v", buckets, by=by)
+    r = average_rank(distinct, "__v", by=by)
     return r.select(*by, "value", (F.col("avg_rank") - F.lit(1.0)).cast("long").alias("rank0"))
 
 
