@@ -83,6 +83,12 @@ def q_profile_table(spark, sf_dir):
     return FS.profile_table(A.table(spark, sf_dir, "orders"), "orders")
 
 
+@register("table_preview", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5")
+def q_table_preview(spark, sf_dir):
+    o = A.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return FS.table_preview(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+
+
 def _ship_month(spark, sf_dir):
     return A.table(spark, sf_dir, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
 

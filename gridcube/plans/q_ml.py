@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
 from gridcube.plans.q_stats import WITH_LEGACY, legacy
+from gridcube.session import scratch_path
 
 LI_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 LI_TARGET = "l_extendedprice"
@@ -153,6 +155,29 @@ def q_batch_score(spark, sf_dir):
     return out.select("District", *[F.col(p).isNotNull().alias(p) for _, (_, _, _, p) in models.items()])
 
 
+@register("predictions_stored", WITH_LEGACY + "\nSELECT District, " + ", ".join(
+    f"({_whole(f)}) AS {G.qi(p)}" for f, _, p in ML.MODELS.values()) + ", true AS same_as_fresh, CAST(2 AS BIGINT) AS runs FROM legacy")
+def q_predictions_stored(spark, sf_dir):
+    """Models saved and loaded again score the cube, and two scoring runs are
+    appended to the predictions table: read back, every district has both runs
+    and the loaded models' predictions equal the fitted ones'."""
+    cube, models = _cube_models(spark, sf_dir)
+    base = scratch_path(spark, f"models-{uuid.uuid4().hex[:12]}")
+    fresh, loaded = cube, cube
+    for name, (m, feats, _, pred) in models.items():
+        ML.save_model(m, f"{base}/{name}")
+        fresh = ML.score(m, fresh, feats, pred)
+        loaded = ML.score(ML.load_model(f"{base}/{name}"), loaded, feats, pred)
+    preds = [p for _, (_, _, _, p) in models.items()]
+    for df, ts in ((fresh, "2025-11-30 00:00:00"), (loaded, "2025-12-01 00:00:00")):
+        ML.write_predictions(df.select("District", *preds), f"{base}/predictions", ts)
+    both = spark.read.parquet(f"{base}/predictions").groupBy("District").agg(
+        *[F.first(p).alias(p) for p in preds], F.countDistinct("run_ts").alias("runs"),
+        *[F.count_distinct(p).alias(f"__{p}") for p in preds])
+    same = reduce(lambda a, b: a & b, [F.col(f"__{p}") <= 1 for p in preds])
+    return both.select("District", *[F.col(p).isNotNull().alias(p) for p in preds], same.alias("same_as_fresh"), F.col("runs").cast("long").alias("runs"))
+
+
 # Requests built from events, with fields missing in patterns by type.
 _REQ_COLS = {
     "PW_Anaemia_Rate": "CASE WHEN event_type IN ('click', 'view') THEN value END",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridcube.operators import serve as SV
@@ -10,6 +12,8 @@ from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
 from gridcube.plans.q_cube import district_cube
+from gridcube.session import scratch_path
+from gridcube.sources import files as FS
 from gridcube.sources.registry import CUBE_ORDER
 
 qi, pct, rnd, d = G.qi, G.pct, G.rnd, G.d
@@ -87,6 +91,15 @@ def q_cube_published_names(spark, sf_dir):
     return SV.published_names(district_cube(spark, sf_dir))
 
 
+@register("bi_export", WITH_LEGACY + "\nSELECT " + ", ".join(qi(c) for c in SV.LEGACY_BI_COLUMNS) + " FROM legacy")
+def q_bi_export(spark, sf_dir):
+    """The BI subset written as CSV files with headers and read back."""
+    view = SV.bi_subset(legacy(spark, sf_dir))
+    path = scratch_path(spark, f"bi-{uuid.uuid4().hex[:12]}")
+    FS.write_table(view, path, None, fmt="csv")
+    return spark.read.schema(view.schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
 @register("legacy_view", WITH_LEGACY + "\nSELECT * FROM legacy")
 def q_legacy_view(spark, sf_dir):
     return legacy(spark, sf_dir)

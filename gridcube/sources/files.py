@@ -227,7 +227,7 @@ def latest_month_of(df: DataFrame, date_col: str) -> DataFrame:
     """S4/S9 on a table that has dates but no month column: rows from the
     first day of the latest date's month on. The bound is a scalar subquery on
     the plain date column, so it reaches the scan as a data filter."""
-    first = df.agg(F.trunc(F.max(date_col), "month")).scalar()
+    first = df.agg(F.trunc(F.max(date_col), "month").cast(df.schema[date_col].dataType)).scalar()
     return df.where(F.col(date_col) >= first)
 
 

@@ -119,3 +119,25 @@ def test_rank_matrix_is_full_and_rounded(spark):
     for method, r in (("spearman", -0.5), ("kendall", -0.33)):
         got = {(x.indicator_a, x.indicator_b): x.correlation for x in ST.rank_matrix(df, ["a", "b", "c"], method).collect()}
         assert len(got) == 9 and got["a", "b"] == got["b", "a"] == r and got["a", "a"] == 1 and got["c", "c"] is None
+
+
+def test_ranks_and_kendall_over_many_blocks(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    n = 1500
+    x = np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 400, n))          # one value holds two fifths of the rows
+    y = np.where(rng.random(n) < 0.3, x, rng.integers(0, 60, n)).astype(float)
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "a double, b double")
+    dx, dy = np.sign(x[:, None] - x[None]), np.sign(y[:, None] - y[None])
+    want = (dx * dy).sum() / np.sqrt((dx != 0).sum() * (dy != 0).sum())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        assert ST.corr_kendall(df, ["a", "b"], None).first().correlation == pytest.approx(want)
+        ranks = {r.value: r.avg_rank for r in ST.average_rank(df, "a").collect()}
+        order = np.sort(x)
+        assert all(r == (np.searchsorted(order, v, "left") + np.searchsorted(order, v, "right") + 1) / 2 for v, r in ranks.items())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
