@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcube.functions import exprs as X
+from gridcube.session import materialize
+
+COLUMNS_PER_AGGREGATE = 40
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -123,8 +126,9 @@ def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
                    rtol: float = 1e-6, atol: float = 0.0) -> DataFrame:
     """Q8: same columns and keys; numeric columns equal within
     ``|a-b| <= atol + rtol*|b|``, all others equal as text (NULL equals NULL).
-    One full join on the keys, then one aggregate with a few expressions per
-    column, unpivoted to (column, mismatches, max_abs_diff, key_only, passed);
+    One full join on the keys, then plain aggregates over
+    ``COLUMNS_PER_AGGREGATE`` columns at a time (so the generated code stays
+    small for wide tables), unpivoted to (column, mismatches, max_abs_diff, key_only, passed);
     max_abs_diff is NULL for columns that are not numeric."""
     if sorted(stored.columns) != sorted(fresh.columns):
         raise ValueError("column sets differ: "
@@ -137,19 +141,24 @@ def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
                                       for i, (f, n) in enumerate(zip(cols, number))], F.lit(True).alias(f"__{tag}"))
 
     j = side(stored, "s").join(side(fresh, "f"), keys, "full")
+    if len(cols) > COLUMNS_PER_AGGREGATE:
+        j = materialize(j, "tolerance")          # read once for each block of columns
     both = F.col("__s").isNotNull() & F.col("__f").isNotNull()
-    aggs = [F.count(F.when(~both, F.lit(1))).cast("long").alias("key_only")]
-    for i, n in enumerate(number):
-        a, b = F.col(f"s{i}"), F.col(f"f{i}")
-        d = F.abs(a - b) if n else F.lit(None).cast("double")
-        same = (d <= F.lit(atol) + F.lit(rtol) * F.abs(b)) if n else a == b
-        bad = F.when(a.isNull() & b.isNull(), F.lit(False)).when(a.isNull() | b.isNull(), F.lit(True)).otherwise(~same)
-        aggs += [F.count(F.when(both & bad, F.lit(1))).cast("long").alias(f"m{i}"), F.max(F.when(both, d)).alias(f"d{i}")]
-    each = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"m{i}").alias("mismatches"),
-                              X.rnd(f"d{i}", 9).alias("max_abs_diff")) for i, f in enumerate(cols)])
-    return j.agg(*aggs).select("key_only", F.inline(each)).select(
-        "column", "mismatches", "max_abs_diff", "key_only",
-        ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
+    parts = []
+    for at in range(0, len(cols), COLUMNS_PER_AGGREGATE):
+        some = range(at, min(len(cols), at + COLUMNS_PER_AGGREGATE))
+        aggs = [F.count(F.when(~both, F.lit(1))).cast("long").alias("key_only")]
+        for i in some:
+            a, b = F.col(f"s{i}"), F.col(f"f{i}")
+            d = F.abs(a - b) if number[i] else F.lit(None).cast("double")
+            same = (d <= F.lit(atol) + F.lit(rtol) * F.abs(b)) if number[i] else a == b
+            bad = F.when(a.isNull() & b.isNull(), F.lit(False)).when(a.isNull() | b.isNull(), F.lit(True)).otherwise(~same)
+            aggs += [F.count(F.when(both & bad, F.lit(1))).cast("long").alias(f"m{i}"), F.max(F.when(both, d)).alias(f"d{i}")]
+        each = F.array(*[F.struct(F.lit(cols[i].name).alias("column"), F.col(f"m{i}").alias("mismatches"),
+                                  X.rnd(f"d{i}", 9).alias("max_abs_diff")) for i in some])
+        parts.append(j.agg(*aggs).select("key_only", F.inline(each)))
+    return _union(parts).select("column", "mismatches", "max_abs_diff", "key_only",
+                                ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
 
 
 def rollup_reconcile(df: DataFrame, key: str, columns: list[str], label: str = "total") -> DataFrame:

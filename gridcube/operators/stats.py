@@ -81,10 +81,19 @@ def _pairs(cols: list[str], diagonal: bool = False):
     return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i or (diagonal and i == j)]
 
 
-PAIRS_PER_AGGREGATE = 40
+PAIRS_PER_AGGREGATE = 60
 
 
-def _corr_pairs(df: DataFrame, pairs, digits: int | None = 6, by: list[str] | None = None) -> DataFrame:
+def _r_and_n(a, b, complete: bool):
+    """Pearson r and row count of a pair. Where no value is missing (``complete``)
+    the deviations of a column and the count are the same expression in every
+    pair, so each is computed once."""
+    if complete:
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)), F.count(F.lit(1))
+    return X.safe_corr(a, b), F.count(X.pair_masked(a, b)[0])
+
+
+def _corr_pairs(df: DataFrame, pairs, digits: int | None = 6, by: list[str] | None = None, complete: bool = False) -> DataFrame:
     """Pearson r for many pairs, each a plain aggregate expression: one row per
     group holds ``PAIRS_PER_AGGREGATE`` pairs at a time (so the generated code
     stays small for wide tables) and is unpivoted afterwards. No row is
@@ -94,8 +103,7 @@ def _corr_pairs(df: DataFrame, pairs, digits: int | None = 6, by: list[str] | No
     parts = []
     for at in range(0, len(pairs), PAIRS_PER_AGGREGATE):
         some = pairs[at:at + PAIRS_PER_AGGREGATE]
-        aggs = [e for k, (_, _, a, b) in enumerate(some)
-                for e in (X.safe_corr(_c(a), _c(b)).alias(f"r{k}"), F.count(X.pair_masked(_c(a), _c(b))[0]).alias(f"n{k}"))]
+        aggs = [e.alias(f"{n}{k}") for k, (_, _, a, b) in enumerate(some) for n, e in zip("rn", _r_and_n(_c(a), _c(b), complete))]
         one = df.groupBy(*[_c(k) for k in by]).agg(*aggs)
         each = F.array(*[F.struct(F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
                                   F.lit(i).cast("long").alias("pos_a"), F.lit(j).cast("long").alias("pos_b"),
@@ -125,7 +133,7 @@ def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None =
         raise KeyError(f"columns not found: {missing}")
     by = list(by or [])
     sub = listwise_drop(df.select(*[_c(k) for k in by], *[_c(c).cast("double").alias(c) for c in columns]), columns)
-    return _corr_pairs(sub, _pairs(columns), digits, by)
+    return _corr_pairs(sub, _pairs(columns), digits, by, complete=True)
 
 
 def corr_strongest(pairs_df: DataFrame, top: int = 10) -> DataFrame:
