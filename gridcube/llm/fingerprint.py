@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from gridcube.llm.batches import small
 from gridcube.session import materialize
 
-SHINGLE, FLOOR, SCALE = 5, 16, 16
+SHINGLE, FLOOR, SCALE = 5, 16, 24
 FRACTION = np.uint64(2 ** 64 // SCALE)
 _TOP = np.uint64(2 ** 64 - 1)
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, i, 2 ** 64) for i in range(1, SHINGLE + 1)], np.uint64)
@@ -94,14 +94,14 @@ def with_sketch(docs: DataFrame, text_col: str = "text", out: str = "sketch") ->
     return docs.mapInArrow(run, docs.withColumn(out, F.lit("")).schema)
 
 
-_FIELDS = ("n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double")
+_FIELDS = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double")
 
 
 def _compare(text: str, own: np.ndarray, next_text: str, next_own: np.ndarray) -> tuple:
     k = len(text) // 3
     edited = (text[:len(text) - k] + next_text[:k]).encode()
     s = sketch(edited)
-    return (len(text), hashlib.sha256(edited).hexdigest(), packed(own), packed(s), likeness(own, s), likeness(own, next_own))
+    return (len(text), hashlib.sha256(edited).digest(), packed(own), packed(s), likeness(own, s), likeness(own, next_own))
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,14 +154,14 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield _batch(b.column(0).to_pylist(), b.schema.field(0).type, out, 0, None, None)
 
     fields = ["id", *[f.split()[0] for f in _FIELDS.split(", ")]]
-    hexed = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    hexed = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
     return t.where("first is null").select(*fields).union(pairs.mapInArrow(close, schema).select(*fields)) \
         .withColumns(hexed).withColumnRenamed("id", id_col)
 
 
 def _batch(ids, kind, rows, part, first, last):
     cols = list(zip(*rows)) if rows else [()] * 6
-    types = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
+    types = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
     n = len(ids)
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, kind), *(pa.array(list(c), t) for c, t in zip(cols, types)),
