@@ -37,17 +37,22 @@ GIVEN = {
 }
 
 
+METADATA = ["source", "file_path"]
+
+
 def scan_month(spark: SparkSession, raw_base: str, month: str | None = None,
-               names: list[str] | None = None) -> tuple[str, dict[str, DataFrame]]:
+               names: list[str] | None = None, with_metadata: bool = False) -> tuple[str, dict[str, DataFrame]]:
     """Resolve the month (latest folder when not given) and scan its sources."""
     month = month or FS.latest_month_folder(spark, raw_base)
-    tables = FS.scan_folder(spark, os.path.join(raw_base, month), month, names, with_metadata=False)
-    return month, tables
+    tables = FS.scan_folder(spark, os.path.join(raw_base, month), month, names, with_metadata)
+    return month, {n: df.drop("month") for n, df in tables.items()} if with_metadata else tables
 
 
 def clean_source(df: DataFrame, month: str) -> DataFrame:
-    """Trim strings and drop exact duplicate rows; tag the month."""
-    return trim_strings(df).dropDuplicates().withColumn("month", F.lit(month))
+    """Strip strings and drop rows that repeat another's data (whichever file
+    they came from); tag the month."""
+    rows = trim_strings(df)
+    return rows.dropDuplicates([c for c in rows.columns if c not in METADATA]).withColumn("month", F.lit(month))
 
 
 def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | None = None,
@@ -55,8 +60,9 @@ def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | No
     """Clean every CSV of a month, registered or not, and write it under
     ``out_base/<source>/month=<month>``, plus ``folder_report``'s rows under
     ``out_base/_report``. The tables keep the partitioning of their cleaning
-    step, so a month is written by many tasks. Returns source -> table path."""
-    month, tables = scan_month(spark, raw_base, month, names)
+    step, so a month is written by many tasks. Every row carries its source and
+    file path. Returns source -> table path."""
+    month, tables = scan_month(spark, raw_base, month, names, with_metadata=True)
     out = {}
     for name, df in tables.items():
         path = os.path.join(out_base, name)
@@ -144,12 +150,13 @@ def run_cube(spark: SparkSession, raw_base: str, out_path: str | None = None, mo
 
 
 def load_cleaned(spark: SparkSession, etl_base: str, month: str,
-                 names: list[str] | None = None) -> dict[str, DataFrame]:
+                 names: list[str] | None = None, with_metadata: bool = False) -> dict[str, DataFrame]:
     """Read the cleaned tables of one month (partition-pruned). A source that
     has no rows for the month has no partition and is left out."""
     out = {}
     for name in names or list(SOURCES):
         path = os.path.join(etl_base, name)
         if FS.path_exists(spark, os.path.join(path, f"month={month}")):
-            out[name] = spark.read.parquet(path).where(F.col("month") == month)
+            df = spark.read.parquet(path).where(F.col("month") == month)
+            out[name] = df if with_metadata else df.drop(*METADATA)
     return out

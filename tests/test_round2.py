@@ -68,7 +68,10 @@ def test_report_and_unknown_files(spark, tmpdir_path):
     os.remove(os.path.join(folder, "AWC_11_2025.csv"))
     out = jobs.run_month(spark, tmpdir_path, os.path.join(tmpdir_path, "etl"))
     assert set(out) == {"lbw", "New_Source_11_2025"}
-    assert spark.read.parquet(out["New_Source_11_2025"]).first().some_value == "7"
+    stored = spark.read.parquet(out["New_Source_11_2025"]).first()
+    assert stored.some_value == "7" and stored.source == "New_Source_11_2025" and stored.file_path.endswith("New_Source_11_2025.csv")
+    loaded = jobs.load_cleaned(spark, os.path.join(tmpdir_path, "etl"), "2025-11")["lbw"]
+    assert "file_path" not in loaded.columns and loaded.count() == 1
     assert spark.read.parquet(os.path.join(tmpdir_path, "etl", "_report")).count() == len(SOURCES) + 1
 
 
