@@ -4,7 +4,8 @@ A sketch keeps every distinct shingle hash below ``FRACTION`` of the hash
 range; a text with fewer than ``FLOOR`` of those keeps its ``FLOOR`` smallest
 hashes, so that short texts have a sketch too. Each sketch therefore holds all
 hashes up to a known cover. Sketches merge by union and give containment over
-the range that both cover, however unequal the documents are.
+the range that both cover, however unequal the documents are. Where that range
+holds no hash of a text, its containment is undefined (None, NULL), not 0.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from gridcube.llm.batches import small
 from gridcube.session import materialize
 
-SHINGLE, FLOOR, SCALE = 5, 16, 24
+SHINGLE, FLOOR, SCALE = 5, 16, 16
 FRACTION = np.uint64(2 ** 64 // SCALE)
 _TOP = np.uint64(2 ** 64 - 1)
 _MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, i, 2 ** 64) for i in range(1, SHINGLE + 1)], np.uint64)
@@ -59,16 +60,23 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h[:max(int(np.searchsorted(h, FRACTION)), min(FLOOR, len(h)))]
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of a's shingles that b has; two texts without words: 1."""
+def containment(a: np.ndarray, b: np.ndarray) -> float | None:
+    """Estimated share of a's shingles that b has; two texts without words: 1.
+    None if a has shingles but no hash in the range that both cover."""
+    if not len(a):
+        return float(not len(b))
     top = min(cover(a), cover(b))
     a, b = a[a <= top], b[b <= top]
-    return len(np.intersect1d(a, b, assume_unique=True)) / len(a) if len(a) else float(not len(b))
+    return len(np.intersect1d(a, b, assume_unique=True)) / len(a) if len(a) else None
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """The larger of the two containments; 0 if only one has shingles."""
-    return max(containment(a, b), containment(b, a)) if len(a) and len(b) else float(len(a) == len(b))
+def likeness(a: np.ndarray, b: np.ndarray) -> float | None:
+    """The larger of the two containments; 0 if only one has shingles, None if
+    one of them is undefined."""
+    if not (len(a) and len(b)):
+        return float(len(a) == len(b))
+    both = containment(a, b), containment(b, a)
+    return None if None in both else max(both)
 
 
 def packed(s: np.ndarray) -> bytes:
@@ -106,7 +114,8 @@ def _compare(text: str, own: np.ndarray, next_text: str, next_own: np.ndarray) -
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row its sketch, that of its edited text (the last third of its code
-    points replaced by as many first ones of the next row's text) and likenesses.
+    points replaced by as many first ones of the next row's text) and likenesses
+    (NULL where the sketches share no range with a hash of the shorter text).
 
     The next row is the one with the next smaller id; after the last comes the
     first again. NULL ids come last; rows that share an id follow each other by

@@ -58,6 +58,44 @@ def test_estimates_follow_true_containment():
         assert G.containment(G.sketch(" ".join(mixed).encode()), b) == pytest.approx(0.5, abs=0.13)
 
 
+def exact(a, b):
+    a, b = (set(G.shingle_hashes(t.encode()).tolist()) for t in (a, b))
+    return len(a & b) / len(a)
+
+
+def test_short_in_long_is_right_or_undefined():
+    assert G.SCALE <= 16
+    rng = random.Random(12)
+    for shingles in (10, 30, 50, 80):
+        unknown, halves = 0, []
+        for _ in range(60):
+            words = texts(rng, 1, [rng.choice([2000, 5000])])[0].split()
+            at = rng.randrange(len(words) - 100)
+            long, short = " ".join(words), " ".join(words[at:at + shingles + 4])
+            half = " ".join(words[at:at + shingles // 2 + 4]) + " " + texts(rng, 1, [shingles // 2])[0]
+            a, h, b = (G.sketch(t.encode()) for t in (short, half, long))
+            assert exact(short, long) == 1
+            got = G.containment(a, b)
+            unknown += got is None
+            assert got in (1, None) and G.likeness(a, b) == got and G.likeness(b, a) == got
+            assert G.containment(b, a) == pytest.approx(exact(long, short), abs=0.05)
+            if (got := G.containment(h, b)) is not None:
+                halves.append(got - exact(half, long))
+        assert abs(unknown / 60 - (15 / 16) ** shingles) < 0.2      # at 1/24: 0.65 for 10 shingles
+        assert abs(sum(halves) / len(halves)) < 0.2
+
+
+def test_undefined_likeness_is_null(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(0, 80, 2):
+        words = texts(rng, 1, [3000])[0].split()
+        rows += [(i + 1, " ".join(words[50:64])), (i, " ".join(words))]     # a short one is followed by the long one it is part of
+    got = {r.doc_id: r.near_next for r in G.compare_with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    inside = [got[i + 1] for i in range(0, 80, 2)]
+    assert set(inside) == {1.0, None} and all(got[i + 1] == G.likeness(*(G.sketch(dict(rows)[j].encode()) for j in (i + 1, i))) for i in range(0, 80, 2))
+
+
 def test_merge_is_the_sketch_of_the_union():
     rng = random.Random(5)
     for n in (1, 6, 20, 40, 900):
