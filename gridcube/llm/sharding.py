@@ -4,10 +4,10 @@ communication matrix.
 Input rows sit in logical partitions of at most ``BLOCK`` rows. The driver
 draws, per partition, how many of its rows each shard gets: a multivariate
 hypergeometric draw whose rows sum to the partitions' sizes and whose columns
-sum to the shards' sizes. Each partition permutes its rows and deals them by
-those counts, the rows are exchanged, and each shard permutes what it got. The
-second permutation is made of ``SLICES`` hash slices a shard with known
-offsets, so a shard is never sorted in one task.
+sum to the shards' sizes. Each partition permutes its rows' positions in place
+and deals the rows by those counts, the rows are exchanged once, and each shard
+permutes what it got. The second permutation is made of ``SLICES`` hash slices a
+shard with known offsets, so a shard is never sorted in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 from math import exp, lgamma, log, sqrt
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,6 +62,27 @@ def communication_matrix(sizes: list[int], shards: int, seed: int = 0) -> np.nda
     return out
 
 
+def _places(block_size: int, seed: int):
+    """A column function (row number, rows of its block) to the row's place, from
+    1, in its block's random permutation. Only the two numbers go to Python; a
+    task keeps the permutation of the block it is in."""
+    kept = {}
+
+    def place(row: pd.Series, count: pd.Series) -> pd.Series:
+        at, n = row.to_numpy(np.int64), count.to_numpy(np.int64)
+        out = np.empty(len(at), np.int64)
+        blocks = at // block_size
+        for b in np.unique(blocks):
+            mine = blocks == b
+            if b not in kept:
+                kept.clear()
+                kept[b] = np.random.default_rng([seed, int(b)]).permutation(n[mine][0])
+            out[mine] = kept[b][at[mine] % block_size] + 1
+        return pd.Series(out)
+
+    return F.pandas_udf(place, "long")
+
+
 def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     """Every row of ``docs`` with ``shard`` (0 to shards - 1) and ``slot``
     (gapless from 0 in its shard). Shard sizes differ by one row at most and
@@ -73,15 +95,14 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     numbers, and with them the draw, survive a lost executor."""
     docs = docs.drop("shard", "slot")
     spark, own = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns]
-    rows = materialize(docs.select(*own, F.monotonically_increasing_id().alias("__row")), "shard")
+    rows = materialize(docs.select(*own, F.monotonically_increasing_id().alias("__row")), "shard", codec="zstd")
     # the row number is (partition, row in it): its upper bits name a block of BLOCK rows
     rows = rows.withColumn("__block", F.shiftright("__row", BLOCK.bit_length() - 1))
     sizes = rows.groupBy("__block").count().orderBy("__block").collect()        # a row per BLOCK input rows
     deal = communication_matrix([r["count"] for r in sizes], shards, seed)
-    plan = spark.createDataFrame([(r["__block"], np.cumsum(deal[i]).tolist()) for i, r in enumerate(sizes)],
-                                 "__block long, __upto array<long>")
-    local = F.row_number().over(Window.partitionBy("__block").orderBy(F.xxhash64(F.lit(seed), "__row"), "__row"))
-    dealt = rows.withColumn("__nth", local).join(plan, "__block") \
+    plan = spark.createDataFrame([(r["__block"], r["count"], np.cumsum(deal[i]).tolist()) for i, r in enumerate(sizes)],
+                                 "__block long, __count long, __upto array<long>")
+    dealt = rows.join(F.broadcast(plan), "__block").withColumn("__nth", _places(BLOCK, seed)("__row", "__count")) \
         .withColumn("shard", F.size(F.filter("__upto", lambda c: c < F.col("__nth")))) \
         .withColumn("__h", F.xxhash64(F.lit(seed + 1), "__row", "__row")) \
         .withColumn("__slice", F.pmod("__h", F.lit(SLICES)))

@@ -58,14 +58,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", codec: str | None = None):
     """Write an intermediate once as Parquet under the shared checkpoint
     folder and read it back: one job, lineage cut, survives executor loss,
     and every later consumer reads the files instead of recomputing.
     (``Dataset.checkpoint`` would compute an unpersisted input twice.)"""
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=codec)
     return spark.read.parquet(path)
 
 

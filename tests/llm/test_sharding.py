@@ -1,6 +1,10 @@
+import zlib
+
 import numpy as np
 
+from gridcube.llm import queries
 from gridcube.llm import sharding as H
+from tests.conftest import SF_SMALL
 
 
 def test_matrix_has_exact_rows_and_columns():
@@ -52,3 +56,24 @@ def test_repeated_null_rows(spark):
     docs = spark.createDataFrame([(None, None)] * 50, "doc_id long, text string")
     got = H.shard(docs, 4).toPandas()
     assert got.groupby("shard").size().isin([12, 13]).all()
+
+
+def test_query_places_whole_documents(spark, monkeypatch):
+    given, made = [], []
+    plain = H.shard
+    monkeypatch.setattr(queries.sharding, "shard", lambda docs, *a: given.append(docs) or made.append(plain(docs, *a)) or made[-1])
+    got = queries.op4_sharding(spark, SF_SMALL)
+    docs = queries.table(spark, SF_SMALL, "documents")
+    assert given[0].dtypes == docs.dtypes and made[0].columns == [*docs.columns, "shard", "slot"]
+    assert "text" in spark.read.parquet(*got.inputFiles()).columns        # read from written shards
+    want = {(r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in docs.collect()}
+    assert {(r.doc_id, r.size, r.text_crc32) for r in got.collect()} == want and got.count() == docs.count()
+
+
+def test_whole_rows_cross_one_exchange_only(spark):
+    docs = spark.range(0, 900, 1, 4).selectExpr("id as doc_id", "repeat(cast(id as string), 50) as text")
+    got = H.shard(docs, 24)
+    assert got.where("text != repeat(cast(doc_id as string), 50)").count() == 0 and got.count() == 900
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert not [w for w in windows if "__block" in w]
