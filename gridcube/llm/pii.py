@@ -41,6 +41,20 @@ _MOD97 = (f"aggregate(sequence(1, length({_IBAN})), 0, (a, i) -> case "
           f"when substring(concat(substring({_IBAN}, 5), substring({_IBAN}, 1, 4)), i, 1) rlike '[0-9]' "
           f"then (a * 10 + ascii(substring(concat(substring({_IBAN}, 5), substring({_IBAN}, 1, 4)), i, 1)) - 48) % 97 "
           f"else (a * 100 + ascii(substring(concat(substring({_IBAN}, 5), substring({_IBAN}, 1, 4)), i, 1)) - 55) % 97 end) = 1")
+# characters of an IBAN by country; the match ends there and leaves a following word alone
+_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+            22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+            26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+            30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban() -> str:
+    """Any country: groups of four and a rest; a known country's length is tried first."""
+    known = [rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+             + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])" for n, c in _LENGTHS.items()]
+    other = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+    return r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join([*known, other]) + ")"
+
 
 KINDS = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -55,7 +69,7 @@ KINDS = (
     # \+[0-9][\x20().0-9-]+[0-9], 8 to 15 digits
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", f"length({_DIGITS}) between 8 and 15",
          0.6, "phone|call|tel|mobile|fax", "order|invoice"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}",
+    Kind("iban", _iban(), "[A-Z]{2}[0-9]{2}",
          _MOD97, 0.8, "iban|account|bank|transfer", "serial|part", base=False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
          "not x.m rlike '^(?:000|666|9)|-00-|-0000$'", 0.4, "ssn|social|security", "part|order", base=False),

@@ -50,6 +50,16 @@ def test_checksums_and_context_of_added_kinds(spark):
     assert [[s[0] for s in g if s[0] not in P.BASE] for g in got] == [["iban"], [], ["iban"], ["ssn"], [], [], []]
 
 
+def test_iban_ends_at_its_countrys_length(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00",
+             "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606"]
+    texts = [f"{iban}{after}" for iban in ibans for after in (" EUR 500", " BIC", " 2024 AB", ".", "")] + ["ES91 2100 0418 4502 0005 1333 EUR", "ES91 2100 0418 4502 0005 1332Y"]
+    got = [[s for s in g if s[0] == "iban"] for g in found(spark, texts)]
+    assert got == [[("iban", 0, len(iban))] for iban in ibans for _ in range(5)] + [[], []]
+    df = spark.createDataFrame([(1, "to ES91 2100 0418 4502 0005 1332 EUR 500, AT61 1904 3002 3457 3201 BIC")], "doc_id long, text string")
+    assert P.redact(df).first().text == "to [IBAN] EUR 500, [IBAN] BIC"
+
+
 def test_long_texts_stay_linear(spark):
     long = ["a" * 300_000 + "@", "1" * 300_000 + ".1", "a@" + "b." * 100_000 + "c", "1 " * 100_000, "+" * 100_000 + "1" * 1000, "A" * 200_000]
     began = time.time()
