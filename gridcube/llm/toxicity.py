@@ -25,7 +25,8 @@ from gridcube.llm.batches import small
 
 BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 8, (3, 4, 5)
 MAX_PER_CLASS = 1000        # bound of the training sample: rows of each label
-MAX_TRAIN_CHARS = 20_000    # longer texts are scored whole but not used for training
+MAX_TRAIN_CHARS = 20_000    # longer texts are scored whole; training sees stretches of them
+STRETCHES, STRETCH = 8, 5_000    # of a longer text: evenly spread, characters each
 MIN_TEXTS = 4               # an n-gram of fewer training texts keeps a zero vector
 CACHE_WORDS = 200_000       # words whose value a task remembers at a time
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|"
@@ -151,19 +152,25 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "d
     """At most ``max_per_class`` labelled texts of each label, in a fixed
     pseudo-random order of their ids, from rows where ``allowed`` (an
     expression over ``id_col``) holds. An id labelled twice takes the larger
-    label; ids or labels that are NULL and texts above ``max_chars`` are not
-    learnt from; of rows that repeat an id one is taken."""
+    label; ids or labels that are NULL are not learnt from; of a text above
+    ``max_chars`` up to ``STRETCHES`` evenly spread stretches are, its first
+    and last words among them; of rows that repeat an id one is taken."""
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")) \
         .where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")) \
-        .where(allowed & (F.coalesce(F.length("text"), F.lit(0)) <= max_chars))
+        .where(allowed)
     ids = texts.select("id").distinct().join(known, "id")
     pick = None
     for y in (0, 1):
         part = ids.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_per_class)
         pick = part if pick is None else pick.union(part)
     # the sample holds at most 2 * max_per_class ids, so it is broadcast
-    rows = texts.join(F.broadcast(pick), "id").groupBy("id", "y").agg(F.min("text").alias("text")) \
+    # a stretch ends at white space, so that no word is learnt in part
+    n = f"least({STRETCHES}, cast(ceil(length(text) / {STRETCH}) as int))"
+    piece = f"substring(text, 1 + cast((length(text) - {STRETCH}) * cast(i as bigint) div greatest({n} - 1, 1) as int), {STRETCH})"
+    inner = f"regexp_replace(if(i = 0, {piece}, regexp_replace({piece}, '^[^ \\\\n\\\\t]++', '')), if(i = {n} - 1, '$^', '[^ \\\\n\\\\t]+$'), '')"
+    shown = F.expr(f"if(length(text) <= {max_chars}, text, concat_ws(' ', transform(sequence(0, {n} - 1), i -> {inner})))")
+    rows = texts.join(F.broadcast(pick), "id").select("id", "y", shown.alias("text")).groupBy("id", "y").agg(F.min("text").alias("text")) \
         .orderBy(F.xxhash64("id"), "id").collect()
     return [(r.text, r.y) for r in rows]
 

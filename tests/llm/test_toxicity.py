@@ -79,6 +79,19 @@ def test_sample_is_bounded_and_honours_allowed(spark):
     assert len(rows) == 14 and all(int(t[4:]) < 40 and int(t[4:]) % 2 == y for t, y in rows)
 
 
+def test_long_texts_are_learnt_from_in_stretches(spark):
+    words = [f"w{i:06d}" for i in range(30_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "short text"), (3, " ".join(words[:2000]))], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "doc_id long, toxic int")
+    got = {len(t): t for t, _ in T.sample(docs, labels, F.lit(True))}
+    assert len(got) == 3 and " ".join(words[:2000]) in got.values() and "short text" in got.values()
+    long = got[max(got)].split()
+    assert set(long) <= set(words) and len(got[max(got)]) <= T.STRETCHES * (T.STRETCH + 1)
+    assert long[0] == words[0] and long[-1] == words[-1] and len(long) > T.STRETCHES * T.STRETCH / 8 - 20
+    at = [int(w[1:]) for w in long]
+    assert max(b - a for a, b in zip(at, at[1:])) < 30_000 / (T.STRETCHES - 1)        # spread over the whole text
+
+
 def test_query_on_the_given_tables(spark):
     got = Q.op2_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas()
