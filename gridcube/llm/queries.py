@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridcube.llm import ann, bpe, fingerprint, mixing, pii, quality, sharding, simhash, toxicity, urls
+from gridcube.llm import ann, bpe, decontaminate, fingerprint, mixing, pii, quality, repair, sharding, simhash, toxicity, urls, whitening
+from gridcube.llm.digests import running_sha256
 from gridcube.session import materialize
 
 TOXIC_AT, GOOD_AT = 0.7, 0.3
@@ -86,6 +87,52 @@ def op10_quality(spark, sf_dir):
                 F.when(F.col("score") >= GOOD_AT, 1).otherwise(0).alias("predicted"))
 
 
+def damaged(turns):
+    """Conversations with the faults of the test: by crc32(conv_id:turn) % 20 a
+    turn is lost (0), emptied (1), robbed of its marks (2), said twice (3) or
+    given to the user (4). NULLs are one space there; the turn itself stays NULL."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"),
+                        (F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20).alias("k")).where("k <> 0")
+    text = F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("k") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       F.explode(F.array_repeat(F.lit(0), F.when(F.col("k") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+def op11_repair(spark, sf_dir):
+    """Audit and digest are put together chunk by chunk where the turns lie; only
+    conversations of several chunks are shuffled once more, a row a chunk."""
+    turns = table(spark, sf_dir, "conversations")
+    fixed = repair.repair(damaged(turns))
+    line = F.when(F.col("action") != "D", F.concat("role", F.lit(":"), "text"))
+    parts = fixed.turns.groupBy("chunk", "conv", "only").agg(F.sort_array(F.collect_list(F.struct("k", "action", line.alias("line")))).alias("e"))
+    lines = F.filter(F.transform("e", lambda e: e.line), lambda x: x.isNotNull())
+    parts = materialize(parts.select("conv", "chunk", "only", F.array_join(F.transform("e", lambda e: e.action), "").alias("audit"),
+                                     F.when(F.col("only"), F.sha2(F.array_join(lines, "\n"), 256)).alias("sha"),
+                                     F.when(~F.col("only") & (F.size(lines) > 0), F.array_join(lines, "\n")).alias("said")), "audits")
+    whole = parts.where("only").select("conv", "audit", F.col("sha").alias("repaired_sha256"))
+    cut = parts.where("not only")
+    audit = cut.groupBy("conv").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "audit"))), lambda a: a.audit), "").alias("audit"))
+    sha = running_sha256(cut, "conv", "chunk", "said", "\n").withColumnRenamed("sha256", "repaired_sha256")
+    whole = whole.unionByName(audit.join(sha.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c"))).drop("c"))
+    every = turns.select("conv_id").distinct()
+    zero = F.lit(0).cast("long")
+    out = every.join(fixed.conversations, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv") \
+        .join(whole, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    return out.select("conv_id", *[F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 32)
+
+
+def op13_decontaminate(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10, keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 OP3_SQL = r"""
 WITH rows AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 per AS (SELECT source, sum(size)::DOUBLE AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos FROM rows GROUP BY source),
@@ -142,6 +189,23 @@ SELECT p.page_id, p.host, p.path, judged.rule, coalesce(judged.action, CASE WHEN
 FROM p LEFT JOIN judged USING (page_id) LEFT JOIN bad ON bad.a = regexp_replace(p.url, '(?s)#.*$', '')
 """
 
+_UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP13_SQL = rf"""
+WITH items AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[i + 1:i + 10], ' ') AS win
+  FROM (SELECT item, w, unnest(range(greatest(len(w) - 9, 1))) AS i FROM items WHERE len(w) > 0)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+grams AS (SELECT r, i, size, array_to_string(w[i + 1:i + size], ' ') AS win FROM (
+  SELECT r, w, size, unnest(range(len(w) - size + 1)) AS i FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)),
+found AS (SELECT r, i, g.size, item FROM grams g JOIN windows v ON g.win = v.win),
+words AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS j FROM found) GROUP BY r),
+ids AS (SELECT r, count(*) AS n_items, array_to_string(list(item ORDER BY item), ',') AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN ids USING (r)
+"""
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_mixing, op4_sharding, op5_ann, op6_pii, op7_fingerprint,
-                                   op8_bpe, op9_urls, op10_quality)}
-ORACLE = {"op3_mixing": OP3_SQL, "op6_pii": _op6_sql(), "op9_urls": OP9_SQL}
+                                   op8_bpe, op9_urls, op10_quality, op11_repair, op12_whitening, op13_decontaminate)}
+ORACLE = {"op3_mixing": OP3_SQL, "op6_pii": _op6_sql(), "op9_urls": OP9_SQL, "op13_decontaminate": OP13_SQL}
