@@ -23,8 +23,9 @@ SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 
 def strip(c) -> Column:
     """Both ends without white space of any kind (tabs, line ends and
-    no-break spaces too, which ``trim`` leaves in place)."""
-    return F.regexp_replace(col(c), f"^{SPACE}+|{SPACE}+$", "")
+    no-break spaces too, which ``trim`` leaves in place). Linear in the text: a
+    run of white space is looked at once, from its start and without going back."""
+    return F.regexp_replace(col(c), rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
 
 
 def rnd(c, n: int = 2) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcube.functions import exprs as X
 from gridcube.functions.headers import normalize_headers
+from gridcube.operators.scan import fill_forward  # noqa: F401  (part of this module's interface)
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -58,66 +59,11 @@ def fill_zero(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.na.fill(0, subset=columns) if columns else df.na.fill(0)
 
 
-def _quantile_chunk(df: DataFrame, column, chunks: int):
-    """Chunk number along a plain ascending column; NULLs, which sort first,
-    are chunk 0."""
-    kind = df.schema[column].dataType if isinstance(column, str) else None
-    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        raise ValueError(f"fill_forward needs chunk_by: {column} is no number, date or time to cut into chunks")
-    x = F.col(column) if isinstance(kind, T.NumericType) else F.col(column).cast("timestamp")
-    x = x.cast("double")
-    # chunks - 1 numbers reach the driver, whatever the input
-    cuts = df.agg(F.percentile_approx(x, F.array(*[F.lit(i / chunks) for i in range(1, chunks)]), 10000)).first()[0] or []
-    return F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda b: b <= x)) + 1, F.lit(0))
-
-
-def fill_forward(df: DataFrame, columns: list[str], partition_by: list[str],
-                 order_by: list[str], chunk_by=None, chunks: int = 256) -> DataFrame:
-    """Carry the last non-null value forward inside each entity, in an
-    explicit order (``order_by`` must be total, i.e. end with a unique key).
-
-    An entity is split into chunks, so that no task holds a hot one: values
-    are filled within each (entity, chunk) window, the last value of every
-    chunk is summarised (one row per chunk), carried across chunks by a window
-    over those summaries, and joined back. ``chunk_by`` is a column expression
-    that never decreases along ``order_by``, e.g. the day of a timestamp;
-    without it the first order column (a number, date or time) is cut at
-    ``chunks - 1`` approximate quantiles of all rows.
-    """
-    if chunk_by is None:
-        chunk_by = _quantile_chunk(df, order_by[0], chunks)
-    chunk = chunk_by if not isinstance(chunk_by, str) else F.col(chunk_by)
-    keyed = df.withColumn("__chunk", chunk)
-    wc = (Window.partitionBy(*partition_by, "__chunk").orderBy(*order_by)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inside = keyed.withColumns({f"__in_{c}": F.last(F.col(c), ignorenulls=True).over(wc) for c in columns})
-    # last non-null value of each chunk, in order (one row per chunk)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order_by]
-    summ = keyed.groupBy(*partition_by, "__chunk").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order_cols))).alias(f"__last_{c}")
-        for c in columns])
-    ws = (Window.partitionBy(*partition_by).orderBy("__chunk")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summ.select(*partition_by, "__chunk", *[
-        F.last(F.col(f"__last_{c}"), ignorenulls=True).over(ws).alias(f"__carry_{c}") for c in columns])
-    # null-safe on the entity keys: NULL entities form one group, as in a window
-    keys = [*partition_by, "__chunk"]
-    carry = carry.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[f"__carry_{c}" for c in columns])
-    cond = None
-    for k in keys:
-        e = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-        cond = e if cond is None else cond & e
-    out = inside.join(carry, cond, "left")
-    out = out.withColumns({c: F.coalesce(F.col(f"__in_{c}"), F.col(f"__carry_{c}")) for c in columns})
-    return out.drop("__chunk", *[f"__r_{k}" for k in keys], *[f"__in_{c}" for c in columns],
-                    *[f"__carry_{c}" for c in columns])
-
-
 def fill_missing(df: DataFrame, strategy: str = "zero", **kw) -> DataFrame:
     if strategy == "zero":
         return fill_zero(df, kw.get("columns"))
     if strategy == "ffill":
-        return fill_forward(df, kw["columns"], kw["partition_by"], kw["order_by"], kw.get("chunk_by"))
+        return fill_forward(df, kw["columns"], kw["partition_by"], kw["order_by"])
     return df
 
 

@@ -7,14 +7,17 @@ rows: rows that cannot be scored get a NULL prediction.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcube.functions import exprs as X
 from gridcube.operators.clean import listwise_drop
+from gridcube.session import materialize
 
 MIN_TRAINING_ROWS = 10
 
@@ -69,6 +72,59 @@ def holdout_flag(key, test_fraction: float = 0.3) -> F.Column:
     return F.coalesce(h < F.lit(test_fraction), F.lit(False))
 
 
+BIN_BITS = 16
+
+
+def _digits(df: DataFrame, key: str) -> list[F.Column]:
+    """The order of the exact split as 16-bit digits: md5 of the key first, then a
+    hash of the whole row, which parts rows that share a key. NULL keys come last."""
+    h = F.coalesce(F.md5(_c(key).cast("string")), F.lit("f" * 32))
+    row = F.xxhash64(*[_c(c) for c in df.columns])
+    return [F.conv(F.substring(h, 1 + 4 * i, 4), 16, 10).cast("int") for i in range(4)] + \
+        [F.shiftrightunsigned(row, 48 - 16 * i).bitwiseAND(F.lit((1 << BIN_BITS) - 1)).cast("int") for i in range(4)]
+
+
+def exact_split(df: DataFrame, key: str, test_fraction: float = 0.3, out: str = "is_test") -> DataFrame:
+    """K2 with an exact size: ``ceil(test_fraction * rows)`` rows are test rows,
+    those with the smallest md5(key). The place to cut is found as an order
+    statistic: a histogram of the hash's first 16 bits, then one of the next 16
+    inside the bin that holds the cut, until a bin ends exactly there (two rounds for
+    billions of rows). At most 65,536 counts reach the driver a round. The split
+    does not depend on partitioning or order; of rows that are wholly alike any may
+    be the test rows. An empty table stays empty."""
+    digits = [f"__d{i}" for i in range(8)]
+    keyed = df.withColumns(dict(zip(digits, _digits(df, key))))
+    n = df.count()
+    left = math.ceil(round(test_fraction * n, 9))
+    test, prefix = F.lit(False), F.lit(True)
+    for d in digits:
+        if left <= 0:
+            break
+        seen = 0
+        for r in keyed.where(prefix).groupBy(d).count().orderBy(d).collect():
+            if seen + r["count"] >= left:
+                break
+            seen += r["count"]
+        else:
+            r = None                                     # the fraction covers every row
+        test = test | (prefix & ((F.col(d) < r[d]) if r is not None else F.lit(True)))
+        if r is None:
+            left = 0
+        elif seen + r["count"] == left:
+            test, left = test | (prefix & (F.col(d) == r[d])), 0
+        else:
+            prefix, left = prefix & (F.col(d) == r[d]), left - seen
+    if left <= 0:
+        return keyed.withColumn(out, test).drop(*digits)
+    # only rows that are wholly alike are left to part: the first of them by place
+    placed = materialize(keyed.withColumns({"__p": F.spark_partition_id(), "__i": F.monotonically_increasing_id()}), "split")
+    alike = placed.where(prefix).groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = alike.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
+    nth = placed.where(prefix).select("__p", "__i", F.row_number().over(Window.partitionBy("__p").orderBy("__i")).alias("__k")) \
+        .join(before, "__p").where(F.col("__b") + F.col("__k") <= left).select("__i", F.lit(True).alias("__t"))
+    return placed.join(nth, "__i", "left").withColumn(out, test | F.coalesce("__t", F.lit(False))).drop(*digits, "__p", "__i", "__t")
+
+
 def rf_pipeline(features: list[str], target: str, num_trees: int = 200, seed: int = 42,
                 max_depth: int = 30, max_bins: int = 256, prediction: str = "prediction") -> Pipeline:
     """K3: forest regression with every feature considered at every split

@@ -1,9 +1,8 @@
 """Statistics: top/bottom-n, correlation reports and matrices, rank
 correlations (Spearman, Kendall tau-b).
 
-Correlations are computed as aggregates: one pass produces every pair's
-moments (partial aggregation per partition, one tiny final merge), then the
-single result row is unpivoted with ``stack``. Nothing is collected.
+Pearson correlations come from one scan for any number of columns (``gram``);
+rank correlations from distinct value pairs with their counts. Nothing is collected.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridcube.functions import exprs as X
 from gridcube.operators.clean import listwise_drop
+from gridcube.operators.gram import correlations
 from gridcube.session import materialize
 
 
@@ -75,43 +75,9 @@ def top_bottom_report(df: DataFrame, key: str, metrics: list[str], n: int = 5,
 
 # ------------------------------------------------------------ correlation
 
-def _pairs(cols: list[str], diagonal: bool = False):
-    """(pos_a, pos_b, a, b): upper triangle in input order, perhaps with the
-    diagonal."""
-    return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i or (diagonal and i == j)]
-
-
-PAIRS_PER_AGGREGATE = 60
-
-
-def _r_and_n(a, b, complete: bool):
-    """Pearson r and row count of a pair. Where no value is missing (``complete``)
-    the deviations of a column and the count are the same expression in every
-    pair, so each is computed once."""
-    if complete:
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)), F.count(F.lit(1))
-    return X.safe_corr(a, b), F.count(X.pair_masked(a, b)[0])
-
-
-def _corr_pairs(df: DataFrame, pairs, digits: int | None = 6, by: list[str] | None = None, complete: bool = False) -> DataFrame:
-    """Pearson r for many pairs, each a plain aggregate expression: one row per
-    group holds ``PAIRS_PER_AGGREGATE`` pairs at a time (so the generated code
-    stays small for wide tables) and is unpivoted afterwards. No row is
-    multiplied, and the shuffle carries one buffer row per group and partition.
-    ``n_rows`` counts the rows where both values are present and not NaN."""
-    by = list(by or [])
-    parts = []
-    for at in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-        some = pairs[at:at + PAIRS_PER_AGGREGATE]
-        aggs = [e.alias(f"{n}{k}") for k, (_, _, a, b) in enumerate(some) for n, e in zip("rn", _r_and_n(_c(a), _c(b), complete))]
-        one = df.groupBy(*[_c(k) for k in by]).agg(*aggs)
-        each = F.array(*[F.struct(F.lit(a).alias("indicator_a"), F.lit(b).alias("indicator_b"),
-                                  F.lit(i).cast("long").alias("pos_a"), F.lit(j).cast("long").alias("pos_b"),
-                                  F.col(f"r{k}").alias("correlation"), F.col(f"n{k}").cast("long").alias("n_rows"))
-                         for k, (i, j, a, b) in enumerate(some)])
-        parts.append(one.select(*[_c(k) for k in by], F.inline(each)))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.withColumn("correlation", X.rnd("correlation", digits)) if digits is not None else out
+def _pairs(cols: list[str]):
+    """(pos_a, pos_b, a, b): upper triangle in input order."""
+    return [(i, j, a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
 
 
 def _mirrored(upper: DataFrame) -> DataFrame:
@@ -133,7 +99,7 @@ def corr_pairs_listwise(df: DataFrame, columns: list[str], digits: int | None =
         raise KeyError(f"columns not found: {missing}")
     by = list(by or [])
     sub = listwise_drop(df.select(*[_c(k) for k in by], *[_c(c).cast("double").alias(c) for c in columns]), columns)
-    return _corr_pairs(sub, _pairs(columns), digits, by, complete=True)
+    return correlations(sub, columns, by, digits).where("pos_a < pos_b")
 
 
 def corr_strongest(pairs_df: DataFrame, top: int = 10) -> DataFrame:
@@ -151,8 +117,7 @@ def corr_matrix_pairwise(df: DataFrame, columns: list[str], digits: int | None =
     cols = [c for c in columns if c in df.columns]
     if len(cols) < 2:
         raise ValueError("need at least two existing columns for a correlation matrix")
-    sub = df.select(*[_c(c).cast("double").alias(c) for c in cols])
-    return _mirrored(_corr_pairs(sub, _pairs(cols, diagonal=True), digits))
+    return _mirrored(correlations(df, cols, digits=digits))
 
 
 def corr_matrix_rounded(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -218,7 +183,7 @@ def rank_matrix(df: DataFrame, columns: list[str], method: str = "spearman", dig
     cols = [c for c in columns if c in df.columns]
     at = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i).cast("long"))])
     upper = fn(df, cols, None).withColumns({"pos_a": at[F.col("indicator_a")], "pos_b": at[F.col("indicator_b")]})
-    own = _corr_pairs(df.select(*[_c(c).cast("double").alias(c) for c in cols]), [(i, i, c, c) for i, c in enumerate(cols)], None)
+    own = correlations(df, cols, digits=None).where("pos_a = pos_b")
     return _mirrored(upper.unionByName(own)).withColumn("correlation", X.rnd("correlation", digits))
 
 

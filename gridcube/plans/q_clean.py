@@ -95,12 +95,12 @@ FROM events
 """)
 def q_fill_forward(spark, sf_dir):
     """Errors lose their value; each user's last known value is carried
-    forward in (ts, event_id) order. Users are chunked by day, so a user
-    with a third of all events is still spread over many tasks."""
+    forward in (ts, event_id) order; a user with a third of all events is
+    still spread over many tasks."""
     e = A.table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", F.expr(_MASK).alias("value_raw"))
     out = CL.fill_forward(e.withColumn("value_filled", F.col("value_raw")), ["value_filled"],
-                          ["user_id"], ["ts", "event_id"], chunk_by=F.to_date("ts"))
+                          ["user_id"], ["ts", "event_id"])
     return out.drop("ts")
 
 

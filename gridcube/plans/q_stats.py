@@ -199,6 +199,24 @@ def q_corr_matrix_rounded(spark, sf_dir):
     return ST.corr_matrix_rounded(legacy(spark, sf_dir, True), SV.HEATMAP_COLUMNS)
 
 
+# Every numeric column of the cube with every other, which is what the one-scan form is for.
+_CUBE_NUMBERS = [c for c in G.cube_sql(CUBE_ORDER)[1] if c != "district"]
+_ZERO = "+ 0.0::DOUBLE"          # no negative zeros
+
+
+@register("corr_matrix_cube", G.with_clause(CUBE_CTES) + f""",
+w AS (SELECT district, {", ".join(f"CAST({qi(c)} AS DOUBLE) AS {qi(c)}" for c in _CUBE_NUMBERS)} FROM cube),
+u AS (SELECT district, name, v FROM (UNPIVOT w ON COLUMNS(* EXCLUDE (district)) INTO NAME name VALUE v) WHERE NOT isnan(v)),
+names(pos, name) AS (VALUES {", ".join(f"({i}::BIGINT, '{c}')" for i, c in enumerate(_CUBE_NUMBERS))}),
+cells AS (SELECT x.name AS a, y.name AS b, {rnd(G.corr("x.v", "y.v"), 6)} {_ZERO} AS r, CAST(count(*) AS BIGINT) AS n
+          FROM u x JOIN u y USING (district) GROUP BY 1, 2)
+SELECT p.name AS indicator_a, q.name AS indicator_b, p.pos AS pos_a, q.pos AS pos_b, r AS correlation, coalesce(n, 0) AS n_rows
+FROM names p CROSS JOIN names q LEFT JOIN cells ON p.name = a AND q.name = b""")
+def q_corr_matrix_cube(spark, sf_dir):
+    cube = district_cube(spark, sf_dir)
+    return ST.corr_matrix_pairwise(cube, _CUBE_NUMBERS).withColumn("correlation", F.col("correlation") + F.lit(0.0))
+
+
 RANK_COLS = ["l_quantity", "l_discount", "l_tax"]
 
 

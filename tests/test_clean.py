@@ -59,19 +59,7 @@ def test_zfill_code(spark):
     assert rows(CL.zfill_code(df)) == [("00000000123",), ("123456789012",)]
 
 
-def test_fill_forward_chunked_equals_plain(spark):
-    import random
-    r = random.Random(3)
-    data = [(r.choice([0, 1, 2, 3, None]), t, None if r.random() < 0.6 else float(t)) for t in range(400)]
-    df = spark.createDataFrame(data, "k long, t long, v double")
-    plain = CL.fill_forward(df, ["v"], ["k"], ["t"])
-    chunked = CL.fill_forward(df, ["v"], ["k"], ["t"], chunk_by=(F.col("t") / 37).cast("long"))
-    assert chunked.columns == plain.columns
-    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
-
-
-def test_fill_missing_ffill_passes_chunking(spark):
+def test_fill_missing_ffill(spark):
     df = spark.createDataFrame([(1, 1, 5.0), (1, 2, None), (1, 30, None)], "k long, t long, v double")
-    out = CL.fill_missing(df, "ffill", columns=["v"], partition_by=["k"], order_by=["t"],
-                          chunk_by=(F.col("t") / 10).cast("long"))
+    out = CL.fill_missing(df, "ffill", columns=["v"], partition_by=["k"], order_by=["t"])
     assert [r.v for r in out.orderBy("t").collect()] == [5.0, 5.0, 5.0]

@@ -78,3 +78,19 @@ def test_safe_corr_null_on_constant_and_pairwise(spark):
     pdf = pd.DataFrame({"a": [1, 2, 3, 4], "b": [2, 4, None, 8.5]})
     assert math.isclose(r.ab, pdf.corr().loc["a", "b"], rel_tol=1e-12)
     assert r.ac is None
+
+
+def test_strip_is_linear_and_as_python(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from gridcube.functions import exprs as X
+    space = ["\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", " ", "\x85", " ", " ", " ", "　"]
+    texts = ["".join(space) + "a" + "".join(space) + "b" + "".join(space), "".join(space), "", "x\n", "\nx", " \r\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    assert [r[0] for r in df.select(X.strip("s")).collect()] == [t.strip() for t in texts]
+    long = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b")).alias("s"))
+    start = time.perf_counter()
+    assert long.select(F.length(X.strip("s")).alias("n")).first().n == 1_000_002
+    assert time.perf_counter() - start < 5

@@ -100,3 +100,32 @@ def test_forest_is_deterministic_and_bounded(spark):
     assert pa == {r.District: r.p for r in b.collect()}           # same seed, same forest
     lo, hi = train.agg(F.min(f"`{ML.LBW_TARGET}`"), F.max(f"`{ML.LBW_TARGET}`")).first()
     assert all(lo - 1e-9 <= v <= hi + 1e-9 for v in pa.values())  # averages of leaf means stay in range
+
+
+def test_exact_split_size_and_stability(spark):
+    import hashlib
+    import math
+
+    from pyspark.sql import functions as F
+
+    from gridcube.operators import ml as ML
+    for n in (0, 1, 10, 333, 1000):
+        df = spark.range(n).withColumnRenamed("id", "k")
+        got = {r.k: r.is_test for r in ML.exact_split(df, "k").collect()}
+        ranked = sorted(range(n), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+        assert {k for k, t in got.items() if t} == set(ranked[:math.ceil(round(0.3 * n, 9))])
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    again = ML.exact_split(df.orderBy(F.rand(1)).repartition(9), "k")
+    assert {r.k for r in again.where("is_test").collect()} == {k for k, t in got.items() if t}
+    assert ML.exact_split(df, "k", 1.0).where("is_test").count() == 1000 and ML.exact_split(df, "k", 0.0).where("is_test").count() == 0
+
+
+def test_exact_split_of_shared_keys_and_equal_rows(spark):
+    from gridcube.operators import ml as ML
+    rows = [(1, i) for i in range(50)] + [(None, 1)] * 40 + [(2, 7)] * 90
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    for share in (0.1, 0.3, 0.5, 0.77, 0.95):
+        out = ML.exact_split(df, "k", share)
+        want = -(-int(round(share * 18000)) // 100)
+        assert out.where("is_test").count() == want and out.count() == 180
+        assert out.drop("is_test").exceptAll(df).count() == 0
