@@ -102,7 +102,7 @@ def hits_of(text: bytes, found) -> tuple[int, list, list[str]]:
 
 def _scan(rows: DataFrame, keep: list[str], found) -> DataFrame:
     """``keep``, n_words, spans and items of rows whose last column is the text in bytes."""
-    n = len(keep)
+    n, rows = len(keep), rows.toDF(*[f"_{i}" for i in range(len(keep) + 1)])     # by place: names may hold anything
 
     def run(batches):
         for b in small(batches, n):
@@ -112,8 +112,8 @@ def _scan(rows: DataFrame, keep: list[str], found) -> DataFrame:
                  pa.array([[dict(zip(("first", "last", "start", "end"), s)) for s in g[1]] for g in got], _SPAN),
                  pa.array([g[2] for g in got], pa.list_(pa.string()))], names=[*keep, "n_words", "spans", "items"])
 
-    schema = rows.select(*[f"`{c}`" for c in keep], F.lit(0).cast("long").alias("n_words"), F.lit(None).cast(SPANS).alias("spans"),
-                         F.array(F.lit("")).alias("items")).schema
+    schema = rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], F.lit(0).cast("long").alias("n_words"),
+                         F.lit(None).cast(SPANS).alias("spans"), F.array(F.lit("")).alias("items")).schema
     return rows.mapInArrow(run, schema)
 
 

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridcube.llm import decontaminate as D
 
@@ -46,9 +47,9 @@ def test_against_every_window(spark, block):
     """The same with one automaton and with many small ones."""
     docs = list(enumerate(_texts(1, 40))) + [(None, None), (50, ""), (51, "--- ..."), (0, "a B été"), (0, "a B été")]
     items = list(enumerate(_texts(2, 6))) + [(6, "A b ÉTÉ"), (7, None), (8, " . "), (6, "9 the"), (9, "The, ü")]
-    d = spark.createDataFrame([(*x, 3) for x in docs], "doc_id long, text string, n_hit int")
+    d = spark.createDataFrame([(*x, 3) for x in docs], "doc_id long, text string, n_hit int").withColumn("a.b", F.lit(1))
     found = D.contamination(d, spark.createDataFrame(items, "item_id long, text string"), size=3, block_bytes=block)
-    assert found.columns == ["doc_id", "text", "n_words", "n_hit", "spans", "items"]
+    assert found.columns == ["doc_id", "text", "a.b", "n_words", "n_hit", "spans", "items"]
     got = sorted([(r.text or "", str(r.doc_id), r.n_words, r.n_hit, r["items"], [tuple(s) for s in r.spans]) for r in found.collect()])
     want = []
     for (doc, text), (n, hit, ids) in zip(docs, by_hand(docs, items, 3)):
