@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcube.functions import exprs as X
+from gridcube.operators import inversions
 from gridcube.operators.clean import listwise_drop
 from gridcube.operators.gram import correlations
 from gridcube.session import materialize
@@ -223,70 +222,18 @@ def spearman_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     return corr_spearman(df, [a, b], None).select("correlation", "n_rows")
 
 
-def _dominance(order: np.ndarray, value: np.ndarray, c: np.ndarray) -> int:
-    """Sum of c_j * c_i over pairs with j before i in ``order`` and value_j <
-    value_i. Each such pair is counted at the highest bit in which the dense
-    ranks differ, so there are log(n) passes of sorts and running sums."""
-    rank = np.unique(value[order], return_inverse=True)[1]
-    c = c[order].astype(np.int64)
-    exact = float(c.sum()) ** 2 < 2.0 ** 62
-    total = 0
-    for bit in range(int(rank.max()).bit_length() if len(rank) else 0):
-        group = rank >> (bit + 1)
-        at = np.argsort(group, kind="stable")
-        g, w, up = group[at], c[at], (rank[at] >> bit & 1).astype(bool)
-        below = np.cumsum(np.where(up, 0, w))
-        first = np.searchsorted(g, g, "left")
-        below = below - np.where(first > 0, below[first - 1], 0)
-        hits = (w[up] * below[up]) if exact else w[up].astype(object) * below[up].astype(object)
-        total += int(hits.sum()) if len(hits) else 0
-    return total
-
-
-def _dominance_within(cells: DataFrame, block: str, by_x: bool) -> DataFrame:
-    """(pair, p): the dominance sum inside every block, added up."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf["x"].to_numpy(), pdf["y"].to_numpy()
-        a, b = np.lexsort((-y, x)), np.lexsort((-x, y))
-        if by_x:
-            value = np.empty(len(b), np.int64)
-            value[b] = np.arange(len(b))
-            p = _dominance(a, value, pdf["c"].to_numpy())
-        else:
-            p = _dominance(b, pdf["a"].to_numpy(), pdf["c"].to_numpy())
-        return pd.DataFrame({"pair": [pdf["pair"].iloc[0]], "p": [str(p)]})
-
-    return cells.groupBy("pair", block).applyInPandas(run, "pair long, p string").select("pair", F.col("p").cast("decimal(38,0)").alias("p"))
-
-
 def corr_kendall(df: DataFrame, columns: list[str], digits: int | None = 6) -> DataFrame:
     """Kendall tau-b for every pair, exactly, without enumerating pairs.
 
-    Rows are reduced to distinct cells (pair, x, y, c) in one scan. With the
-    total orders A = (x up, y down) and B = (y up, x down), the concordant count
-    is the weight of cells j before i in both. Cells are range-partitioned along
-    A (block a), then along B (block b), so every block is as small as the
-    shuffle makes it, also where one value holds most of the rows. Pairs in the
-    same a-block are counted inside it, pairs in the same b-block with a smaller
-    a inside that, both in O(n log n), and the rest by prefix sums over the
-    block-by-block counts. Ties enter through n1 (x), n2 (y) and n3 (joint):
-    S = 2P - n0 + n1 + n2 - n3, tau_b = S / sqrt((n0 - n1)(n0 - n2)).
+    Rows are reduced to distinct cells (pair, x, y, c) in one scan; concordant
+    pairs P of cells are counted by a merge tree (``inversions``). Ties enter
+    through n1 (x), n2 (y) and n3 (joint): S = 2P - n0 + n1 + n2 - n3,
+    tau_b = S / sqrt((n0 - n1)(n0 - n2)).
     """
     pairs = _pairs(columns)
-    cells = materialize(_pair_cells(df, pairs).repartitionByRange("pair", F.col("x").asc(), F.col("y").desc())
-                        .withColumn("a", F.spark_partition_id()), "kendall-cells")
-    cells = materialize(cells.repartitionByRange("pair", F.col("y").asc(), F.col("x").desc())
-                        .withColumn("b", F.spark_partition_id()), "kendall-cells")
-    big = "decimal(38,0)"
-    counts = cells.groupBy("pair", "a", "b").agg(F.sum("c").cast(big).alias("m"))
-    # every a-block with every b-block of a pair: the square of the number of partitions, whatever the input
-    grid = counts.select("pair", "a").distinct().join(counts.select("pair", "b").distinct(), "pair").join(counts, ["pair", "a", "b"], "left")
-    along = lambda part, order: Window.partitionBy("pair", part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    grid = grid.withColumn("left", F.coalesce(F.sum("m").over(along("b", "a")), F.lit(0).cast(big)))
-    grid = grid.withColumn("below", F.coalesce(F.sum("left").over(along("a", "b")), F.lit(0)).cast(big)).where("m is not null")
-    conc = grid.select("pair", (F.col("m") * F.col("below")).cast(big).alias("p")) \
-        .unionByName(_dominance_within(cells, "a", True)).unionByName(_dominance_within(cells, "b", False)) \
-        .groupBy("pair").agg(F.sum("p").alias("p"))
+    cells = materialize(_pair_cells(df, pairs), "kendall-cells")
+    big = inversions.BIG
+    conc = inversions.concordant(cells)
 
     def pairs_of(col):
         return (col.cast(big) * (col - 1)) / 2

@@ -147,6 +147,20 @@ def q_ingest_month_stream(spark, sf_dir):
     return ev.groupBy("month", "source", "event_type").agg(F.count(F.lit(1)).cast("long").alias("rows"))
 
 
+@register("ingest_late_batches", """
+SELECT strftime(ts, '%Y-%m') AS month, CASE WHEN event_id % 5 = 0 THEN 0 ELSE event_id % 3 END AS batch_id, CAST(count(*) AS BIGINT) AS rows
+FROM (SELECT DISTINCT event_id, ts, user_id, trim(event_type), value, trim(props) FROM events) GROUP BY 1, 2""")
+def q_ingest_late_batches(spark, sf_dir):
+    """Three batches that share a fifth of their rows, the last sent twice: a row
+    is stored by the first batch that brings it. Each batch opens only the
+    history of its own days."""
+    ev = ING.ingest_batch(A.table(spark, sf_dir, "events"), "ts", "events")
+    path = os.path.join(_scratch(spark, "late"), "table")
+    for k in (0, 1, 2, 2):
+        ING.write_batch(ev.where((F.col("event_id") % 3 == k) | (F.col("event_id") % 5 == 0)), k, path, F.dayofmonth("ts"))
+    return spark.read.parquet(path).groupBy("month", F.col("batch_id").cast("long").alias("batch_id")).agg(F.count(F.lit(1)).cast("long").alias("rows"))
+
+
 EXPORT_FULL = list(CUBE_ORDER)
 
 

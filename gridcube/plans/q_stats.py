@@ -259,6 +259,17 @@ def q_corr_kendall(spark, sf_dir):
     return ST.corr_kendall(A.table(spark, sf_dir, "lineitem"), RANK_COLS)
 
 
+@register("corr_kendall_distinct", f"""
+SELECT 'o_totalprice' AS indicator_a, 'o_custkey' AS indicator_b, {rnd("s / sqrt((n0 - n1) * (n0 - n2))", 6)} AS correlation, CAST(n AS BIGINT) AS n_rows
+FROM (SELECT (SELECT sum(sign(p.o_totalprice - q.o_totalprice) * sign(p.o_custkey - q.o_custkey)) / 2 FROM orders p, orders q)::DOUBLE AS s,
+  (SELECT count(*) FROM orders)::DOUBLE AS n, (SELECT count(*) * (count(*) - 1) / 2 FROM orders)::DOUBLE AS n0,
+  (SELECT sum(t * (t - 1) / 2) FROM (SELECT count(*) AS t FROM orders GROUP BY o_totalprice))::DOUBLE AS n1,
+  (SELECT sum(t * (t - 1) / 2) FROM (SELECT count(*) AS t FROM orders GROUP BY o_custkey))::DOUBLE AS n2)""")
+def q_corr_kendall_distinct(spark, sf_dir):
+    """Nearly every row is a cell of its own, so the merge tree grows with the table."""
+    return ST.corr_kendall(A.table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey"), ["o_totalprice", "o_custkey"])
+
+
 # --------------------------------------------------------------- BI/chart
 
 @register("bi_subset", WITH_LEGACY + "\nSELECT " + ", ".join(qi(c) for c in SV.LEGACY_BI_COLUMNS) + " FROM legacy")
