@@ -5,7 +5,9 @@ range; a text with fewer than ``FLOOR`` of those keeps its ``FLOOR`` smallest
 hashes, so that short texts have a sketch too. Each sketch therefore holds all
 hashes up to a known cover. Sketches merge by union and give containment over
 the range that both cover, however unequal the documents are. Where that range
-holds no hash of a text, its containment is undefined (None, NULL), not 0.
+holds no hash of a text, sketches alone leave its containment undefined (None);
+where both texts are at hand (``pair_likeness``), the range is then widened to
+what the shorter text's sketch covers, so that there is always a value.
 """
 
 from __future__ import annotations
@@ -44,7 +46,11 @@ def shingle_hashes(raw: bytes) -> np.ndarray:
 
 
 def sketch(raw: bytes) -> np.ndarray:
-    h = shingle_hashes(raw)
+    return kept(shingle_hashes(raw))
+
+
+def kept(h: np.ndarray) -> np.ndarray:
+    """The sketch within a text's sorted hashes."""
     return h[:max(int(np.searchsorted(h, FRACTION)), min(FLOOR, len(h)))]
 
 
@@ -79,6 +85,19 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float | None:
     return None if None in both else max(both)
 
 
+def pair_likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Likeness of two texts from all their hashes: that of their sketches, or
+    where a short text has no hash in the range both sketches cover, the larger
+    containment over all that the shorter text's sketch covers."""
+    s, t = kept(a), kept(b)
+    found = likeness(s, t)
+    if found is None:
+        top = max(cover(s), cover(t))
+        s, t = a[a <= top], b[b <= top]
+        found = len(np.intersect1d(s, t, assume_unique=True)) / min(len(s), len(t))
+    return found
+
+
 def packed(s: np.ndarray) -> bytes:
     return s.astype(">u8").tobytes()
 
@@ -106,16 +125,17 @@ _FIELDS = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_finge
 
 
 def _compare(text: str, own: np.ndarray, next_text: str, next_own: np.ndarray) -> tuple:
+    """``own`` and ``next_own`` are all hashes of the two texts."""
     k = len(text) // 3
     edited = (text[:len(text) - k] + next_text[:k]).encode()
-    s = sketch(edited)
-    return (len(text), hashlib.sha256(edited).digest(), packed(own), packed(s), likeness(own, s), likeness(own, next_own))
+    h = shingle_hashes(edited)
+    return (len(text), hashlib.sha256(edited).digest(), packed(kept(own)), packed(kept(h)), pair_likeness(own, h), pair_likeness(own, next_own))
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row its sketch, that of its edited text (the last third of its code
-    points replaced by as many first ones of the next row's text) and likenesses
-    (NULL where the sketches share no range with a hash of the shorter text).
+    points replaced by as many first ones of the next row's text) and likenesses,
+    a value from 0 to 1 for every row (``pair_likeness``).
 
     The next row is the one with the next smaller id; after the last comes the
     first again. NULL ids come last; rows that share an id follow each other by
@@ -137,7 +157,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for b in small(batches, 1):
             kind, out_ids, out = b.schema.field(0).type, [], []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = sketch(text.encode())
+                own = shingle_hashes(text.encode())
                 if before is None:
                     opening = text
                 else:
@@ -158,7 +178,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def close(batches):
         for b in batches:
-            out = [_compare(x, sketch(x.encode()), y, sketch(y.encode()))
+            out = [_compare(x, shingle_hashes(x.encode()), y, shingle_hashes(y.encode()))
                    for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield _batch(b.column(0).to_pylist(), b.schema.field(0).type, out, 0, None, None)
 
