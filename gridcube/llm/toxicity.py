@@ -3,11 +3,12 @@
 A word is the bag of its character n-grams (with word ends marked) and itself;
 every n-gram hashes into one row of an embedding table. The n-gram vectors of
 a word are averaged, the words of a window of ``WINDOW`` words are averaged,
-and a linear softmax gives the window's probability. A document's score is that
-of its most toxic window, so a few words are not averaged away in a long
-text, and the whole text counts. Table and softmax are trained together in
-numpy by gradient descent on a bounded, documented sample of labelled rows. An
-unseen misspelling shares n-grams, and so vectors, with words that were seen.
+and a linear softmax gives the window's probability. Windows overlap by half, so
+a phrase of a few words lies whole in one. A document's score is that of its most
+toxic window, so a few words are not averaged away in a long text, and the whole
+text counts. Table and softmax are trained together in numpy by gradient descent
+on whole texts of a bounded, documented number of labelled rows. An unseen
+misspelling shares n-grams, and so vectors, with words that were seen.
 """
 
 from __future__ import annotations
@@ -23,10 +24,9 @@ from pyspark.sql import functions as F
 
 from gridcube.llm.batches import small
 
-BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 8, (3, 4, 5)
+BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 2, (3, 4, 5)
+STEP = WINDOW // 2          # words from one window to the next
 MAX_PER_CLASS = 1000        # bound of the training sample: rows of each label
-MAX_TRAIN_CHARS = 20_000    # longer texts are scored whole; training sees stretches of them
-STRETCHES, STRETCH = 8, 5_000    # of a longer text: evenly spread, characters each
 MIN_TEXTS = 4               # an n-gram of fewer training texts keeps a zero vector
 CACHE_WORDS = 200_000       # words whose value a task remembers at a time
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|"
@@ -70,31 +70,39 @@ class Model:
                     known.clear()
                 v = known[w] = self.word(w)
             got[i] = v
-        starts = np.arange(0, len(words), WINDOW)
-        size = np.minimum(WINDOW, len(words) - starts)
-        return float(1 / (1 + np.exp(-(np.add.reduceat(got, starts) / size + self.bias).max())))
+        starts = np.arange(max(1, -(-len(words) // STEP) - 1)) * STEP
+        ends = np.minimum(starts + WINDOW, len(words))
+        upto = np.concatenate([[0.0], np.cumsum(got)])
+        return float(1 / (1 + np.exp(-((upto[ends] - upto[starts]) / (ends - starts) + self.bias).max())))
 
 
-def train(texts: list[str], toxic: list[int], epochs: int = 60, warm: int = 15, rate: float = 20.0, seed: int = 7) -> Model:
+def train(texts: list[str], toxic: list[int], epochs: int = 120, warm: int = 15, patience: int = 40, rate: float = 20.0, seed: int = 7) -> Model:
     """Full-batch gradient descent with momentum. In the first ``warm`` rounds
     every window of a toxic text counts as toxic, then only its worst one; of a
     clean text the worst window always counts, beside all others together. Every
-    fifth text is not learnt from; the round that suits those best is kept."""
+    fifth text is not learnt from; the round that suits those best is kept, and
+    ``patience`` rounds without a better one end the training."""
     y = np.array(toxic)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     index: dict[str, int] = {}
-    tokens, sizes, doc_windows = array("i"), array("i"), array("i")
+    tokens, sizes, doc_units = array("i"), array("i"), array("i")
     for t in texts:
         ids = [index.setdefault(w, len(index)) for w in words_of(t)] or [index.setdefault("", len(index))]
         tokens.extend(ids)
-        k = -(-len(ids) // WINDOW)
-        sizes.extend([WINDOW] * (k - 1) + [len(ids) - WINDOW * (k - 1)])
-        doc_windows.append(k)
-    tok, size, per_doc = np.array(tokens), np.array(sizes), np.array(doc_windows)
-    win_at, doc_at = np.cumsum(size) - size, np.cumsum(per_doc) - per_doc
+        k = -(-len(ids) // STEP)
+        sizes.extend([STEP] * (k - 1) + [len(ids) - STEP * (k - 1)])
+        doc_units.append(k)
+    # steps of words; a window is one and the next, or the only one of a short text
+    tok, step, units = np.array(tokens), np.array(sizes), np.array(doc_units)
+    per_doc = np.maximum(units - 1, 1)
+    unit_at, step_at, doc_at = np.cumsum(units) - units, np.cumsum(step) - step, np.cumsum(per_doc) - per_doc
     doc_of = np.repeat(np.arange(len(y)), per_doc)
+    one = np.arange(len(doc_of)) - doc_at[doc_of] + unit_at[doc_of]
+    pair = (units > 1)[doc_of]
+    two = one + pair
+    size = step[one] + np.where(pair, step[two], 0)
     flat, n_grams = array("i"), np.empty(len(index), np.int64)
     for i, w in enumerate(index):
         grams = word_grams(w)
@@ -102,12 +110,16 @@ def train(texts: list[str], toxic: list[int], epochs: int = 60, warm: int = 15,
         n_grams[i] = len(grams)
     rows = np.array(flat)
     n_words, word_at, word_of = len(index), np.cumsum(n_grams) - n_grams, np.repeat(np.arange(len(index), dtype=np.int32), n_grams)
-    tok_win = np.repeat(np.arange(len(size), dtype=np.int32), size)
-    seen = np.zeros((2, BUCKETS))                # texts of each label with an n-gram
-    for i, t in enumerate(np.split(tok, np.cumsum(np.add.reduceat(size, doc_at))[:-1])):
-        seen[y[i], np.unique(np.concatenate([rows[word_at[w]:word_at[w] + n_grams[w]] for w in np.unique(t)]))] += 1
+    tok_step = np.repeat(np.arange(len(step), dtype=np.int32), step)
+    watch = np.arange(len(y)) % 5 == 4           # not learnt from: the round that suits them best is kept
+    if len(np.unique(y[~watch])) < 2:
+        watch[:] = False
+    seen = np.zeros((2, BUCKETS))                # texts learnt from, of each label, with an n-gram
+    for i, t in enumerate(np.split(tok, np.cumsum(np.add.reduceat(step, unit_at))[:-1])):
+        if not watch[i]:
+            seen[y[i], np.unique(np.concatenate([rows[word_at[w]:word_at[w] + n_grams[w]] for w in np.unique(t)]))] += 1
     shared = seen.sum(0) >= MIN_TEXTS            # rarer n-grams keep a zero vector
-    n = np.bincount(y, minlength=2)
+    n = np.bincount(y[~watch], minlength=2)
     rate_of, unsure = seen / n[:, None], 5 / n.min()
     lead = np.log((rate_of[1] + unsure) / (rate_of[0] + unsure)) * shared
 
@@ -119,23 +131,26 @@ def train(texts: list[str], toxic: list[int], epochs: int = 60, warm: int = 15,
     bias = np.zeros(2)
     speed = [np.zeros_like(emb), np.zeros_like(soft), np.zeros_like(bias)]
     weight_of = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())     # both labels weigh the same
-    watch = np.arange(len(y)) % 5 == 4           # not learnt from: the round that suits them best is kept
     learn = np.where(watch, 0.0, weight_of)
     best = (np.inf, None, None)
     for epoch in range(epochs):
         # averages are linear, so each n-gram vector is projected on the softmax first and averaged after
         toward = soft[:, 1] - soft[:, 0]
         words = np.add.reduceat((emb @ toward)[rows], word_at) / n_grams
-        margin = np.add.reduceat(words[tok], win_at) / size + bias[1] - bias[0]
+        steps = np.add.reduceat(words[tok], step_at)
+        margin = (steps[one] + np.where(pair, steps[two], 0)) / size + bias[1] - bias[0]
         p = 1 / (1 + np.exp(-margin))
         worst = np.lexsort((margin, doc_of))[np.cumsum(per_doc) - 1]
-        loss = float((weight_of * np.logaddexp(0, np.where(y == 1, -margin[worst], margin[worst])))[watch].sum())
+        loss = float((weight_of * np.logaddexp(0, np.where(y == 1, -margin[worst], margin[worst])))[watch if watch.any() else slice(None)].sum())
         if loss < best[0] or best[1] is None:
-            best = (loss, (emb @ toward).astype(np.float32), float(bias[1] - bias[0]))
+            best, since = (loss, (emb @ toward).astype(np.float32), float(bias[1] - bias[0])), epoch
+        if epoch > warm and epoch - since > patience:
+            break
         weight = np.where((y[doc_of] == 0) | (epoch < warm), 0.5 * (learn / per_doc)[doc_of], 0)
         weight[worst] += learn * np.where((y == 1) & (epoch < warm), 0.5, 1)
         g = weight * (p - y[doc_of])
-        gw = np.bincount(tok, (g / size)[tok_win], n_words) / n_grams
+        gs = np.bincount(one, g / size, len(step)) + np.bincount(two[pair], (g / size)[pair], len(step))
+        gw = np.bincount(tok, gs[tok_step], n_words) / n_grams
         c = np.bincount(rows, gw[word_of], BUCKETS) * shared
         pull = emb.T @ c
         for x, s, d, r in ((emb, speed[0], c[:, None] * toward + 1e-5 * emb, rate),
@@ -148,13 +163,13 @@ def train(texts: list[str], toxic: list[int], epochs: int = 60, warm: int = 15,
 
 
 def sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text",
-           label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS, max_chars: int = MAX_TRAIN_CHARS) -> list:
-    """At most ``max_per_class`` labelled texts of each label, in a fixed
+           label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> list:
+    """At most ``max_per_class`` labelled texts of each label, whole, in a fixed
     pseudo-random order of their ids, from rows where ``allowed`` (an
-    expression over ``id_col``) holds. An id labelled twice takes the larger
-    label; ids or labels that are NULL are not learnt from; of a text above
-    ``max_chars`` up to ``STRETCHES`` evenly spread stretches are, its first
-    and last words among them; of rows that repeat an id one is taken."""
+    expression over ``id``) holds. An id labelled twice takes the larger
+    label; ids or labels that are NULL are not learnt from; of rows that repeat
+    an id one is taken; empty and NULL texts count as texts without words. No
+    labelled rows give an empty sample. Other columns are not read."""
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")) \
         .where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")) \
@@ -165,17 +180,15 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "d
         part = ids.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_per_class)
         pick = part if pick is None else pick.union(part)
     # the sample holds at most 2 * max_per_class ids, so it is broadcast
-    # a stretch ends at white space, so that no word is learnt in part
-    n = f"least({STRETCHES}, cast(ceil(length(text) / {STRETCH}) as int))"
-    piece = f"substring(text, 1 + cast((length(text) - {STRETCH}) * cast(i as bigint) div greatest({n} - 1, 1) as int), {STRETCH})"
-    inner = f"regexp_replace(if(i = 0, {piece}, regexp_replace({piece}, '^[^ \\\\n\\\\t]++', '')), if(i = {n} - 1, '$^', '[^ \\\\n\\\\t]+$'), '')"
-    shown = F.expr(f"if(length(text) <= {max_chars}, text, concat_ws(' ', transform(sequence(0, {n} - 1), i -> {inner})))")
-    rows = texts.join(F.broadcast(pick), "id").select("id", "y", shown.alias("text")).groupBy("id", "y").agg(F.min("text").alias("text")) \
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = texts.join(F.broadcast(pick), "id").select("id", "y", text).groupBy("id", "y").agg(F.min("text").alias("text")) \
         .orderBy(F.xxhash64("id"), "id").collect()
     return [(r.text, r.y) for r in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, **kw) -> Model:
+    """A model of ``sample``'s rows. Without labelled rows, or with one label
+    only, every text scores that label's smoothed share."""
     rows = sample(docs, labels, allowed, **kw)
     return train([t for t, _ in rows], [y for _, y in rows])
 
