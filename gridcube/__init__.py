@@ -10,3 +10,10 @@ Layout:
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# the Arrow kernels go to the executors by value, so that these need numpy and pyarrow but not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

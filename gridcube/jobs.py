@@ -11,6 +11,7 @@ month (dynamic partition overwrite).
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from gridcube.operators.clean import trim_strings
 from gridcube.operators.cube import build_cube
 from gridcube.operators.indicators import INDICATORS
 from gridcube.operators.quality import unique_key
+from gridcube.session import materialize
 from gridcube.sources import files as FS
+from gridcube.sources import publish, quarantine
 from gridcube.sources.registry import CUBE_ORDER, SOURCES
 
 
@@ -73,6 +76,41 @@ def run_month(spark: SparkSession, raw_base: str, out_base: str, month: str | No
     return out
 
 
+def publish_month(spark: SparkSession, raw_base: str, out_base: str, month: str | None = None, names: list[str] | None = None,
+                  max_bad: float = 0.05) -> dict:
+    """S13 with bad lines set aside and all tables published together.
+
+    Every registered source of the month is read line by line
+    (``quarantine.scan_lines``): lines that cannot be read go, with file, line
+    number and reason, to the table ``_quarantine``, and the month goes on unless a
+    source has more than ``max_bad`` of them. The cleaned tables, the quarantine and
+    ``_report`` (``folder_report`` with rows and bad lines) become visible together
+    with one rename (``publish``); a job that dies before it leaves the former
+    month. Returns the manifest; ``load_published`` reads it."""
+    month = month or FS.latest_month_folder(spark, raw_base)
+    folder = os.path.join(raw_base, month)
+    tables, bad = {}, None
+    for name, path in FS.resolve_files(spark, folder, month, names).items():
+        if path is not None:
+            rows, faults = quarantine.scan_lines(spark, path, SOURCES[name], max_bad)
+            tables[name] = clean_source(rows.withColumn("source", F.lit(name)), month)
+            bad = faults if bad is None else bad.unionByName(faults)
+    if bad is None:
+        bad = spark.createDataFrame([], quarantine.BAD)
+    bad = materialize(bad, "quarantine")
+    counts = [df.groupBy("source").agg(F.count(F.lit(1)).alias("rows")) for df in tables.values()]
+    report = FS.folder_report(spark, folder, month)
+    rows = reduce(lambda a, b: a.unionByName(b), counts) if counts else spark.createDataFrame([], "source string, rows long")
+    report = report.join(rows, "source", "left").join(bad.groupBy("source").agg(F.count(F.lit(1)).alias("bad_lines")), "source", "left")
+    return publish.publish(spark, out_base, month, {**tables, "_quarantine": bad, "_report": report.fillna(0, ["bad_lines"])})
+
+
+def load_published(spark: SparkSession, base: str, month: str) -> dict[str, DataFrame]:
+    """The month's cleaned tables as last published, ready for ``build_month_cube``
+    (``publish.published`` has the quarantine and the report as well)."""
+    return {n: df.drop(*METADATA) for n, df in publish.published(spark, base, month).items() if not n.startswith("_")}
+
+
 def build_month_cube(tables: dict[str, DataFrame], order: list[str] | None = None,
                      strict: bool = False, grain: bool = False) -> DataFrame:
     """Indicators per source, then the left-join fold keyed by

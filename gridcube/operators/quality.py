@@ -16,8 +16,6 @@ from pyspark.sql import types as T
 from gridcube.functions import exprs as X
 from gridcube.session import materialize
 
-COLUMNS_PER_AGGREGATE = 40
-
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -100,36 +98,88 @@ def coverage_gap(base_keys: DataFrame, frames: dict[str, DataFrame], key: str) -
             .withColumn("passed", F.col("missing") == 0))
 
 
-def rebuild_match(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Q7: two builds are equal as multisets of rows and have equal
-    order-free content hashes.
+TREE_BITS = 8                    # a level of the hash tree splits a key range in 2 ** TREE_BITS
+TREE_BUCKETS = 4096              # differing ranges beyond which there is no point in going deeper
+LEAF_ROWS = 100_000              # rows of both sides in differing ranges that are compared directly
+
 
-    One shuffle: rows of both builds are tagged, grouped on all columns, and
-    the per-row multiplicity difference is summed (this is what ``exceptAll``
-    does in both directions, in a single aggregate)."""
+def _tagged(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both sides, a with +1 and b with -1, the key's place in the tree
+    (its hash) and two hashes of the row."""
+    def side(df, tag):
+        cols = [F.col(f"`{c}`") for c in a.columns]
+        # 0.0 and -0.0 are one value to every comparison
+        plain = [F.when(c == 0, F.lit(0.0)).otherwise(c) if df.schema[n].dataType.typeName() in ("double", "float") else c
+                 for n, c in zip(a.columns, cols)]
+        return df.select(*cols, F.lit(tag).cast("long").alias("__side"), F.xxhash64(F.lit(0), *[F.col(f"`{k}`") for k in keys]).alias("__k"),
+                         F.xxhash64(*plain).cast("decimal(20,0)").alias("__h"), F.xxhash64(F.lit("g"), *plain).cast("decimal(20,0)").alias("__g"))
+    return side(a, 1).unionByName(side(b, -1))
+
+
+def tree_diff(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, dict]:
+    """Q7 by a hash tree: (rows whose number differs, with ``n_a`` and ``n_b``;
+    figures of the comparison).
+
+    A range of the key's hash is summed up by order-free multiset hashes (the
+    difference of row counts and of the sums of two row hashes). The root is one
+    aggregate without a row shuffle, and where it differs only the ranges that
+    differ are split further, until few enough rows are left to compare one by one.
+    Equal tables, of any size, therefore move no row; of others only the differing
+    ranges are shuffled, by whole rows. At most ``TREE_BUCKETS`` ranges reach the driver."""
+    keys = list(keys or a.columns)
+    if sorted(a.columns) != sorted(b.columns):
+        raise ValueError(f"column sets differ: {sorted(set(a.columns) ^ set(b.columns))}")
+    u, bits, inside = _tagged(a, b, keys), 0, F.lit(True)
+    signed = [F.sum(F.col("__side") * F.col(c)) for c in ("__h", "__g")]
+    info = {"levels": 0}
+    while True:
+        place = F.shiftrightunsigned("__k", 64 - bits) if bits else F.lit(0).cast("long")
+        sums = u.where(inside).groupBy(place.alias("at")).agg(F.sum("__side").alias("n"), signed[0].alias("h"), signed[1].alias("g"),
+                                                            F.count_if(F.col("__side") > 0).alias("a"), F.count_if(F.col("__side") < 0).alias("b"))
+        if not bits:
+            root = sums.first()
+            info |= {"rows_a": root.a if root else 0, "rows_b": root.b if root else 0}
+            differ = [root] if root and (root.n or root.h or root.g) else []
+        else:
+            differ = sums.where("n <> 0 or h <> 0 or g <> 0").limit(TREE_BUCKETS + 1).collect()
+        info["levels"] += 1
+        rows = sum(r.a + r.b for r in differ)
+        if len(differ) > TREE_BUCKETS:
+            break
+        inside = place.isin([r.at for r in differ]) if bits else F.lit(bool(differ))
+        info |= {"ranges": len(differ), "rows_compared": rows}
+        if not differ or rows <= LEAF_ROWS or bits + TREE_BITS > 56:
+            break
+        if not bits:                             # read more than once from here on
+            a, b = materialize(a, "tree-a"), materialize(b, "tree-b")
+            u = _tagged(a, b, keys)
+        bits += TREE_BITS
     cols = [F.col(f"`{c}`") for c in a.columns]
-    u = (a.select(*cols, F.lit(1).alias("__a"), F.lit(0).alias("__b"))
-         .unionByName(b.select(*[F.col(f"`{c}`") for c in a.columns], F.lit(0).alias("__a"), F.lit(1).alias("__b"))))
-    g = u.groupBy(*cols).agg(F.sum("__a").alias("na"), F.sum("__b").alias("nb"))
-    h = F.xxhash64(*cols).cast("decimal(38,0)")
-    r = g.agg(F.sum("na").cast("long").alias("rows_a"), F.sum("nb").cast("long").alias("rows_b"),
-              F.sum(F.greatest(F.col("na") - F.col("nb"), F.lit(0))).cast("long").alias("a_minus_b"),
-              F.sum(F.greatest(F.col("nb") - F.col("na"), F.lit(0))).cast("long").alias("b_minus_a"),
-              F.sum(h * F.col("na")).alias("h_a"), F.sum(h * F.col("nb")).alias("h_b"))
-    return r.select("rows_a", "rows_b", "a_minus_b", "b_minus_a",
-                    (F.col("h_a") == F.col("h_b")).alias("hash_equal"),
-                    ((F.col("a_minus_b") == 0) & (F.col("b_minus_a") == 0) &
-                     (F.col("h_a") == F.col("h_b"))).alias("passed"))
+    each = u.where(inside).groupBy(*cols).agg(F.count_if(F.col("__side") > 0).alias("n_a"), F.count_if(F.col("__side") < 0).alias("n_b"))
+    return each.where("n_a <> n_b"), info
+
+
+def rebuild_match(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Q7: two builds are equal as multisets of rows and have equal order-free
+    content hashes (``tree_diff``): one row of counts and the verdict."""
+    rows, info = tree_diff(a, b, keys)
+    same = info.get("ranges") == 0
+    n = rows.agg(F.coalesce(F.sum(F.greatest(F.col("n_a") - F.col("n_b"), F.lit(0))), F.lit(0)).cast("long").alias("a_minus_b"),
+                 F.coalesce(F.sum(F.greatest(F.col("n_b") - F.col("n_a"), F.lit(0))), F.lit(0)).cast("long").alias("b_minus_a"))
+    if same:
+        n = a.sparkSession.createDataFrame([(0, 0)], "a_minus_b long, b_minus_a long")
+    return n.select(F.lit(info["rows_a"]).cast("long").alias("rows_a"), F.lit(info["rows_b"]).cast("long").alias("rows_b"), "a_minus_b", "b_minus_a",
+                    F.lit(same).alias("hash_equal"), ((F.col("a_minus_b") == 0) & (F.col("b_minus_a") == 0) & F.lit(same)).alias("passed"))
 
 
 def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
                    rtol: float = 1e-6, atol: float = 0.0) -> DataFrame:
     """Q8: same columns and keys; numeric columns equal within
     ``|a-b| <= atol + rtol*|b|``, all others equal as text (NULL equals NULL).
-    One full join on the keys, then plain aggregates over
-    ``COLUMNS_PER_AGGREGATE`` columns at a time (so the generated code stays
-    small for wide tables), unpivoted to (column, mismatches, max_abs_diff, key_only, passed);
-    max_abs_diff is NULL for columns that are not numeric."""
+    One full join on the keys, unpivoted to (column, wrong, difference) and summed
+    up by column before the shuffle, so a row is read once whatever the width:
+    (column, mismatches, max_abs_diff, key_only, passed); max_abs_diff is NULL for
+    columns that are not numeric."""
     if sorted(stored.columns) != sorted(fresh.columns):
         raise ValueError("column sets differ: "
                          f"{sorted(set(stored.columns) ^ set(fresh.columns))}")
@@ -141,24 +191,21 @@ def tolerance_diff(stored: DataFrame, fresh: DataFrame, keys: list[str],
                                       for i, (f, n) in enumerate(zip(cols, number))], F.lit(True).alias(f"__{tag}"))
 
     j = side(stored, "s").join(side(fresh, "f"), keys, "full")
-    if len(cols) > COLUMNS_PER_AGGREGATE:
-        j = materialize(j, "tolerance")          # read once for each block of columns
     both = F.col("__s").isNotNull() & F.col("__f").isNotNull()
-    parts = []
-    for at in range(0, len(cols), COLUMNS_PER_AGGREGATE):
-        some = range(at, min(len(cols), at + COLUMNS_PER_AGGREGATE))
-        aggs = [F.count(F.when(~both, F.lit(1))).cast("long").alias("key_only")]
-        for i in some:
-            a, b = F.col(f"s{i}"), F.col(f"f{i}")
-            d = F.abs(a - b) if number[i] else F.lit(None).cast("double")
-            same = (d <= F.lit(atol) + F.lit(rtol) * F.abs(b)) if number[i] else a == b
-            bad = F.when(a.isNull() & b.isNull(), F.lit(False)).when(a.isNull() | b.isNull(), F.lit(True)).otherwise(~same)
-            aggs += [F.count(F.when(both & bad, F.lit(1))).cast("long").alias(f"m{i}"), F.max(F.when(both, d)).alias(f"d{i}")]
-        each = F.array(*[F.struct(F.lit(cols[i].name).alias("column"), F.col(f"m{i}").alias("mismatches"),
-                                  X.rnd(f"d{i}", 9).alias("max_abs_diff")) for i in some])
-        parts.append(j.agg(*aggs).select("key_only", F.inline(each)))
-    return _union(parts).select("column", "mismatches", "max_abs_diff", "key_only",
-                                ((F.col("mismatches") == 0) & (F.col("key_only") == 0)).alias("passed"))
+    each = []
+    for i, n in enumerate(number):
+        x, y = F.col(f"s{i}"), F.col(f"f{i}")
+        d = F.abs(x - y) if n else F.lit(None).cast("double")
+        same = (d <= F.lit(atol) + F.lit(rtol) * F.abs(y)) if n else x == y
+        bad = F.when(x.isNull() & y.isNull(), F.lit(False)).when(x.isNull() | y.isNull(), F.lit(True)).otherwise(~same)
+        each.append(F.struct((both & bad).alias("bad"), F.when(both, d).alias("d")))
+    out = j.select((~both).alias("only"), F.posexplode(F.array(*each)).alias("at", "e")).groupBy("at").agg(
+        F.count_if("e.bad").alias("mismatches"), F.max("e.d").alias("d"), F.count_if("only").alias("key_only"))
+    names = j.sparkSession.createDataFrame([(i, f.name) for i, f in enumerate(cols)], "at int, column string")
+    zero = F.lit(0).cast("long")
+    out = names.join(out, "at", "left").select("column", F.coalesce("mismatches", zero).alias("mismatches"), X.rnd("d", 9).alias("max_abs_diff"),
+                                               F.coalesce("key_only", zero).alias("key_only"))
+    return out.withColumn("passed", (F.col("mismatches") == 0) & (F.col("key_only") == 0))
 
 
 def rollup_reconcile(df: DataFrame, key: str, columns: list[str], label: str = "total") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridcube.functions import exprs as X
 from gridcube.operators.clean import listwise_drop
+from gridcube.session import materialize
 
 
 def _c(name: str):
@@ -215,6 +216,9 @@ def _norm(c):
     return F.lower(X.strip(c))
 
 
+GRAM_KEYS = 10_000               # keys of one gram that a task compares
+
+
 def lookup(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,
            key: str = "District") -> DataFrame:
     """L1-L3 for a table of requests.
@@ -223,25 +227,38 @@ def lookup(requests: DataFrame, req_id: str, req_name: str, cube: DataFrame,
     no exact match: the request is a literal substring of a key; the first
     key in key order wins. Otherwise ``not_found``.
 
-    Each distinct request text is resolved once. Texts without an exact match
-    meet the keys over a block: the text's first three characters (or all, if
-    it is shorter), which any key that contains it has as a substring too. A
-    key of length n has at most 3n blocks, and ``contains`` decides inside a
-    block. The resolved texts then join back to the requests, one to many.
+    Each distinct request text is resolved once. A text of up to two characters
+    is looked up among the keys' substrings of its length. A longer one meets the
+    keys over its rarest three-character gram only (grams are counted over the
+    keys first; one that no key has ends the search), and ``contains`` decides.
+    The keys of a gram that is rarest nowhere else than in most keys are dealt over
+    slices of ``GRAM_KEYS`` keys, and the texts that need it visit each slice, so
+    such a gram is spread over tasks. The resolved texts then join back to the
+    requests, one to many.
     """
     keys = cube.select(_c(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
-    keys = keys.withColumn("__nk", _norm(F.col("__key")))
+    keys = materialize(keys.withColumn("__nk", _norm(F.col("__key"))), "lookup-keys")
     req = requests.select(_c(req_id).alias("request_id"), _c(req_name).alias("request"),
                           _norm(_c(req_name)).alias("__q"))
     texts = req.select("__q").where(F.col("__q").isNotNull()).distinct()
     exact = keys.groupBy(F.col("__nk").alias("__q")).agg(F.min("__key").alias("__exact"))
-    texts = texts.join(exact, "__q", "left")
-    size = F.explode(F.sequence(F.lit(0), F.least(F.lit(3), F.length("__nk")))).alias("__n")
-    blocks = keys.select("__key", "__nk", size) \
-        .select("__key", "__nk", F.explode(F.transform(F.sequence(F.lit(1), F.length("__nk") - F.col("__n") + 1),
-                                                       lambda i: F.substring(F.col("__nk"), i, F.col("__n")))).alias("__b")).distinct()
-    open_ = texts.where(F.col("__exact").isNull()).select("__q", F.substring("__q", 1, 3).alias("__b"))
-    part = open_.join(blocks, "__b").where(F.contains("__nk", "__q")).groupBy("__q").agg(F.min("__key").alias("__part"))
+    texts = materialize(texts.join(exact, "__q", "left"), "lookup-texts")
+    open_ = texts.where(F.col("__exact").isNull()).select("__q")
+    grams = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(F.col(c), i, n)))
+    size = F.explode(F.sequence(F.lit(0), F.least(F.lit(2), F.length("__nk")))).alias("__n")
+    short = keys.select("__key", "__nk", size).select("__key", F.explode(grams("__nk", F.col("__n"))).alias("__q")) \
+        .groupBy("__q").agg(F.min("__key").alias("__part"))
+    held = keys.where(F.length("__nk") >= 3).select("__key", "__nk", F.explode(grams("__nk", F.lit(3))).alias("__g"))
+    counts = held.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
+    asked = open_.where(F.length("__q") >= 3).select("__q", F.explode(grams("__q", F.lit(3))).alias("__g"))
+    rarest = asked.join(counts, "__g", "left").groupBy("__q").agg(F.min(F.struct(F.coalesce("__c", F.lit(0)).alias("c"), F.col("__g").alias("g"))).alias("r")) \
+        .where("r.c > 0").select("__q", F.col("r.g").alias("__g"), F.ceil(F.col("r.c") / GRAM_KEYS).cast("int").alias("__s"))
+    used = rarest.select("__g", "__s").distinct()
+    slices = held.join(used, "__g").withColumn("__at", F.pmod(F.xxhash64("__nk"), F.col("__s")).cast("int"))
+    visits = rarest.select("__q", "__g", F.explode(F.sequence(F.lit(0), F.col("__s") - 1)).alias("__at"))
+    long = visits.join(slices.select("__g", "__at", "__key", "__nk"), ["__g", "__at"]).where(F.contains("__nk", "__q")) \
+        .groupBy("__q").agg(F.min("__key").alias("__part"))
+    part = open_.where(F.length("__q") < 3).join(short, "__q").unionByName(long)
     out = req.join(texts.join(part, "__q", "left"), "__q", "left")
     return out.select(
         "request_id", "request",

@@ -6,15 +6,17 @@ import os
 import uuid
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gridcube import jobs
+from gridcube import incremental, jobs
 from gridcube.operators import indicators as I
 from gridcube.plans import analogues as A
 from gridcube.plans import sqlgen as G
 from gridcube.plans.catalog import register
 from gridcube.session import scratch_path
 from gridcube.sources import files as FS
+from gridcube.sources import quarantine
 from gridcube.sources.registry import CUBE_ORDER, SOURCES
 from gridcube.streaming import ingest as ING
 
@@ -177,6 +179,66 @@ def q_cube_from_exports(spark, sf_dir):
     return jobs.build_month_cube(tables, EXPORT_FULL, strict=True)
 
 
+@register("cube_published", G.with_clause(G.cube_ctes(EXPORT_FULL)) + f"\nSELECT '{EXPORT_MONTH}' AS month, * FROM cube")
+def q_cube_published(spark, sf_dir):
+    """All ten sources as exports, published twice as one month (the first time
+    without three of them), and the cube of what readers then see."""
+    raw, base = export_month(spark, sf_dir, EXPORT_FULL), _scratch(spark, "published")
+    jobs.publish_month(spark, raw, base, names=EXPORT_FULL[:-3])
+    jobs.publish_month(spark, raw, base, names=EXPORT_FULL)
+    return jobs.build_month_cube(jobs.load_published(spark, base, EXPORT_MONTH), EXPORT_FULL, strict=True)
+
+
+@register("cube_incremental", G.with_clause(G.cube_ctes(EXPORT_FULL)) + f"\nSELECT '{EXPORT_MONTH}' AS month, * FROM cube")
+def q_cube_incremental(spark, sf_dir):
+    """A month taken in with wrong counts for some districts, a district too many
+    and a wrong total, then corrected source by source: the cube equals a build
+    from the right tables."""
+    facts = A.Facts.for_sources(spark, sf_dir, EXPORT_FULL)
+    right = {s: A.SOURCE_BUILDERS[s](spark, sf_dir, facts) for s in EXPORT_FULL}
+    off = F.when(F.col("district").endswith("1"), 5).otherwise(0)
+    wrong = dict(right)
+    wrong["anaemia"] = right["anaemia"].withColumn("anaemic_pw", (F.col("anaemic_pw") + off).cast("long"))
+    wrong["gm_5_6"] = right["gm_5_6"].unionByName(right["gm_5_6"].limit(1).withColumn("district", F.lit("Nowhere")))
+    wrong["me"] = right["me"].withColumn("aww_completed_80pct_me", (F.col("aww_completed_80pct_me") * 2 + off).cast("long"))
+    base = _scratch(spark, "incremental")
+    incremental.update(spark, base, EXPORT_MONTH, wrong)
+    for s in ("anaemia", "gm_5_6", "me"):
+        incremental.update(spark, base, EXPORT_MONTH, {s: right[s]})
+    return incremental.cube(spark, base, EXPORT_MONTH)
+
+
+_BAD_TOTAL = "CASE WHEN c_custkey % 7 = 0 THEN concat('x', CAST(c_custkey AS STRING)) ELSE CAST(c_custkey AS STRING) END"
+
+
+@register("ingest_quarantine", """
+SELECT 'rows' AS what, CAST(count(*) AS BIGINT) AS n, CAST(sum(c_custkey) AS BIGINT) AS total FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0
+UNION ALL SELECT 'no number', CAST(count(*) AS BIGINT), NULL FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 11 <> 0
+UNION ALL SELECT 'malformed', CAST(count(*) AS BIGINT), NULL FROM customer WHERE c_custkey % 11 = 0""")
+def q_ingest_quarantine(spark, sf_dir):
+    """An export with texts for numbers and lines that lack fields or have too
+    many: the good lines are read, the others counted by reason."""
+    spec = SOURCES["lbw"]
+    c = A.table(spark, sf_dir, "customer")
+    cells = [F.col("c_name"), F.expr(_BAD_TOTAL), F.lit("1")]
+    line = F.concat_ws(",", *cells, *[F.lit("0")] * (len(spec.raw) - 3))
+    lines = c.select(F.when(F.col("c_custkey") % 22 == 0, F.concat(line, F.lit(",9"))).when(F.col("c_custkey") % 11 == 0, "cut").otherwise(line).alias("line"))
+    head = ",".join(spec.raw)
+
+    def with_header(batches):
+        for i, b in enumerate(batches):
+            if not i:
+                yield pa.RecordBatch.from_arrays([pa.array([head], b.schema.field(0).type)], schema=b.schema)
+            yield b
+    path = os.path.join(_scratch(spark, "bad"), "lbw.csv")
+    lines.mapInArrow(with_header, "line string").write.text(path)
+    rows, bad = quarantine.scan_lines(spark, path, spec)
+    total = spec.canonical[1]
+    good = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(total).cast("long").alias("total")).select(F.lit("rows").alias("what"), "n", "total")
+    why = F.when(F.col("reason").startswith("wrong number"), "malformed").otherwise("no number")
+    return good.unionByName(bad.groupBy(why.alias("what")).agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.lit(None).cast("long")))
+
+
 @register("cube_mixed_months", G.with_clause(G.cube_ctes(CUBE_ORDER, monthly=True)) + "\nSELECT * FROM cube")
 def q_cube_mixed_months(spark, sf_dir):
     """The cube job over many months at once, where some sources are dated

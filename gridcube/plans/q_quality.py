@@ -163,6 +163,23 @@ def q_dq_rebuild_match(spark, sf_dir):
     return named(Q.rebuild_match(first, district_cube(spark, sf_dir)), "rebuild").unionByName(named(Q.rebuild_match(first, other), "planted"))
 
 
+_PLANTED_ORDERS = "CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END"
+
+
+@register("dq_tree_diff", f"""
+WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+b AS (SELECT o_orderkey, o_custkey, {_PLANTED_ORDERS} AS o_totalprice FROM orders WHERE o_orderkey % 1000 <> 3
+      UNION ALL SELECT * FROM a WHERE o_orderkey % 1000 = 5)
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(sum(x) AS BIGINT) AS n_a, CAST(sum(y) AS BIGINT) AS n_b
+FROM (SELECT *, 1 AS x, 0 AS y FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY 1, 2, 3 HAVING sum(x) <> sum(y)""")
+def q_dq_tree_diff(spark, sf_dir):
+    """A copy of the orders with rows changed, lost and doubled: the hash tree
+    names each of them."""
+    a = A.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    b = a.where("o_orderkey % 1000 <> 3").withColumn("o_totalprice", F.expr(_PLANTED_ORDERS)).unionByName(a.where("o_orderkey % 1000 = 5"))
+    return Q.tree_diff(a, b, ["o_orderkey"])[0]
+
+
 def _tol_sql():
     _, names = G.cube_sql(CUBE_ORDER)
     num = [c for c in names if c != "district"]

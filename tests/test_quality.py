@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import functions as F
+
 from gridcube.operators import quality as Q
 
 
@@ -63,3 +66,35 @@ def test_rollup_reconcile(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("Total", 3), ("total ", 0)], "district string, v long")
     r = Q.rollup_reconcile(df.where("district <> 'total '"), "district", ["v"]).first()
     assert (r.detail_sum, r.rollup_value, r.passed) == (3, 3, True)
+
+
+def test_tree_diff_names_planted_rows_and_leaves_equal_tables(spark, monkeypatch):
+    monkeypatch.setattr(Q, "LEAF_ROWS", 40)
+    monkeypatch.setattr(Q, "TREE_BITS", 3)
+    a = spark.range(3000).selectExpr("id", "id % 7 as g", "cast(id as double) / 3 as v", "concat('t', id) as t")
+    rows, info = Q.tree_diff(a, a.orderBy("v").repartition(5), ["id"])
+    assert info["ranges"] == 0 and info["levels"] == 1 and rows.collect() == []
+    b = a.where("id <> 77").withColumn("v", F.when(F.col("id") == 1234, 0.5).otherwise(F.col("v"))).unionByName(a.where("id = 5"))
+    rows, info = Q.tree_diff(a, b, ["id"])
+    assert info["levels"] > 1 and info["rows_compared"] < 200
+    got = sorted((r.id, r.v, r.n_a, r.n_b) for r in rows.collect())
+    assert got == sorted([(77, 77 / 3, 1, 0), (1234, 1234 / 3, 1, 0), (1234, 0.5, 0, 1), (5, 5 / 3, 1, 2)])
+
+
+def test_tree_diff_of_nulls_zeros_and_empty_tables(spark):
+    a = spark.createDataFrame([(None, 0.0), (None, None), (1, -0.0), (1, float("nan"))], "k long, v double")
+    b = spark.createDataFrame([(1, 0.0), (1, float("nan")), (None, -0.0), (None, None)], "k long, v double")
+    assert Q.tree_diff(a, b, ["k"])[0].collect() == [] and Q.rebuild_match(a, b).first().passed
+    assert [r.n_a for r in Q.tree_diff(a, b.limit(0), ["k"])[0].collect()] == [1, 1, 1, 1]
+    empty = Q.rebuild_match(a.limit(0), b.limit(0)).first()
+    assert empty.passed and (empty.rows_a, empty.rows_b) == (0, 0)
+    with pytest.raises(ValueError):
+        Q.tree_diff(a, b.withColumnRenamed("v", "w"))
+
+
+def test_tree_diff_where_everything_differs(spark, monkeypatch):
+    monkeypatch.setattr(Q, "TREE_BUCKETS", 10)
+    monkeypatch.setattr(Q, "LEAF_ROWS", 5)
+    a = spark.range(400).selectExpr("id", "1 as v")
+    rows, _ = Q.tree_diff(a, a.withColumn("v", F.lit(2)), ["id"])
+    assert rows.count() == 800

@@ -33,3 +33,24 @@ def test_bi_subset_and_scatter(spark):
     assert SV.bi_subset(df).columns == ["District", "Stunting_Total_%", "Measurement_Efficiency"]
     pts = SV.scatter_points(df).collect()
     assert [(p.District, p.x, p.y) for p in pts] == [("b", 2.0, 3.0)]
+
+
+def test_lookup_over_rarest_grams_equals_contains(spark, monkeypatch):
+    """Grams that all keys share are dealt over slices; short texts, texts with a
+    gram no key has, blanks and repeats."""
+    import random
+
+    from gridcube.operators import serve as SV
+    monkeypatch.setattr(SV, "GRAM_KEYS", 7)
+    rnd = random.Random(2)
+    keys = [f"District of {rnd.choice(['north', 'south', 'x'])}{i}" for i in range(60)] + [" Padded\t", "ab", "a", "", None, "Ünïcode – key"]
+    asked = ["district", "istrict of n", "h1", "1", "of", "", " ", None, "north3", "zzz", "districtx", "DISTRICT OF X5", "padded", "ab", "ïco", "– k", "t of south2", "t of south2"]
+    cube = spark.createDataFrame([(k,) for k in keys], "District string")
+    req = spark.createDataFrame(list(enumerate(asked)), "i long, name string")
+    got = {r.request_id: (r.match, r.status) for r in SV.lookup(req, "i", "name", cube).collect()}
+    norm = {k: k.strip().lower() for k in keys if k is not None}
+    for i, a in enumerate(asked):
+        q = None if a is None else a.strip().lower()
+        exact = sorted(k for k, n in norm.items() if n == q)
+        part = sorted(k for k, n in norm.items() if q is not None and q in n)
+        assert got[i] == ((exact[0], "exact") if exact else (part[0], "contains") if part else (None, "not_found")), a
