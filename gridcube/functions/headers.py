@@ -51,6 +51,13 @@ def strict_name(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9_]", "", s).lower()
 
 
+def strict_col(c):
+    """``strict_name`` as a Column expression."""
+    from pyspark.sql import functions as F
+    from gridcube.functions.exprs import strip
+    return F.lower(F.regexp_replace(F.replace(strip(c), F.lit(" "), F.lit("_")), "[^A-Za-z0-9_]", ""))
+
+
 def number_duplicates(names: list[str]) -> list[str]:
     """Label repeated headers ``x``, ``x.1``, ``x.2`` (blank -> ``Unnamed: i``),
     the convention spreadsheet exports are usually read with."""
@@ -70,6 +77,25 @@ def number_duplicates(names: list[str]) -> list[str]:
     return out
 
 
+def number_duplicates_by(headers, file: str, position: str, header: str):
+    """``number_duplicates`` for the headers of many files held as rows: (file,
+    position, header, label). A file's headers meet in one row, which is as wide as
+    the file has columns."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    rows = headers.groupBy(F.col(file).alias(file)).agg(F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col(header).alias("h")))).alias("e"))
+    rows = rows.select(file, F.transform("e", lambda e: e.p).alias("p"), F.transform("e", lambda e: e.h).alias("h"))
+    schema = rows.withColumn("label", F.array(F.lit(""))).schema
+
+    def run(batches):
+        for b in batches:
+            labels = [number_duplicates(h) for h in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(labels, pa.list_(pa.string()))], names=[*b.schema.names, "label"])
+
+    out = rows.mapInArrow(run, schema).select(file, F.inline(F.arrays_zip("p", "h", "label")))
+    return out.select(file, F.col("p").alias(position), F.col("h").alias(header), "label")
+
+
 def rename_map(df_columns: list[str], mapping: dict[str, str]) -> list[str]:
     """Apply a rename dict; names missing from the dict are kept."""
     return [mapping.get(c, c) for c in df_columns]

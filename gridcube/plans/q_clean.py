@@ -240,3 +240,32 @@ def q_normalize_headers(spark, sf_dir):
                    F.lit("  -  No. "), F.col("p_brand"))
     h = p.select("p_partkey", raw.alias("raw"))
     return h.select("p_partkey", *[H.normalize_col("raw", v).alias(f"h_{v}") for v in H.VARIANTS])
+
+
+@register("normalize_headers_strict", f"""
+SELECT p_partkey, lower(regexp_replace(replace(trim({_RAW_HEADER_SQL}), ' ', '_'), '[^A-Za-z0-9_]', '', 'g')) AS h_strict FROM part""")
+def q_normalize_headers_strict(spark, sf_dir):
+    """The strict variant: everything but letters, digits and _ goes, no
+    doubled _ is collapsed."""
+    p = A.table(spark, sf_dir, "part")
+    raw = F.concat(F.lit(" "), F.upper("p_type"), F.lit(" (%) "), X.py_title("p_name"), F.lit("  -  No. "), F.col("p_brand"))
+    return p.select("p_partkey", H.strict_col(raw).alias("h_strict"))
+
+
+@register("number_headers", """
+SELECT o_custkey, o_orderkey, h AS header, CASE WHEN trim(coalesce(h, '')) = '' THEN concat('Unnamed: ', i) WHEN k = 0 THEN h ELSE concat(h, '.', k) END AS label
+FROM (SELECT o_custkey, o_orderkey, h, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i,
+             row_number() OVER (PARTITION BY o_custkey, h ORDER BY o_orderkey) - 1 AS k
+      FROM (SELECT o_custkey, o_orderkey, CASE WHEN o_orderpriority LIKE '5%' THEN ' ' ELSE o_orderpriority END AS h FROM orders))""")
+def q_number_headers(spark, sf_dir):
+    """Repeated and blank headers of many files (here a customer's orders are a
+    file's columns) are numbered as one reader would label them."""
+    o = A.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderpriority").startswith("5"), " ")
+                                                .otherwise(F.col("o_orderpriority")).alias("header"))
+    return H.number_duplicates_by(o, "o_custkey", "o_orderkey", "header")
+
+
+@register("fill_unknown", "SELECT d.doc_id, d.n_chars, CAST(l.quality AS BIGINT) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def q_fill_unknown(spark, sf_dir):
+    """A fill strategy that is not known leaves the table as it is."""
+    return CL.fill_missing(_docs_labels(spark, sf_dir).drop("toxic"), "median")

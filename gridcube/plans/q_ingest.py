@@ -292,3 +292,36 @@ def q_ingest_report(spark, sf_dir):
                     [df.select("source").groupBy("source").agg(F.count(F.lit(1)).cast("long").alias("rows")) for df in tables.values()])
     return FS.folder_report(spark, folder, EXPORT_MONTH).join(counts, "source", "left") \
         .select("file", "source", "status", "extra_columns", "rows")
+
+
+BROKEN = "awc"
+
+
+def _broken_export(spark, sf_dir) -> str:
+    """A month folder with one source as it should be and one whose second
+    header is another's."""
+    base = export_month(spark, sf_dir, [WIDE])
+    spec = SOURCES[BROKEN]
+    df = A.SOURCE_BUILDERS[BROKEN](spark, sf_dir).select(*spec.canonical)
+    FS.export_csv(df, os.path.join(base, EXPORT_MONTH, spec.file_name(EXPORT_MONTH)), [spec.raw[0], "Something Else", *spec.raw[2:]])
+    return os.path.join(base, EXPORT_MONTH)
+
+
+_STATUS = {WIDE: "loaded", BROKEN: "mismatch"}
+
+
+@register("schema_mismatch", " UNION ALL ".join(
+    f"SELECT '{s.file_name(EXPORT_MONTH)}' AS file, '{s.name}' AS source, '{_STATUS.get(s.name, 'missing')}' AS status, CAST(0 AS BIGINT) AS extra_columns "
+    "WHERE EXISTS (SELECT 1 FROM customer)" for s in SOURCES.values()))
+def q_schema_mismatch(spark, sf_dir):
+    """The folder report of an export that breaks its contract."""
+    return FS.folder_report(spark, _broken_export(spark, sf_dir), EXPORT_MONTH)
+
+
+@register("schema_contract", " UNION ALL ".join(
+    f"SELECT '{BROKEN}' AS source, '{h}' AS expected, '{'Something Else' if i == 1 else h}' AS found, {str(i != 1).lower()} AS present "
+    "WHERE EXISTS (SELECT 1 FROM customer)" for i, h in enumerate(SOURCES[BROKEN].raw)))
+def q_schema_contract(spark, sf_dir):
+    """Column by column, what the contract expects and what the file has."""
+    folder = _broken_export(spark, sf_dir)
+    return FS.schema_contract(spark, os.path.join(folder, SOURCES[BROKEN].file_name(EXPORT_MONTH)), SOURCES[BROKEN])

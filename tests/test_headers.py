@@ -49,3 +49,16 @@ def test_normalize_headers_dataframe(spark):
 def test_rename_map_ignores_missing_keys():
     assert H.rename_map(["district", "anaemic", "anaemic.1"], {"anaemic": "anaemic_pw", "anaemic.1": "anaemic_lm",
                                                                "absent": "x"}) == ["district", "anaemic_pw", "anaemic_lm"]
+
+
+def test_strict_and_numbered_rows_match_the_names(spark):
+    names = [" Measurement  (%) Rate ", "a-b_c", "Ünï x", "__"]
+    got = spark.createDataFrame([(n,) for n in names], "h string").select(H.strict_col("h")).collect()
+    assert [r[0] for r in got] == [H.strict_name(n) for n in names]
+    files = {"f": ["x", "x", "", "x.1", None, "x"], "g": ["x"], None: ["a", "a"]}
+    df = spark.createDataFrame([(f, i, h) for f, hs in files.items() for i, h in enumerate(hs)], "file string, at int, head string").repartition(3)
+    out = {}
+    for r in H.number_duplicates_by(df, "file", "at", "head").collect():
+        out.setdefault(r.file, {})[r.at] = (r["head"], r.label)
+    assert {f: [v[1] for _, v in sorted(d.items())] for f, d in out.items()} == {f: H.number_duplicates(hs) for f, hs in files.items()}
+    assert out["f"][4][0] is None
