@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcube.operators.clean import basic_clean
-from gridcube.session import materialize
+from gridcube.session import cleanup, mark, materialize
 from gridcube.sources.files import path_exists
 
 
@@ -119,7 +119,7 @@ def write_batch(rows: DataFrame, batch_id: int, out_path: str, slot=None) -> Non
     rows themselves are opened only where both hashes meet, batch by batch, and
     compared value by value. A table from before there was a history gets one first.
     A rebalance by month sizes the files (small months share a task, large ones are split)."""
-    spark, cols = rows.sparkSession, rows.columns
+    spark, cols, start = rows.sparkSession, rows.columns, mark()
     batch = materialize(_hashed(rows, cols, slot), "batch")
     if path_exists(spark, out_path):
         if not path_exists(spark, f"{out_path}/{HISTORY}"):
@@ -138,6 +138,7 @@ def write_batch(rows: DataFrame, batch_id: int, out_path: str, slot=None) -> Non
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month", "batch_id").parquet(out_path))
     _write_history(batch, out_path)
+    cleanup(spark, start)
 
 
 def read_ingested(spark: SparkSession, out_path: str) -> DataFrame:
