@@ -1,5 +1,5 @@
 r"""Personal data (DataFrame functions only): regular expressions propose
-spans, checksum validators confirm them, nearby context words adjust a score.
+spans, checksum validators confirm them, context words on either side adjust a score.
 
 Positions come from one fold over the text cut at the matches: a match starts
 after all earlier pieces and matches. The patterns are written so that Java's
@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NEAR = 48           # characters before a match that are searched for context words
+NEAR = 48           # characters on either side of a match that are searched for context words
+PIECES = 8          # matches of one kind that can stand in so many characters
 ACCEPT = 0.6        # an added kind is reported from this score on
 
 
@@ -83,18 +84,23 @@ def _sql(text: str) -> str:
 
 
 def _spans_of(order: int, kind: Kind, text: str) -> Column:
-    near = f"right(x.p, {NEAR})"
+    # what stands before: the end of all text so far; behind: the pieces and matches that follow
+    near = f"concat(right(concat(a.tail, right(x.p, {NEAR})), {NEAR}), '\\n', x.n)"
     score = f"{kind.score} + if({near} rlike {_sql(rf'(?i)\b(?:{kind.helps})')}, 0.3, 0.0) - if({near} rlike {_sql(rf'(?i)\b(?:{kind.hurts})')}, 0.3, 0.0)"
     score = f"cast(least(1.0, greatest(0.0, {score})) as double)"
     span = f"named_struct('ord', {order}, 'kind', '{kind.name}', 'start', a.at + length(x.p), 'end', a.at + length(x.p) + length(x.m), 'score', {score}, 'match', x.m)"
     keep = f"({kind.valid})" if kind.base else f"({kind.valid}) and {score} >= {ACCEPT}"
     pattern = _sql(kind.pattern)
-    # pieces are one more than matches: the zip's last entry has no match
-    fold = (f"aggregate(zip_with(split({text}, {pattern}, -1), regexp_extract_all({text}, {pattern}, 0), (p, m) -> named_struct('p', p, 'm', m)), "
-            f"named_struct('at', 0, 'spans', cast(array() as array<{_SPAN}>)), "
-            f"(a, x) -> named_struct('at', a.at + length(x.p) + coalesce(length(x.m), 0), 'spans', "
+    behind = (f"left(aggregate(sequence(1, {PIECES}), '', (z, k) -> if(length(z) >= {NEAR}, z, "
+              f"concat(z, left(coalesce(get(s.p, i + k), ''), {NEAR}), coalesce(get(s.m, i + k), '')))), {NEAR})")
+    # pieces are one more than matches: the last entry has no match
+    cut = f"transform(s.p, (p, i) -> named_struct('p', p, 'm', get(s.m, i), 'n', if(get(s.m, i) is null, '', {behind})))"
+    fold = (f"aggregate({cut}, named_struct('at', 0, 'tail', '', 'spans', cast(array() as array<{_SPAN}>)), "
+            f"(a, x) -> named_struct('at', a.at + length(x.p) + coalesce(length(x.m), 0), "
+            f"'tail', right(concat(a.tail, right(x.p, {NEAR}), coalesce(x.m, '')), {NEAR}), 'spans', "
             f"if(x.m is not null and {keep}, concat(a.spans, array({span})), a.spans)), a -> a.spans)")
-    return F.expr(f"if({text} rlike {_sql(kind.needs)}, {fold}, cast(array() as array<{_SPAN}>))")
+    both = f"array(named_struct('p', split({text}, {pattern}, -1), 'm', regexp_extract_all({text}, {pattern}, 0)))"
+    return F.expr(f"if({text} rlike {_sql(kind.needs)}, get(transform({both}, s -> {fold}), 0), cast(array() as array<{_SPAN}>))")
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:
@@ -108,7 +114,8 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> Dat
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets. Overlapping
-    spans are hidden together under the first one's kind."""
+    spans are hidden together under the first one's kind. NULL and empty texts stay
+    as they are; a column named ``__pii`` is lost."""
     text = f"`{text_col}`"
     hidden = (f"aggregate(array_sort(transform(__pii, s -> named_struct('start', s.start, 'end', -s.end, 'kind', s.kind))), "
               f"named_struct('at', 0, 'out', cast(array() as array<string>)), "

@@ -41,7 +41,7 @@ def op3_mixing(spark, sf_dir):
 
 def op4_sharding(spark, sf_dir):
     # the shards are written with their documents; sizes and digests are of what was written
-    shards = materialize(sharding.shard(table(spark, sf_dir, "documents"), 24), "shards", codec="zstd")
+    shards = sharding.write(table(spark, sf_dir, "documents"), 24)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return shards.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
                          F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -154,19 +154,22 @@ FROM (SELECT *, unnest(range(n)) FROM c)
 def _op6_sql() -> str:
     def find(pattern, keep):
         pieces, found = f"string_split_regex(t, '{pattern}')", f"regexp_extract_all(t, '{pattern}')"
-        return (f"list_filter(list_transform(range(1, len({found}) + 1), lambda i: {{'m': {found}[i], 'p': {pieces}[i], "
+        return (f"list_filter(list_transform(range(1, len({found}) + 1), lambda i: {{'m': {found}[i], "
                 f"'a': coalesce(list_sum(list_transform({pieces}[:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform({found}[:i - 1], lambda x: length(x))), 0)}}), "
                 f"lambda x: {keep})")
     digits = "regexp_replace(x.m, '[^0-9]', '', 'g')"
     at = f"substr({digits}, length({digits}) - j + 1, 1)::INT"
     luhn = (f"length({digits}) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length({digits}) + 1), lambda j: "
             f"CASE WHEN j % 2 = 0 THEN {at} * 2 - CASE WHEN {at} > 4 THEN 9 ELSE 0 END ELSE {at} END)) % 10 = 0")
-    context = ("0.4 + CASE WHEN regexp_matches(right(x.p, 48), '(?i)\\b(?:ssn|social|security)') THEN 0.3 ELSE 0 END"
-               " - CASE WHEN regexp_matches(right(x.p, 48), '(?i)\\b(?:part|order)') THEN 0.3 ELSE 0 END >= 0.6")
+    # 48 characters on either side of the match
+    near = "(substr(t, greatest(x.a - 47, 1)::BIGINT, least(x.a, 48)::BIGINT) || chr(10) || substr(t, (x.a + length(x.m) + 1)::BIGINT, 48))"
+    context = (f"0.4 + CASE WHEN regexp_matches({near}, '(?i)\\b(?:ssn|social|security)') THEN 0.3 ELSE 0 END"
+               f" - CASE WHEN regexp_matches({near}, '(?i)\\b(?:part|order)') THEN 0.3 ELSE 0 END >= 0.6")
     kinds = {"email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
              "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(x.m, '.'), lambda y: y::HUGEINT > 255)) = 0"),
              "card": (r"[0-9](?:[\x20-]?[0-9])+", luhn), "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) BETWEEN 8 AND 15"),
-             "ssn": (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", f"NOT regexp_matches(x.m, '^(?:000|666|9)|-00-|-0000$') AND {context}")}
+             # whole runs of digits and hyphens, so that nothing of the kind stands beside the number
+             "ssn": (r"[0-9-]+", f"regexp_full_match(x.m, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}') AND NOT regexp_matches(x.m, '^(?:000|666|9)|-00-|-0000$') AND {context}")}
     cols = ", ".join(f"list_transform({find(p, keep)}, lambda x: '{k}:' || x.a || ':' || (x.a + length(x.m))) AS {k}" for k, (p, keep) in kinds.items())
     base = "list_concat(list_concat(list_concat(email, ip), card), phone)"
     return (f"WITH f AS (SELECT doc_id, {cols} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)) "

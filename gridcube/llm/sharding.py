@@ -7,7 +7,8 @@ hypergeometric draw whose rows sum to the partitions' sizes and whose columns
 sum to the shards' sizes. Each partition permutes its rows' positions in place
 and deals the rows by those counts, the rows are exchanged once, and each shard
 permutes what it got. The second permutation is made of ``SLICES`` hash slices a
-shard with known offsets, so a shard is never sorted in one task.
+shard with known offsets, so a shard is never sorted in one task. ``write`` stores
+a folder a shard, whose files hold runs of slots in order.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from gridcube.session import materialize
 
 BLOCK, SLICES = 1 << 17, 1024
+PLAN_BLOCKS = 1 << 15           # blocks (4 billion rows) up to which the plan is small enough to be broadcast
 
 
 def _log_ways(good: int, bad: int, n: int, k: int) -> float:
@@ -92,7 +94,9 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     no rows. Columns of ``docs`` named shard or slot are replaced.
 
     The rows are written once to the shared checkpoint folder, so that row
-    numbers, and with them the draw, survive a lost executor."""
+    numbers, and with them the draw, survive a lost executor. The driver holds a
+    row of ``shards`` numbers per ``BLOCK`` input rows (a billion rows: 7,630 of
+    them, 24 draws each)."""
     docs = docs.drop("shard", "slot")
     spark, own = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns]
     rows = materialize(docs.select(*own, F.monotonically_increasing_id().alias("__row")), "shard", codec="zstd")
@@ -102,12 +106,20 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     deal = communication_matrix([r["count"] for r in sizes], shards, seed)
     plan = spark.createDataFrame([(r["__block"], r["count"], np.cumsum(deal[i]).tolist()) for i, r in enumerate(sizes)],
                                  "__block long, __count long, __upto array<long>")
-    dealt = rows.join(F.broadcast(plan), "__block").withColumn("__nth", _places(BLOCK, seed)("__row", "__count")) \
+    plan = F.broadcast(plan) if len(sizes) <= PLAN_BLOCKS else plan        # a row of some 300 bytes a block
+    dealt = rows.join(plan, "__block").withColumn("__nth", _places(BLOCK, seed)("__row", "__count")) \
         .withColumn("shard", F.size(F.filter("__upto", lambda c: c < F.col("__nth")))) \
         .withColumn("__h", F.xxhash64(F.lit(seed + 1), "__row", "__row")) \
         .withColumn("__slice", F.pmod("__h", F.lit(SLICES)))
     first = F.sum("count").over(Window.partitionBy("shard").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
     cells = dealt.groupBy("shard", "__slice").count().select("shard", "__slice", F.coalesce(first, F.lit(0)).alias("__first"))
     nth = F.row_number().over(Window.partitionBy("shard", "__slice").orderBy("__h", "__row"))
-    return dealt.withColumn("__nth", nth).join(cells, ["shard", "__slice"]) \
+    # the exchange is by range of (shard, slice), so a task holds neighbouring slots
+    return dealt.repartitionByRange("shard", "__slice").withColumn("__nth", nth).join(cells, ["shard", "__slice"]) \
         .select(*own, "shard", (F.col("__nth") - 1 + F.col("__first")).cast("long").alias("slot"))
+
+
+def write(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
+    """``shard``'s rows as a table in a folder a shard (reading one shard opens its
+    files only), every file a run of slots in order."""
+    return materialize(shard(docs, shards, seed), "shards", codec="zstd", partition_by=["shard"])

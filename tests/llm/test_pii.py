@@ -77,3 +77,26 @@ def test_redaction(spark):
 def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     assert "Python" not in P.redact(df.select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_context_on_either_side(spark):
+    texts = ["my ssn is 123-45-6789 and 123-45-6780", "123-45-6789 is my ssn", "123-45-6789, 123-45-6780 (both ssn)", "123-45-6789" + " x" * 30 + " ssn",
+             "ssn" + " x" * 30 + " 123-45-6789", "123-45-6789 order ssn", "social 123-45-6789123-45-6780", "a 1-123-45-6789 ssn"]
+    got = found(spark, texts)
+    assert [len([s for s in g if s[0] == "ssn"]) for g in got] == [2, 1, 2, 0, 0, 0, 0, 0]
+
+
+def test_ssn_against_a_plain_search(spark):
+    rnd = random.Random(6)
+    parts = ["123-45-6789", "987-65-4321", "219-09-9999", "000-12-3456", "ssn", "security", "part", "order", "x" * 20, "1", "-", ",", "\n", "é"]
+    texts = [" ".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14))) for _ in range(300)]
+    want = []
+    for t in texts:
+        hits = []
+        for m in re.finditer(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", t):
+            near = t[max(0, m.start() - 48):m.start()] + "\n" + t[m.end():m.end() + 48]
+            has = lambda words: bool(re.search(rf"(?ia)\b(?:{words})", near))
+            if not re.search(r"^(?:000|666|9)|-00-|-0000$", m.group()) and 0.4 + 0.3 * has("ssn|social|security") - 0.3 * has("part|order") >= 0.6:
+                hits.append((m.start(), m.end()))
+        want.append(hits)
+    assert [[(s[1], s[2]) for s in g if s[0] == "ssn"] for g in found(spark, texts)] == want

@@ -77,3 +77,22 @@ def test_whole_rows_cross_one_exchange_only(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert not [w for w in windows if "__block" in w]
+
+
+def test_written_shards_are_folders_in_slot_order(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from gridcube.llm import sharding as S
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('t', id) as text").repartition(6)
+    t = S.write(docs, 7, seed=3)
+    files = [f.removeprefix("file:").replace("file://", "") for f in t.inputFiles()]
+    assert {f.split("shard=")[1].split("/")[0] for f in files} == {str(i) for i in range(7)}
+    for f in files:
+        slots = pq.ParquetFile(f).read().column("slot").to_pylist()
+        assert slots == list(range(slots[0], slots[0] + len(slots)))           # a run without gaps
+    rows = t.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(5000))
+    assert sorted((r.shard, r.slot) for r in rows) == sorted((s, i) for s in range(7) for i in range(5000 // 7 + (s < 5000 % 7)))
+    assert glob.glob(files[0])
