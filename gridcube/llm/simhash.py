@@ -224,6 +224,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     result. Very long texts are hashed whole, in pieces. An empty table gives
     no rows. Other columns are not read."""
     t = materialize(with_fingerprint(docs, text_col, shingle, keep=[id_col]), "simhash")
+    return _rooted(t, id_col, radius)
+
+
+def _rooted(t: DataFrame, id_col: str, radius: int) -> DataFrame:
+    """``near_duplicates`` of a written table of ids and fingerprints."""
     per_fp = t.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(f"`{id_col}`").alias("first_id"))
     root = connected_components(link_edges(per_fp.select("fp"), radius))
     rooted = per_fp.join(root, per_fp.fp == root.node, "left") \
@@ -237,13 +242,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
              radius: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: the one with
     the smallest id, which of several rows with that id is fixed by their
-    texts' hash. A component whose ids are all NULL keeps one of those rows."""
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
+    texts' hash. A component whose ids are all NULL keeps one of those rows. The
+    rows are written once with their fingerprints, so every text is hashed once."""
+    t = materialize(with_fingerprint(docs, text_col, shingle, out="__f"), "simhash-rows", codec="zstd")
+    found = _rooted(t.select(F.col(f"`{id_col}`"), F.col("__f").alias("fingerprint")), id_col, radius)
     name = F.col(f"`{id_col}`")
     key = F.coalesce(name.cast("string"), F.lit("null"))
     best = F.struct(name.isNull().alias("none"), name.alias("id"), F.col("fingerprint").alias("f"), key.alias("k"))
     keepers = found.groupBy("root").agg(F.min(best).alias("best")).select(F.col("best.k").alias("__k"), F.col("best.f").alias("__f"))
-    rows = with_fingerprint(docs, text_col, shingle, out="__f").withColumn("__k", key)
+    rows = t.withColumn("__k", key)
     w = Window.partitionBy("__k", "__f").orderBy(F.xxhash64(f"`{text_col}`"))
     return rows.join(keepers, ["__k", "__f"], "left_semi").withColumn("__n", F.row_number().over(w)) \
         .where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
