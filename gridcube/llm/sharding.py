@@ -114,6 +114,8 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     first = F.sum("count").over(Window.partitionBy("shard").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
     cells = dealt.groupBy("shard", "__slice").count().select("shard", "__slice", F.coalesce(first, F.lit(0)).alias("__first"))
     nth = F.row_number().over(Window.partitionBy("shard", "__slice").orderBy("__h", "__row"))
+    if shards * SLICES <= 1 << 18:               # as many rows, whatever the input
+        cells = F.broadcast(cells)
     # the exchange is by range of (shard, slice), so a task holds neighbouring slots
     return dealt.repartitionByRange("shard", "__slice").withColumn("__nth", nth).join(cells, ["shard", "__slice"]) \
         .select(*own, "shard", (F.col("__nth") - 1 + F.col("__first")).cast("long").alias("slot"))
