@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gridcube.session import materialize
 
 PROJECTIONS, W, THRESHOLD, GROWTH = 96, 1.0, 0.625, 1.1
-BLOCK, QUERY_BLOCK, SEED = 8192, 1024, 3
+BLOCK, QUERY_BLOCK, SEED = 8192, 8192, 3
 
 
 class SortedLines:
@@ -42,7 +42,9 @@ class SortedLines:
         todo = self.ids != query_id
         need = int(np.ceil(THRESHOLD * PROJECTIONS))
         some = self.vectors[:: max(1, n // 64)] - q
-        radius = 0.5 * float(np.sqrt((some * some).sum(1).min())) or 1e-6
+        apart = np.sqrt((some * some).sum(1))
+        apart = apart[apart > 1e-9]              # the query and its copies say nothing about how far others are
+        radius = 0.5 * float(apart.min()) if len(apart) else 1e-6
         lo = hi = None
         ids, found = [], []
         best = np.empty(0)
@@ -99,7 +101,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     an id takes a rank of its own; a repeated query id asks once (with its
     smallest vector) and rows with its id are not its candidates. An empty table
     or no query gives no rows. The index holds every row; each (block of vectors,
-    block of queries) pair is one group of bounded size."""
+    block of queries) pair is one group of bounded size, so the work is that of the
+    queries times the rows: where the queries are a share of the table, it grows
+    with the table's square."""
     rows = materialize(vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
                        .where(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v")), "ann")
     ask = rows.where(is_query).groupBy("id", "dim").agg(F.min("v").alias("v"))

@@ -73,8 +73,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """``rows`` and ``out``, the ids' raw bytes; NULL ids decode to no bytes.
-    A column named ``out`` is replaced."""
+    """``rows`` and ``out``, the ids' raw bytes; NULL and empty ids decode to no
+    bytes, repeated rows decode alike, an empty table gives no rows. A column named
+    ``out`` is replaced."""
     rows = rows.drop(out)
     at = rows.columns.index(ids_col)
 

@@ -83,7 +83,10 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shape) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it."""
+    """``docs`` with every row repeated as often as the mix takes it. NULL ids and
+    sources are values of their own and NULL texts have no words, so such rows are
+    taken like others of their size; repeated rows are taken alike; an empty table
+    gives no rows. Columns named __id, __source, __size or __copies must not be there."""
     plan = copies(docs, id_col, source_col, text_col, **shape).where("copies > 0") \
         .select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
     taken = docs.join(plan, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("__source"))
