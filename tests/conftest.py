@@ -14,7 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from gridcube.session import get_session
     s = get_session("local[4]", app="gridcube-tests", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="gridcube-test-ckpt-")})
+                    # tiny tables: compiling each plan would take most of the time
+                    extra={"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="gridcube-test-ckpt-")})
     yield s
     s.stop()
 
