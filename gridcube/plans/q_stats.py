@@ -182,11 +182,10 @@ def doc_features(spark, sf_dir):
     """Documents with their labels; whole texts are scanned for line counts.
     Labels cover only some documents, toxicity only English ones, so each
     pair sees a different set of rows (pairwise deletion)."""
-    d = A.table(spark, sf_dir, "documents")
-    lab = A.table(spark, sf_dir, "labels")
-    j = d.join(lab, "doc_id", "left")
-    return j.select("n_chars", (F.size(F.split("text", "\n")) - 1).alias("n_lines"), "quality",
-                    F.when(F.col("lang") == "en", F.col("toxic")).alias("toxic_en"))
+    # lines are counted before the join, so no text is shuffled
+    d = A.table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", (F.size(F.split("text", "\n")) - 1).alias("n_lines"))
+    j = d.join(A.table(spark, sf_dir, "labels"), "doc_id", "left")
+    return j.select("n_chars", "n_lines", "quality", F.when(F.col("lang") == "en", F.col("toxic")).alias("toxic_en"))
 
 
 @register("corr_matrix_pairwise", _corr_sql(DOC_SQL, DOC_COLS, full=True))
