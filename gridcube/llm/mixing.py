@@ -1,6 +1,6 @@
 """Mixing sources to target weights by systematic sampling (DataFrame functions only).
 
-A source's documents are laid out by (size, hash of id). Each occupies its
+A source's documents are laid out by size and hash. Each occupies its
 expected number of copies on a line; one random offset per source shifts the
 integer grid, and a document is emitted once per integer boundary it crosses.
 Neighbours are of like size, so a source's taken words stay within about one
@@ -14,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcube.operators.inversions import places
 from gridcube.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE, CAP, SEED = 1.5, 2.0, "mix"
+RUN = 1 << 16                   # equal rows made by one task at a time
 
 
 def words(text: Column) -> Column:
@@ -51,18 +53,27 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
                       (offset / 1048576.0).alias("u"))
 
 
-def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shape) -> DataFrame:
-    """(id, source, size, n, source_size, target, copies): one row per document
-    and ``n``, its rows. NULL texts have size 0, a NULL source is a source of
-    its own, a NULL id is an id. Rows that repeat an id, source and size are
-    one document and share its copies. Sources without words take nothing; an
-    empty table gives no rows."""
+def _text_hash(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def _taken(place: Column) -> Column:
+    """Copies of the row at ``place`` on its source's line."""
+    return (F.floor(F.col("rate") * (place + 1) + F.col("u")) - F.floor(F.col("rate") * place + F.col("u"))).cast("long")
+
+
+def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shape) -> DataFrame:
+    """(id, source, size, t, n, r, rate, u, source_size, target): per distinct id,
+    source and text (its hash is ``t``) the number of such rows, and the first of
+    the ``n`` consecutive places they have on their source's line."""
+    text = F.col(f"`{text_col}`")
     rows = materialize(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
-                                   words(F.col(f"`{text_col}`")).alias("size")), "mix")
-    hashed = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("null")))
-    each = rows.groupBy("id", "source", "size").agg(F.count("*").alias("n")) \
+                                   words(text).alias("size"), _text_hash(text).alias("t")), "mix")
+    # rows of one id that differ in their text, such as all of those without an id, lie in different slices
+    hashed = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(":"), "t"))
+    each = rows.groupBy("id", "source", "size", "t").agg(F.count("*").alias("n")) \
         .withColumn("h", hashed).withColumn("slice", F.substring("h", 1, 2))
-    cells = each.groupBy("source", "size", "slice").agg(F.count("*").alias("c"))
+    cells = each.groupBy("source", "size", "slice").agg(F.sum("n").alias("c"))
     in_size = Window.partitionBy("source", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     in_source = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("a", F.coalesce(F.sum("c").over(in_size), F.lit(0)))
@@ -73,23 +84,42 @@ def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         .join(goal, F.col("source").eqNullSafe(F.col("s3"))) \
         .select(F.col("source").alias("s4"), F.col("size").alias("z4"), F.col("slice").alias("l4"),
                 (F.col("a") + F.col("b")).alias("start"), "source_size", "target", "rate", "u")
-    nth = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("h", "id")) - 1
-    line = F.col("rate") * F.col("r") + F.col("u")
-    upto = F.col("rate") * (F.col("r") + 1) + F.col("u")
-    return each.withColumn("nth", nth) \
+    before = Window.partitionBy("source", "size", "slice").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, -1)
+    return each.withColumn("nth", F.coalesce(F.sum("n").over(before), F.lit(0))) \
         .join(start, F.col("source").eqNullSafe(F.col("s4")) & (F.col("size") == F.col("z4")) & (F.col("slice") == F.col("l4"))) \
-        .withColumn("r", F.col("nth") + F.col("start")) \
-        .select("id", "source", "size", "n", "source_size", "target", (F.floor(upto) - F.floor(line)).cast("long").alias("copies"))
+        .select("id", "source", "size", "t", "n", (F.col("nth") + F.col("start")).alias("r"), "rate", "u", "source_size", "target")
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shape) -> DataFrame:
+    """(id, source, size, source_size, target, copies): one row per row of
+    ``docs``. NULL texts have size 0, a NULL source is a source of its own, a NULL id
+    is an id. Repeated rows have consecutive places, so their copies differ by one
+    at most and together come near their share. Sources without words take
+    nothing; an empty table gives no rows."""
+    whole = plan(docs, id_col, source_col, text_col, **shape)
+    # many equal rows are first cut into runs, so that no task makes all of them
+    runs = whole.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(RUN).cast("long"))))
+    each = runs.hint("rebalance").withColumn("i", F.explode(F.sequence(F.col("run"), F.least(F.col("run") + RUN, F.col("n")) - 1)))
+    return each.select("id", "source", "size", "source_size", "target", _taken(F.col("r") + F.col("i")).alias("copies"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **shape) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it. NULL ids and
     sources are values of their own and NULL texts have no words, so such rows are
-    taken like others of their size; repeated rows are taken alike; an empty table
-    gives no rows. Columns named __id, __source, __size or __copies must not be there."""
-    plan = copies(docs, id_col, source_col, text_col, **shape).where("copies > 0") \
-        .select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("copies").alias("__copies"))
-    taken = docs.join(plan, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("__source"))
-                      & (words(F.col(f"`{text_col}`")) == F.col("__size")))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken like others of their size; repeated rows each have a place of their own; an
+    empty table gives no rows. Columns named __id, __source, __size, __t, __n, r,
+    rate, u or __tie must not be there."""
+    whole = materialize(plan(docs, id_col, source_col, text_col, **shape).select(
+        F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("t").alias("__t"), F.col("n").alias("__n"), "r", "rate", "u"), "mix-plan")
+    text = F.col(f"`{text_col}`")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("__source")) \
+        & (_text_hash(text) == F.col("__t")) & (words(text) == F.col("__size"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    once = whole.where((F.col("__n") == 1) & (_taken(F.col("r")) > 0))
+    taken = docs.join(once, same).select(*own, _taken(F.col("r")).alias("__copies"))
+    if whole.where("__n > 1").limit(1).count():
+        # rows that are there more than once are numbered along range partitions, however many they are
+        rows = docs.join(whole.where("__n > 1"), same).withColumns({"__unit": F.xxhash64("__id", "__source", "__size", "__t"), "__tie": F.monotonically_increasing_id()})
+        nth = places(rows, "__unit", [F.col("__tie")], "__i")
+        taken = taken.unionByName(nth.select(*own, _taken(F.col("r") + F.col("__i")).alias("__copies")).where("__copies > 0"))
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*own)

@@ -35,8 +35,7 @@ def op2_toxicity(spark, sf_dir):
 
 def op3_mixing(spark, sf_dir):
     plan = mixing.copies(table(spark, sf_dir, "documents"))
-    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
-                       F.explode(F.sequence(F.lit(1), F.col("n"))).alias("row")).drop("row")
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def op4_sharding(spark, sf_dir):
@@ -134,7 +133,7 @@ def op13_decontaminate(spark, sf_dir):
 
 
 OP3_SQL = r"""
-WITH rows AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+WITH rows AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS h, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 per AS (SELECT source, sum(size)::DOUBLE AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos FROM rows GROUP BY source),
 w AS (SELECT *, list_extract([3.0, 1.0, 2.0]::DOUBLE[], (pos % 3 + 1)::INT) AS w FROM per),
 o AS (SELECT *, row_number() OVER cap AS nth, coalesce(sum(s) OVER (cap ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 2.0 AS before,
@@ -143,11 +142,9 @@ o AS (SELECT *, row_number() OVER cap AS nth, coalesce(sum(s) OVER (cap ROWS BET
 l AS (SELECT *, (budget - before) / rest AS level FROM o),
 t AS (SELECT source, s, least((SELECT arg_min(level, nth) FROM l WHERE level * w <= 2.0 * s) * w, 2.0 * s) AS target,
   ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 5))::BIGINT / 1048576.0::DOUBLE AS u FROM l),
-d AS (SELECT doc_id, source, size, count(*) AS n FROM rows GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, md5(coalesce(doc_id::VARCHAR, 'null'))) - 1 AS r FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, h) - 1 AS r FROM rows),
 c AS (SELECT r.*, t.s, t.target, t.u, CASE WHEN t.s > 0 THEN t.target / t.s ELSE 0 END AS e FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, s::BIGINT AS source_size, target, ((floor(e * (r + 1) + u) - floor(e * r + u)) * size)::BIGINT AS taken
-FROM (SELECT *, unnest(range(n)) FROM c)
+SELECT doc_id, size, s::BIGINT AS source_size, target, ((floor(e * (r + 1) + u) - floor(e * r + u)) * size)::BIGINT AS taken FROM c
 """
 
 
