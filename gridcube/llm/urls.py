@@ -42,6 +42,35 @@ def longest_rule(h: Column, p: Column, rules=RULES, verdict: bool = False) -> Co
     return out
 
 
+def rules_of(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, rule, action) of the distinct (host, path) rows of ``urls`` that
+    a rule of the table (action, host, path) fits: the longest, of equally long ones
+    the last in code point order. Of two rules for one host and path, block counts.
+
+    A block list of any length is joined, not written into the plan: a url is
+    looked up under each of its host's suffixes and each length that rule paths have
+    (a short list of numbers), so every lookup is an equality and meets one rule."""
+    kept = rules.select("host", "path", "action").where("host is not null and path is not null").groupBy("host", "path").agg(F.max("action").alias("action"))
+    lengths = [r.n for r in kept.select(F.length("path").alias("n")).distinct().orderBy("n").collect()]
+    if not lengths:
+        return urls.select("host", "path").limit(0).withColumns({"rule": F.lit(""), "action": F.lit("")})
+    labels = F.split("host", "[.]", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    heads = F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("path")), lambda n: F.left("path", n))
+    asked = urls.select("host", "path").distinct().select("host", "path", F.explode(suffixes).alias("h")).select("host", "path", "h", F.explode(heads).alias("p"))
+    found = asked.join(kept.select(F.col("host").alias("h"), F.col("path").alias("p"), "action"), ["h", "p"])
+    longest = F.max(F.struct(F.length(F.concat("h", "p")).alias("n"), F.concat("h", "p").alias("rule"), "action")).alias("best")
+    return found.groupBy("host", "path").agg(longest).select("host", "path", "best.rule", "best.action")
+
+
+def _ruled(urls: DataFrame, rules) -> DataFrame:
+    """``urls`` (with host and path) and their rule and its action as ``__own``."""
+    if isinstance(rules, DataFrame):
+        found = rules_of(urls, rules).withColumnRenamed("action", "__own")
+        return urls.join(found, ["host", "path"], "left")
+    return urls.withColumns({"rule": longest_rule(F.col("host"), F.col("path"), rules), "__own": longest_rule(F.col("host"), F.col("path"), rules, verdict=True)})
+
+
 def node(url: Column) -> Column:
     """A URL as a node: scheme and host in lower case, without its fragment.
     NULL for what is not a URL."""
@@ -51,19 +80,23 @@ def node(url: Column) -> Column:
 
 
 def link_targets(html: Column, url: Column) -> Column:
-    """Absolute targets of a page's canonical links and meta refresh redirects."""
+    """Absolute targets of a page's canonical links and meta refresh redirects;
+    ``&amp;`` is read as &, and relative targets follow the page's ``<base>`` if it
+    has an absolute one."""
     href = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
     goto = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
     canonical = F.transform(F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*+>"), F.lit(0)),
                                      lambda t: t.rlike(r"""(?is)\brel\s*=\s*["']?canonical\b""")), lambda t: F.regexp_extract(t, href, 1))
     refresh = F.transform(F.filter(F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*+>"), F.lit(0)),
                                    lambda t: t.rlike(r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b""")), lambda t: F.regexp_extract(t, goto, 1))
+    base = F.replace(F.regexp_extract(F.regexp_extract(html, r"(?is)<base\b[^>]*+>", 0), href, 1), F.lit("&amp;"), F.lit("&"))
+    url = F.when(base.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), base).otherwise(url)
     site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract(url, r"(?s)^(.*?:)//", 1)
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^?#]*/)", 1)
     absolute = lambda t: F.when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), t).when(t.startswith("//"), F.concat(scheme, t)) \
         .when(t.startswith("/"), F.concat(site, t)).otherwise(F.concat(F.when(folder == "", F.concat(site, F.lit("/"))).otherwise(folder), t))
-    return F.transform(F.filter(F.concat(canonical, refresh), lambda t: t != ""), absolute)
+    return F.transform(F.filter(F.concat(canonical, refresh), lambda t: t != ""), lambda t: absolute(F.replace(t, F.lit("&amp;"), F.lit("&"))))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -75,7 +108,9 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str | None = "html", redirects: DataFrame | None = None) -> DataFrame:
-    """``pages`` and host, path, rule, verdict.
+    """``pages`` and host, path, rule, verdict. ``rules`` is a short list of (allow
+    or block, host, path), which becomes part of the plan, or a table (action, host,
+    path) of any length, which is joined.
 
     Edges come from the pages' html and from ``redirects`` (from_url, to_url)
     if given, such as a crawl's redirect log. A NULL url, or one without ://,
@@ -88,12 +123,11 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str | N
         more = redirects.select(node(F.col("from_url")).alias("a"), node(F.col("to_url")).alias("b"))
         edges = more if edges is None else edges.union(more)
     own = pages.withColumns({"host": host(url), "path": path(url)})
-    own = own.withColumns({"rule": longest_rule(F.col("host"), F.col("path"), rules),
-                           "__own": longest_rule(F.col("host"), F.col("path"), rules, verdict=True), "__node": node(url)})
+    own = _ruled(own.drop("rule", "__own"), rules).withColumn("__node", node(url))
     if edges is None:
         return own.withColumn("verdict", F.coalesce("__own", F.lit("allow"))).drop("__own", "__node")
     groups = connected_components(edges)
-    bad = groups.where(longest_rule(host(F.col("node")), path(F.col("node")), rules, verdict=True) == "block").select("root").distinct()
+    bad = _ruled(groups.withColumns({"host": host(F.col("node")), "path": path(F.col("node"))}), rules).where(F.col("__own") == "block").select("root").distinct()
     blocked = groups.join(bad, "root").select(F.col("node").alias("__node"), F.lit("block").alias("__alias"))
     return own.join(blocked, "__node", "left").withColumn("verdict", F.coalesce("__own", "__alias", F.lit("allow"))) \
         .drop("__own", "__node", "__alias")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from gridcube.llm import urls as U
 
 
@@ -46,3 +48,27 @@ def test_no_rows_and_repeats(spark):
     df = pages(spark, [("http://one.org/a", canonical("http://x.net/es/")), ("http://one.org/a", None)])
     assert [r.verdict for r in U.judge(df).collect()] == ["block", "block"]
     assert U.judge(df.limit(0)).count() == 0
+
+
+def test_rules_as_a_table_equal_rules_in_the_plan(spark):
+    import random
+    rnd = random.Random(4)
+    hosts, paths = ["com", "a.com", "b.a.com", "net", "x.net", "a", ""], ["", "/", "/e", "/en/", "/en/x", "//"]
+    rules = [(a, h, p) for (h, p), a in {(rnd.choice(hosts[:-1]), rnd.choice(paths)): rnd.choice(["allow", "block"]) for _ in range(14)}.items()]
+    rows = [(f"http://{rnd.choice(hosts)}{rnd.choice(['', '.com', '.net'])}{rnd.choice(paths)}{rnd.choice(['', '?q', 'y'])}", None) for _ in range(120)]
+    rows += [("http://one.org/a", canonical("http://b.a.com/en/x")), (None, None), ("plain", None)]
+    table = spark.createDataFrame([*rules, ("block", None, "/"), ("allow", "com", None)], "action string, host string, path string")
+    keep = lambda df: [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in df.orderBy("page_id").collect()]
+    assert keep(U.judge(pages(spark, rows), table)) == keep(U.judge(pages(spark, rows), rules))
+    assert {v for *_, v in keep(U.judge(pages(spark, rows), table.limit(0)))} == {"allow"}
+    twice = spark.createDataFrame([("allow", "a.com", "/"), ("block", "a.com", "/")], table.schema)
+    assert keep(U.judge(pages(spark, [("http://a.com/x", None)]), twice))[0][4] == "block"
+
+
+def test_base_entities_and_long_html(spark):
+    bad = "http://x.net/es/9?a=1&b=2"
+    filler = "<p>" + "text " * 200_000 + "</p>"
+    rows = [("http://one.org/a", '<base href="http://x.net/es/">' + canonical("page")), ("http://two.org/a", canonical(bad.replace("&", "&amp;"))),
+            ("http://three.org/a", filler + refresh("http://y.net/fr/1") + filler), ("http://four.org/a", '<base href="/es/">' + canonical("q"))]
+    assert [v for _, v in judged(spark, rows)] == ["block", "block", "block", "allow"]
+    assert spark.createDataFrame([(rows[1][1], "http://u.org/")], "h string, u string").select(U.link_targets(F.col("h"), F.col("u"))).first()[0] == [bad]
