@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding with tiktoken and a local rank file.
 
-The rank file's path is a parameter and has to be readable on every executor.
+The rank file's path is a parameter; the driver reads it and broadcasts the
+encoding (a vocabulary, whatever the input), which a worker builds once.
 Long texts are cut at safe boundaries, before a space that follows a letter or
 digit: no match of the split pattern spans such a place, so the pieces encode
 to the same ids as the whole text. Decoding joins the ids' raw bytes.
@@ -62,11 +63,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text_col in keep else [F.col(f"`{text_col}`")]))
     at, n = rows.columns.index(text_col), len(keep)
 
+    enc = docs.sparkSession.sparkContext.broadcast(load(path, pattern))
+
     def run(batches):
-        enc = None
         for b in small(batches, at):
-            enc = enc or load(path, pattern)
-            ids = [np.array(encode_text(enc, t), np.int32) for t in b.column(at).to_pylist()]
+            ids = [np.array(encode_text(enc.value, t), np.int32) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(ids, pa.list_(pa.int32()))], names=[*keep, out])
 
     return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.array(F.lit(0))).schema)
@@ -79,11 +80,11 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids",
     rows = rows.drop(out)
     at = rows.columns.index(ids_col)
 
+    enc = rows.sparkSession.sparkContext.broadcast(load(path, pattern))
+
     def run(batches):
-        enc = None
         for b in small(batches, at):
-            enc = enc or load(path, pattern)
-            got = [enc.decode_bytes(i) if i else b"" for i in b.column(at).to_pylist()]
+            got = [enc.value.decode_bytes(i) if i else b"" for i in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*b.schema.names, out])
 
     return rows.mapInArrow(run, rows.withColumn(out, F.lit(b"")).schema)
