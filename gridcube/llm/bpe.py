@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcube.llm.batches import small
+from gridcube.llm.names import by_place
 
 LONG = 1 << 16                                   # characters encoded at a time
 _SAFE = re.compile(r"(?<=[A-Za-z0-9])(?= )")
@@ -70,7 +71,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
             ids = [np.array(encode_text(enc.value, t), np.int32) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(ids, pa.list_(pa.int32()))], names=[*keep, out])
 
-    return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.array(F.lit(0))).schema)
+    return by_place(rows)[0].mapInArrow(run, rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.array(F.lit(0))).schema)
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -78,13 +79,13 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "token_ids",
     bytes, repeated rows decode alike, an empty table gives no rows. A column named
     ``out`` is replaced."""
     rows = rows.drop(out)
-    at = rows.columns.index(ids_col)
+    names, at = rows.columns, rows.columns.index(ids_col)
 
     enc = rows.sparkSession.sparkContext.broadcast(load(path, pattern))
 
     def run(batches):
         for b in small(batches, at):
             got = [enc.value.decode_bytes(i) if i else b"" for i in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())], names=[*names, out])
 
-    return rows.mapInArrow(run, rows.withColumn(out, F.lit(b"")).schema)
+    return by_place(rows)[0].mapInArrow(run, rows.withColumn(out, F.lit(b"")).schema)

@@ -142,11 +142,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, text_col: s
 
     text = F.col(f"`{text_col}`").cast("binary").alias("__text")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s.last - s.first + 1).alias("n_hit")
-    shown = [*[F.col(f"`{c}`") for c in keep], "n_words", n_hit, "spans", "items"]
+    results = ["n_words", n_hit, "spans", "items"]
     if blocks == 1:
-        return _scan(docs.select(*[f"`{c}`" for c in keep], text), keep, of(0)).select(*shown)
+        return _scan(docs.select(*[f"`{c}`" for c in keep], text), keep, of(0)).select(*[F.col(f"`{c}`") for c in keep], *results)
 
-    rows = materialize(docs.select(*[f"`{c}`" for c in keep], text, F.monotonically_increasing_id().alias("__row")), "decontaminate")
+    rows = docs.select(*[f"`{c}`" for c in keep], text).toDF(*[f"_{i}" for i in range(len(keep))], "__text")     # by place, as in _scan
+    rows = materialize(rows.withColumn("__row", F.monotonically_increasing_id()), "decontaminate")
     parts = [_scan(rows.select("__row", "__text"), ["__row"], of(k)) for k in range(blocks)]
     found = parts[0]
     for p in parts[1:]:
@@ -160,4 +161,4 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, text_col: s
                      for some in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, _SPAN), b.column(3)], names=b.schema.names)
 
-    return rows.drop("__text").join(grouped.mapInArrow(joined, grouped.schema), "__row").select(*shown)
+    return rows.join(grouped.mapInArrow(joined, grouped.schema), "__row").select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], *results)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcube.llm.batches import small
+from gridcube.llm.names import by_place
 from gridcube.session import materialize
 
 SHINGLE, FLOOR, SCALE = 5, 16, 16
@@ -111,14 +112,14 @@ def with_sketch(docs: DataFrame, text_col: str = "text", out: str = "sketch") ->
     empty texts have the empty sketch; whole texts are hashed. A column named
     ``out`` is replaced."""
     docs = docs.drop(out)
-    at = docs.columns.index(text_col)
+    names, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
         for b in small(batches, at):
             got = [as_text(sketch(t or b"")) for t in b.column(at).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())], names=[*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.string())], names=[*names, out])
 
-    return docs.mapInArrow(run, docs.withColumn(out, F.lit("")).schema)
+    return by_place(docs)[0].mapInArrow(run, docs.withColumn(out, F.lit("")).schema)
 
 
 _FIELDS = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double")

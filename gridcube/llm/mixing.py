@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcube.llm.names import by_place, named
 from gridcube.operators.inversions import places
 from gridcube.session import materialize
 
@@ -107,14 +108,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     """``docs`` with every row repeated as often as the mix takes it. NULL ids and
     sources are values of their own and NULL texts have no words, so such rows are
     taken like others of their size; repeated rows each have a place of their own; an
-    empty table gives no rows. Columns named __id, __source, __size, __t, __n, r,
-    rate, u or __tie must not be there."""
+    empty table gives no rows. Other columns may have any name."""
+    docs, at = by_place(docs)
+    id_col, source_col, text_col = at[id_col], at[source_col], at[text_col]
     whole = materialize(plan(docs, id_col, source_col, text_col, **shape).select(
         F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("t").alias("__t"), F.col("n").alias("__n"), "r", "rate", "u"), "mix-plan")
-    text = F.col(f"`{text_col}`")
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & F.col(f"`{source_col}`").eqNullSafe(F.col("__source")) \
+    text = F.col(text_col)
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) \
         & (_text_hash(text) == F.col("__t")) & (words(text) == F.col("__size"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = list(at.values())
     once = whole.where((F.col("__n") == 1) & (_taken(F.col("r")) > 0))
     taken = docs.join(once, same).select(*own, _taken(F.col("r")).alias("__copies"))
     if whole.where("__n > 1").limit(1).count():
@@ -122,4 +124,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         rows = docs.join(whole.where("__n > 1"), same).withColumns({"__unit": F.xxhash64("__id", "__source", "__size", "__t"), "__tie": F.monotonically_increasing_id()})
         nth = places(rows, "__unit", [F.col("__tie")], "__i")
         taken = taken.unionByName(nth.select(*own, _taken(F.col("r") + F.col("__i")).alias("__copies")).where("__copies > 0"))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*own)
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*named(at))

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcube.llm.names import by_place, named
+
 NEAR = 48           # characters on either side of a match that are searched for context words
 PIECES = 8          # matches of one kind that can stand in so many characters
 ACCEPT = 0.6        # an added kind is reported from this score on
@@ -115,12 +117,13 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> Dat
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets. Overlapping
     spans are hidden together under the first one's kind. NULL and empty texts stay
-    as they are; a column named ``__pii`` is lost."""
-    text = f"`{text_col}`"
+    as they are; other columns may have any name."""
+    docs, at = by_place(docs)
+    text = at[text_col]
     hidden = (f"aggregate(array_sort(transform(__pii, s -> named_struct('start', s.start, 'end', -s.end, 'kind', s.kind))), "
               f"named_struct('at', 0, 'out', cast(array() as array<string>)), "
               f"(a, s) -> if(s.start >= a.at, named_struct('at', -s.end, 'out', concat(a.out, array(substring({text}, a.at + 1, s.start - a.at), "
               f"concat('[', upper(s.kind), ']')))), named_struct('at', greatest(a.at, -s.end), 'out', a.out)), "
               f"a -> concat(array_join(a.out, ''), substring({text}, a.at + 1)))")
-    return with_spans(docs, text_col, "__pii") \
-        .withColumn(text_col, F.expr(f"if(size(__pii) = 0, {text}, {hidden})")).drop("__pii")
+    return with_spans(docs, text, "__pii") \
+        .withColumn(text, F.expr(f"if(size(__pii) = 0, {text}, {hidden})")).select(*named(at))

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcube.llm.names import by_place, named
 from gridcube.session import materialize
 
 BLOCK, SLICES = 1 << 17, 1024
@@ -91,15 +92,15 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
     every assignment of rows to slots is equally likely. Rows are dealt singly,
     equal rows too; NULLs, repeated rows and long texts need no care as no
     column decides; fewer rows than shards leave shards empty, and no rows give
-    no rows. Columns of ``docs`` named shard or slot are replaced.
+    no rows. Columns of ``docs`` named shard or slot are replaced, others may have any name.
 
     The rows are written once to the shared checkpoint folder, so that row
     numbers, and with them the draw, survive a lost executor. The driver holds a
     row of ``shards`` numbers per ``BLOCK`` input rows (a billion rows: 7,630 of
     them, 24 draws each)."""
-    docs = docs.drop("shard", "slot")
-    spark, own = docs.sparkSession, [F.col(f"`{c}`") for c in docs.columns]
-    rows = materialize(docs.select(*own, F.monotonically_increasing_id().alias("__row")), "shard", codec="zstd")
+    rows, at = by_place(docs.drop("shard", "slot"))
+    spark = docs.sparkSession
+    rows = materialize(rows.select("*", F.monotonically_increasing_id().alias("__row")), "shard", codec="zstd")
     # the row number is (partition, row in it): its upper bits name a block of BLOCK rows
     rows = rows.withColumn("__block", F.shiftright("__row", BLOCK.bit_length() - 1))
     sizes = rows.groupBy("__block").count().orderBy("__block").collect()        # a row per BLOCK input rows
@@ -118,7 +119,7 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:
         cells = F.broadcast(cells)
     # the exchange is by range of (shard, slice), so a task holds neighbouring slots
     return dealt.repartitionByRange("shard", "__slice").withColumn("__nth", nth).join(cells, ["shard", "__slice"]) \
-        .select(*own, "shard", (F.col("__nth") - 1 + F.col("__first")).cast("long").alias("slot"))
+        .select(*named(at), "shard", (F.col("__nth") - 1 + F.col("__first")).cast("long").alias("slot"))
 
 
 def write(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFrame:

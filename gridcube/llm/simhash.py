@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from gridcube.llm.batches import small
 from gridcube.llm.components import connected_components
+from gridcube.llm.names import by_place, named
 from gridcube.session import materialize
 
 MAX_BUCKET = 16384      # fingerprints compared together in one group; larger buckets meet chunk by chunk
@@ -73,7 +74,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3,
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(got, pa.int64())], names=[*keep, out])
 
     schema = rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.lit(0).cast("long")).schema
-    return rows.mapInArrow(fp, schema)
+    return by_place(rows)[0].mapInArrow(fp, schema)
 
 
 # --- bit-sliced comparison -------------------------------------------------
@@ -243,14 +244,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """``docs`` with one row of each near-duplicate component: the one with
     the smallest id, which of several rows with that id is fixed by their
     texts' hash. A component whose ids are all NULL keeps one of those rows. The
-    rows are written once with their fingerprints, so every text is hashed once."""
+    rows are written once with their fingerprints, so every text is hashed once.
+    Other columns may have any name."""
+    docs, at = by_place(docs)
+    id_col, text_col = at[id_col], at[text_col]
     t = materialize(with_fingerprint(docs, text_col, shingle, out="__f"), "simhash-rows", codec="zstd")
-    found = _rooted(t.select(F.col(f"`{id_col}`"), F.col("__f").alias("fingerprint")), id_col, radius)
-    name = F.col(f"`{id_col}`")
+    found = _rooted(t.select(id_col, F.col("__f").alias("fingerprint")), id_col, radius)
+    name = F.col(id_col)
     key = F.coalesce(name.cast("string"), F.lit("null"))
     best = F.struct(name.isNull().alias("none"), name.alias("id"), F.col("fingerprint").alias("f"), key.alias("k"))
     keepers = found.groupBy("root").agg(F.min(best).alias("best")).select(F.col("best.k").alias("__k"), F.col("best.f").alias("__f"))
     rows = t.withColumn("__k", key)
-    w = Window.partitionBy("__k", "__f").orderBy(F.xxhash64(f"`{text_col}`"))
+    w = Window.partitionBy("__k", "__f").orderBy(F.xxhash64(text_col))
     return rows.join(keepers, ["__k", "__f"], "left_semi").withColumn("__n", F.row_number().over(w)) \
-        .where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+        .where("__n = 1").select(*named(at))

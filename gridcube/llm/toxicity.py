@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcube.llm.batches import small
+from gridcube.llm.names import by_place
 
 BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 2, (3, 4, 5)
 STEP = WINDOW // 2          # words from one window to the next
@@ -211,4 +212,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
             got = [model.probability(t, known) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(got, pa.float64())], names=[*keep, out])
 
-    return rows.mapInArrow(run, rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.lit(0.0)).schema)
+    return by_place(rows)[0].mapInArrow(run, rows.select(*[f"`{c}`" for c in keep]).withColumn(out, F.lit(0.0)).schema)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcube.llm.components import connected_components
+from gridcube.llm.names import by_place, named
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -116,18 +117,18 @@ def judge(pages: DataFrame, rules=RULES, url_col: str = "url", html_col: str | N
     if given, such as a crawl's redirect log. A NULL url, or one without ://,
     has an empty host and path, fits no rule and is allowed. Repeated pages are
     judged alike; NULL html has no links; no rows give no rows. Columns of
-    ``pages`` with the names added are replaced."""
-    url = F.col(f"`{url_col}`")
-    edges = page_links(pages, url_col, html_col) if html_col else None
+    ``pages`` with the names added are replaced, others may have any name."""
+    pages, at = by_place(pages.drop("host", "path", "rule", "verdict"))
+    url = F.col(at[url_col])
+    edges = page_links(pages, at[url_col], at[html_col]) if html_col else None
     if redirects is not None:
         more = redirects.select(node(F.col("from_url")).alias("a"), node(F.col("to_url")).alias("b"))
         edges = more if edges is None else edges.union(more)
-    own = pages.withColumns({"host": host(url), "path": path(url)})
-    own = _ruled(own.drop("rule", "__own"), rules).withColumn("__node", node(url))
+    own = _ruled(pages.withColumns({"host": host(url), "path": path(url)}), rules).withColumn("__node", node(url))
+    shown = [*named(at), "host", "path", "rule"]
     if edges is None:
-        return own.withColumn("verdict", F.coalesce("__own", F.lit("allow"))).drop("__own", "__node")
+        return own.select(*shown, F.coalesce("__own", F.lit("allow")).alias("verdict"))
     groups = connected_components(edges)
     bad = _ruled(groups.withColumns({"host": host(F.col("node")), "path": path(F.col("node"))}), rules).where(F.col("__own") == "block").select("root").distinct()
     blocked = groups.join(bad, "root").select(F.col("node").alias("__node"), F.lit("block").alias("__alias"))
-    return own.join(blocked, "__node", "left").withColumn("verdict", F.coalesce("__own", "__alias", F.lit("allow"))) \
-        .drop("__own", "__node", "__alias")
+    return own.join(blocked, "__node", "left").select(*shown, F.coalesce("__own", "__alias", F.lit("allow")).alias("verdict"))
