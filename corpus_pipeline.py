@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridcube.llm import bpe, mixing, pii, simhash, toxicity
+from gridcube.llm.names import by_place, named
 from gridcube.llm.queries import TOXIC_AT, crc_of, table, tokenizer
 from gridcube.session import cleanup, mark, materialize
 
@@ -20,7 +21,8 @@ from gridcube.session import cleanup, mark, materialize
 def drop_toxic(spark, docs, sf_dir):
     """Documents scored below the toxicity threshold, unchanged."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_of("id") % 3 != 1)
-    return toxicity.score(docs, model, out="__toxicity").where(F.col("__toxicity") < TOXIC_AT).drop("__toxicity")
+    rows, at = by_place(docs)
+    return toxicity.score(rows, model, at["text"]).where(F.col("toxicity") < TOXIC_AT).select(*named(at))
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
