@@ -7,8 +7,8 @@ and a linear softmax gives the window's probability. Windows overlap by half, so
 a phrase of a few words lies whole in one. A document's score is that of its most
 toxic window, so a few words are not averaged away in a long text, and the whole
 text counts. Table and softmax are trained together in numpy by gradient descent
-on whole texts of a bounded, documented number of labelled rows. An unseen
-misspelling shares n-grams, and so vectors, with words that were seen.
+on whole texts of a bounded, documented number of labelled rows, in a task. An
+unseen misspelling shares n-grams, and so vectors, with words that were seen.
 """
 
 from __future__ import annotations
@@ -163,14 +163,14 @@ def train(texts: list[str], toxic: list[int], epochs: int = 120, warm: int = 15,
     return Model(best[1], best[2])
 
 
-def sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text",
-           label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> list:
-    """At most ``max_per_class`` labelled texts of each label, whole, in a fixed
-    pseudo-random order of their ids, from rows where ``allowed`` (an
-    expression over ``id``) holds. An id labelled twice takes the larger
-    label; ids or labels that are NULL are not learnt from; of rows that repeat
-    an id one is taken; empty and NULL texts count as texts without words. No
-    labelled rows give an empty sample. Other columns are not read."""
+def chosen(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text",
+           label_col: str = "toxic", max_per_class: int = MAX_PER_CLASS) -> DataFrame:
+    """id, y and text of at most ``max_per_class`` labelled texts of each label,
+    whole, the first in a fixed pseudo-random order of their ids, from rows where
+    ``allowed`` (an expression over ``id``) holds. An id labelled twice takes the
+    larger label; ids or labels that are NULL are not learnt from; of rows that
+    repeat an id one is taken; empty and NULL texts count as texts without words.
+    No labelled rows give an empty sample. Other columns are not read."""
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")) \
         .where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")) \
@@ -182,16 +182,35 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "d
         pick = part if pick is None else pick.union(part)
     # the sample holds at most 2 * max_per_class ids, so it is broadcast
     text = F.coalesce("text", F.lit("")).alias("text")
-    rows = texts.join(F.broadcast(pick), "id").select("id", "y", text).groupBy("id", "y").agg(F.min("text").alias("text")) \
-        .orderBy(F.xxhash64("id"), "id").collect()
+    return texts.join(F.broadcast(pick), "id").select("id", "y", text).groupBy("id", "y").agg(F.min("text").alias("text"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, allowed: Column, **kw) -> list:
+    """The rows of ``chosen`` as (text, label), in the order in which ``fit``
+    learns from them. For tests and small tables: they come to the driver."""
+    rows = chosen(docs, labels, allowed, **kw).orderBy(F.xxhash64("id"), "id").collect()
     return [(r.text, r.y) for r in rows]
 
 
+def learn(batches):
+    """One row, the model of all rows (y, text) of the batches."""
+    texts, toxic = [], []
+    for b in batches:
+        toxic += b.column(0).to_pylist()
+        texts += b.column(1).to_pylist()
+    model = train(texts, toxic)
+    yield pa.RecordBatch.from_arrays([pa.array([model.value.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["value", "bias"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, **kw) -> Model:
-    """A model of ``sample``'s rows. Without labelled rows, or with one label
-    only, every text scores that label's smoothed share."""
-    rows = sample(docs, labels, allowed, **kw)
-    return train([t for t, _ in rows], [y for _, y in rows])
+    """A model of ``chosen``'s rows. It is trained in a task, as the sample is
+    bounded; the driver gets the model's numbers only, never a text. Without
+    labelled rows, or with one label only, every text scores that label's
+    smoothed share."""
+    rows = chosen(docs, labels, allowed, **kw).repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("y", "text")
+    got = rows.mapInArrow(learn, "value binary, bias double").collect()
+    # a plan that is known to be empty has no task
+    return Model(np.frombuffer(got[0].value, np.float32), got[0].bias) if got else train([], [])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, out: str = "toxicity") -> DataFrame:

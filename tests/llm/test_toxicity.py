@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -87,6 +88,24 @@ def test_long_texts_are_learnt_from_whole(spark):
     assert sorted(T.sample(docs, labels, F.lit(True))) == sorted([(texts[1], 0), ("short text", 1), (texts[3], 0), ("", 1)])
 
 
+def test_the_driver_neither_holds_the_texts_nor_trains(spark, monkeypatch):
+    rows = corpus(60, random.Random(12))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    seen = T.sample(docs, labels, F.col("id") % 3 != 1)
+    want = T.train([t for t, _ in seen], [y for _, y in seen])
+
+    driver, train = os.getpid(), T.train
+
+    def elsewhere(*a, **kw):
+        assert os.getpid() != driver
+        return train(*a, **kw)
+    monkeypatch.setattr(T, "train", elsewhere)
+    monkeypatch.setattr(T, "sample", None)
+    got = T.fit(docs, labels, F.col("id") % 3 != 1)
+    assert (got.value == want.value).all() and got.bias == want.bias
+
+
 def test_texts_without_spaces_are_learnt_from():
     bad, good = ["那个坏词" + "x" * i for i in range(40)], ["一个好词" + "x" * i for i in range(40)]
     model = T.train(bad + good, [1] * 40 + [0] * 40)
